@@ -10,7 +10,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.expressions import comparable_struct, named_list, row_hash, struct_of
+from ..functions.expressions import (
+    bucket_of,
+    comparable_struct,
+    named_list,
+    row_hash,
+    struct_of,
+)
 from . import skew
 
 START, END = "__START_AT", "__END_AT"
@@ -226,7 +232,7 @@ def type1(df: DataFrame, spec: ChangeSpec) -> DataFrame:
 # ---- type 2 -----------------------------------------------------------------
 
 
-def _one_row_per_sequence(log: DataFrame, shape: Shape) -> skew.Ordered:
+def _one_row_per_sequence(log: DataFrame, shape: Shape, buckets: int | None) -> skew.Ordered:
     """Order the change log inside its keys; drop the losers of equal sequences.
 
     Hot keys are reduced by an aggregation (which combines before the shuffle)
@@ -249,6 +255,8 @@ def _one_row_per_sequence(log: DataFrame, shape: Shape) -> skew.Ordered:
         )
         hot_rows = skew.add_slices(hot_rows, hot, shape.keys, SEQ, limit)
         ordered = ordered.withColumn(skew.SLICE, F.lit(-1)).unionByName(hot_rows)
+    elif buckets:
+        ordered = ordered.repartition(buckets, *[F.col(f"`{k}`") for k in shape.keys])
     ordered = ordered.withColumn("__order", _order())
     rows = skew.Ordered(ordered, shape.keys, "__order", hot is not None)
     following = F.lead(F.struct(SEQ)).over(rows.window)
@@ -288,9 +296,13 @@ def _filled(rows: skew.Ordered, shape: Shape) -> skew.Ordered:
     return rows.replace(rows.df.select(*columns))
 
 
-def type2_history(log: DataFrame, shape: Shape) -> DataFrame:
-    """Versions with their validity interval, from a change log."""
-    rows = _one_row_per_sequence(log, shape)
+def type2_history(log: DataFrame, shape: Shape, buckets: int | None = None) -> DataFrame:
+    """Versions with their validity interval, from a change log.
+
+    With ``buckets`` the rows come out partitioned by bucket of the key, except
+    that hot keys are spread over several partitions.
+    """
+    rows = _one_row_per_sequence(log, shape, buckets)
     if shape.fill:
         rows = _filled(rows, shape)
     tracked = comparable_struct(shape.schema, shape.tracked)
@@ -316,11 +328,15 @@ def type2_history(log: DataFrame, shape: Shape) -> DataFrame:
         .drop("__before", "__after")
     )
     edges = rows.replace(edges).with_neighbours(F.struct(SEQ), "__opened", None)
-    return edges.df.where("__final").select(
+    history = edges.df.where("__final").select(
         *[f"`{c}`" for c in shape.columns],
         F.when(F.col("__first"), F.col(SEQ)).otherwise(F.col(f"__opened.{SEQ}")).alias(START),
         END,
     )
+    if rows.sliced and buckets:
+        # splits the partition of a hot key and joins small ones
+        history = history.hint("rebalance", bucket_of(shape.keys, buckets))
+    return history
 
 
 def type2(df: DataFrame, spec: ChangeSpec) -> DataFrame:

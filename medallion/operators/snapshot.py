@@ -31,13 +31,13 @@ class SnapshotSpec:
         )
 
 
-def unique_keys(snapshot: DataFrame, keys: list[str]) -> DataFrame:
-    """The snapshot itself; a key that occurs twice is an error."""
+def unique_keys(snapshot: DataFrame, keys: list[str], what: str = "a snapshot") -> DataFrame:
+    """The rows themselves; a key that occurs twice is an error."""
     columns = [c for c in snapshot.columns if c not in keys]
     rows = snapshot.groupBy(*[f"`{k}`" for k in keys]).agg(
         F.first(struct_of(columns)).alias("__row"), F.count(F.lit(1)).alias("__n")
     )
-    checked = F.when(F.col("__n") > 1, F.raise_error(_duplicate(keys))).otherwise(F.lit(True))
+    checked = F.when(F.col("__n") > 1, F.raise_error(_duplicate(keys, what))).otherwise(F.lit(True))
     return rows.where(checked).select(
         *[
             F.col(f"__row.`{c}`").alias(c) if c in columns else F.col(f"`{c}`")
@@ -46,8 +46,8 @@ def unique_keys(snapshot: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _duplicate(keys) -> str:
-    return f"a snapshot has several rows of one key ({', '.join(keys)})"
+def _duplicate(keys, what: str = "a snapshot") -> str:
+    return f"{what} has several rows of one key ({', '.join(keys)})"
 
 
 def next_history(open_rows: DataFrame | None, snapshot: DataFrame, version, spec: SnapshotSpec):

@@ -84,3 +84,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="medallion-")
     return join(shared, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as a schema or a rules file."""
+    fs, jpath = _fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
