@@ -77,10 +77,9 @@ def read_records(spark: SparkSession, path: str, env: str) -> DataFrame:
     """Records with the values of one environment under plain names."""
     if not path.lower().endswith(".json"):
         raise ValueError(f"onboarding file {path} is not a JSON file")
-    schema = T.StructType()
-    for kind, keys in RECORD_KEYS.items():
-        for key in keys:
-            schema.add(key.format(env=env), kind)
+    schema = ", ".join(
+        f"`{key.format(env=env)}` {kind}" for kind, keys in RECORD_KEYS.items() for key in keys
+    )
     records = spark.read.schema(schema).option("multiLine", True).json(path)
     chosen = {
         key: F.coalesce(F.col(f"{key}_{env}"), F.col(key)) for key in ENVIRONMENT_KEYS

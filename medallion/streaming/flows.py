@@ -38,6 +38,10 @@ class Flow:
         # the name becomes part of folder names
         self.name = re.sub(r"[^A-Za-z0-9_.-]", "_", self.name)
 
+    @property
+    def title(self) -> str:
+        return f"{self.target.name or self.target.path} {self.name}"
+
 
 class FlowFailed(Exception):
     """Flows that did not end; the other flows of the run did."""
@@ -140,7 +144,7 @@ def run_flow(spark: SparkSession, flow: Flow) -> None:
 
     query = (
         flow.source.open(True)
-        .writeStream.queryName(flow.name)
+        .writeStream.queryName(flow.title)
         .option("checkpointLocation", storage.join(flow.checkpoint, "stream"))
         .trigger(availableNow=True)
         .foreachBatch(each)
@@ -177,7 +181,7 @@ def run_flows(spark: SparkSession, flows: Iterable[Flow], at_once: int = 8) -> N
             try:
                 run_flow(spark, flow)
             except Exception as error:
-                failures[flow.name] = error
+                failures[flow.title] = error
                 return
 
     with ThreadPoolExecutor(max(1, at_once)) as pool:
