@@ -56,7 +56,7 @@ SNAPSHOT_TYPE = (
 
 
 def table_schema(layer: str) -> T.StructType:
-    return T._parse_datatype_string(BRONZE_COLUMNS if layer == "bronze" else SILVER_COLUMNS)
+    return T.StructType.fromDDL(BRONZE_COLUMNS if layer == "bronze" else SILVER_COLUMNS)
 
 
 def _flag(value) -> bool:

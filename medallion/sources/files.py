@@ -157,12 +157,20 @@ def file_metadata_columns(df: DataFrame, request: str | dict | None) -> DataFram
 # ---- source -----------------------------------------------------------------
 
 
+def _streamable(spark: SparkSession, path: str) -> str:
+    """Spark streams folders and patterns; a single file becomes a pattern."""
+    if storage.is_file(spark, path):
+        return f"{path[:-1]}[{path[-1]}]"
+    return path
+
+
 def file_source(request: SourceRequest) -> Source:
     spark = request.spark
     fmt, options, rescue, infer = translate_options(request.format, request.options)
     path = request.details.get("path")
     if not path:
         raise ValueError("a file source needs a path")
+    path = _streamable(spark, path)
     metadata = request.details.get("source_metadata")
     by_name = fmt == "csv" and _flag(options, "header")
     rates = {k: v for k, v in options.items() if k in RATE_OPTIONS}

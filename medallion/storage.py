@@ -27,6 +27,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _fs(spark, path)
+    return "*" not in path and fs.exists(jpath) and fs.getFileStatus(jpath).isFile()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
@@ -51,7 +56,11 @@ def read_json(spark: SparkSession, path: str):
 
 
 def write_json(spark: SparkSession, path: str, value, overwrite: bool = False) -> None:
-    """Write a small JSON file under a hidden name first, then rename it."""
+    write_text(spark, path, json.dumps(value), overwrite)
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """Write a small file under a hidden name first, then rename it."""
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):
         if not overwrite:
@@ -63,7 +72,7 @@ def write_json(spark: SparkSession, path: str, value, overwrite: bool = False) -
     )
     stream = fs.create(hidden, True)
     try:
-        stream.write(bytearray(json.dumps(value).encode("utf-8")))
+        stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
     if not fs.rename(hidden, jpath):

@@ -270,9 +270,10 @@ def path_of(spark: SparkSession, name: str) -> str | None:
     return row["value"] if row else None
 
 
-def create_database(spark: SparkSession, name: str) -> None:
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     if not spark.catalog.databaseExists(name):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
+        at = f" LOCATION '{_sql_text(location)}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{at}")
 
 
 def drop_database(spark: SparkSession, name: str) -> None:
@@ -536,7 +537,7 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
     history = spec.scd_type == "2"
     schema = df.schema
     if history:
-        kind = T._parse_datatype_string(snap.version_type(number))
+        kind = T.DataType.fromDDL(snap.version_type(number))
         schema = T.StructType(
             [*schema.fields, T.StructField(cdc.START, kind), T.StructField(cdc.END, kind)]
         )
