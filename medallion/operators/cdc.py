@@ -8,15 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F, types as T
-
-from ..functions.expressions import (
-    bucket_of,
-    comparable_struct,
-    named_list,
-    row_hash,
-    struct_of,
-)
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+from ..functions.expressions import comparable_struct, named_list, row_hash, struct_of
 from . import skew
 
 START, END = "__START_AT", "__END_AT"
@@ -232,111 +226,151 @@ def type1(df: DataFrame, spec: ChangeSpec) -> DataFrame:
 # ---- type 2 -----------------------------------------------------------------
 
 
-def _one_row_per_sequence(log: DataFrame, shape: Shape, buckets: int | None) -> skew.Ordered:
-    """Order the change log inside its keys; drop the losers of equal sequences.
+def _sorted_by(descending: bool = False) -> list:
+    # the winner of an equal sequence comes last
+    order = [F.col(SEQ), ~F.col(DEL), F.col(TIE)]
+    return [c.desc() if descending else c.asc() for c in order]
 
-    Hot keys are reduced by an aggregation (which combines before the shuffle)
-    and cut into slices. All other keys meet in one window, with the tie
-    settled by the sort, so they are shuffled only once.
-    """
-    hot, limit = skew.hot_keys(log, shape.keys)
-    ordered = log
-    if hot is not None:
-        hot_rows, ordered = skew.split_by_keys(log, hot, shape.keys)
-        payload = [*shape.values, DEL, TIE]
-        hot_rows = (
-            hot_rows.groupBy(*[f"`{k}`" for k in shape.keys], SEQ)
-            .agg(F.max_by(struct_of(payload), _order()).alias("__w"))
-            .select(
-                *[f"`{k}`" for k in shape.keys],
-                SEQ,
-                *[F.col(f"__w.`{c}`").alias(c) for c in payload],
-            )
-        )
-        hot_rows = skew.add_slices(hot_rows, hot, shape.keys, SEQ, limit)
-        ordered = ordered.withColumn(skew.SLICE, F.lit(-1)).unionByName(hot_rows)
-    elif buckets:
-        ordered = ordered.repartition(buckets, *[F.col(f"`{k}`") for k in shape.keys])
-    ordered = ordered.withColumn("__order", _order())
-    rows = skew.Ordered(ordered, shape.keys, "__order", hot is not None)
-    following = F.lead(F.struct(SEQ)).over(rows.window)
-    return rows.replace(
-        rows.df.withColumn("__following", following)
-        .where(F.col("__following").isNull() | (F.col("__following") != F.struct(SEQ)))
-        .drop("__following")
-    )
 
-
-def _filled(rows: skew.Ordered, shape: Shape) -> skew.Ordered:
+def _filled(rows: DataFrame, shape: Shape) -> DataFrame:
     """Replace nulls of an update by the latest value since the last delete."""
     types = {f.name: f.dataType for f in shape.schema.fields}
-    present = {
+    latest = {
         f"__last_{i}": F.when(
             ~F.col(DEL) & F.col(f"`{c}`").isNotNull(),
             F.struct(F.col(SEQ), F.col(f"`{c}`").alias("v")),
         )
         for i, c in enumerate(shape.fill)
     }
-    present["__last_delete"] = F.when(F.col(DEL), F.struct(SEQ))
-    rows = rows.with_latest(present)
-    numbers = {c: i for i, c in enumerate(shape.fill)}
+    latest["__last_delete"] = F.when(F.col(DEL), F.struct(SEQ))
+    filled = skew.latest_so_far(rows, shape.keys, _sorted_by(), SEQ, latest)
     deleted = F.col(f"__last_delete.{SEQ}")
-    columns = [
-        F.when(
-            deleted.isNull() | (F.col(f"__last_{numbers[c]}.{SEQ}") >= deleted),
-            F.col(f"__last_{numbers[c]}.v"),
-        )
-        .cast(types[c])
-        .alias(c)
-        if c in numbers
-        else F.col(f"`{c}`")
-        for c in rows.df.columns
-        if c not in present
-    ]
-    return rows.replace(rows.df.select(*columns))
+    values = {
+        c: F.when(
+            deleted.isNull() | (F.col(f"__last_{i}.{SEQ}") >= deleted), F.col(f"__last_{i}.v")
+        ).cast(types[c])
+        for i, c in enumerate(shape.fill)
+    }
+    return filled.select(
+        *[values[c].alias(c) if c in values else F.col(f"`{c}`") for c in rows.columns]
+    )
 
 
-def type2_history(log: DataFrame, shape: Shape, buckets: int | None = None) -> DataFrame:
-    """Versions with their validity interval, from a change log.
+def _runs(rows: DataFrame, shape: Shape, window: Window, deletes: bool = False) -> DataFrame:
+    """Join neighbouring rows of equal tracked values into one row each.
 
-    With ``buckets`` the rows come out partitioned by bucket of the key, except
-    that hot keys are spread over several partitions.
+    Input rows are versions that start at ``SEQ``. Only where ``__open_start``
+    and ``__open_end`` hold may a version go on in its neighbour. Of each run
+    only the first and the last row matter: the first gives the start, the last
+    the values and the end.
     """
-    rows = _one_row_per_sequence(log, shape, buckets)
-    if shape.fill:
-        rows = _filled(rows, shape)
     tracked = comparable_struct(shape.schema, shape.tracked)
-    rows = rows.with_neighbours(
-        F.struct(F.col(SEQ), F.col(DEL), tracked.alias("t")), "__before", "__after"
+    here = F.struct(F.col(SEQ), F.col(DEL), tracked.alias("t"))
+    rows = rows.select(
+        "*", F.lag(here).over(window).alias("__before"), F.lead(here).over(window).alias("__after")
     )
 
-    def breaks(other: str):
+    def breaks(other: str, may_go_on: str):
         return (
-            F.col(other).isNull()
+            ~F.col(may_go_on)
+            | F.col(other).isNull()
             | F.col(DEL)
             | F.col(f"{other}.{DEL}")
             | ~F.col(f"{other}.t").eqNullSafe(tracked)
         )
 
-    # of each run of equal versions only the first and the last row matter:
-    # the first gives the start, the last the values and the end
+    keep = F.col("__first") | F.col("__final")
     edges = (
-        rows.df.withColumn("__first", breaks("__before"))
-        .withColumn("__final", breaks("__after"))
-        .where((F.col("__first") | F.col("__final")) & ~F.col(DEL))
-        .withColumn(END, F.col(f"__after.{SEQ}"))
-        .drop("__before", "__after")
+        rows.withColumn("__first", breaks("__before", "__open_start"))
+        .withColumn("__final", breaks("__after", "__open_end"))
+        .where(keep if deletes else keep & ~F.col(DEL))
+        .withColumn("__opened", F.lag(SEQ).over(window))
+        .where("__final")
+    )
+    return edges.select(
+        *[
+            F.col(f"`{c}`")
+            for c in edges.columns
+            if c not in (SEQ, END, "__first", "__final", "__opened", "__before", "__after",
+                         "__open_start", "__open_end")
+        ],
+        F.when(F.col("__first"), F.col(SEQ)).otherwise(F.col("__opened")).alias(SEQ),
+        F.when(F.col("__open_end"), F.col(f"__after.{SEQ}")).otherwise(F.col(END)).alias(END),
+        # a run may go on beyond these rows only at their ends
+        F.when(F.col("__first"), F.col("__before").isNull()).otherwise(F.lit(False)).alias("__open_start"),
+        F.col("__after").isNull().alias("__open_end"),
+    )
+
+
+def _as_versions(rows: DataFrame, shape: Shape) -> DataFrame:
+    return rows.withColumns(
+        {
+            END: F.lit(None).cast(shape.sequence),
+            "__open_start": F.lit(True),
+            "__open_end": F.lit(True),
+        }
     )
-    edges = rows.replace(edges).with_neighbours(F.struct(SEQ), "__opened", None)
-    history = edges.df.where("__final").select(
-        *[f"`{c}`" for c in shape.columns],
-        F.when(F.col("__first"), F.col(SEQ)).otherwise(F.col(f"__opened.{SEQ}")).alias(START),
-        END,
+
+
+def _cold_history(log: DataFrame, shape: Shape, buckets: int | None) -> DataFrame:
+    """Keys of ordinary size meet in one window each; one shuffle in all."""
+    keys = [F.col(f"`{k}`") for k in shape.keys]
+    if buckets:
+        log = log.repartition(buckets, *keys)
+    window = Window.partitionBy(*keys).orderBy(*_sorted_by())
+    following = F.lead(F.struct(SEQ)).over(window)
+    rows = (
+        log.withColumn("__following", following)
+        .where(F.col("__following").isNull() | (F.col("__following") != F.struct(SEQ)))
+        .drop("__following")
+    )
+    if shape.fill:
+        rows = _filled(rows, shape)
+    return _runs(_as_versions(rows, shape), shape, window)
+
+
+def _hot_history(log: DataFrame, shape: Shape, hot: DataFrame, limit: int) -> DataFrame:
+    """Hot keys are cut into slices; runs are found per slice, then joined.
+
+    Losers of equal sequences go in an aggregation that combines before the
+    shuffle. Only the first and the last run of a slice take part in the joining.
+    """
+    keys = [F.col(f"`{k}`") for k in shape.keys]
+    payload = [*shape.values, DEL, TIE]
+    rows = (
+        log.groupBy(*keys, SEQ)
+        .agg(F.max_by(struct_of(payload), _order()).alias("__w"))
+        .select(*keys, SEQ, *[F.col(f"__w.`{c}`").alias(c) for c in payload])
+    )
+    rows = skew.add_slices(rows, hot, shape.keys, SEQ, limit)
+    if shape.fill:
+        rows = _filled(rows, shape)
+    in_slice = Window.partitionBy(*keys, skew.SLICE).orderBy(*_sorted_by())
+    runs = _runs(_as_versions(rows, shape), shape, in_slice, deletes=True)
+    at_border = F.col("__open_start") | F.col("__open_end")
+    across = Window.partitionBy(*keys).orderBy(SEQ)
+    joined = _runs(runs.where(at_border), shape, across)
+    return runs.where(~at_border & ~F.col(DEL)).unionByName(joined)
+
+
+def type2_history(log: DataFrame, shape: Shape, buckets: int | None = None) -> DataFrame:
+    """Versions with their validity interval, from a change log.
+
+    With ``buckets`` the rows come out partitioned by bucket of the key, except
+    that hot keys are spread over several partitions.
+    """
+    hot, limit = skew.hot_keys(log, shape.keys)
+    if hot is None:
+        history = _cold_history(log, shape, buckets)
+    else:
+        hot_log, cold_log = skew.split_by_keys(log, hot, shape.keys)
+        hot_part = _hot_history(hot_log, shape, hot, limit)
+        history = _cold_history(cold_log, shape, buckets).unionByName(
+            hot_part, allowMissingColumns=True
+        )
+    return history.select(
+        *[f"`{c}`" for c in shape.columns], F.col(SEQ).alias(START), F.col(END).alias(END)
     )
-    if rows.sliced and buckets:
-        # splits the partition of a hot key and joins small ones
-        history = history.hint("rebalance", bucket_of(shape.keys, buckets))
-    return history
 
 
 def type2(df: DataFrame, spec: ChangeSpec) -> DataFrame:

@@ -1,20 +1,19 @@
-"""Ordered neighbours per key, also for keys that hold a large share of the rows.
+"""Keys that hold a large share of the rows.
 
 A window partitioned by key puts a whole key into one task. Keys with more rows
 than one task should get are cut into slices of their order, so that a window is
-partitioned by (key, slice). What crosses a slice border travels through a
-table with one row per slice.
+partitioned by (key, slice); what crosses a slice border is settled on a table
+with a few rows per slice.
 
-The number of hot keys, slices and border rows follows from the shuffle
-partitions, not from the data: a hot key holds more than 1/(4 * partitions) of
-all rows.
+The number of hot keys and slices follows from the shuffle partitions, not from
+the data: a hot key holds more than 1/(4 * partitions) of all rows.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.expressions import same_keys
 
@@ -50,6 +49,30 @@ def split_by_keys(df: DataFrame, listed: DataFrame, keys: list[str]):
     return df.join(small, condition, "left_semi"), df.join(small, condition, "left_anti")
 
 
+def join_per_key(df: DataFrame, per_key: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    """Rows of ``df`` with the columns of ``per_key``, which has one row per key.
+
+    A small ``per_key`` (the caller checked its size) is broadcast. Otherwise
+    the hot keys of ``df``, of which there are few, are broadcast and the rest
+    is shuffled.
+    """
+
+    def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
+        extra = [other[c] for c in per_key.columns if c not in keys]
+        return rows.join(other, same_keys(rows, other, keys)).select(
+            *[rows[c] for c in df.columns], *extra
+        )
+
+    if small:
+        return joined(df, F.broadcast(per_key))
+    hot, _ = hot_keys(df, keys)
+    if hot is None:
+        return joined(df, per_key)
+    hot_rows, cold_rows = split_by_keys(df, hot, keys)
+    few, _ = split_by_keys(per_key, hot, keys)
+    return joined(hot_rows, F.broadcast(few)).unionByName(joined(cold_rows, per_key))
+
+
 def _slice_borders(hot_rows: DataFrame, hot: DataFrame, keys, order: str, limit: int):
     """Per hot key the sorted order values at which a new slice begins."""
     spark = hot_rows.sparkSession
@@ -103,94 +126,42 @@ def add_slices(hot_rows: DataFrame, hot: DataFrame, keys, order: str, limit: int
     )
 
 
-class Ordered:
-    """Rows with an order inside a key; knows whether keys are cut into slices."""
-
-    def __init__(self, df: DataFrame, keys: list[str], order: str, sliced: bool):
-        self.keys, self.order, self.sliced = list(keys), order, sliced
-        if sliced and KEY not in df.columns:
-            df = df.withColumn(KEY, F.struct(*keys))
-        self.df = df
-
-    @property
-    def window(self):
-        parts = [KEY, SLICE] if self.sliced else self.keys
-        return Window.partitionBy(*parts).orderBy(self.order)
-
-    def replace(self, df: DataFrame) -> "Ordered":
-        return Ordered(df, self.keys, self.order, self.sliced)
-
-    def with_neighbours(self, value: Column, before: str | None, after: str | None):
-        """Add the value of the row before and after; null at the ends of a key.
-
-        ``value`` must not be null.
-        """
-        df = self.df.withColumn("__value", value)
-        wanted = {n: f for n, f in ((before, F.lag), (after, F.lead)) if n}
-        local = {n: f("__value").over(self.window) for n, f in wanted.items()}
-        if not self.sliced:
-            return self.replace(df.select("*", *[c.alias(n) for n, c in local.items()]).drop("__value"))
-        edges = (
-            df.where(F.col(SLICE) >= 0)
-            .groupBy(KEY, SLICE)
-            .agg(
-                F.max_by("__value", self.order).alias("__last"),
-                F.min_by("__value", self.order).alias("__first"),
-            )
-        )
-        across = Window.partitionBy(KEY).orderBy(SLICE)
-        edges = edges.select(
-            KEY,
-            SLICE,
-            F.lag("__last").over(across).alias("__lag"),
-            F.lead("__first").over(across).alias("__lead"),
-        )
-        carried = {F.lag: "__lag", F.lead: "__lead"}
-        joined = df.join(edges, [KEY, SLICE], "left")
-        columns = [F.col(f"`{c}`") for c in df.columns if c != "__value"]
-        return self.replace(
-            joined.select(
-                *columns,
-                *[
-                    F.coalesce(local[n], F.col(carried[f])).alias(n)
-                    for n, f in wanted.items()
-                ],
-            )
-        )
-
-    def with_latest(self, values: dict[str, Column]) -> "Ordered":
-        """Add, per entry, its latest value so far in the key that is not null."""
-        df = self.df.select("*", *[v.alias(f"__in_{n}") for n, v in values.items()])
-        running = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        local = {n: F.last(f"__in_{n}", ignorenulls=True).over(running) for n in values}
-        columns = [F.col(f"`{c}`") for c in self.df.columns]
-        if not self.sliced:
-            return self.replace(df.select(*columns, *[c.alias(n) for n, c in local.items()]))
-        edges = (
-            df.where(F.col(SLICE) >= 0)
-            .groupBy(KEY, SLICE)
-            .agg(
-                *[
-                    F.max_by(
-                        f"__in_{n}", F.when(F.col(f"__in_{n}").isNotNull(), F.col(self.order))
-                    ).alias(f"__edge_{n}")
-                    for n in values
-                ]
-            )
-        )
-        earlier = Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        edges = edges.select(
-            KEY,
-            SLICE,
-            *[
-                F.last(f"__edge_{n}", ignorenulls=True).over(earlier).alias(f"__carry_{n}")
-                for n in values
-            ],
-        )
-        joined = df.join(edges, [KEY, SLICE], "left")
-        return self.replace(
-            joined.select(
-                *columns,
-                *[F.coalesce(c, F.col(f"__carry_{n}")).alias(n) for n, c in local.items()],
-            )
-        )
+def latest_so_far(
+    rows: DataFrame, keys: list[str], order: list[Column], by: str, values: dict[str, Column]
+) -> DataFrame:
+    """Add, per entry, its latest value in the key that is not null, up to each row.
+
+    ``order`` sorts the rows of a key, ``by`` is the column the slices follow.
+    Values from earlier slices come from a table with one row per slice.
+    """
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    sliced = SLICE in rows.columns
+    if sliced:
+        rows = rows.withColumn(KEY, F.struct(*keys))
+    parts = [KEY, SLICE] if sliced else keys
+    window = Window.partitionBy(*parts).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    rows = rows.select("*", *[v.alias(f"__in_{n}") for n, v in values.items()])
+    local = {n: F.last(f"__in_{n}", ignorenulls=True).over(window) for n in values}
+    if not sliced:
+        return rows.select(*columns, *[c.alias(n) for n, c in local.items()])
+    edges = rows.groupBy(KEY, SLICE).agg(
+        *[
+            F.max_by(f"__in_{n}", F.when(F.col(f"__in_{n}").isNotNull(), F.col(by))).alias(f"__edge_{n}")
+            for n in values
+        ]
+    )
+    earlier = Window.partitionBy(KEY).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = edges.select(
+        KEY,
+        SLICE,
+        *[
+            F.last(f"__edge_{n}", ignorenulls=True).over(earlier).alias(f"__carry_{n}")
+            for n in values
+        ],
+    )
+    joined = rows.join(carried, [KEY, SLICE], "left")
+    return joined.select(
+        *columns, *[F.coalesce(c, F.col(f"__carry_{n}")).alias(n) for n, c in local.items()]
+    )
