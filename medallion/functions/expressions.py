@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -48,12 +47,6 @@ def row_hash(schema: T.StructType, columns: Iterable[str]) -> Column:
     return F.xxhash64(*[comparable(schema[c]) for c in columns])
 
 
-def same_keys(left, right, keys: Iterable[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys]
-    )
-
-
 def bucket_of(keys: Iterable[str], buckets: int) -> Column:
     """Bucket of a key; equals the partition of ``repartition(buckets, keys)``.
 

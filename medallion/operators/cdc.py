@@ -226,10 +226,20 @@ def type1(df: DataFrame, spec: ChangeSpec) -> DataFrame:
 # ---- type 2 -----------------------------------------------------------------
 
 
-def _sorted_by(descending: bool = False) -> list:
-    # the winner of an equal sequence comes last
-    order = [F.col(SEQ), ~F.col(DEL), F.col(TIE)]
-    return [c.desc() if descending else c.asc() for c in order]
+def _sorted_by() -> list:
+    # the winner of an equal sequence comes last; plain columns, so that
+    # one sort serves all windows
+    return [F.col(SEQ).asc(), F.col(DEL).desc(), F.col(TIE).asc()]
+
+
+def _winners(rows: DataFrame, window: Window) -> DataFrame:
+    """Drop the losers of equal sequences."""
+    following = F.lead(F.struct(SEQ)).over(window)
+    return (
+        rows.withColumn("__following", following)
+        .where(F.col("__following").isNull() | (F.col("__following") != F.struct(SEQ)))
+        .drop("__following")
+    )
 
 
 def _filled(rows: DataFrame, shape: Shape) -> DataFrame:
@@ -318,12 +328,7 @@ def _cold_history(log: DataFrame, shape: Shape, buckets: int | None) -> DataFram
     if buckets:
         log = log.repartition(buckets, *keys)
     window = Window.partitionBy(*keys).orderBy(*_sorted_by())
-    following = F.lead(F.struct(SEQ)).over(window)
-    rows = (
-        log.withColumn("__following", following)
-        .where(F.col("__following").isNull() | (F.col("__following") != F.struct(SEQ)))
-        .drop("__following")
-    )
+    rows = _winners(log, window)
     if shape.fill:
         rows = _filled(rows, shape)
     return _runs(_as_versions(rows, shape), shape, window)
@@ -332,20 +337,26 @@ def _cold_history(log: DataFrame, shape: Shape, buckets: int | None) -> DataFram
 def _hot_history(log: DataFrame, shape: Shape, hot: DataFrame, limit: int) -> DataFrame:
     """Hot keys are cut into slices; runs are found per slice, then joined.
 
-    Losers of equal sequences go in an aggregation that combines before the
-    shuffle. Only the first and the last run of a slice take part in the joining.
+    Only the first and the last run of a slice take part in the joining. Where
+    very many rows share one sequence, an aggregation that combines before the
+    shuffle removes the losers first.
     """
     keys = [F.col(f"`{k}`") for k in shape.keys]
-    payload = [*shape.values, DEL, TIE]
-    rows = (
-        log.groupBy(*keys, SEQ)
-        .agg(F.max_by(struct_of(payload), _order()).alias("__w"))
-        .select(*keys, SEQ, *[F.col(f"__w.`{c}`").alias(c) for c in payload])
-    )
+    most = log.groupBy(*keys, SEQ).count().agg(F.max("count")).first()[0]
+    rows = log
+    if most > limit:
+        payload = [*shape.values, DEL, TIE]
+        rows = (
+            log.groupBy(*keys, SEQ)
+            .agg(F.max_by(struct_of(payload), _order()).alias("__w"))
+            .select(*keys, SEQ, *[F.col(f"__w.`{c}`").alias(c) for c in payload])
+        )
     rows = skew.add_slices(rows, hot, shape.keys, SEQ, limit)
+    in_slice = Window.partitionBy(*keys, skew.SLICE).orderBy(*_sorted_by())
+    if 1 < most <= limit:
+        rows = _winners(rows, in_slice)
     if shape.fill:
         rows = _filled(rows, shape)
-    in_slice = Window.partitionBy(*keys, skew.SLICE).orderBy(*_sorted_by())
     runs = _runs(_as_versions(rows, shape), shape, in_slice, deletes=True)
     at_border = F.col("__open_start") | F.col("__open_end")
     across = Window.partitionBy(*keys).orderBy(SEQ)

@@ -12,11 +12,10 @@ the data: a hot key holds more than 1/(4 * partitions) of all rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.expressions import same_keys
-
 ROWS_PER_SLICE = "medallion.slice.rows"
 KEY, SLICE = "__k", "__slice"
 SAMPLES_PER_SLICE = 16
@@ -42,35 +41,58 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, int]:
     return (spark.createDataFrame(found, hot.schema) if found else None), limit
 
 
+def _on(keys: list[str]) -> Column:
+    return reduce(
+        lambda a, b: a & b,
+        [F.col(f"`{k}`").eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(keys)],
+    )
+
+
+def _renamed(per_key: DataFrame, keys: list[str], extra: list[str] = ()) -> DataFrame:
+    named = [F.col(f"`{k}`").alias(f"__key_{i}") for i, k in enumerate(keys)]
+    return per_key.select(*named, *[f"`{c}`" for c in extra])
+
+
+def with_keys(df: DataFrame, listed: DataFrame, keys: list[str], small: bool = True) -> DataFrame:
+    """Rows whose key is listed; null keys are equal to each other."""
+    other = _renamed(listed, keys)
+    return df.join(F.broadcast(other) if small else other, _on(keys), "left_semi")
+
+
+def without_keys(df: DataFrame, listed: DataFrame, keys: list[str], small: bool = True) -> DataFrame:
+    other = _renamed(listed, keys)
+    return df.join(F.broadcast(other) if small else other, _on(keys), "left_anti")
+
+
 def split_by_keys(df: DataFrame, listed: DataFrame, keys: list[str]):
     """(rows of the listed keys, all other rows); ``listed`` is a bounded table."""
-    small = F.broadcast(listed.select(*keys))
-    condition = same_keys(df, small, keys)
-    return df.join(small, condition, "left_semi"), df.join(small, condition, "left_anti")
+    return with_keys(df, listed, keys), without_keys(df, listed, keys)
 
 
-def join_per_key(df: DataFrame, per_key: DataFrame, keys: list[str], small: bool) -> DataFrame:
-    """Rows of ``df`` with the columns of ``per_key``, which has one row per key.
+def join_per_key(
+    df: DataFrame, per_key: DataFrame, keys: list[str], small: bool, how: str = "inner"
+) -> DataFrame:
+    """Rows of ``df`` with the other columns of ``per_key``, which has one row per key.
 
     A small ``per_key`` (the caller checked its size) is broadcast. Otherwise
     the hot keys of ``df``, of which there are few, are broadcast and the rest
     is shuffled.
     """
+    extra = [c for c in per_key.columns if c not in keys]
 
-    def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
-        extra = [other[c] for c in per_key.columns if c not in keys]
-        return rows.join(other, same_keys(rows, other, keys)).select(
-            *[rows[c] for c in df.columns], *extra
-        )
+    def joined(rows: DataFrame, other: DataFrame, broadcast: bool) -> DataFrame:
+        other = _renamed(other, keys, extra)
+        found = rows.join(F.broadcast(other) if broadcast else other, _on(keys), how)
+        return found.select(*[f"`{c}`" for c in [*df.columns, *extra]])
 
     if small:
-        return joined(df, F.broadcast(per_key))
+        return joined(df, per_key, True)
     hot, _ = hot_keys(df, keys)
     if hot is None:
-        return joined(df, per_key)
+        return joined(df, per_key, False)
     hot_rows, cold_rows = split_by_keys(df, hot, keys)
-    few, _ = split_by_keys(per_key, hot, keys)
-    return joined(hot_rows, F.broadcast(few)).unionByName(joined(cold_rows, per_key))
+    few = with_keys(per_key, hot, keys)
+    return joined(hot_rows, few, True).unionByName(joined(cold_rows, per_key, False))
 
 
 def _slice_borders(hot_rows: DataFrame, hot: DataFrame, keys, order: str, limit: int):
@@ -80,10 +102,8 @@ def _slice_borders(hot_rows: DataFrame, hot: DataFrame, keys, order: str, limit:
     sample = hot_rows.select(*keys, order).where(
         F.pmod(F.xxhash64(order), F.lit(limit)) < SAMPLES_PER_SLICE
     )
-    sizes = F.broadcast(hot)
     positions = (
-        sample.join(sizes, same_keys(sample, sizes, keys))
-        .select(*[sample[k] for k in keys], order, "__n")
+        join_per_key(sample, hot, keys, True)
         .groupBy(*keys)
         .agg(
             F.sort_array(F.collect_set(order)).alias("__values"),
@@ -118,10 +138,9 @@ def add_slices(hot_rows: DataFrame, hot: DataFrame, keys, order: str, limit: int
             F.get("__borders", low + step - 1) <= F.col(order), low + step
         ).otherwise(low),
     )
-    small = F.broadcast(borders)
-    joined = hot_rows.join(small, same_keys(hot_rows, small, keys), "left")
+    joined = join_per_key(hot_rows, borders, keys, True, "left")
     return joined.select(
-        *[hot_rows[c] for c in hot_rows.columns],
+        *[f"`{c}`" for c in hot_rows.columns],
         F.when(F.col("__borders").isNull(), F.lit(0)).otherwise(position).alias(SLICE),
     )
 

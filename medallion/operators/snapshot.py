@@ -31,23 +31,20 @@ class SnapshotSpec:
         )
 
 
-def unique_keys(snapshot: DataFrame, keys: list[str], what: str = "a snapshot") -> DataFrame:
-    """The rows themselves; a key that occurs twice is an error."""
-    columns = [c for c in snapshot.columns if c not in keys]
-    rows = snapshot.groupBy(*[f"`{k}`" for k in keys]).agg(
-        F.first(struct_of(columns)).alias("__row"), F.count(F.lit(1)).alias("__n")
-    )
-    checked = F.when(F.col("__n") > 1, F.raise_error(_duplicate(keys, what))).otherwise(F.lit(True))
-    return rows.where(checked).select(
-        *[
-            F.col(f"__row.`{c}`").alias(c) if c in columns else F.col(f"`{c}`")
-            for c in snapshot.columns
-        ]
-    )
+class DuplicateKeys(ValueError):
+    """Rows that must be unique by key are not."""
+
+
+def check_unique(df: DataFrame, keys: list[str], what: str) -> None:
+    """Only the key columns are read and shuffled, the rows stay where they are."""
+    twice = df.groupBy(*[f"`{k}`" for k in keys]).count().where("count > 1")
+    row = twice.first()
+    if row is not None:
+        raise DuplicateKeys(f"{what} has {row['count']} rows of key {tuple(row)[:-1]}")
 
 
-def _duplicate(keys, what: str = "a snapshot") -> str:
-    return f"{what} has several rows of one key ({', '.join(keys)})"
+def _duplicate(keys) -> str:
+    return f"a snapshot has several rows of one key ({', '.join(keys)})"
 
 
 def next_history(open_rows: DataFrame | None, snapshot: DataFrame, version, spec: SnapshotSpec):
@@ -71,7 +68,8 @@ def next_history(open_rows: DataFrame | None, snapshot: DataFrame, version, spec
         F.lit(1).alias("__n"),
     )
     if open_rows is None:
-        return unique_keys(snapshot, keys).withColumn(START, version).withColumn(END, none)
+        check_unique(snapshot, keys, "a snapshot")
+        return snapshot.withColumn(START, version).withColumn(END, none)
     old = open_rows.select(
         *[f"`{k}`" for k in keys],
         struct_of(values, "__old"),
@@ -159,7 +157,8 @@ def history(snapshots: list[tuple[DataFrame, object]], spec: SnapshotSpec) -> Da
         if not later > earlier:
             raise ValueError(f"snapshot version {later!r} is not above {earlier!r}")
     if spec.scd_type == "1":
-        return unique_keys(snapshots[-1][0], spec.keys)
+        check_unique(snapshots[-1][0], spec.keys, "a snapshot")
+        return snapshots[-1][0]
     columns = snapshots[0][0].columns
     stacked = None
     for i, (snapshot, _) in enumerate(snapshots):

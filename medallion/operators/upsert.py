@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from .snapshot import unique_keys
+from .snapshot import check_unique
 
 
 def upsert(
@@ -20,8 +20,8 @@ def upsert(
     """
     keys, keep = list(keys), set(keep)
     columns = target.columns
-    incoming = unique_keys(source.select(*columns), keys, "the source of an upsert")
-    incoming = incoming.withColumn("__in", F.lit(True)).alias("s")
+    check_unique(source, keys, "the source of an upsert")
+    incoming = source.select(*columns).withColumn("__in", F.lit(True)).alias("s")
     current = target.withColumn("__out", F.lit(True)).alias("t")
     on = reduce(
         lambda a, b: a & b, [F.col(f"t.`{k}`").eqNullSafe(F.col(f"s.`{k}`")) for k in keys]

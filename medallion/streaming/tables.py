@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
 from ..functions.expressions import bucket_of, named_list
-from ..operators import cdc, snapshot as snap
+from ..operators import cdc, skew, snapshot as snap
 
 FLOW, BATCH, VERSION, BUCKET, OPEN = "__flow", "__batch", "__v", "__bucket", "__open"
 BUCKETS_PROPERTY = "medallion.buckets"
 KEEP_PROPERTY = "medallion.keep.versions"
+# key bytes of a batch up to which the keys are broadcast
+BROADCAST_BYTES = "medallion.broadcast.bytes"
 PATH_PROPERTY = "medallion.path"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 TEXT_MARK = "~"
@@ -456,25 +458,42 @@ def _merge_type1(df, target, spec, current, version):
     # reduced to one row per key before it meets the state
     fresh = cdc.type1_merge(cdc.type1_state(cdc.apply_floor(log, floor), shape), shape).persist()
     try:
+        touched, small = _touched(fresh, shape.keys, buckets)
         if floor != old_floor:
             touched = list(range(buckets))
-        else:
-            touched = [r[0] for r in fresh.select(bucket_of(shape.keys, buckets)).distinct().collect()]
         if not touched:
             return [], floor
         state = _read_state(spark, path, current, touched)
         if floor != old_floor:
             state = _forget(state, shape, floor)
-        merged = cdc.type1_merge(
-            state.unionByName(fresh).repartition(buckets, *[F.col(f"`{k}`") for k in shape.keys]),
-            shape,
-        )
+        if small and current["version"]:
+            # the few keys of the batch go to the state; other rows are copied
+            # from bucket to bucket without a shuffle
+            mine, others = skew.split_by_keys(state, fresh, shape.keys)
+            merged = others.unionByName(cdc.type1_merge(mine.unionByName(fresh), shape))
+        else:
+            merged = cdc.type1_merge(_by_bucket(state.unionByName(fresh), shape.keys, buckets), shape)
         _write_buckets(merged, target, shape.keys, version, buckets)
         return touched, floor
     finally:
         fresh.unpersist()
 
 
+def _by_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """One partition per bucket; the grouping by key that follows needs no other shuffle."""
+    return df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+
+
+def _touched(per_key: DataFrame, keys: list[str], buckets: int) -> tuple[list[int], bool]:
+    """Buckets of the keys, and whether the keys are small enough to broadcast."""
+    size = F.octet_length(F.to_json(F.struct(*[f"`{k}`" for k in keys])))
+    rows = (
+        per_key.groupBy(bucket_of(keys, buckets).alias("b")).agg(F.sum(size).alias("bytes")).collect()
+    )
+    limit = int(per_key.sparkSession.conf.get(BROADCAST_BYTES, str(32 * 1024 * 1024)))
+    return [r["b"] for r in rows], sum(r["bytes"] for r in rows) <= limit
+
+
 def _forget(state: DataFrame, shape: cdc.Shape, floor: str) -> DataFrame:
     """State rows without anything that is not after the floor."""
     limit = F.lit(floor).cast(state.schema[cdc.SEQ].dataType)
@@ -492,25 +511,59 @@ def _merge_type2(df, target, spec, current, version):
     folder = storage.join(path, "log", f"{VERSION}={version}")
     marked = log.withColumn(BUCKET, bucket_of(shape.keys, buckets))
     _store(marked.hint("rebalance", BUCKET), folder, [], [BUCKET])
-    touched = [
-        int(n.split("=")[1])
-        for n in storage.list_names(spark, folder)
-        if n.startswith(f"{BUCKET}=")
-    ]
-    if not touched:
-        return [], None
     stored = T.StructType(
         [*log.schema.fields, T.StructField(VERSION, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
     )
-    events = (
-        spark.read.schema(stored)
-        .parquet(storage.join(path, "log"))
-        .where((F.col(VERSION) <= version) & F.col(BUCKET).isin(touched))
-        .drop(VERSION, BUCKET)
+    logged = spark.read.schema(stored).parquet(storage.join(path, "log"))
+    batch = logged.where(F.col(VERSION) == version).drop(VERSION, BUCKET)
+    keys = [f"`{k}`" for k in shape.keys]
+    earliest = batch.groupBy(*keys).agg(F.min(cdc.SEQ).alias("__from")).persist()
+    try:
+        touched, small = _touched(earliest, shape.keys, buckets)
+        if not touched:
+            return [], None
+        if not current["version"]:
+            _write_buckets(cdc.type2_history(batch, shape, buckets), target, shape.keys, version, buckets)
+            return touched, None
+        old = _read_state(spark, path, current, touched)
+        events = logged.where((F.col(VERSION) <= version) & F.col(BUCKET).isin(touched))
+        events = events.drop(VERSION, BUCKET)
+        cuts = _cuts(old, earliest, shape, small).persist()
+        try:
+            # versions that begin before the cut of their key stay as they are
+            kept = skew.join_per_key(old, cuts, shape.keys, small, "left")
+            settled = F.col("__cut").isNull() | (F.col(cdc.START) < F.col("__cut"))
+            kept = kept.where(settled).drop("__cut")
+            again = skew.join_per_key(events, cuts, shape.keys, small)
+            again = again.where(F.col(cdc.SEQ) >= F.col("__cut")).drop("__cut")
+            rebuilt = cdc.type2_history(again, shape, buckets)
+            _write_buckets(kept.unionByName(rebuilt), target, shape.keys, version, buckets)
+        finally:
+            cuts.unpersist()
+        return touched, None
+    finally:
+        earliest.unpersist()
+
+
+def _cuts(old: DataFrame, earliest: DataFrame, shape: cdc.Shape, small: bool) -> DataFrame:
+    """Per key of the batch, the sequence from which its history is rebuilt.
+
+    A version that ended before the first event of the batch cannot change. The
+    version that this event falls into, or borders on, is rebuilt from its start.
+    """
+    keys = [f"`{k}`" for k in shape.keys]
+    if shape.fill:
+        # values are carried on from any earlier event, so rebuild from the first
+        begun = old.select(*keys, F.col(cdc.START).alias("__cut"), F.lit(True).alias("__open"))
+    else:
+        begun = old.select(*keys, F.col(cdc.START).alias("__cut"), F.col(cdc.END).alias("__end"))
+    begun = skew.join_per_key(begun, earliest, shape.keys, small)
+    if not shape.fill:
+        begun = begun.where(F.col("__end").isNull() | (F.col("__end") >= F.col("__from")))
+    starts = begun.select(*keys, "__cut").unionByName(
+        earliest.select(*keys, F.col("__from").alias("__cut"))
     )
-    history = cdc.type2_history(events, shape, buckets)
-    _write_buckets(history, target, shape.keys, version, buckets)
-    return touched, None
+    return starts.groupBy(*keys).agg(F.min("__cut").alias("__cut"))
 
 
 def _write_buckets(df, target: Target, keys, version: int, buckets: int) -> None:
@@ -553,7 +606,8 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
     version = (current["version"] if current else 0) + 1
     folder = storage.join(path, "state", f"{VERSION}={version}")
     if not history:
-        _store(_laid_out(snap.unique_keys(df, spec.keys), target), folder, target.partition_by)
+        snap.check_unique(df, spec.keys, "a snapshot")
+        _store(_laid_out(df, target), folder, target.partition_by)
     else:
         open_rows = None
         if current:
