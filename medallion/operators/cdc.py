@@ -294,20 +294,22 @@ def _runs(rows: DataFrame, shape: Shape, window: Window, deletes: bool = False)
         rows.withColumn("__first", breaks("__before", "__open_start"))
         .withColumn("__final", breaks("__after", "__open_end"))
         .where(keep if deletes else keep & ~F.col(DEL))
-        .withColumn("__opened", F.lag(SEQ).over(window))
+        .withColumn("__begun", F.struct(F.col(SEQ), F.col("__before").isNull().alias("open")))
+        .withColumn("__opened", F.lag("__begun").over(window))
         .where("__final")
+        .withColumn("__from", F.when(F.col("__first"), F.col("__begun")).otherwise(F.col("__opened")))
     )
     return edges.select(
         *[
             F.col(f"`{c}`")
             for c in edges.columns
-            if c not in (SEQ, END, "__first", "__final", "__opened", "__before", "__after",
-                         "__open_start", "__open_end")
+            if c not in (SEQ, END, "__first", "__final", "__begun", "__opened", "__from", "__before",
+                         "__after", "__open_start", "__open_end")
         ],
-        F.when(F.col("__first"), F.col(SEQ)).otherwise(F.col("__opened")).alias(SEQ),
+        F.col(f"__from.{SEQ}").alias(SEQ),
         F.when(F.col("__open_end"), F.col(f"__after.{SEQ}")).otherwise(F.col(END)).alias(END),
         # a run may go on beyond these rows only at their ends
-        F.when(F.col("__first"), F.col("__before").isNull()).otherwise(F.lit(False)).alias("__open_start"),
+        F.col("__from.open").alias("__open_start"),
         F.col("__after").isNull().alias("__open_end"),
     )
 
