@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def _path(name: str) -> str:
-    escaped = name.replace("\\", "\\\\").replace("'", "\\'")
-    return f"$['{escaped}']"
+    return f"$['{name}']" if "'" not in name else f'$["{name}"]'
 
 
 def _field_names(names: Iterable[str]) -> Column:

@@ -17,6 +17,7 @@ batch leaves the table as it was, and a repeated one is recognised.
 from __future__ import annotations
 
 import json
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -33,6 +34,7 @@ BROADCAST_BYTES = "medallion.broadcast.bytes"
 PATH_PROPERTY = "medallion.path"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 TEXT_MARK = "~"
+_DECLARING = threading.Lock()
 
 
 @dataclass
@@ -356,9 +358,13 @@ def append(df: DataFrame, target: Target, flow: str, batch: int) -> bool:
     if storage.exists(spark, storage.join(folder, "_SUCCESS")):
         return False
     known = storage.read_json(spark, _meta(path, "table.json"))
+    if known and known["kind"] != "append":
+        raise ValueError(f"{path} holds a {known['kind']} table, not an append table")
     names = [f["name"] for f in known["schema"]["fields"]] if known else []
     if known is None or any(c not in names for c in df.columns):
-        schema = declare_append(spark, target, df.schema)
+        # flows of one run append side by side, but declare one after the other
+        with _DECLARING:
+            schema = declare_append(spark, target, df.schema)
     else:
         schema = T.StructType.fromJson(known["schema"])
     _store(_laid_out(_align(df, schema), target), folder, target.partition_by)
