@@ -90,4 +90,4 @@ def feed_records(paths: list[str], database: str, env: str, fmt: str = "csv") ->
 
 def records_as_json(records: DataFrame) -> DataFrame:
     """All spec records as one JSON array; for spec tables, which are small."""
-    return records.agg(F.to_json(F.collect_list(F.struct("*"))).alias("records"))
+    return records.agg(F.to_json(F.sort_array(F.collect_list(F.struct("*")))).alias("records"))

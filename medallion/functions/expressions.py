@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty DataFrame of the schema that needs no Python worker."""
+    return spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def struct_of(columns: Iterable[str], alias: str | None = None) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
+from ..functions.expressions import no_rows
 from ..functions.rules import Rules, all_hold, holds
 
 RESULT_SCHEMA = "effect string, rule string, passed long, failed long"
@@ -39,7 +40,7 @@ def rule_counts(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per rule with passed and failed rows; a single pass over ``df``."""
     counted = rules.counted()
     if not counted:
-        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
+        return no_rows(df.sparkSession, T.StructType.fromDDL(RESULT_SCHEMA))
     row = df.agg(*_counters(rules))
     results = F.array(
         *[

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
 from ..functions.decode import cast_text, decode_json
+from ..functions.expressions import no_rows
 from .base import Source, SourceRequest, reader, register_source
 
 PREFIX = "cloudFiles."
@@ -135,7 +136,7 @@ def read_csv_by_name(
         fields = [f for f in schema.fields if f.name != rescue]
         if rescue:
             fields.append(T.StructField(rescue, T.StringType()))
-        return spark.createDataFrame([], T.StructType(fields))
+        return no_rows(spark, T.StructType(fields))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

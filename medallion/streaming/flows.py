@@ -8,9 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
+from ..functions.expressions import no_rows
 from ..functions.rules import Rules
 from ..operators import cdc, quality
 from ..sources import Source
@@ -98,17 +99,30 @@ def metrics_target(target: Target, spark: SparkSession) -> Target:
 
 
 def _write_metrics(spark, flow: Flow, number: int, rows: list[tuple]) -> None:
-    df = spark.createDataFrame(rows, METRICS_SCHEMA).select(
-        F.lit(flow.name).alias("flow"), F.lit(number).cast("long").alias("batch"), "*"
+    # one row per rule, as literals
+    counts = F.array(
+        *[
+            F.struct(
+                F.lit(effect).alias("effect"),
+                F.lit(rule).alias("rule"),
+                F.lit(passed).cast("long").alias("passed"),
+                F.lit(failed).cast("long").alias("failed"),
+            )
+            for effect, rule, passed, failed in rows
+        ]
+    )
+    df = spark.range(0, 1, 1, 1).select(
+        F.lit(flow.name).alias("flow"), F.lit(number).cast("long").alias("batch"), F.inline(counts)
     )
-    tables.append(df.coalesce(1), metrics_target(flow.target, spark), flow.name, number)
+    tables.append(df, metrics_target(flow.target, spark), flow.name, number)
 
 
 def read_metrics(spark: SparkSession, target: Target) -> DataFrame:
     """Rows per flow, batch and rule; no rows if no batch ran yet."""
     path = metrics_target(target, spark).path
     if not tables.is_ours(spark, path):
-        return spark.createDataFrame([], f"flow string, batch long, {METRICS_SCHEMA}")
+        columns = f"flow string, batch long, {METRICS_SCHEMA}"
+        return no_rows(spark, T.StructType.fromDDL(columns))
     return tables.read(spark, path)
 
 

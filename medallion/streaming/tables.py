@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
-from ..functions.expressions import bucket_of, named_list
+from ..functions.expressions import bucket_of, named_list, no_rows
 from ..operators import cdc, skew, snapshot as snap
 
 FLOW, BATCH, VERSION, BUCKET, OPEN = "__flow", "__batch", "__v", "__bucket", "__open"
@@ -196,7 +196,7 @@ def _write_columns(spark, schema: T.StructType, folder: str, partition_by: list[
     columns = T.StructType([f for f in schema.fields if f.name not in partition_by])
     nulls = [f"{_folder_name(schema, p)}={NULL_PARTITION}" for p in partition_by]
     path = storage.join(folder, *nulls) if nulls else folder
-    spark.createDataFrame([], columns).coalesce(1).write.mode("overwrite").parquet(path)
+    no_rows(spark, columns).write.mode("overwrite").parquet(path)
 
 
 # ---- views ------------------------------------------------------------------
@@ -381,7 +381,7 @@ def _start(spark, target: Target, buckets: int) -> dict:
 
 def declare_changes(spark, target: Target, schema: T.StructType, spec: cdc.ChangeSpec) -> None:
     """Create the change target for inputs of this schema."""
-    empty = spark.createDataFrame([], schema)
+    empty = no_rows(spark, schema)
     shape = cdc.shape_of(empty, spec)
     log = cdc.change_rows(empty, spec)
     if spec.scd_type == "1":

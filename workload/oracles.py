@@ -235,6 +235,10 @@ FROM orders JOIN customer ON o_custkey = c_custkey""",
         "SELECT CAST(o_custkey AS VARCHAR), 'data_flow_id occurs more than once' "
         "FROM orders GROUP BY o_custkey HAVING count(*) > 1",
     ]),
+    "spec_export_json": """
+WITH s AS (SELECT lower(c_mktsegment) AS id, count(*) AS n FROM customer GROUP BY 1)
+SELECT '[' || string_agg('{"data_flow_id":"' || id || '","data_flow_group":"cars","n":' || n || '}', ','
+  ORDER BY id) || ']' AS records FROM s""",
     "onboarded_run": history(EVENTS, ["event_type", "value"], ["event_type", "value"]),
     "reconcile_counts": f"""
 WITH e AS (SELECT k AS table_name, n * v AS expected_rows FROM (SELECT count(*) AS n FROM customer),
