@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.expressions import no_rows
@@ -64,8 +65,18 @@ def observe_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation |
     return df.observe(observation, *_counters(rules)), observation
 
 
-def observed_rows(rules: Rules, observation: Observation | None) -> list[tuple]:
-    return _result_rows(rules, observation.get) if observation else []
+def observed_rows(rules: Rules, observation: Observation | None) -> list[tuple] | None:
+    """Counts of a finished write; None if Spark dropped the observation.
+
+    That happens where the optimizer finds that no row can be kept.
+    """
+    if observation is None:
+        return []
+    try:
+        metrics = observation.get
+    except Py4JJavaError:
+        return None
+    return _result_rows(rules, metrics)
 
 
 def check_fail_rules(df: DataFrame, rules: Rules, target: str) -> None:

@@ -82,12 +82,10 @@ def write_batch(flow: Flow, batch: DataFrame, number: int) -> None:
             bad = quality.quarantine_rows(rows, rules)
             tables.append(bad, flow.quarantine, flow.name, number)
         if rules.counted():
-            # a batch that was written before its metrics is counted again
-            counts = (
-                quality.observed_rows(rules, observation)
-                if written
-                else [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
-            )
+            counts = quality.observed_rows(rules, observation) if written else None
+            if counts is None:
+                # written before its metrics, or not observed: count once more
+                counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
             _write_metrics(spark, flow, number, counts)
     finally:
         if passes > 1:

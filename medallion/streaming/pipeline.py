@@ -162,8 +162,12 @@ class Pipeline:
         ]
         flows, failures = [], {}
         for spec in specs:
-            if spec not in snapshots:
+            if spec in snapshots:
+                continue
+            try:
                 flows += self.flows(spec)
+            except Exception as error:
+                failures[spec.table] = error
 
         def one(spec: BronzeSpec) -> None:
             try:

@@ -16,6 +16,7 @@ batch leaves the table as it was, and a repeated one is recognised.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import threading
 from dataclasses import dataclass, field
@@ -395,10 +396,30 @@ def declare_changes(spark, target: Target, schema: T.StructType, spec: cdc.Chang
     )
 
 
+def _with_columns_of(spark, path: str, df: DataFrame, spec: cdc.ChangeSpec) -> DataFrame:
+    """The input with the table's columns first, nulls for those it lacks."""
+    described = storage.read_json(spark, _meta(path, "table.json"))
+    if described is None:
+        return df
+    known = [
+        f for f in T.StructType.fromJson(described["schema"]).fields
+        if f.name not in (cdc.START, cdc.END)
+    ]
+    present, dropped = set(df.columns), set(named_list(spec.except_column_list))
+    first = [
+        F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in known
+        if f.name not in dropped
+    ]
+    names = {f.name for f in known}
+    return df.select(*first, *[f"`{c}`" for c in df.columns if c not in names or c in dropped])
+
+
 def _declare(spark, target, kind, schema, stored, folders, inner, expressions=None) -> None:
     path = target.location(spark)
     full = T.StructType([*stored.fields, *[T.StructField(n, t) for n, t in folders]])
-    if not is_ours(spark, path):
+    known = storage.read_json(spark, _meta(path, "table.json"))
+    if known is None or known.get("stored") != json.loads(json.dumps(full.jsonValue())):
         # "-1" sorts before every version, so readers take the columns from it
         folder = storage.join(path, "state", f"{VERSION}=-1", *[f"{n}=-1" for n in inner])
         _write_columns(spark, stored, folder, target.partition_by)
@@ -421,7 +442,11 @@ def apply_changes(
     """Fold one batch of change events into the target; false if that was done before."""
     spark = df.sparkSession
     path = target.location(spark)
-    if not is_ours(spark, path):
+    df = _with_columns_of(spark, path, df, spec)
+    described = storage.read_json(spark, _meta(path, "table.json"))
+    shape = cdc.shape_of(df, spec)
+    known = T.StructType.fromJson(described["schema"]).names if described else []
+    if any(c not in known for c in shape.columns):
         declare_changes(spark, target, df.schema, spec)
     current = _start(spark, target, target.buckets(spark))
     if current["applied"].get(flow, -1) >= batch:
@@ -586,7 +611,19 @@ def _write_buckets(df, target: Target, keys, version: int, buckets: int) -> None
 
 def last_snapshot(spark: SparkSession, target: Target):
     current = manifest(spark, target.location(spark))
-    return current["snapshot"] if current else None
+    return _number(current) if current else None
+
+
+def _number(current: dict):
+    """Snapshot version of a manifest in its Python type."""
+    text = current["snapshot"]
+    if text is None:
+        return None
+    read = {
+        "bigint": int, "double": float, "string": str,
+        "date": dt.date.fromisoformat, "timestamp": dt.datetime.fromisoformat,
+    }
+    return read[current["number"]](text)
 
 
 def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, number) -> None:
@@ -606,7 +643,7 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
         [OPEN] if history else [],
     )
     current = manifest(spark, path)
-    latest = current["snapshot"] if current else None
+    latest = _number(current) if current else None
     if latest is not None and not number > latest:
         raise ValueError(f"snapshot version {number!r} is not above {latest!r}")
     version = (current["version"] if current else 0) + 1
@@ -626,7 +663,11 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
         rows = snap.next_history(open_rows, df, number, spec)
         rows = rows.withColumn(OPEN, F.col(cdc.END).isNull().cast("int"))
         _store(rows, folder, target.partition_by, [OPEN])
-    _commit(spark, target, {"version": version, "snapshot": number})
+    text = number.isoformat() if isinstance(number, dt.date) else str(number)
+    _commit(
+        spark, target,
+        {"version": version, "snapshot": text, "number": snap.version_type(number)},
+    )
 
 
 def overwrite(df: DataFrame, target: Target) -> None:

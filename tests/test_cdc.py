@@ -180,6 +180,25 @@ def test_failed_batch_leaves_the_table_as_it_was(spark, tmp_path):
     assert model.rows(tables.read(spark, target.path)) == [(1, "y", 1)]
 
 
+@pytest.mark.parametrize("scd", ["1", "2"])
+def test_columns_come_and_go_between_batches(spark, tmp_path, scd):
+    target = Target("default.growing", str(tmp_path / "t"))
+    settings = spec(scd_type=scd, ignore_null_updates=True)
+    parts = [
+        spark.createDataFrame([(1, 1, "U", "x", 1), (2, 1, "U", "z", 2)], model.EVENT_SCHEMA),
+        spark.createDataFrame([(1, 2, "U", 9.5)], "id int, seq long, op string, extra double"),
+        spark.createDataFrame([(3, 3, "U", 7)], "id int, seq long, op string, b int"),
+    ]
+    for number, part in enumerate(parts):
+        tables.apply_changes(part, target, settings, "main", number)
+    got = spark.table("default.growing")
+    current = got if scd == "1" else got.where("__END_AT IS NULL")
+    assert model.rows(current.select("id", "a", "b", "extra")) == [
+        (1, "x", 1, 9.5), (2, "z", 2, None), (3, None, 7, None)]
+    assert model.rows(tables.read(spark, target.path)) == model.rows(got)
+    tables.deregister(spark, "default.growing")
+
+
 def test_old_versions_are_removed(spark, tmp_path):
     target = Target(path=str(tmp_path / "t"), properties={"medallion.keep.versions": "2"})
     for number in range(5):

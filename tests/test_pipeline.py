@@ -285,3 +285,35 @@ def test_flow_settings_reach_the_batch(spark, tmp_path):
 
     run_flow(spark, json_flow(session, tmp_path, transform=look))
     assert seen == ["3"] and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_rules_that_keep_nothing_are_still_counted(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"id":1,"v":1}\n{"id":2,"v":2}\n')
+    flow = json_flow(spark, tmp_path, rules=Rules.parse({"expect_or_drop": {"never": "1 = 2"}}))
+    run_flow(spark, flow)
+    assert tables.read(spark, flow.target.path).count() == 0
+    assert model.rows(read_metrics(spark, flow.target)) == [("main", 0, "drop", "never", 0, 2)]
+
+
+def test_many_feeds_in_one_run(setup, spark):
+    """Synthetic feeds, their specs made by the package, all in one pipeline."""
+    from medallion import audit
+
+    paths = audit.synthetic_feeds(spark, str(setup.root / "feeds"), 6, 3, 10)
+    records = audit.feed_records(paths, setup.name, "dev")
+    setup.onboard(*records, layers=["bronze"])
+    run(Pipeline(spark, str(setup.root / "cp"), at_once=3), "bronze", setup.specs["bronze"], group="synthetic")
+    counts = audit.count_rows({r["bronze_table"]: spark.table(f"{setup.name}.{r['bronze_table']}") for r in records})
+    assert {r["rows"] for r in counts.collect()} == {10} and counts.count() == 6
+
+
+def test_one_broken_spec_does_not_hold_up_the_others(setup):
+    setup.write("projections.json", [{"target_table": "x"}])
+    setup.write("in/first.csv", FIRST)
+    broken = setup.record("broken", source_details={"source_path_dev": str(setup.root / "nowhere")})
+    setup.onboard(setup.record("good"), broken, layers=["bronze"])
+    with pytest.raises(FlowFailed) as error:
+        setup.run("bronze")
+    assert list(error.value.failures) == [f"{setup.name}.broken"]
+    assert len(setup.rows("good")) == 3

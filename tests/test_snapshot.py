@@ -111,3 +111,19 @@ def test_numbered_files_continue_after_the_last_version(spark, tmp_path):
     assert list(new_snapshots(lambda latest, spec: None, 2, None)) == []
     with pytest.raises(ValueError, match="not above"):
         list(new_snapshots(lambda latest, spec: (None, 1), 1, None))
+
+
+def test_versions_may_be_dates_times_or_texts(spark, tmp_path):
+    import datetime as dt
+
+    for i, (one, two) in enumerate([
+        (dt.date(2024, 1, 1), dt.date(2024, 1, 2)),
+        (dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6, 0, 0, 7)),
+        ("a", "b"), (1.5, 2.5),
+    ]):
+        target = Target(path=str(tmp_path / f"t{i}"))
+        spec = SnapshotSpec(["id"], "2")
+        for v in (one, two):
+            tables.apply_snapshot(spark.createDataFrame([(1, str(v), 1)], SCHEMA), target, spec, v)
+        assert tables.last_snapshot(spark, target) == two
+        assert [r[3:] for r in model.rows(tables.read(spark, target.path))] == [(one, two), (two, None)]
