@@ -60,10 +60,16 @@ def decode_json(
                 unfit = unfit | ((key == f.name) & F.col(f"`{f.name}`").isNull())
             return ~F.array_contains(known, key) | (~F.is_variant_null(item) & unfit)
 
-        extra = F.map_filter("__m", unexpected)
+        # as many keys as values that fit: nothing is left over, skip the search
+        fitting = F.lit(0)
+        for f in fields:
+            fitting = fitting + F.col(f"`{f.name}`").isNotNull().cast("int")
+        odd = F.col("__m").isNotNull() & (F.size("__m") != fitting)
+        extra = F.when(odd, F.map_filter("__m", unexpected))
+        typed = typed.withColumn("__extra", extra)
         columns.append(
             F.when(F.col("__m").isNull(), F.col("__line"))
-            .when(F.size(extra) > 0, F.to_json(extra))
+            .when(F.size("__extra") > 0, F.to_json("__extra"))
             .alias(rescue)
         )
     return typed.select(*columns, *kept)
