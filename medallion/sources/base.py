@@ -26,11 +26,14 @@ class Source:
     """Opens a stream or a batch; ``expand`` turns a micro-batch into rows.
 
     Most sources stream their rows. A source whose reading needs a look at the
-    files first streams the file names and reads them in ``expand``.
+    files first streams the file names and reads them in ``expand``. Columnar
+    sources are read again rather than kept where a batch needs several passes:
+    each pass reads only its columns.
     """
 
     open: Callable[[bool], DataFrame]
     expand: Callable[[DataFrame], DataFrame] = lambda batch: batch
+    columnar: bool = False
 
     def read(self) -> DataFrame:
         """Everything the source holds, as a batch."""

@@ -16,6 +16,7 @@ from .base import Source, SourceRequest, reader, register_source
 
 PREFIX = "cloudFiles."
 METADATA = "_metadata"
+COLUMNAR = ("parquet", "orc")
 # Options of the file dialect that have a Spark counterpart.
 RATE_OPTIONS = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -230,7 +231,7 @@ def file_source(request: SourceRequest) -> Source:
         df = source.format(fmt).schema(schema).options(**options).load(path)
         return finish(df.select("*", *keep) if keep else df)
 
-    return Source(rows)
+    return Source(rows, columnar=fmt in COLUMNAR)
 
 
 # File formats that are read without further modules.

@@ -25,7 +25,7 @@ def table_source(request: SourceRequest) -> Source:
             return source.format("parquet").load(path)
         return source.table(name)
 
-    return Source(rows)
+    return Source(rows, columnar=True)
 
 
 for _name in ("delta", "table"):

@@ -60,14 +60,15 @@ def write_batch(flow: Flow, batch: DataFrame, number: int) -> None:
     """Rules, then the target, the quarantine and the metrics.
 
     Every write is repeatable, so a batch that failed half-way is simply run
-    again. The batch is kept in executor memory and disk only if it is needed
-    more than once; a lost executor recomputes its part.
+    again. A batch that must be parsed is kept in executor memory and disk if it
+    is needed more than once; a lost executor recomputes its part.
     """
     spark = batch.sparkSession
     rows = flow.transform(flow.source.expand(batch))
     rules = flow.rules
     passes = 1 + bool(rules.fail) + bool(rules.quarantine and flow.quarantine)
-    if passes > 1:
+    kept_in_memory = passes > 1 and not flow.source.columnar
+    if kept_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         name = flow.target.name or flow.target.path
@@ -88,7 +89,7 @@ def write_batch(flow: Flow, batch: DataFrame, number: int) -> None:
                 counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
             _write_metrics(spark, flow, number, counts)
     finally:
-        if passes > 1:
+        if kept_in_memory:
             rows.unpersist()
 
 

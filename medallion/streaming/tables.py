@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -263,6 +264,8 @@ def _bucket_condition(versions: list[int]) -> str:
     """Selects, by folder names alone, the current version of each bucket."""
     numbers = ", ".join(f"{v}L" for v in versions)
     bucket, version = f"CAST({BUCKET} AS INT)", f"CAST({VERSION} AS BIGINT)"
+    if len(set(versions)) == 1:
+        return f"({bucket} >= 0 AND {version} = {versions[0]})"
     return f"({bucket} >= 0 AND get(array({numbers}), {bucket}) = {version})"
 
 
@@ -487,7 +490,13 @@ def _merge_type1(df, target, spec, current, version):
             )
             floor = row.first()[0]
     # reduced to one row per key before it meets the state
-    fresh = cdc.type1_merge(cdc.type1_state(cdc.apply_floor(log, floor), shape), shape).persist()
+    fresh = cdc.type1_merge(cdc.type1_state(cdc.apply_floor(log, floor), shape), shape)
+    if not current["version"]:
+        if buckets != int(spark.conf.get("spark.sql.shuffle.partitions")):
+            # otherwise the grouping by key has laid out the buckets already
+            fresh = _by_bucket(fresh, shape.keys, buckets)
+        return _write_buckets(fresh, target, shape.keys, version, buckets), floor
+    fresh = fresh.persist()
     try:
         touched, small = _touched(fresh, shape.keys, buckets)
         if floor != old_floor:
@@ -497,7 +506,7 @@ def _merge_type1(df, target, spec, current, version):
         state = _read_state(spark, path, current, touched)
         if floor != old_floor:
             state = _forget(state, shape, floor)
-        if small and current["version"]:
+        if small:
             # the few keys of the batch go to the state; other rows are copied
             # from bucket to bucket without a shuffle
             mine, others = skew.split_by_keys(state, fresh, shape.keys)
@@ -547,15 +556,15 @@ def _merge_type2(df, target, spec, current, version):
     )
     logged = spark.read.schema(stored).parquet(storage.join(path, "log"))
     batch = logged.where(F.col(VERSION) == version).drop(VERSION, BUCKET)
+    if not current["version"]:
+        history = cdc.type2_history(batch, shape, buckets)
+        return _write_buckets(history, target, shape.keys, version, buckets), None
     keys = [f"`{k}`" for k in shape.keys]
     earliest = batch.groupBy(*keys).agg(F.min(cdc.SEQ).alias("__from")).persist()
     try:
         touched, small = _touched(earliest, shape.keys, buckets)
         if not touched:
             return [], None
-        if not current["version"]:
-            _write_buckets(cdc.type2_history(batch, shape, buckets), target, shape.keys, version, buckets)
-            return touched, None
         old = _read_state(spark, path, current, touched)
         events = logged.where((F.col(VERSION) <= version) & F.col(BUCKET).isin(touched))
         events = events.drop(VERSION, BUCKET)
@@ -597,13 +606,23 @@ def _cuts(old: DataFrame, earliest: DataFrame, shape: cdc.Shape, small: bool) ->
     return starts.groupBy(*keys).agg(F.min("__cut").alias("__cut"))
 
 
-def _write_buckets(df, target: Target, keys, version: int, buckets: int) -> None:
-    path = target.location(df.sparkSession)
+def _write_buckets(df, target: Target, keys, version: int, buckets: int) -> list[int]:
+    """Write rows by bucket; returns the buckets that got any."""
+    spark = df.sparkSession
     rows = df.withColumn(BUCKET, bucket_of(keys, buckets))
     if target.cluster_by:
-        rows = rows.sortWithinPartitions(BUCKET, *[f"`{c}`" for c in target.partition_by + target.cluster_by])
-    folder = storage.join(path, "state", f"{VERSION}={version}")
+        order = [BUCKET, *target.partition_by, *target.cluster_by]
+        rows = rows.sortWithinPartitions(*[f"`{c}`" for c in order])
+    folder = storage.join(target.location(spark), "state", f"{VERSION}={version}")
     _store(rows, folder, target.partition_by, [BUCKET])
+    return _numbers(spark, folder, BUCKET)
+
+
+def _numbers(spark, folder: str, column: str) -> list[int]:
+    """Values of an integer folder column below a folder."""
+    prefix = f"{column}="
+    names = storage.list_names(spark, folder)
+    return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
 
 # ---- snapshot targets and whole rewrites ------------------------------------
@@ -694,15 +713,26 @@ def _vacuum(spark, target: Target, version: int) -> None:
     names = [n for n in storage.list_names(spark, _meta(path, "versions")) if n.endswith(".json")]
     if len(names) <= keep:
         return
-    described = storage.read_json(spark, _meta(path, "table.json"))
     kept = [storage.read_json(spark, _meta(path, "versions", n)) for n in names[-keep:]]
-    shown = {v for m in kept for v in m.get("buckets", [m["version"]])}
-    for name in storage.list_names(spark, storage.join(path, "state")):
-        number = int(name.split("=")[1]) if name.startswith(f"{VERSION}=") else -1
-        if number < 0 or number in shown or number > version:
+    kind = storage.read_json(spark, _meta(path, "table.json"))["kind"]
+    doomed = []
+    for number in _numbers(spark, storage.join(path, "state"), VERSION):
+        folder = storage.join(path, "state", f"{VERSION}={number}")
+        if number < 0 or number > version:
             continue
-        folder = storage.join(path, "state", name)
-        # closed snapshot versions stay; only what was open then has gone
-        storage.delete(spark, storage.join(folder, f"{OPEN}=1") if described["kind"] == "snapshot2" else folder)
+        if kind in ("type1", "type2"):
+            shown = {b for m in kept for b, v in enumerate(m["buckets"]) if v == number}
+            doomed += [
+                storage.join(folder, f"{BUCKET}={b}")
+                for b in _numbers(spark, folder, BUCKET)
+                if shown and b not in shown
+            ]
+            if not shown:
+                doomed.append(folder)
+        elif number not in {m["version"] for m in kept}:
+            # closed snapshot versions stay; only what was open then has gone
+            doomed.append(storage.join(folder, f"{OPEN}=1") if kind == "snapshot2" else folder)
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda folder: storage.delete(spark, folder), doomed))
     for name in names[:-keep]:
         storage.delete(spark, _meta(path, "versions", name))

@@ -208,6 +208,18 @@ def test_old_versions_are_removed(spark, tmp_path):
     assert model.rows(tables.read(spark, target.path)) == [(1, "x", 4)]
 
 
+def test_buckets_that_were_rewritten_are_removed(spark, tmp_path):
+    target = Target(path=str(tmp_path / "t"),
+                    properties={"medallion.keep.versions": "1", "medallion.buckets": "4"})
+    everyone = [(i, 0, "U", "x", i) for i in range(40)]
+    tables.apply_changes(frame(spark, everyone), target, spec(), "main", 0)
+    for number in (1, 2):
+        tables.apply_changes(frame(spark, [(1, number, "U", "y", 0)]), target, spec(), "main", number)
+    left = {p.name: len(list(p.glob("__bucket=*"))) for p in (tmp_path / "t" / "state").glob("__v=[0-9]*")}
+    assert left == {"__v=1": 3, "__v=3": 1}
+    assert tables.read(spark, target.path).count() == 40
+
+
 def test_type1_is_the_open_part_of_type2(spark):
     events = model.random_events(5, rows=100, null_share=0)
     df = frame(spark, events)
