@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..functions.expressions import comparable_struct, named_list, struct_of
+from ..functions.expressions import comparable_struct, struct_of
 from .cdc import END, START, _selected
 
 

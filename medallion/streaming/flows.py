@@ -14,10 +14,12 @@ from .. import storage
 from ..functions.expressions import no_rows
 from ..functions.rules import Rules
 from ..operators import cdc, quality
+from ..operators.snapshot import SnapshotSpec
 from ..sources import Source
 from . import tables
 from .tables import Target
 
+SNAPSHOTS = "snapshots"
 METRICS_SCHEMA = "effect string, rule string, passed long, failed long"
 
 
@@ -87,17 +89,33 @@ def write_batch(flow: Flow, batch: DataFrame, number: int) -> None:
             if counts is None:
                 # written before its metrics, or not observed: count once more
                 counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
-            _write_metrics(spark, flow, number, counts)
+            _write_metrics(spark, flow.name, flow.target, number, counts)
     finally:
         if kept_in_memory:
             rows.unpersist()
 
 
+def write_snapshot(
+    rows: DataFrame, version, target: Target, spec: SnapshotSpec, rules: Rules, quarantine: Target | None
+) -> None:
+    """The next snapshot of a target, under the same rules as a batch of a flow."""
+    spark = rows.sparkSession
+    number = tables.next_version(spark, target)
+    quality.check_fail_rules(rows, rules, target.name or target.path)
+    if rules.quarantine and quarantine:
+        tables.append(quality.quarantine_rows(rows, rules), quarantine, SNAPSHOTS, number)
+    if rules.counted():
+        counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
+        _write_metrics(spark, SNAPSHOTS, target, number, counts)
+    # the table comes last: until then a repeated run finds the same number
+    tables.apply_snapshot(quality.keep_rows(rows, rules), target, spec, version)
+
+
 def metrics_target(target: Target, spark: SparkSession) -> Target:
     return Target(path=storage.join(target.location(spark), "_medallion", "metrics"))
 
 
-def _write_metrics(spark, flow: Flow, number: int, rows: list[tuple]) -> None:
+def _write_metrics(spark, flow: str, target: Target, number: int, rows: list[tuple]) -> None:
     # one row per rule, as literals
     counts = F.array(
         *[
@@ -111,9 +129,9 @@ def _write_metrics(spark, flow: Flow, number: int, rows: list[tuple]) -> None:
         ]
     )
     df = spark.range(0, 1, 1, 1).select(
-        F.lit(flow.name).alias("flow"), F.lit(number).cast("long").alias("batch"), F.inline(counts)
+        F.lit(flow).alias("flow"), F.lit(number).cast("long").alias("batch"), F.inline(counts)
     )
-    tables.append(df, metrics_target(flow.target, spark), flow.name, number)
+    tables.append(df, metrics_target(target, spark), flow, number)
 
 
 def read_metrics(spark: SparkSession, target: Target) -> DataFrame:

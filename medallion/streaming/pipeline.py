@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
 from ..functions.rules import Rules
-from ..operators import quality
 from ..operators.transform import apply_user_function, project_and_filter
 from ..plans import store
 from ..plans.specs import AppendFlow, BronzeSpec, SilverSpec, Spec
 from ..sources import SourceRequest, open_source
 from ..sources.snapshots import NextSnapshot, new_snapshots, numbered_files
 from . import tables
-from .flows import Flow, FlowFailed, flow_session, run_flows
+from .flows import Flow, FlowFailed, flow_session, run_flows, write_snapshot
 from .tables import Target
 
 UserFunction = Callable[[DataFrame, Spec], DataFrame]
@@ -150,7 +149,7 @@ class Pipeline:
         latest = tables.last_snapshot(self.spark, target)
         for snapshot, version in new_snapshots(following, latest, spec):
             rows = apply_user_function(snapshot, self.bronze_transform, spec)
-            tables.apply_snapshot(checked_rows(rows, rules, target), target, snapshots, version)
+            write_snapshot(rows, version, target, snapshots, rules, self.quarantine(spec))
 
     # ---- running ----
 
@@ -185,11 +184,6 @@ class Pipeline:
             raise FlowFailed(failures)
 
 
-def checked_rows(df: DataFrame, rules: Rules, target: Target) -> DataFrame:
-    quality.check_fail_rules(df, rules, target.name or target.path)
-    return quality.keep_rows(df, rules)
-
-
 def _check_targets(specs: list[Spec]) -> None:
     names = [s.table for s in specs]
     twice = sorted({n for n in names if names.count(n) > 1})

@@ -633,6 +633,11 @@ def last_snapshot(spark: SparkSession, target: Target):
     return _number(current) if current else None
 
 
+def next_version(spark: SparkSession, target: Target) -> int:
+    current = manifest(spark, target.location(spark))
+    return (current["version"] if current else 0) + 1
+
+
 def _number(current: dict):
     """Snapshot version of a manifest in its Python type."""
     text = current["snapshot"]
@@ -665,7 +670,7 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
     latest = _number(current) if current else None
     if latest is not None and not number > latest:
         raise ValueError(f"snapshot version {number!r} is not above {latest!r}")
-    version = (current["version"] if current else 0) + 1
+    version = next_version(spark, target)
     folder = storage.join(path, "state", f"{VERSION}={version}")
     if not history:
         snap.check_unique(df, spec.keys, "a snapshot")
@@ -694,8 +699,7 @@ def overwrite(df: DataFrame, target: Target) -> None:
     spark = df.sparkSession
     path = target.location(spark)
     _declare(spark, target, "full", df.schema, df.schema, [(VERSION, T.LongType())], [])
-    current = manifest(spark, path)
-    version = (current["version"] if current else 0) + 1
+    version = next_version(spark, target)
     folder = storage.join(path, "state", f"{VERSION}={version}")
     described = storage.read_json(spark, _meta(path, "table.json"))
     full = T.StructType.fromJson(described["schema"])

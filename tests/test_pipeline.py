@@ -142,16 +142,23 @@ def test_append_flows_and_backfill(setup):
 
 def test_snapshots_by_path_and_by_function(setup, spark):
     setup.write("projections.json", [{"target_table": "x"}])
-    for v, text in ((1, "id,a\n1,x\n2,y\n"), (2, "id,a\n1,z\n")):
+    for v, text in ((1, "id,a\n1,x\n2,y\n"), (2, "id,a\n1,z\n,lost\n")):
         setup.write(f"snap/LOAD_{v}.csv", text)
     details = {"source_path_dev": str(setup.root / "snap" / "LOAD_"), "snapshot_format": "csv"}
     changes = {"keys": ["id"], "scd_type": "2"}
+    rules = setup.write("rules.json", {"expect": {"x": "a = 'x'"}, "expect_or_drop": {"has_id": "id IS NOT NULL"},
+                                       "expect_or_quarantine": {"no_id": "id IS NULL"}})
     record = setup.record("stores", source_format="snapshot", source_details=details,
+                          bronze_data_quality_expectations_json_dev=rules, bronze_quarantine_table="stores_bad",
                           bronze_reader_options={"header": "true"},
                           bronze_apply_changes_from_snapshot=changes)
     setup.onboard(record, layers=["bronze"])
     setup.run("bronze")
     assert setup.rows("stores") == [("1", "x", 1, 2), ("1", "z", 2, None), ("2", "y", 1, 2)]
+    assert setup.rows("stores_bad") == [(None, "lost")]
+    assert model.rows(read_metrics(spark, Target(f"{setup.name}.stores"))) == [
+        ("snapshots", 1, "drop", "has_id", 2, 0), ("snapshots", 1, "warn", "x", 1, 1),
+        ("snapshots", 2, "drop", "has_id", 1, 1), ("snapshots", 2, "warn", "x", 0, 2)]
     seen = []
 
     def following(latest, spec):

@@ -178,6 +178,9 @@ SELECT CASE WHEN count(*) FILTER (WHERE c_acctbal < 0) > 0 THEN 'solvent' ELSE '
     "dq_on_cdc": f"""
 SELECT *, 'table' AS place FROM ({latest("SELECT * FROM events WHERE value > 5", USER)})
 UNION ALL SELECT {USER}, 'quarantine' FROM events WHERE value > 200""",
+    "dq_on_snapshots": f"""
+SELECT user_id, event_type, value, 'table' AS place FROM ({SNAPSHOTS}) WHERE period = 5 AND value > 5
+UNION ALL SELECT user_id, event_type, value, 'quarantine' FROM ({SNAPSHOTS}) WHERE value > 100""",
     "silver_project_filter": """
 SELECT * FROM (SELECT o_orderkey AS order_id, concat(o_orderstatus, '-', o_orderpriority) AS label,
   o_totalprice * 2 AS doubled FROM orders)

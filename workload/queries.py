@@ -17,7 +17,7 @@ from medallion.plans import onboard as onboarding, store
 from medallion.sources import SourceRequest, open_source
 from medallion.sources.snapshots import new_snapshots, numbered_files
 from medallion.streaming import tables
-from medallion.streaming.flows import Flow, FlowFailed, read_metrics, run_flow, run_flows
+from medallion.streaming.flows import Flow, read_metrics, run_flow, run_flows, write_snapshot
 from medallion.streaming.pipeline import Pipeline, run
 from medallion.streaming.tables import Target
 
@@ -347,6 +347,22 @@ def dq_on_cdc(spark, folder):
     return kept.unionByName(bad)
 
 
+@query
+def dq_on_snapshots(spark, folder):
+    """Rules on each snapshot: the newest kept rows and all quarantined ones."""
+    work = _work(spark, "dq_snap")
+    prefix = feeds.write_user_snapshots(table(spark, folder, "events"), f"{work}/in")
+    target, bad = Target(path=f"{work}/out"), Target(path=f"{work}/quarantine")
+    rules = Rules.parse({"expect": {"view": "event_type = 'view'"},
+                         "expect_or_drop": {"large": "value > 5"},
+                         "expect_or_quarantine": {"huge": "value > 100"}})
+    spec = SnapshotSpec(["user_id"], "1")
+    for rows, version in new_snapshots(numbered_files(spark, prefix, "parquet"), None, spec):
+        write_snapshot(rows, version, target, spec, rules, bad)
+    kept = _result(spark, target).withColumn("place", F.lit("table"))
+    return kept.unionByName(_result(spark, bad).withColumn("place", F.lit("quarantine")))
+
+
 # ---- transforms -------------------------------------------------------------
 
 
