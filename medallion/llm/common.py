@@ -262,3 +262,24 @@ def binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
         len(offsets) - 1,
         [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int32)), pa.py_buffer(values.tobytes())],
     )
+
+
+#: low bits of a scrambled hash that are replaced by its place when a minimum is searched
+_PLACE_BITS = 28
+_PLACE = np.uint64((1 << _PLACE_BITS) - 1)
+
+
+def window_anchors(grams: np.ndarray, width: int) -> np.ndarray:
+    """Winnowing: per window of ``width`` hashes the place of the least one, the leftmost of equals.
+
+    Two windows with equal content have their anchors at the same offset. Only the
+    high bits of the hashes are compared, which is a function of the content too.
+    """
+    packed = grams & ~_PLACE
+    packed |= np.arange(len(grams), dtype=np.uint64)
+    return (sliding_min(packed, width) & _PLACE).astype(np.int64)
+
+
+def lists(values: pa.Array, offsets: np.ndarray) -> pa.Array:
+    """A list per row from flat values."""
+    return pa.ListArray.from_arrays(pa.array(np.ascontiguousarray(offsets, np.int32)), values)

@@ -27,3 +27,16 @@ def op10_best_fit_packing(spark, folder):
         public_tokenizers.path("word_bpe_49k.json"),
         derive={"ids_crc32": F.crc32("ids")},
     )
+
+
+@query
+def op8_benchmark_decontamination(spark, folder):
+    from .decontamination import contamination
+
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
