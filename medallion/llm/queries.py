@@ -40,3 +40,12 @@ def op8_benchmark_decontamination(spark, folder):
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
+
+
+@query
+def op5_quality_rules(spark, folder):
+    from .quality import measure
+
+    return measure(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
