@@ -35,9 +35,8 @@ def op8_benchmark_decontamination(spark, folder):
 
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "n_words", _covered("spans").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
     )
 
@@ -49,3 +48,27 @@ def op5_quality_rules(spark, folder):
     return measure(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def _covered(spans: str):
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["to"] - s["from"])
+
+
+@query
+def op2_substring_dedup(spark, folder):
+    from .substrings import without_earlier
+
+    return without_earlier(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", _covered("spans").alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op6_suffix_array_dedup(spark, folder):
+    from .suffixes import without_repeats
+
+    return without_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", _covered("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
