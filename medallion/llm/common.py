@@ -95,6 +95,14 @@ def slices(
             at = end
 
 
+def one_batch(table: pa.Table) -> pa.RecordBatch:
+    """The rows of a group in one batch."""
+    return pa.RecordBatch.from_arrays(
+        [pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in table.columns],
+        names=table.column_names,
+    )
+
+
 # -- hashes ------------------------------------------------------------------------
 
 
