@@ -12,6 +12,9 @@ Only the id and text columns are read, so other columns may have any names.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,22 +23,32 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from .common import SPACE, Words, binary, ranges, ship, slices, written
+from .common import SPACE, Words, binary, byte_sums, ranges, ship, slices, written
 
-#: tokenized words that a task remembers; it forgets all when there are more
-CACHE_WORDS = 400_000
+#: tokenized units that a Python worker remembers; it forgets all when there are more
+CACHE_UNITS = 1_000_000
+#: units given to the tokenizer at once
+ENCODE_UNITS = 4_000
+_LETTER, _MARK = np.zeros((2, 256), bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_MARK[list(b"'|")] = False
+_BAR = ord("|")
 
 
 class WordTokens:
-    """Ids of words, remembered by word hash.
+    """Ids of the units of texts, remembered by hash.
 
-    The tokenizer splits at white space first, so the ids of a text are those of
-    its white-space separated words, one after the other.
+    The tokenizer lower-cases and splits at white space and between letters and
+    marks, so the ids of a text are those of such units, one after the other. Units
+    are not split at apostrophes and bars, which can join a mark and a letter
+    (contractions, special tokens); those with bars are told apart by case too.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
 
@@ -46,54 +59,78 @@ class WordTokens:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(count.sum()))
+        """keys: sorted hashes that are not known yet."""
+        count, flat = np.empty(len(words), np.int64), []
+        for i in range(0, len(words), ENCODE_UNITS):
+            found = self.tokenizer.encode_batch_fast(words[i : i + ENCODE_UNITS], add_special_tokens=False)
+            ids = [e.ids for e in found]
+            count[i : i + len(ids)] = [len(x) for x in ids]
+            flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
         at = len(self.ids) + np.cumsum(count) - count
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.count = np.concatenate([self.count, count])[order]
-        self.ids = np.concatenate([self.ids, flat])
+        place = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, at)
+        self.count = np.insert(self.count, place, count)
+        self.ids = np.concatenate([self.ids, *flat])
+
+    def _units(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first bytes, ends, hashes) of the units of the words."""
+        data = words.data
+        letter, mark = _LETTER[data], _MARK[data]
+        cut = np.flatnonzero((letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])) + 1
+        cut = cut[~np.isin(cut, words.offsets)]
+        starts = np.sort(np.concatenate([words.starts, cut]))
+        ends = np.sort(np.concatenate([words.ends, cut]))
+        hashes = byte_sums(data, fold_case=True).hashes(starts, ends)
+        bars = np.flatnonzero(data == _BAR)
+        if len(bars):
+            own = np.unique(np.searchsorted(starts, bars, side="right") - 1)
+            hashes[own] = byte_sums(data).hashes(starts[own], ends[own])
+        return starts, ends, hashes
 
     def encode(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words, number of ids of each word)."""
+        """(ids of all documents, how many of them come before each document and after the last)."""
         if not len(words):
-            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        hashes = words.hashes()
+            return np.zeros(0, np.uint32), np.zeros(len(words.offsets), np.int64)
+        starts, ends, hashes = self._units(words)
         order = np.argsort(hashes)
         ordered = hashes[order]
         new = np.r_[True, ordered[1:] != ordered[:-1]]
         distinct, sample = ordered[new], order[new]
-        if len(self.keys) > CACHE_WORDS:
+        if len(self.keys) > CACHE_UNITS:
             self.forget()
         place = np.searchsorted(self.keys, distinct)
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == distinct[known]
         if not known.all():
-            data = words.data.tobytes()
+            data, some = words.data.tobytes(), sample[~known]
             texts = [
                 data[a:b].decode("utf-8", "replace")
-                for a, b in zip(words.starts[sample[~known]].tolist(), words.ends[sample[~known]].tolist())
+                for a, b in zip(starts[some].tolist(), ends[some].tolist())
             ]
             self._learn(distinct[~known], texts)
             place = np.searchsorted(self.keys, distinct)
         which = np.empty(len(hashes), np.int64)
         which[order] = place[np.cumsum(new) - 1]
         count = self.count[which]
-        return self.ids[ranges(self.at[which], count)], count
+        before = np.r_[0, np.cumsum(count)][np.searchsorted(starts, words.offsets)]
+        return self.ids[ranges(self.at[which], count)], before
+
+
+@functools.lru_cache(1)
+def _word_tokens(path: str) -> WordTokens:
+    """One per Python worker."""
+    return WordTokens(path)
 
 
 def _pieces(path: str, id_column: str, text_column: str, capacity: int, separator: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        tokens = _word_tokens(path)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, data, offsets in slices(batches, text_column, 1 << 21):
+        for rows, data, offsets in slices(batches, text_column):
             words = Words(data, offsets, SPACE)
-            ids, count = tokens.encode(words)
-            before = np.r_[0, np.cumsum(count)][words.first]
+            ids, before = tokens.encode(words)
             size = np.diff(before) + 1
             ends = np.cumsum(size)
             flat = np.full(int(ends[-1]), separator, np.uint32)
