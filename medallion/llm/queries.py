@@ -72,3 +72,10 @@ def op6_suffix_array_dedup(spark, folder):
         "doc_id", "n_bytes", _covered("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op4_ngram_jaccard_join(spark, folder):
+    from .jaccard import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
