@@ -1,3 +1,48 @@
 """SQL of the queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op7_warc_archive"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) ELSE page_id END AS first
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES["op1_url_filter"] = r"""
+WITH a AS (
+  SELECT page_id,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+b AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, rest FROM a),
+c AS (
+  SELECT page_id,
+         translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path
+  FROM b),
+d AS (
+  SELECT *,
+    CASE WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+         WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+         WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+    CASE WHEN regexp_matches(host || path, '^([^/]*\.)?spam-farm\..*/en/7.*\.html$') THEN '||spam-farm.*/en/7*.html|'
+         WHEN regexp_matches(host || path, '^([^/]*\.)?spam-farm\.') THEN '||spam-farm.'
+         WHEN regexp_matches(host || path, '^([^/]*\.)?ads-track\.') THEN '||ads-track.'
+         WHEN regexp_matches(host || path, '[^A-Za-z0-9_.%-]casino([^A-Za-z0-9_.%-]|$)') THEN '^casino^' END AS pattern
+  FROM c)
+SELECT page_id, host, path, rule, pattern,
+       CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN pattern = '||spam-farm.*/en/7*.html|' THEN 'allow' WHEN pattern IS NOT NULL THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM d
+"""

@@ -79,3 +79,30 @@ def op4_ngram_jaccard_join(spark, folder):
     from .jaccard import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_warc_archive(spark, folder):
+    from .warc import read_archives, write_archives
+
+    return read_archives(write_archives(table(spark, folder, "pages"))).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+@query
+def op1_url_filter(spark, folder):
+    from .urls import Rule, judge
+
+    rules = [
+        Rule("block", "net/", site=True),
+        Rule("allow", "example.net/en/", site=True),
+        Rule("block", "example.com/de/", site=True),
+        Rule("allow", "org/fr/", site=True),
+        Rule("block", "||spam-farm."),
+        Rule("block", "||ads-track."),
+        Rule("allow", "||spam-farm.*/en/7*.html|"),
+        Rule("block", "^casino^"),
+    ]
+    return judge(table(spark, folder, "pages"), rules)
