@@ -117,3 +117,20 @@ def op3_pii_pseudonyms(spark, folder):
 
     found = pseudonymized(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY, finds_column="found")
     return found.select("doc_id", "text", F.size("found").cast("long").alias("n_found"), F.array_join("found", ",").alias("kinds"))
+
+
+def document_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: the shorter a text, the nearer to the top of its source."""
+    depth = F.when(F.col("n_chars") < 400, F.array("source")).when(
+        F.col("n_chars") < 1500, F.array("source", "lang")
+    ).otherwise(F.array(F.col("source"), F.col("lang"), F.expr("cast(doc_id div 1000 AS string)")))
+    return docs.select(
+        "doc_id", "text", F.concat(F.array_join(depth, "/"), F.lit("/"), F.col("doc_id"), F.lit(".txt")).alias("path")
+    )
+
+
+@query
+def op9_license_scan(spark, folder):
+    from .licenses import scan
+
+    return scan(document_paths(table(spark, folder, "documents")))
