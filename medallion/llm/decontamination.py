@@ -171,20 +171,8 @@ def _extended(window: int, gram: int):
     return run
 
 
-def contamination(
-    docs: DataFrame,
-    items: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    item_column: str = "item_id",
-    item_text_column: str = "text",
-    window: int = 10,
-    gram: int = 5,
-) -> DataFrame:
-    """Per document row: id, ``n_words``, ``spans`` of words that lie in item windows, ``items``.
-
-    ``spans`` are maximal disjoint (from, to) word ranges in ascending order.
-    """
+def _found(docs, items, id_column, text_column, item_column, item_text_column, window, gram):
+    """(light rows of all documents, ordered spans and items of those with hits)."""
     spark = docs.sparkSession
     ship(spark)
     item_kind, id_kind = items.schema[item_column].dataType, docs.schema[id_column].dataType
@@ -256,11 +244,45 @@ def contamination(
         .agg(ordered.alias("_ordered"), F.sort_array(F.collect_set("_item")).alias("items"))
         .select(F.col("_id").alias("_hit_id"), F.col("_key").alias("_hit_key"), spans.alias("spans"), "items")
     )
+    return light, by_document
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+    window: int = 10,
+    gram: int = 5,
+) -> DataFrame:
+    """Per document row: id, ``n_words``, ``spans`` of words that lie in item windows, ``items``.
+
+    ``spans`` are maximal disjoint (from, to) word ranges in ascending order.
+    """
+    light, hits = _found(docs, items, id_column, text_column, item_column, item_text_column, window, gram)
     none = F.expr("cast(array() as array<struct<from: bigint, to: bigint>>)")
-    return light.join(
-        by_document, F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_key") == F.col("_hit_key")), "left"
-    ).select(
+    same = F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_key") == F.col("_hit_key"))
+    return light.join(hits, same, "left").select(
         F.col("_id").alias(id_column), "n_words",
         F.coalesce("spans", none).alias("spans"),
-        F.coalesce("items", F.array().cast(T.ArrayType(item_kind))).alias("items"),
+        F.coalesce("items", F.array().cast(T.ArrayType(items.schema[item_column].dataType))).alias("items"),
     )
+
+
+def uncontaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+    window: int = 10,
+    gram: int = 5,
+) -> DataFrame:
+    """The documents without a word in an item window, all columns."""
+    _, hits = _found(docs, items, id_column, text_column, item_column, item_text_column, window, gram)
+    hits = hits.select("_hit_id", "_hit_key")
+    same = docs[id_column].eqNullSafe(hits["_hit_id"]) & (F.xxhash64(docs[text_column]) == hits["_hit_key"])
+    return docs.join(hits, same, "left_anti")

@@ -269,51 +269,81 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataF
     return found.filter((100 + percent) * F.col("shared") >= percent * F.col("sizes")).select("a", "b")
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80
-) -> DataFrame:
-    """Per document row: id, ``n_shingles`` and ``component_id``, the least id reachable by links.
-
-    Two documents are linked if 100 * |intersection| >= percent * |union| of their sets
-    of ``size``-word shingles (A-Z lower-cased).
-    """
-    spark = docs.sparkSession
-    ship(spark)
-    rows = docs.select(
+def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    return docs.select(
         F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_key"), F.col(text_column).alias("_text")
     )
-    kind = docs.schema[id_column].dataType
+
+
+def _labelled(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(_id, _key, n, class) of all documents, and (class, least, at, component) of all classes."""
+    ship(rows.sparkSession)
     schema = T.StructType(
-        [T.StructField("_id", kind)]
+        [T.StructField("_id", rows.schema["_id"].dataType)]
         + T.StructType.fromDDL("_key bigint, n int, class bigint, chunk int, task int, counts binary").fields
     )
     light = written(rows.mapInArrow(_light(size), schema), "sets")
     sets = light.filter("chunk is null").select("_id", "_key", "n", "class")
     classes = written(
         sets.filter("n > 0").groupBy("class").agg(
-            F.min("_id").alias("least"), F.min(F.struct("_id", "_key")).alias("at"), F.min("n").alias("n")
+            F.min("_id").alias("least"),
+            F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_key")).alias("at"),
+            F.min("n").alias("n"),
         ),
         "classes",
     )
-    names = classes.select("class", "least")
     shared = _shared(rows, light, size, percent)
     texts = _texts(rows, shared, classes, size)
-    links = _links(shared, texts, size, percent)
-    component = components(links)
+    component = components(_links(shared, texts, size, percent))
     named = (
-        names.join(component.select(F.col("node").alias("class"), "component"), "class", "left")
+        classes.select("class", "least", "at")
+        .join(component.select(F.col("node").alias("class"), "component"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
+    return sets, named
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """Per document row: id, ``n_shingles`` and ``component_id``, the least id reachable by links.
+
+    Two documents are linked if 100 * |intersection| >= percent * |union| of their sets
+    of ``size``-word shingles (A-Z lower-cased).
+    """
+    sets, named = _labelled(_rows(docs, id_column, text_column), size, percent)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = named.join(least, "component").select("class", "component_id")
-    return sets.withColumn("_class", F.when(F.col("n") > 0, F.col("class"))).join(
-        of_class.withColumnRenamed("class", "_class"), "_class", "left"
-    ).select(
+    of_class = named.join(least, "component").select(F.col("class").alias("_class"), "component_id")
+    return sets.withColumn("_class", F.when(F.col("n") > 0, F.col("class"))).join(of_class, "_class", "left").select(
         F.col("_id").alias(id_column), F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
     )
 
 
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """The documents without near duplicates, all columns: of each component the row with the least id.
+
+    Documents without words stay. Of rows with equal id and text one stays.
+    """
+    _, named = _labelled(_rows(docs, id_column, text_column), size, percent)
+    first = named.groupBy("component").agg(F.min("at").alias("at")).select(
+        F.col("at._id").alias("_first_id"), F.col("at._key").alias("_first_key")
+    )
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(
+        *[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.xxhash64(text_column).alias("_key")
+    )
+    words = F.coalesce(F.col(names[text_column]), F.lit("")).rlike("[^ \\x09-\\x0D]")
+    same = F.col(names[id_column]).eqNullSafe(F.col("_first_id")) & (F.col("_key") == F.col("_first_key"))
+    kept = (
+        rows.filter(words).join(first, same).dropDuplicates([names[id_column], "_key"])
+        .unionByName(rows.filter(~words), allowMissingColumns=True)
+    )
+    return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 def _shared(rows: DataFrame, light: DataFrame, size: int, percent: int) -> DataFrame:
     """Prefix entries of n-grams that two or more classes have, with two partners each."""
     frequencies = rows.sparkSession.sparkContext.broadcast(_frequencies(light))
