@@ -181,6 +181,7 @@ def repeated_windows(
     deal: Callable[[DataFrame, int], DataFrame],
     chosen: Callable[[DataFrame], Column],
     bucket_bytes: int,
+    only: Column | None = None,
     large: int = LARGE,
 ) -> DataFrame:
     """Per document row with repeated windows: ``_id``, ``_key`` and ``_ranges`` of units to be removed.
@@ -191,12 +192,15 @@ def repeated_windows(
     deal: adds ``_bucket`` to candidates, about as many as asked for; a gram must stay in one.
     bucket_bytes: about as many bytes of passages are compared together.
     chosen: whether a run of windows is to be removed, given segments joined with runs.
+    only: which documents take part. Texts are joined twice, with what is asked for and in the
+    end with what is removed; both need the same shuffle of texts, so Spark runs it once.
     """
     ship(docs.sparkSession)
     schema = (
         "_id bigint, _key bigint, _gram bigint, _content bigint, _lead bigint, _start int, _windows int, _anchor int"
     )
-    segments = written(docs.mapInArrow(_segments(window, gram, kind), schema), "segments")
+    some = docs if only is None else docs.filter(only)
+    segments = written(some.mapInArrow(_segments(window, gram, kind), schema), "segments")
     contents = segments.groupBy("_gram", "_content").agg(
         F.count(F.lit(1)).alias("_copies"),
         F.min(F.struct("_id", "_key", "_start", "_windows", "_anchor", "_lead")).alias("_at"),

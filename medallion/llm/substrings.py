@@ -155,12 +155,12 @@ def without_earlier(
         F.xxhash64(text_column).alias("_key"), F.col(text_column).alias("_text"),
     )
     found = repeated_windows(
-        rows.filter(F.col("_id") != _LAST),
-        "words", window, gram, _matched(window),
+        rows, "words", window, gram, _matched(window),
         repeated=F.col("least") < F.col("most"),
         deal=lambda candidates, number: candidates.withColumn("_bucket", F.expr(f"cast(pmod(_gram, {number}) as int)")),
         chosen=lambda joined: F.col("run.least") < F.col("_id"),
         bucket_bytes=SHARD_BYTES,
+        only=F.col("_id") != _LAST,
     )
     kept = without_ranges(rows, found, "words", "_id")
     return kept.select(

@@ -102,7 +102,7 @@ class _Writer:
         self.path = f"{self.folder}/{uuid.uuid4().hex}.warc.zst"
         files, place = _open(self.folder)
         files.create_dir(place, recursive=True)
-        self.stream = files.open_output_stream(f"{place}/{self.path.rpartition('/')[2]}")
+        self.stream = files.open_output_stream(f"{place}/{self.path.rpartition('/')[2]}", compression=None)
         try:
             dictionary = zstandard.train_dictionary(DICTIONARY_BYTES, self.waiting, level=3)
         except zstandard.ZstdError:  # too few records to learn from
@@ -334,7 +334,7 @@ def _records(strict: bool):
         for rows in batches:
             for path in rows.column("path").to_pylist():
                 files, place = _open(path)
-                with files.open_input_stream(place) as stream:
+                with files.open_input_stream(place, compression=None) as stream:
                     content = frames(stream)
                     while True:
                         try:
