@@ -16,6 +16,8 @@ Formats and what is validated and kept:
 * ssn: three parts, none of those that are never given out
 * date: a day of the calendar from 1800 to 2199, as yyyy-mm-dd, yyyy/mm/dd,
   dd.mm.yyyy or mm/dd/yyyy, permuted among the days of these 400 years
+* iban: 15 to 34 characters with right check digits; the country stays, letters and
+  digits are permuted, each within its own kind, and the check digits are computed anew
 * email: letters and digits of the local part are permuted, each within its own
   kind; other characters and the domain stay
 
@@ -39,7 +41,8 @@ _PHONE = r"(?<!\+)\+[1-9](?:[ .-]?\(?[0-9]\)?){7,14}"
 _DATE = r"(?<![-/.])(?:[0-9]{4}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![-/.]?[0-9])"
 _SSN = r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-)"
 _CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
-FORMATS = {"email": _EMAIL, "ipv4": _IPV4, "date": _DATE, "ssn": _SSN, "phone": _NANP, "number": _PHONE, "card": _CARD}
+_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+FORMATS = {"email": _EMAIL, "iban": _IBAN, "ipv4": _IPV4, "date": _DATE, "ssn": _SSN, "phone": _NANP, "number": _PHONE, "card": _CARD}
 ANY = r"(?<![A-Za-z0-9])(?:" + "|".join(FORMATS.values()) + r")(?![A-Za-z0-9])"
 
 
@@ -77,14 +80,20 @@ def _permuted_digits(digits: str, key: str, name: str) -> str:
 _DIGITS = "regexp_replace(m, '[^0-9]', '')"
 
 
-def _refilled(digits: str) -> str:
-    """The match with its digits replaced, in their places."""
+def _refilled(value: str, kept: str = "0-9") -> str:
+    """The match with its characters of a class replaced, in their places."""
     return f"""array_join(transform(sequence(1, length(m)), p ->
-        if(substr(m, p, 1) BETWEEN '0' AND '9',
-           substr({digits}, length(regexp_replace(substr(m, 1, p), '[^0-9]', '')), 1),
+        if(substr(m, p, 1) RLIKE '[{kept}]',
+           substr({value}, length(regexp_replace(substr(m, 1, p), '[^{kept}]', '')), 1),
            substr(m, p, 1))), '')"""
 
 
+def _mod97(value: str) -> str:
+    """The remainder that IBANs are checked by; letters count as two digits from 10 on."""
+    return f"""aggregate(transform(sequence(1, length({value})), p -> substr({value}, p, 1)), 0, (t, c) ->
+        if(c BETWEEN '0' AND '9', (t * 10 + ascii(c) - 48) % 97, (t * 100 + ascii(c) - 55) % 97))"""
+
+
 def _luhn(digits: str, first_doubled: int) -> str:
     """The Luhn sum; the last digit is doubled if first_doubled is 1."""
     digit = f"cast(substr({digits}, -k, 1) AS int)"
@@ -108,6 +117,7 @@ def _date_parts() -> list[tuple[str, str]]:
 _FIRST_DAY, _DAYS_A, _DAYS_B = "unix_date(date'1800-01-01')", 189, 773
 _DAY = "unix_date(CASE " + " ".join(f"WHEN {c} THEN to_date(try_to_timestamp(m, '{p}'))" for c, p in _date_parts()) + " END)"
 _OCTETS = "transform(split(m, '[.]'), o -> cast(o AS bigint))"
+_COMPACT = "replace(m, ' ', '')"
 _NATIONAL = f"right({_DIGITS}, 10)"
 
 
@@ -117,16 +127,18 @@ def _validity() -> dict[str, str]:
     ssn = "substr(m, 1, 3) NOT IN ('000', '666') AND substr(m, 1, 1) <> '9' AND substr(m, 5, 2) <> '00' AND substr(m, 8, 4) <> '0000'"
     card = f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_luhn(_DIGITS, 0)} % 10 = 0"
     number = f"length({_DIGITS}) BETWEEN 8 AND 15"
-    return {"email": "true", "ipv4": octets, "date": day, "ssn": ssn, "phone": "true", "number": number, "card": card}
+    turned = f"concat(substr({_COMPACT}, 5), left({_COMPACT}, 4))"
+    iban = f"length({_COMPACT}) BETWEEN 15 AND 34 AND {_mod97(turned)} = 1"
+    return {"email": "true", "iban": iban, "ipv4": octets, "date": day, "ssn": ssn, "phone": "true", "number": number, "card": card}
 
 
 def _pseudonyms(key: str) -> dict[str, str]:
-    def parts(value: str, *steps: tuple[str, str]) -> str:
-        """Name parts of a value for an expression over x."""
-        return f"element_at(transform(array({value}), x -> {steps[0][0]}), 1)"
+    def given(value: str, result: str) -> str:
+        """An expression over x, which stands for a value that is computed once."""
+        return f"element_at(transform(array({value}), x -> {result}), 1)"
 
     address = _feistel(f"aggregate({_OCTETS}, 0L, (t, o) -> t * 256 + o)", "65536", "65536", key, "'ipv4'")
-    ipv4 = parts(address, ("concat_ws('.', x div 16777216, x div 65536 % 256, x div 256 % 256, x % 256)", ""))
+    ipv4 = given(address, "concat_ws('.', x div 16777216, x div 65536 % 256, x div 256 % 256, x % 256)")
     day = f"{_FIRST_DAY} + cast({_feistel(f'({_DAY} - {_FIRST_DAY})', str(_DAYS_A), str(_DAYS_B), key, _text('date'))} AS int)"
     date = "CASE " + " ".join(f"WHEN {c} THEN date_format(date_from_unix_date({day}), '{p}')" for c, p in _date_parts()) + " END"
     area = "cast(substr(m, 1, 3) AS bigint)"
@@ -135,43 +147,44 @@ def _pseudonyms(key: str) -> dict[str, str]:
         " + cast(substr(m, 8, 4) AS bigint) - 1"
     )
     new_area = "x div 989901 + 1"
-    ssn = parts(
+    ssn = given(
         _feistel(f"({ssn_value})", "88902", "9999", key, "'ssn'"),
-        (
-            f"concat_ws('-', lpad(cast({new_area} + if({new_area} >= 666, 1, 0) AS string), 3, '0'),"
-            " lpad(cast(x div 9999 % 99 + 1 AS string), 2, '0'), lpad(cast(x % 9999 + 1 AS string), 4, '0'))",
-            "",
-        ),
+        f"concat_ws('-', lpad(cast({new_area} + if({new_area} >= 666, 1, 0) AS string), 3, '0'),"
+        " lpad(cast(x div 9999 % 99 + 1 AS string), 2, '0'), lpad(cast(x % 9999 + 1 AS string), 4, '0'))",
     )
     national = (
         f"(cast(substr({_NATIONAL}, 1, 3) AS bigint) - 200) * 8000000"
         f" + (cast(substr({_NATIONAL}, 4, 3) AS bigint) - 200) * 10000 + cast(substr({_NATIONAL}, 7, 4) AS bigint)"
     )
-    phone = parts(
+    phone = given(
         _feistel(f"({national})", "80000", "80000", key, "'phone'"),
-        (
-            f"concat(left({_DIGITS}, length({_DIGITS}) - 10), cast(x div 8000000 + 200 AS string),"
-            " cast(x div 10000 % 800 + 200 AS string), lpad(cast(x % 10000 AS string), 4, '0'))",
-            "",
-        ),
+        f"concat(left({_DIGITS}, length({_DIGITS}) - 10), cast(x div 8000000 + 200 AS string),"
+        " cast(x div 10000 % 800 + 200 AS string), lpad(cast(x % 10000 AS string), 4, '0'))",
     )
     number = f"concat(left({_DIGITS}, 2), {_permuted_digits(f'substr({_DIGITS}, 3)', key, _text('number'))})"
     body = f"substr({_DIGITS}, 2, length({_DIGITS}) - 2)"
     permuted = f"concat(left({_DIGITS}, 1), {_permuted_digits(body, key, _text('card'))})"
-    card = parts(permuted, (f"concat(x, cast((10 - {_luhn('x', 1)} % 10) % 10 AS string))", ""))
+    card = given(permuted, f"concat(x, cast((10 - {_luhn('x', 1)} % 10) % 10 AS string))")
+    local = "substring_index(m, '@', 1)"
+    iban = given(
+        _permuted_characters(f"substr({_COMPACT}, 5)", key, "iban"),
+        f"concat(left(m, 2), lpad(cast(98 - {_mod97("concat(x, left(m, 2), '00')")} AS string), 2, '0'), x)",
+    )
     refilled = [
         f"element_at(transform(array({digits}), d -> {_refilled('d')}), 1)" for digits in (phone, number, card)
     ]
     return dict(
-        email=_email(key), ipv4=ipv4, date=date, ssn=ssn, phone=refilled[0], number=refilled[1], card=refilled[2]
+        email=f"concat({_permuted_characters(local, key, 'email')}, '@', substring_index(m, '@', -1))",
+        iban=f"element_at(transform(array({iban}), d -> {_refilled('d', 'A-Z0-9')}), 1)", ipv4=ipv4, date=date, ssn=ssn, phone=refilled[0], number=refilled[1], card=refilled[2]
     )
 
 
-def _email(key: str) -> str:
-    """Characters of one half of the local part are shifted by a hash of the other half."""
+def _permuted_characters(value: str, key: str, name: str) -> str:
+    """Characters of one half of a text are shifted within their kind by a hash of the other half."""
 
     def shifted(half: str, other: str) -> str:
-        by = f"cast(conv(substr({_hash(key, _text('email'), 'i', other)}, 2 * j - 1, 2), 16, 10) AS int)"
+        block = f"(j - 1) div 32, {other}"
+        by = f"cast(conv(substr({_hash(key, _text(name), 'i', block)}, 2 * ((j - 1) % 32) + 1, 2), 16, 10) AS int)"
         kinds = ((97, 26), (65, 26), (48, 10))
         cases = " ".join(
             f"WHEN ascii(c) BETWEEN {base} AND {base + size - 1} THEN chr({base} + (ascii(c) - {base} + {by}) % {size})"
@@ -181,13 +194,12 @@ def _email(key: str) -> str:
             transform(sequence(1, length({half})), q -> substr({half}, q, 1)),
             (c, z) -> element_at(transform(array(z + 1), j -> CASE {cases} ELSE c END), 1)), ''))"""
 
-    local = "substring_index(m, '@', 1)"
-    return f"""concat(aggregate(sequence(1, {ROUNDS}),
-        named_struct('l', left({local}, length({local}) div 2), 'r', substr({local}, length({local}) div 2 + 1)),
+    return f"""aggregate(sequence(1, {ROUNDS}),
+        named_struct('l', left({value}, length({value}) div 2), 'r', substr({value}, length({value}) div 2 + 1)),
         (s, i) -> if(i % 2 = 1,
             named_struct('l', {shifted('s.l', 's.r')}, 'r', s.r),
             named_struct('l', s.l, 'r', {shifted('s.r', 's.l')})),
-        s -> concat(s.l, s.r)), '@', substring_index(m, '@', -1))"""
+        s -> concat(s.l, s.r))"""
 
 
 def kinds(matches: str) -> Column:
@@ -201,9 +213,11 @@ def pseudonymized(
     docs: DataFrame, key: str, text_column: str = "text", finds_column: str | None = None
 ) -> DataFrame:
     """Replace personal values in the text column; ``finds_column`` gets the kinds found, in order."""
-    text = F.col(text_column)
+    text = F.col(f"`{text_column}`")
     some = text.rlike("[0-9@]")  # most texts have nothing to look at
-    names = {n: f"_pii_{n}" for n in ("parts", "matches", "kinds")}
+    names = {n: n for n in ("matches", "kinds")}
+    while set(names.values()) & set(docs.columns):
+        names = {n: f"_{c}" for n, c in names.items()}
     none = F.array().cast("array<string>")
     found = docs.withColumn(
         names["matches"], F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)

@@ -352,7 +352,7 @@ def measure(
     names = list(dict.fromkeys([id_column, *carry]))
     hidden = [f"_c{i}" for i in range(len(names))]
     rows = docs.select(
-        *[F.col(n).alias(h) for n, h in zip(names, hidden)],
+        *[F.col(f"`{n}`").alias(h) for n, h in zip(names, hidden)],
         F.col(text_column).alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"),
     )
     schema = T.StructType(
