@@ -1,0 +1,107 @@
+"""The stages, each held against a brute-force version on its own input."""
+
+import random
+import re
+
+import pytest
+from helpers import documents, prose, words
+from test_decontamination import brute as contaminated
+from test_jaccard import brute as grouped
+from test_quality import base
+
+import corpus_pipeline
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    rng = random.Random(8)
+    items = [(k, prose(rng, 30)) for k in range(8)]
+    rows = documents(length=90)
+    for k, text in items[:5]:
+        rows.append((800 + k, prose(rng, 60) + " " + text + " " + prose(rng, 20), "en"))
+    for k in range(6):
+        rows.append((850 + k, prose(rng, 70) + f" mail me.{k}@x.org or 4111 1111 1111 1111 on 10.0.0.{k} " + prose(rng, 9), "en"))
+    target = str(tmp_path_factory.mktemp("corpus"))
+    spark.createDataFrame([(i, t, g, "s", len(t or "")) for i, t, g in rows], SCHEMA).write.parquet(f"{target}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{target}/benchmark.parquet")
+    return target, items
+
+
+@pytest.fixture(scope="module")
+def stages(spark, folder):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, folder[0]), f"test-{name}")
+        found.append(docs)
+    return dict(zip(["documents", *[n for n, _ in corpus_pipeline.STAGES]], found))
+
+
+def rows_of(df):
+    return [(r.doc_id, r.text, r.lang) for r in df.collect()]
+
+
+def test_columns(stages):
+    names = list(stages)
+    for name in names[:-1]:
+        assert stages[name].columns == stages["documents"].columns
+    assert names == ["documents", "quality", "near_duplicates", "decontamination", "pii", "packing"]
+
+
+def test_quality(stages):
+    before, after = rows_of(stages["documents"]), rows_of(stages["quality"])
+    passing = [r for r in before if not base(r[1])[-1]]
+    assert all(r in passing for r in after)
+    assert len(after) >= 0.9 * len(passing)  # clean documents stay
+
+
+def test_near_duplicates(stages):
+    before, after = rows_of(stages["quality"]), rows_of(stages["near_duplicates"])
+    groups = {c for _, n, c in grouped(before)}
+    assert sorted((r[0] for r in after), key=repr) == sorted(groups, key=repr)
+    assert all(r in before for r in after)
+
+
+def test_decontamination(stages, folder):
+    before, after = rows_of(stages["near_duplicates"]), rows_of(stages["decontamination"])
+    clean = [i for i, _, hit, _ in contaminated(before, folder[1]) if not hit]
+    assert sorted((r[0] for r in after), key=repr) == sorted(clean, key=repr)
+    assert len(after) < len(before)
+
+
+def test_pii(stages):
+    before = {r.doc_id: r for r in stages["decontamination"].collect()}
+    after = {r.doc_id: r for r in stages["pii"].collect()}
+    assert before.keys() == after.keys()
+    for i, r in after.items():
+        assert r.n_chars == len(r.text)
+        if i is not None and 850 <= i < 860:
+            assert not re.search(r"me\.\d@x\.org|4111 1111 1111 1111|10\.0\.0\.\d ", r.text)
+            assert len(words(r.text)) == len(words(before[i].text))
+        else:
+            assert r.text == before[i].text
+
+
+def test_packing(spark, stages, folder):
+    found = stages["packing"].collect()
+    assert sorted({r.doc_id for r in found}, key=repr) == sorted((r[0] for r in rows_of(stages["pii"])), key=repr)
+    ids = {}
+    for r in found:
+        ids.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for slots in ids.values():
+        slots.sort()
+        assert all(o == sum(n for _, n in slots[:k]) for k, (o, _) in enumerate(slots))
+    whole = corpus_pipeline.run(spark, folder[0])
+    key = lambda r: (repr(r.doc_id), r.piece)
+    assert [(r.doc_id, r.piece, r.ids_crc32) for r in sorted(whole.collect(), key=key)] == [
+        (r.doc_id, r.piece, r.ids_crc32) for r in sorted(found, key=key)
+    ]
+
+
+def test_empty_documents(spark, folder):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").filter("false")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, folder[0])
+        assert docs.collect() == []
