@@ -10,7 +10,7 @@ Documents with equal n-gram sets form a class; the join is between classes.
   n - ceil(t n) + 1 n-grams, so classes are joined on those.
 * Length and positional filters: sizes must be within t, and the places of the
   shared n-gram in both orders must leave room for the overlap that t asks for.
-* Suffix filter: sets are folded to 256 parities; differing parities are a lower
+* Suffix filter: sets are folded to 512 parities; differing parities are a lower
   bound of the n-grams that only one set has.
 * Verification: once per pair, over the texts.
 
@@ -18,8 +18,9 @@ Linked documents form components, so a pair within a component needs no look onc
 it is known to be one. First every class is compared with the first and with the
 preceding class of each list, which is linear in the list; components follow from
 the links found. Only then are pairs of different components that share a
-list compared, all of them. So the result is that of all pairs, but a large group
-of near copies costs a few comparisons per member.
+list compared, all of them that the filters leave; the join of the lists applies the
+filters itself, so other pairs never become rows. So the result is that of all
+pairs, but a large group of near copies costs a few comparisons per member.
 
 Defined results: null and empty texts have no n-grams and link with nothing; a
 text with fewer words than n has one n-gram, the whole sequence; repeated rows are
@@ -149,10 +150,17 @@ def _frequencies(light: DataFrame) -> np.ndarray:
     return total.reshape(-1)
 
 
+#: numbers of 64 parities that a set is folded to
+CELLS = 8
+_CELL_NAMES = [f"c{i}" for i in range(CELLS)]
+
+
 def _parities(owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
-    """Four numbers per document: parities of how many n-grams fall in each of 256 cells."""
-    cells = np.bincount(owner * 256 + ((found >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64), minlength=n * 256)
-    return np.packbits((cells & 1).astype(np.uint8).reshape(n, 256), axis=1).view(np.uint64).reshape(n, 4)
+    """CELLS numbers per document: parities of how many n-grams fall in each of 64 * CELLS cells."""
+    size = 64 * CELLS
+    cell = ((found >> np.uint64(8)) % np.uint64(size)).astype(np.int64)
+    cells = np.bincount(owner * size + cell, minlength=n * size)
+    return np.packbits((cells & 1).astype(np.uint8).reshape(n, size), axis=1).view(np.uint64).reshape(n, CELLS)
 
 
 def _prefixes(size: int, frequencies, percent: int):
@@ -197,8 +205,8 @@ def _fetched(size: int):
             owner, found = shingle_sets(data, offsets, size)
             cells = _parities(owner, found, len(offsets) - 1)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("class"), rows.column("_text"), *[signed(cells[:, i].copy()) for i in range(4)]],
-                names=["class", "_text", "c0", "c1", "c2", "c3"],
+                [rows.column("class"), rows.column("_text"), *[signed(cells[:, i].copy()) for i in range(CELLS)]],
+                names=["class", "_text", *_CELL_NAMES],
             )
 
     return run
@@ -241,28 +249,28 @@ def _possible(percent: int, x: str, y: str) -> Column:
     )
 
 
+def _alike(percent: int, x: str, y: str) -> Column:
+    """Suffix filter of two sets with n and parities."""
+    apart = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in _CELL_NAMES), F.lit(0))
+    return apart * (100 + percent) <= (F.col(f"{x}n") + F.col(f"{y}n")) * (100 - percent)
+
+
 def _pairs(one: str, two: str) -> list[Column]:
     return [F.least(one, two).alias("a"), F.greatest(one, two).alias("b")]
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose similarity reaches percent / 100; others are dropped."""
-    sides = [
-        texts.select(
-            F.col("class").alias(s), F.col("_text").alias(f"_text_{s}"), F.col("n").alias(f"n_{s}"),
-            *[F.col(f"c{i}").alias(f"c{i}_{s}") for i in range(4)],
-        )
-        for s in "ab"
-    ]
+    sides = [texts.select(*[F.col(c).alias(f"{s}_{c}") for c in ("class", "n", *_CELL_NAMES)]) for s in "ab"]
     # the suffix filter goes first, over numbers only
-    cells = [s.drop(f"_text_{n}") for s, n in zip(sides, "ab")]
-    apart = sum((F.bit_count(F.col(f"c{i}_a").bitwiseXOR(F.col(f"c{i}_b"))) for i in range(4)), F.lit(0))
     possible = (
-        pairs.join(cells[0], "a").join(cells[1], "b")
-        .filter(apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+        pairs.join(sides[0], F.col("a") == F.col("a_class"))
+        .join(sides[1], (F.col("b") == F.col("b_class")) & _alike(percent, "a_", "b_"))
         .select("a", "b")
     )
-    both = possible.join(sides[0].select("a", "_text_a"), "a").join(sides[1].select("b", "_text_b"), "b")
+    both = possible.join(texts.select(F.col("class").alias("a"), F.col("_text").alias("_text_a")), "a").join(
+        texts.select(F.col("class").alias("b"), F.col("_text").alias("_text_b")), "b"
+    )
     found = both.select("a", "b", "_text_a", "_text_b").mapInArrow(
         _overlaps(size), "a bigint, b bigint, sizes bigint, shared bigint"
     )
@@ -377,7 +385,7 @@ def _texts(rows: DataFrame, shared: DataFrame, classes: DataFrame, size: int) ->
     texts = rows.join(
         found, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_key") == F.col("_wkey"))
     ).select("class", "_text")
-    schema = "class bigint, _text string, c0 bigint, c1 bigint, c2 bigint, c3 bigint"
+    schema = "class bigint, _text string, " + ", ".join(f"{c} bigint" for c in _CELL_NAMES)
     return written(texts.mapInArrow(_fetched(size), schema), "texts").join(
         wanted.select("class", "n"), "class"
     )
@@ -399,14 +407,17 @@ def _links(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
         labels.select(F.col("node").alias("class"), "component"), "class", "left"
     ).withColumn("label", F.coalesce("component", "class"))
     split = marked.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    open_lists = written(marked.join(split.select("gram"), "gram").select("gram", "class", "n", "place", "label"), "open")
-    other = open_lists.select(
-        "gram", *[F.col(c).alias(f"_{c}") for c in ("class", "n", "place", "label")]
+    open_lists = written(
+        marked.join(split.select("gram"), "gram")
+        .select("gram", "class", "place", "label")
+        .join(texts.select("class", "n", *_CELL_NAMES), "class"),
+        "open-lists",
     )
+    other = open_lists.select("gram", *[F.col(c).alias(f"_{c}") for c in open_lists.columns if c != "gram"])
     rest = (
         open_lists.join(other, "gram")
-        .filter("class < _class and label <> _label")
-        .filter(_possible(percent, "", "_"))
+        .filter((F.col("class") < F.col("_class")) & (F.col("label") != F.col("_label")))
+        .filter(_possible(percent, "", "_") & _alike(percent, "", "_"))
         .select(*_pairs("class", "_class"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
