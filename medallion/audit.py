@@ -43,7 +43,9 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def synthetic_value(row: Column, column: int, bound: int) -> Column:
     """A value in [0, bound) that depends on row and column only."""
-    return F.pmod(row * F.lit(1103515245) + F.lit(12345 + 7919 * column), F.lit(bound))
+    # both factors are reduced first, so that no product leaves the range of a long
+    factor, shift = 1103515245 % bound, (12345 + 7919 * column) % bound
+    return F.pmod(F.pmod(row, F.lit(bound)) * F.lit(factor).cast("long") + F.lit(shift).cast("long"), F.lit(bound))
 
 
 def synthetic_rows(ids: DataFrame, row: str, columns: int, bound: int = 1000) -> DataFrame:

@@ -58,7 +58,11 @@ def rule_counts(df: DataFrame, rules: Rules) -> DataFrame:
 
 
 def observe_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation | None]:
-    """Count failures while ``df`` is written, without a pass of its own."""
+    """Count failures while ``df`` is written, without a pass of its own.
+
+    Exact only if no shuffle lies between here and the write: the tasks of an earlier
+    stage may run, and count, more than once.
+    """
     if not rules.counted():
         return df, None
     observation = Observation()
@@ -79,14 +83,19 @@ def observed_rows(rules: Rules, observation: Observation | None) -> list[tuple]
     return _result_rows(rules, metrics)
 
 
-def check_fail_rules(df: DataFrame, rules: Rules, target: str) -> None:
-    if not rules.fail:
-        return
-    only = Rules(fail=rules.fail)
-    row = df.agg(*_counters(only)).first().asDict()
-    broken = {rule: failed for _, rule, _, failed in _result_rows(only, row) if failed}
+def checked_counts(df: DataFrame, rules: Rules, target: str) -> list[tuple]:
+    """Counts of all counted rules in one pass, once the fail rules among them hold."""
+    if not rules.counted():
+        return []
+    counts = _result_rows(rules, df.agg(*_counters(rules)).first().asDict())
+    broken = {rule: failed for effect, rule, _, failed in counts if effect == "fail" and failed}
     if broken:
         raise RuleViolation(target, broken)
+    return counts
+
+
+def check_fail_rules(df: DataFrame, rules: Rules, target: str) -> None:
+    checked_counts(df, Rules(fail=rules.fail), target)
 
 
 def keep_rows(df: DataFrame, rules: Rules) -> DataFrame:

@@ -166,11 +166,23 @@ def duplicate_ids(records: DataFrame) -> DataFrame:
 
 def check_records(records: DataFrame, layer: str, env: str, with_catalog: bool = True) -> None:
     # spec records are metadata, their problems fit on the driver
-    found = violations(records, layer, env, with_catalog).distinct().collect()
+    found = violations(records, layer, env, with_catalog)
+    if layer == "silver":
+        paths = _distinct(records, F.col("silver_transformation_json"))
+        found = found.unionByName(without_projection(records, read_projections(records.sparkSession, paths)))
+    found = found.distinct().collect()
     if found:
         raise OnboardingError(sorted((r.data_flow_id, r.problem) for r in found))
 
 
+def without_projection(records: DataFrame, projections: DataFrame) -> DataFrame:
+    """Silver records whose table no projection names, as problems."""
+    named = projections.select(F.col("target_table").alias("silver_table")).distinct()
+    return records.join(named, "silver_table", "left_anti").where("silver_table IS NOT NULL").select(
+        "data_flow_id", F.lit("silver_table has no projection in silver_transformation_json").alias("problem")
+    )
+
+
 # ---- linked files -----------------------------------------------------------
 
 

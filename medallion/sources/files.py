@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import csv
+import datetime as dt
+import io
 import json
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
@@ -66,23 +69,54 @@ def _merge_schemas(schemas: list[T.StructType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in merged.items()])
 
 
-def _pinned_schema(request: SourceRequest, infer_schema) -> T.StructType:
-    """Infer once; later runs read the schema kept beside the checkpoint."""
+def _grown(known: T.StructType, found: T.StructType) -> T.StructType:
+    """Known columns as they are, then the new ones."""
+    names = {f.name for f in known.fields}
+    return T.StructType([*known.fields, *[f for f in found.fields if f.name not in names]])
+
+
+def _pinned_schema(request: SourceRequest, infer_schema, newest) -> T.StructType:
+    """Infer once, and later only from files that are newer than those seen.
+
+    Columns that later files bring are added at the end; the types of known columns
+    stay, so that what has been written stays comparable. The schema is kept beside
+    the checkpoint, each state of it in a file of its own.
+    """
+    spark = request.spark
     if not request.state:
-        return infer_schema()
-    path = storage.join(request.state, "schema.json")
-    kept = storage.read_json(request.spark, path)
+        return infer_schema(None)
+    grown = sorted(n for n in storage.list_names(spark, request.state) if n.startswith("schema-"))
+    path = storage.join(request.state, grown[-1] if grown else "schema.json")
+    kept = storage.read_json(spark, path)
+    seen = newest()
+    if kept is not None and kept.get("seen") == seen:
+        return T.StructType.fromJson(kept)
     if kept is None:
-        kept = json.loads(infer_schema().json())
-        storage.write_json(request.spark, path, kept)
-    return T.StructType.fromJson(kept)
+        schema = infer_schema(None)
+    else:
+        known = T.StructType.fromJson(kept)
+        schema = _grown(known, infer_schema(kept.get("seen")))
+        path = storage.join(request.state, f"schema-{len(grown):020d}.json")
+    storage.write_json(spark, path, {**json.loads(schema.json()), "seen": seen})
+    return schema
 
 
 # ---- CSV by name ------------------------------------------------------------
 
 
 def read_header(spark: SparkSession, path: str, options: dict[str, str]) -> tuple[str, ...]:
-    """Column names in the first line of a file; nothing else is read."""
+    """Column names in the first record of a file; nothing else is read.
+
+    As in Spark's reader, empty lines and comments before it are passed over; with
+    ``multiLine`` a quoted name may hold line breaks, and a line of spaces is not
+    empty. An empty file has no names.
+    """
+    whole = _flag(options, "multiLine")
+
+    def blank(line: str) -> bool:
+        line = line.lstrip("\ufeff")
+        return not (line if whole else line.strip())
+
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -91,16 +125,29 @@ def read_header(spark: SparkSession, path: str, options: dict[str, str]) -> tupl
     if codec is not None:
         stream = codec.createInputStream(stream)
     encoding = options.get("encoding", options.get("charset", "UTF-8"))
+    quote, comment = options.get("quote", '"'), options.get("comment")
     lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
     try:
         line = lines.readLine()
+        while line is not None and (blank(line) or (comment and line.startswith(comment))):
+            line = lines.readLine()
+        if line is None:
+            return ()
+        line = line.lstrip("\ufeff")
+        while whole and quote and line.count(quote) % 2:
+            more = lines.readLine()
+            if more is None:
+                break
+            line += "\n" + more
     finally:
         lines.close()
-    if not line:
-        return ()
     separator = options.get("sep", options.get("delimiter", ","))
-    names = next(csv.reader([line.lstrip("﻿")], delimiter=separator, quotechar=options.get("quote", '"')))
-    return tuple(n.strip() for n in names)
+    found = next(csv.reader(io.StringIO(line, newline=""), delimiter=separator, quotechar=quote or None))
+    names = tuple(n.strip() for n in found)
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"{path}: the header names {twice} more than once")
+    return names
 
 
 def group_by_header(spark, paths: list[str], options) -> dict[tuple[str, ...], list[str]]:
@@ -156,6 +203,12 @@ def file_metadata_columns(df: DataFrame, request: str | dict | None) -> DataFram
     return df.withColumnRenamed(METADATA, name)
 
 
+def _second_before(time: str) -> str:
+    """Option value for files from the second before a time on."""
+    earlier = dt.datetime.fromisoformat(time) - dt.timedelta(seconds=1)
+    return earlier.isoformat(timespec="seconds")
+
+
 # ---- source -----------------------------------------------------------------
 
 
@@ -178,21 +231,38 @@ def file_source(request: SourceRequest) -> Source:
     rates = {k: v for k, v in options.items() if k in RATE_OPTIONS}
     listing = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup")}
 
-    def file_names(streaming: bool) -> DataFrame:
-        files = reader(spark, streaming).format("binaryFile").schema(BINARY_SCHEMA)
+    def file_names(streaming: bool, **more: str) -> DataFrame:
+        files = reader(spark, streaming).format("binaryFile").schema(BINARY_SCHEMA).options(**more)
         return files.options(**listing, **(rates if streaming else {})).load(path).select("path")
 
-    def infer_schema() -> T.StructType:
+    def newest() -> str | None:
+        """When the newest of the files was modified."""
+        files = spark.read.format("binaryFile").schema(BINARY_SCHEMA).options(**listing).load(path)
+        return files.agg(F.max("modificationTime").cast("string").alias("m")).first()["m"]
+
+    def infer_schema(after: str | None) -> T.StructType:
         found = _reader_options(fmt, options, infer)
+        if after is not None:
+            # a second earlier, for file systems that know whole seconds only
+            found["modifiedAfter"] = _second_before(after)
+            found["timeZone"] = spark.conf.get("spark.sql.session.timeZone")
         if not by_name:
-            return spark.read.format(fmt).options(**found).load(path).schema
-        paths = [r.path for r in file_names(False).collect()]
+            try:
+                return spark.read.format(fmt).options(**found).load(path).schema
+            except AnalysisException as error:
+                if after is not None and error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+                    return T.StructType()
+                raise
+        files = file_names(False)
+        if after is not None:
+            files = file_names(False, modifiedAfter=found.pop("modifiedAfter"))
+        paths = [r.path for r in files.collect()]
         groups = group_by_header(spark, paths, options)
         return _merge_schemas(
             [spark.read.options(**found).csv(files).schema for _, files in sorted(groups.items())]
         )
 
-    schema = request.schema or _pinned_schema(request, infer_schema)
+    schema = request.schema or _pinned_schema(request, infer_schema, newest)
     finish = (lambda df: file_metadata_columns(df, metadata)) if metadata else (lambda df: df)
     keep = [METADATA] if metadata else []
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -55,41 +56,67 @@ class FlowFailed(Exception):
         super().__init__(f"{len(failures)} flow(s) failed: {detail}")
 
 
+def stream_id(spark: SparkSession, flow: Flow) -> str:
+    """The flow together with its checkpoint.
+
+    Batches are numbered from 0 by each checkpoint, so a number says which batch
+    it is only along with the checkpoint. The id lives beside it: who starts again
+    with a new or an emptied folder gets a new one. Checkpoints from before there
+    were ids go by the name of the flow alone.
+    """
+    path = storage.join(flow.checkpoint, "identity.json")
+    kept = storage.read_json(spark, path)
+    if kept is None:
+        older = [storage.join(flow.checkpoint, n) for n in ("stream", "once.json")]
+        known = any(storage.exists(spark, o) for o in older)
+        kept = {"id": flow.name if known else f"{flow.name}-{uuid.uuid4().hex[:16]}"}
+        storage.write_json(spark, path, kept)
+    return kept["id"]
+
+
 # ---- one batch --------------------------------------------------------------
 
 
-def write_batch(flow: Flow, batch: DataFrame, number: int) -> None:
+def write_batch(flow: Flow, batch: DataFrame, number: int, stream: str) -> None:
     """Rules, then the target, the quarantine and the metrics.
 
-    Every write is repeatable, so a batch that failed half-way is simply run
-    again. A batch that must be parsed is kept in executor memory and disk if it
-    is needed more than once; a lost executor recomputes its part.
+    Every write is repeatable, so a batch of a stream that failed half-way is simply
+    run again. Rules are counted while rows are written only where that is exact:
+    in the last stage, whose tasks count once however often they run. Otherwise one
+    aggregation counts all rules before the write. A batch that must be parsed
+    is kept in executor memory and disk if it is needed more than once; a lost
+    executor recomputes its part.
     """
     spark = batch.sparkSession
     rows = flow.transform(flow.source.expand(batch))
-    rules = flow.rules
-    passes = 1 + bool(rules.fail) + bool(rules.quarantine and flow.quarantine)
+    rules, target = flow.rules, flow.target
+    shuffled = flow.changes is not None or bool(target.partition_by or target.cluster_by)
+    counted_first = bool(rules.fail or (rules.counted() and shuffled))
+    passes = 1 + counted_first + bool(rules.quarantine and flow.quarantine)
     kept_in_memory = passes > 1 and not flow.source.columnar
     if kept_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        name = flow.target.name or flow.target.path
-        quality.check_fail_rules(rows, rules, name)
-        observed, observation = quality.observe_rules(rows, rules)
-        kept = quality.keep_rows(observed, rules)
+        counts, kept = None, rows
+        if counted_first:
+            counts = quality.checked_counts(rows, rules, target.name or target.path)
+        else:
+            kept, observation = quality.observe_rules(rows, rules)
+        kept = quality.keep_rows(kept, rules)
         if flow.changes is None:
-            written = tables.append(kept, flow.target, flow.name, number)
+            written = tables.append(kept, target, stream, number)
         else:
-            written = tables.apply_changes(kept, flow.target, flow.changes, flow.name, number)
+            written = tables.apply_changes(kept, target, flow.changes, stream, number)
         if rules.quarantine and flow.quarantine:
             bad = quality.quarantine_rows(rows, rules)
-            tables.append(bad, flow.quarantine, flow.name, number)
+            tables.append(bad, flow.quarantine, stream, number)
         if rules.counted():
-            counts = quality.observed_rows(rules, observation) if written else None
+            if counts is None and written:
+                counts = quality.observed_rows(rules, observation)
             if counts is None:
                 # written before its metrics, or not observed: count once more
                 counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
-            _write_metrics(spark, flow.name, flow.target, number, counts)
+            _write_metrics(spark, flow.name, target, stream, number, counts)
     finally:
         if kept_in_memory:
             rows.unpersist()
@@ -101,12 +128,11 @@ def write_snapshot(
     """The next snapshot of a target, under the same rules as a batch of a flow."""
     spark = rows.sparkSession
     number = tables.next_version(spark, target)
-    quality.check_fail_rules(rows, rules, target.name or target.path)
+    counts = quality.checked_counts(rows, rules, target.name or target.path)
     if rules.quarantine and quarantine:
         tables.append(quality.quarantine_rows(rows, rules), quarantine, SNAPSHOTS, number)
     if rules.counted():
-        counts = [tuple(r) for r in quality.rule_counts(rows, rules).collect()]
-        _write_metrics(spark, SNAPSHOTS, target, number, counts)
+        _write_metrics(spark, SNAPSHOTS, target, SNAPSHOTS, number, counts)
     # the table comes last: until then a repeated run finds the same number
     tables.apply_snapshot(quality.keep_rows(rows, rules), target, spec, version)
 
@@ -115,7 +141,9 @@ def metrics_target(target: Target, spark: SparkSession) -> Target:
     return Target(path=storage.join(target.location(spark), "_medallion", "metrics"))
 
 
-def _write_metrics(spark, flow: str, target: Target, number: int, rows: list[tuple]) -> None:
+def _write_metrics(
+    spark, flow: str, target: Target, stream: str, number: int, rows: list[tuple]
+) -> None:
     # one row per rule, as literals
     counts = F.array(
         *[
@@ -131,7 +159,7 @@ def _write_metrics(spark, flow: str, target: Target, number: int, rows: list[tup
     df = spark.range(0, 1, 1, 1).select(
         F.lit(flow).alias("flow"), F.lit(number).cast("long").alias("batch"), F.inline(counts)
     )
-    tables.append(df, metrics_target(target, spark), flow, number)
+    tables.append(df, metrics_target(target, spark), stream, number)
 
 
 def read_metrics(spark: SparkSession, target: Target) -> DataFrame:
@@ -165,10 +193,11 @@ def run_flow(spark: SparkSession, flow: Flow) -> None:
         _run_once(spark, flow)
         return
     errors: list[BaseException] = []
+    stream = stream_id(spark, flow)
 
     def each(batch: DataFrame, number: int) -> None:
         try:
-            write_batch(flow, batch, number)
+            write_batch(flow, batch, number, stream)
         except BaseException as error:
             errors.append(error)
             raise
@@ -192,7 +221,34 @@ def _run_once(spark: SparkSession, flow: Flow) -> None:
     marker = storage.join(flow.checkpoint, "once.json")
     if storage.exists(spark, marker):
         return
-    write_batch(flow, flow.source.open(False), 0)
+    write_batch(flow, flow.source.open(False), 0, stream_id(spark, flow))
+    storage.write_json(spark, marker, {"flow": flow.name})
+
+
+def run_on_version(spark: SparkSession, flow: Flow, source: str) -> None:
+    """A flow whose source table is rewritten by changes or snapshots: one batch per version.
+
+    Such a table has no stream of new rows. The batch is its current rows, and the
+    number of the batch is the version, so each version is processed once. Changes
+    are folded into the target as always; a target without changes shows what the
+    version became, so rows that left the source leave it too.
+    """
+    current = tables.manifest(spark, source)
+    if current is None:
+        return
+    version, stream = current["version"], stream_id(spark, flow)
+    marker = storage.join(flow.checkpoint, "versions", f"{version:020d}.json")
+    if storage.exists(spark, marker):
+        return
+    rows, rules = flow.transform(flow.source.read()), flow.rules
+    counts = quality.checked_counts(rows, rules, flow.target.name or flow.target.path)
+    kept = quality.keep_rows(rows, rules)
+    if flow.changes is None:
+        tables.overwrite(kept, flow.target)
+    else:
+        tables.apply_changes(kept, flow.target, flow.changes, stream, version)
+    if rules.counted():
+        _write_metrics(spark, flow.name, flow.target, stream, version, counts)
     storage.write_json(spark, marker, {"flow": flow.name})
 
 

@@ -16,7 +16,9 @@ from ..plans.specs import AppendFlow, BronzeSpec, SilverSpec, Spec
 from ..sources import SourceRequest, open_source
 from ..sources.snapshots import NextSnapshot, new_snapshots, numbered_files
 from . import tables
-from .flows import Flow, FlowFailed, flow_session, run_flows, write_snapshot
+from .flows import (
+    Flow, FlowFailed, flow_session, run_flow, run_flows, run_on_version, write_snapshot,
+)
 from .tables import Target
 
 UserFunction = Callable[[DataFrame, Spec], DataFrame]
@@ -151,6 +153,31 @@ class Pipeline:
             rows = apply_user_function(snapshot, self.bronze_transform, spec)
             write_snapshot(rows, version, target, snapshots, rules, self.quarantine(spec))
 
+    # ---- sources that are rewritten ----
+
+    def rewritten_source(self, spec: Spec) -> str | None:
+        """Path of a silver spec's bronze table if changes or snapshots rewrite it."""
+        if not isinstance(spec, SilverSpec):
+            return None
+        details = spec.sourceDetails or {}
+        database, table = details.get("database"), details.get("table")
+        path = details.get("path")
+        if path is None and table:
+            path = tables.path_of(self.spark, f"{database}.{table}" if database else table)
+        described = tables.describe(self.spark, path) if path else None
+        return path if described and described["kind"] != "append" else None
+
+    def run_versions(self, spec: SilverSpec, source: str) -> None:
+        """A silver spec over the current version of its bronze table."""
+        main, *more = self.flows(spec)
+        if more and main.changes is None:
+            raise ValueError(
+                f"{spec.table}: append flows need a bronze table of appended rows, or changes"
+            )
+        run_on_version(self.spark, main, source)
+        for flow in more:
+            run_flow(self.spark, flow)
+
     # ---- running ----
 
     def run(self, specs: list[Spec]) -> None:
@@ -159,23 +186,30 @@ class Pipeline:
         snapshots = [
             s for s in specs if isinstance(s, BronzeSpec) and s.sourceFormat.lower() == "snapshot"
         ]
-        flows, failures = [], {}
+        flows, versions, failures = [], [], {}
         for spec in specs:
             if spec in snapshots:
                 continue
             try:
-                flows += self.flows(spec)
+                source = self.rewritten_source(spec)
+                if source:
+                    versions.append((spec, source))
+                else:
+                    flows += self.flows(spec)
             except Exception as error:
                 failures[spec.table] = error
 
-        def one(spec: BronzeSpec) -> None:
+        def one(spec: Spec, source: str | None) -> None:
             try:
-                self.run_snapshots(spec)
+                if source:
+                    self.run_versions(spec, source)
+                else:
+                    self.run_snapshots(spec)
             except Exception as error:
                 failures[spec.table] = error
 
         with ThreadPoolExecutor(max(1, self.at_once)) as pool:
-            list(pool.map(one, snapshots))
+            list(pool.map(lambda given: one(*given), [*[(s, None) for s in snapshots], *versions]))
         try:
             run_flows(self.spark, flows, self.at_once)
         except FlowFailed as error:

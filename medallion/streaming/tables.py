@@ -10,8 +10,11 @@ the current ones:
 * snapshot targets: ``state/__v=<version>/__open=<0|1>``; closed versions are
   never rewritten.
 
-A batch becomes visible by writing its manifest, the last step, so a failed
-batch leaves the table as it was, and a repeated one is recognised.
+A change or snapshot batch becomes visible by writing its manifest, the last step,
+so a failed batch leaves the table as it was, and a repeated one is recognised. The
+files of an append batch become visible when Spark commits its write; rules and
+quarantine rows of the batch may follow later. Which batch of which stream it was
+says the stream's id, a name with the id of its checkpoint.
 """
 
 from __future__ import annotations
@@ -82,13 +85,24 @@ def _meta(path: str, *parts: str) -> str:
     return storage.join(path, "_medallion", *parts)
 
 
+def _newest(spark: SparkSession, folder: str) -> dict | None:
+    """The last of numbered files; each is written once and never replaced."""
+    names = [n for n in storage.list_names(spark, folder) if n.endswith(".json")]
+    return storage.read_json(spark, storage.join(folder, names[-1])) if names else None
+
+
+def describe(spark: SparkSession, path: str) -> dict | None:
+    """The description of the table at a path, None if there is none."""
+    # tables from before descriptions were numbered have a single file
+    return _newest(spark, _meta(path, "tables")) or storage.read_json(spark, _meta(path, "table.json"))
+
+
 def is_ours(spark: SparkSession, path: str) -> bool:
-    return storage.exists(spark, _meta(path, "table.json"))
+    return describe(spark, path) is not None
 
 
 def manifest(spark: SparkSession, path: str) -> dict | None:
-    names = [n for n in storage.list_names(spark, _meta(path, "versions")) if n.endswith(".json")]
-    return storage.read_json(spark, _meta(path, "versions", names[-1])) if names else None
+    return _newest(spark, _meta(path, "versions"))
 
 
 def _commit(spark, target: Target, value: dict) -> None:
@@ -101,7 +115,7 @@ def _commit(spark, target: Target, value: dict) -> None:
 def _describe(spark, target: Target, kind: str, schema: T.StructType, **more) -> dict:
     """Create or update the table description; new columns are added at the end."""
     path = target.location(spark)
-    known = storage.read_json(spark, _meta(path, "table.json"))
+    known = describe(spark, path)
     if known and known["kind"] != kind:
         raise ValueError(f"{path} holds a {known['kind']} table, not a {kind} table")
     fields = {f.name: f for f in T.StructType.fromJson(known["schema"]).fields} if known else {}
@@ -117,7 +131,8 @@ def _describe(spark, target: Target, kind: str, schema: T.StructType, **more) ->
     }
     described = json.loads(json.dumps(described))
     if described != known:
-        storage.write_json(spark, _meta(path, "table.json"), described, overwrite=True)
+        number = len(storage.list_names(spark, _meta(path, "tables")))
+        storage.write_json(spark, _meta(path, "tables", f"{number:020d}.json"), described)
     return described
 
 
@@ -217,7 +232,7 @@ def show(spark: SparkSession, target: Target) -> None:
     if not target.name:
         return
     path = target.location(spark)
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     folder, condition = _current(spark, path, described)
     schema = T.StructType.fromJson(described["schema"])
     parts = described["partition_by"]
@@ -322,7 +337,7 @@ def location_of(spark: SparkSession, name: str) -> str:
 def read(
     spark: SparkSession, path: str, streaming: bool = False, options: dict | None = None
 ) -> DataFrame:
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     if described is None:
         raise FileNotFoundError(f"no table at {path}")
     schema = T.StructType.fromJson(described["schema"])
@@ -343,7 +358,7 @@ def read(
 def declare_append(spark: SparkSession, target: Target, schema: T.StructType) -> T.StructType:
     """Create the table if needed; returns its columns, old and new."""
     path = target.location(spark)
-    known = storage.read_json(spark, _meta(path, "table.json"))
+    known = describe(spark, path)
     described = _describe(spark, target, "append", schema)
     full = T.StructType.fromJson(described["schema"])
     if known is None or known["schema"] != described["schema"]:
@@ -361,7 +376,7 @@ def append(df: DataFrame, target: Target, flow: str, batch: int) -> bool:
     folder = storage.join(path, "data", f"{FLOW}={flow}", f"{BATCH}={batch}")
     if storage.exists(spark, storage.join(folder, "_SUCCESS")):
         return False
-    known = storage.read_json(spark, _meta(path, "table.json"))
+    known = describe(spark, path)
     if known and known["kind"] != "append":
         raise ValueError(f"{path} holds a {known['kind']} table, not an append table")
     names = [f["name"] for f in known["schema"]["fields"]] if known else []
@@ -401,7 +416,7 @@ def declare_changes(spark, target: Target, schema: T.StructType, spec: cdc.Chang
 
 def _with_columns_of(spark, path: str, df: DataFrame, spec: cdc.ChangeSpec) -> DataFrame:
     """The input with the table's columns first, nulls for those it lacks."""
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     if described is None:
         return df
     known = [
@@ -421,7 +436,7 @@ def _with_columns_of(spark, path: str, df: DataFrame, spec: cdc.ChangeSpec) -> D
 def _declare(spark, target, kind, schema, stored, folders, inner, expressions=None) -> None:
     path = target.location(spark)
     full = T.StructType([*stored.fields, *[T.StructField(n, t) for n, t in folders]])
-    known = storage.read_json(spark, _meta(path, "table.json"))
+    known = describe(spark, path)
     if known is None or known.get("stored") != json.loads(json.dumps(full.jsonValue())):
         # "-1" sorts before every version, so readers take the columns from it
         folder = storage.join(path, "state", f"{VERSION}=-1", *[f"{n}=-1" for n in inner])
@@ -431,7 +446,7 @@ def _declare(spark, target, kind, schema, stored, folders, inner, expressions=No
 
 
 def _read_state(spark, path: str, current: dict, buckets: list[int]) -> DataFrame:
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     stored = T.StructType.fromJson(described["stored"])
     rows = _load(spark, storage.join(path, "state"), stored, described["partition_by"])
     # both conditions are on folder names, so other buckets are not even listed as tasks
@@ -446,7 +461,7 @@ def apply_changes(
     spark = df.sparkSession
     path = target.location(spark)
     df = _with_columns_of(spark, path, df, spec)
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     shape = cdc.shape_of(df, spec)
     known = T.StructType.fromJson(described["schema"]).names if described else []
     if any(c not in known for c in shape.columns):
@@ -701,7 +716,7 @@ def overwrite(df: DataFrame, target: Target) -> None:
     _declare(spark, target, "full", df.schema, df.schema, [(VERSION, T.LongType())], [])
     version = next_version(spark, target)
     folder = storage.join(path, "state", f"{VERSION}={version}")
-    described = storage.read_json(spark, _meta(path, "table.json"))
+    described = describe(spark, path)
     full = T.StructType.fromJson(described["schema"])
     _store(_laid_out(_align(df, full), target), folder, target.partition_by)
     _commit(spark, target, {"version": version, "snapshot": None})
@@ -718,7 +733,7 @@ def _vacuum(spark, target: Target, version: int) -> None:
     if len(names) <= keep:
         return
     kept = [storage.read_json(spark, _meta(path, "versions", n)) for n in names[-keep:]]
-    kind = storage.read_json(spark, _meta(path, "table.json"))["kind"]
+    kind = describe(spark, path)["kind"]
     doomed = []
     for number in _numbers(spark, storage.join(path, "state"), VERSION):
         folder = storage.join(path, "state", f"{VERSION}={number}")

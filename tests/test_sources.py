@@ -203,3 +203,62 @@ def test_plain_catalog_table_as_a_stream(spark, tmp_path):
     request = SourceRequest(spark, "delta", {"source_database": "plain", "source_table": "numbers"},
                             {"maxFilesPerTrigger": "1"})
     assert run(spark, tmp_path, request).count() == 5
+
+
+def _inferred(spark, tmp_path, fmt, options=None):
+    request = SourceRequest(
+        spark, "cloudFiles", {"path": str(tmp_path / "in")},
+        {"cloudFiles.format": fmt, "cloudFiles.inferColumnTypes": "true", **(options or {})},
+        state=str(tmp_path / "state"),
+    )
+    return run(spark, tmp_path, request)
+
+
+def _wait_for_next_second(path):
+    """File times may be whole seconds; the next file shall be newer."""
+    import os
+    import time
+
+    old = time.time() - 60
+    os.utime(path, (old, old))
+
+
+@pytest.mark.parametrize("fmt, first, second", [
+    ("json", '{"a":1}\n', '{"a":2,"b":"new"}\n'),
+    ("csv", "a\n1\n", "b,a\nnew,2\n"),
+])
+def test_columns_of_later_files_are_kept(spark, tmp_path, fmt, first, second):
+    (tmp_path / "in").mkdir()
+    options = {"header": "true"} if fmt == "csv" else None
+    (tmp_path / "in" / f"1.{fmt}").write_text(first)
+    _wait_for_next_second(tmp_path / "in" / f"1.{fmt}")
+    _inferred(spark, tmp_path, fmt, options)
+    _inferred(spark, tmp_path, fmt, options)
+    (tmp_path / "in" / f"2.{fmt}").write_text(second)
+    got = _inferred(spark, tmp_path, fmt, options)
+    assert sorted((r.a, r.b) for r in got.collect()) == [(1, None), (2, "new")]
+
+
+def test_csv_headers_as_spark_reads_them(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n\nid,v\n1,x\n")
+    (tmp_path / "in" / "b.csv").write_text('"v","id","long\nname"\ny,2,z\n')
+    (tmp_path / "in" / "c.csv").write_text("")
+    got = _inferred(spark, tmp_path, "csv", {"header": "true", "multiLine": "true"})
+    rows = {r.id: r for r in got.collect()}
+    assert {i: (r.v, r["long\nname"]) for i, r in rows.items()} == {1: ("x", None), 2: ("y", "z")}
+
+
+def test_csv_names_must_differ(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,id\n1,2\n")
+    with pytest.raises(ValueError, match=r"names \['id'\] more than once"):
+        _inferred(spark, tmp_path, "csv", {"header": "true"})
+
+
+def test_csv_files_that_start_with_blank_lines(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n  \nid,v\n1,x\n")
+    (tmp_path / "in" / "b.csv").write_text("v,id\ny,2\n")
+    got = _inferred(spark, tmp_path, "csv", {"header": "true"})
+    assert sorted((r.id, r.v) for r in got.collect()) == [(1, "x"), (2, "y")]

@@ -8,7 +8,7 @@ from medallion import storage
 from medallion.operators.cdc import ChangeSpec
 
 USER_COLUMNS = ["user_id", "event_type", "value"]
-PERIOD_DAYS, PERIODS = 6, 5
+PERIODS = 5
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,14 +38,24 @@ def with_nulls(events: DataFrame) -> DataFrame:
 
 def user_snapshots(events: DataFrame) -> DataFrame:
     """Per period the last event of each user; users that end in an error are missing."""
-    day = F.datediff(F.col("ts"), F.lit("2024-01-01").cast("date"))
-    period = F.least(F.floor(day / PERIOD_DAYS).cast("int") + 1, F.lit(PERIODS))
+    days = events.agg(F.min("ts").cast("date").alias("first"), F.max("ts").cast("date").alias("last")).first()
+    first = F.lit(days["first"]).cast("date")
+    width = F.ceil((F.datediff(F.lit(days["last"]).cast("date"), first) + 1) / PERIODS)
+    period = F.floor(F.datediff("ts", first) / width).cast("int") + 1
     last = events.groupBy(period.alias("period"), "user_id").agg(
         F.max_by(F.struct("event_type", "value"), "ts").alias("e")
     )
     return last.select("period", "user_id", "e.event_type", "e.value").where("event_type <> 'error'")
 
 
+def time_cuts(events: DataFrame, shares: list[float]) -> list:
+    """Points in time at shares of the span of the events."""
+    span = events.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    if span["first"] is None:
+        return [None for _ in shares]
+    return [span["first"] + (span["last"] - span["first"]) * share for share in shares]
+
+
 def write_user_snapshots(events: DataFrame, folder: str) -> str:
     """One parquet folder per version, named as numbered snapshot files are."""
     snapshots = user_snapshots(events).persist()

@@ -53,9 +53,11 @@ FROM (SELECT *, count(*) FILTER (WHERE event_type = 'error')
 
 SNAPSHOTS = """
 SELECT period, user_id, event_type, value FROM (
-  SELECT least(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 6 + 1, 5) AS period, user_id,
+  SELECT date_diff('day', first, CAST(ts AS DATE)) // width + 1 AS period, user_id,
     arg_max(event_type, ts) AS event_type, arg_max(value, ts) AS value
-  FROM events GROUP BY 1, 2) WHERE event_type <> 'error'"""
+  FROM events, (SELECT first, CAST(ceil((date_diff('day', first, last) + 1) / 5) AS BIGINT) AS width FROM (
+    SELECT min(CAST(ts AS DATE)) AS first, max(CAST(ts AS DATE)) AS last FROM events))
+  GROUP BY 1, 2) WHERE event_type <> 'error'"""
 
 
 def snapshot_history(tracked: list[str]) -> str:
@@ -129,6 +131,13 @@ def violation(condition: str, problem: str) -> str:
     )
 
 
+CUSTOMER_METRICS = " UNION ALL ".join([
+    rule("warn", "has_name", "c_name IS NOT NULL", "customer"),
+    rule("warn", "rich", "c_acctbal > 5000", "customer"),
+    rule("drop", "positive", "c_acctbal >= 0", "customer"),
+    rule("drop", "no_cars", "c_mktsegment <> 'AUTOMOBILE'", "customer"),
+])
+
 ORACLES = {
     "cdc_scd1": latest(EVENTS, USER),
     "cdc_scd2": history(EVENTS, ["event_type", "value"], ["event_type", "value"]),
@@ -158,12 +167,7 @@ SELECT 'event_id:bigint,user_id:bigint,event_type:string,value:double,'
     "snapshot_history": snapshot_history(["event_type", "value"]),
     "dq_drop": f"SELECT * FROM customer WHERE {KEPT_CUSTOMERS}",
     "dq_quarantine": "SELECT * FROM customer WHERE c_acctbal < 0",
-    "dq_warn_metrics": " UNION ALL ".join([
-        rule("warn", "has_name", "c_name IS NOT NULL", "customer"),
-        rule("warn", "rich", "c_acctbal > 5000", "customer"),
-        rule("drop", "positive", "c_acctbal >= 0", "customer"),
-        rule("drop", "no_cars", "c_mktsegment <> 'AUTOMOBILE'", "customer"),
-    ]),
+    "dq_warn_metrics": CUSTOMER_METRICS,
     "dq_rule_counts": " UNION ALL ".join([
         rule("warn", "open", "o_orderstatus = 'O'", "orders"),
         rule("fail", "priced", "o_totalprice > 1000", "orders"),
@@ -254,4 +258,28 @@ SELECT table_name, (SELECT count(*) FROM supplier) AS expected_rows, rows,
   CASE WHEN rows >= (SELECT count(*) FROM supplier) THEN 'passed' ELSE 'failed' END AS result
 FROM ({COUNTS})""",
     "synthetic_feed": f"SELECT o_orderkey AS id, {', '.join(synthetic(i) for i in range(1, 6))} FROM orders",
+    "dq_metrics_clustered": CUSTOMER_METRICS,
+    "dq_metrics_partitioned": CUSTOMER_METRICS,
+    "checkpoint_reset": "SELECT 'append' AS target, * FROM orders UNION ALL SELECT 'type1', * FROM orders",
+    "file_stream_new_columns": """
+SELECT event_id, user_id, event_type, value, CASE WHEN event_type <> 'view' THEN props END AS props FROM events""",
+    "declared_table": """
+SELECT 'region.' || n_regionkey AS key, CAST(count(*) AS VARCHAR) AS value FROM nation GROUP BY n_regionkey
+UNION ALL SELECT 'comment', 'nations of ' || count(DISTINCT n_regionkey) || ' regions' FROM nation""",
+    "bronze_cdc_to_silver": f"""
+SELECT * FROM ({latest(EVENTS, "user_id, upper(event_type) AS event_type, value")}) WHERE value > 10""",
+    "bronze_cdc_to_silver_scd2": f"""
+WITH s AS (SELECT *, first + (last - first) / 2 AS cut FROM events, (
+    SELECT min(ts) AS first, max(ts) AS last FROM events)),
+v AS (
+  SELECT user_id, event_type, value, ts, 1 AS run FROM (
+    {latest("SELECT * FROM s WHERE ts < cut", "*")})
+  UNION ALL SELECT user_id, event_type, value, ts, 2 FROM ({latest("SELECT * FROM s", "*")})),
+d AS (
+  SELECT *, lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND lag(value) OVER w IS NOT DISTINCT FROM value
+    AND lag(ts) OVER w IS NOT NULL AS same FROM v WINDOW w AS (PARTITION BY user_id ORDER BY run))
+SELECT user_id, event_type, value, ts AS "__START_AT",
+  lead(ts) OVER (PARTITION BY user_id ORDER BY run) AS "__END_AT" FROM d WHERE NOT same""",
+    "onboarded_quarantine": """
+SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 100 AND event_type <> 'view'""",
 }

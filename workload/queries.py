@@ -182,8 +182,9 @@ def _late(spark, folder, name, **spec) -> DataFrame:
     """Events arrive out of order, over several runs of the flow."""
     work = _work(spark, name)
     events = feeds.with_nulls(table(spark, folder, "events"))
-    for part, when in enumerate(("ts >= '2024-01-20'", "ts < '2024-01-08'",
-                                 "ts >= '2024-01-08' AND ts < '2024-01-20'")):
+    ts = F.col("ts")
+    early, late = (F.lit(t).cast("timestamp_ntz") for t in feeds.time_cuts(events, [0.25, 0.65]))
+    for part, when in enumerate((ts >= late, ts < early, (ts >= early) & (ts < late))):
         events.where(when).write.parquet(f"{work}/in/{part}")
         source = _file_source(spark, "parquet", f"{work}/in/*", events.schema)
         flow = Flow("main", source, Target(path=f"{work}/out"), f"{work}/checkpoint",
@@ -286,6 +287,29 @@ def dq_warn_metrics(spark, folder):
     )
 
 
+def _customer_metrics(spark, folder, name, **layout) -> DataFrame:
+    work = _work(spark, name)
+    flow = _table_flow(
+        spark, folder, "customer", work, rules=Rules.parse(CUSTOMER_RULES),
+        target=Target(path=f"{work}/customer", **layout),
+    )
+    run_flow(spark, flow)
+    return read_metrics(spark, flow.target).groupBy("effect", "rule").agg(
+        F.sum("passed").alias("passed"), F.sum("failed").alias("failed")
+    )
+
+
+@query
+def dq_metrics_clustered(spark, folder):
+    """Counts stay right where the write samples its input first."""
+    return _customer_metrics(spark, folder, "dq_clustered", cluster_by=["c_nationkey"])
+
+
+@query
+def dq_metrics_partitioned(spark, folder):
+    return _customer_metrics(spark, folder, "dq_partitioned", partition_by=["c_mktsegment"])
+
+
 @query
 def dq_rule_counts(spark, folder):
     return quality.rule_counts(table(spark, folder, "orders"), Rules.parse({
@@ -471,6 +495,58 @@ def append_flow_once(spark, folder):
     return _result(spark, flow.target)
 
 
+@query
+def checkpoint_reset(spark, folder):
+    """Two halves under two checkpoints, each run twice, into an append and a type 1 target."""
+    work = _work(spark, "reset")
+    orders = table(spark, folder, "orders")
+    open_orders = F.col("o_orderstatus") == "O"
+    for part, half in enumerate((open_orders, ~open_orders)):
+        orders.where(half).write.parquet(f"{work}/in{part}")
+    found = []
+    spec = cdc.ChangeSpec(keys=["o_orderkey"], sequence_by="o_orderdate")
+    for name, changes in (("append", None), ("type1", spec)):
+        for part in (0, 1, 0, 1):
+            source = _file_source(spark, "parquet", f"{work}/in{part}", orders.schema)
+            flow = Flow("main", source, Target(path=f"{work}/{name}"), f"{work}/{name}-{part}", changes=changes)
+            run_flow(spark, flow)
+        found.append(_result(spark, flow.target).select(F.lit(name).alias("target"), "*"))
+    return found[0].unionByName(found[1])
+
+
+@query
+def file_stream_new_columns(spark, folder):
+    """Later files bring a column that the first ones lack."""
+    work = _work(spark, "new_columns")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value", "props")
+    early = F.col("event_type") == "view"
+    for part in (events.where(early).drop("props"), events.where(~early)):
+        part.write.mode("append").json(f"{work}/in")
+        source = _file_source(spark, "cloudFiles", f"{work}/in", state=f"{work}/state", **{
+            "cloudFiles.format": "json", "cloudFiles.inferColumnTypes": "true"})
+        flow = Flow("main", source, Target(path=f"{work}/out"), f"{work}/checkpoint")
+        run_flow(spark, flow)
+    return _result(spark, flow.target)
+
+
+@query
+def declared_table(spark, folder):
+    """Properties and comment of a table, as the catalog shows them."""
+    work = _work(spark, "declared")
+    database = f"m_{work[-12:]}"
+    tables.create_database(spark, database, f"{work}/db")
+    nations = table(spark, folder, "nation")
+    counts = nations.groupBy("n_regionkey").count().collect()
+    target = Target(
+        f"{database}.nations", comment=f"nations of {len(counts)} regions",
+        properties={f"region.{r['n_regionkey']}": str(r["count"]) for r in counts},
+    )
+    tables.append(nations, target, "main", 0)
+    shown = spark.sql(f"SHOW TBLPROPERTIES {target.name}").where("key LIKE 'region.%'")
+    comment = spark.sql(f"DESCRIBE EXTENDED {target.name}").where("col_name = 'Comment'")
+    return shown.union(comment.select(F.lit("comment"), "data_type"))
+
+
 @query
 def table_stream(spark, folder):
     work = _work(spark, "table_stream")
@@ -782,6 +858,91 @@ def onboarded_run(spark, folder):
     return spark.table(f"{database}.users")
 
 
+def _onboard(spark, name: str, events: DataFrame, record: dict, projection: dict):
+    """Spec tables for one record over JSON events; returns what runs them."""
+    work = _work(spark, name)
+    database = f"m_{work[-12:]}"
+    tables.create_database(spark, database, f"{work}/db")
+    storage.write_text(spark, f"{work}/events.ddl", "event_id bigint, ts timestamp_ntz, user_id bigint, "
+                       "event_type string, value double")
+    storage.write_text(spark, f"{work}/projections.json", json.dumps([projection]))
+    storage.write_text(spark, f"{work}/onboarding.json", json.dumps([{
+        "data_flow_id": "100", "data_flow_group": "A1", "source_format": "cloudFiles",
+        "source_details": {"source_path_dev": f"{work}/in", "source_schema_path": f"{work}/events.ddl"},
+        "bronze_database_dev": database, "bronze_table": "events",
+        "bronze_table_path_dev": f"{work}/bronze/events",
+        "bronze_reader_options": {"cloudFiles.format": "json"},
+        "silver_database_dev": database, "silver_table": "users",
+        "silver_table_path_dev": f"{work}/silver/users",
+        "silver_transformation_json_dev": f"{work}/projections.json",
+        "bronze_database_quarantine_dev": database, **record,
+    }]))
+    specs = {layer: Target(f"{database}.{layer}_specs") for layer in ("bronze", "silver")}
+    onboarding.onboard(spark, f"{work}/onboarding.json", "dev", "v1", "me", specs)
+
+    def feed(part: DataFrame) -> None:
+        part = part.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        part.write.mode("append").json(f"{work}/in")
+        run(Pipeline(spark, f"{work}/checkpoints"), "bronze_silver", specs["bronze"], specs["silver"], "A1")
+
+    return feed, database
+
+
+USER_CDC = {"keys": ["user_id"], "sequence_by": "ts", "scd_type": "1", "apply_as_deletes": "event_type = 'error'"}
+
+
+@query
+def bronze_cdc_to_silver(spark, folder):
+    """A silver table over a bronze table that changes rewrite, in two runs."""
+    events = table(spark, folder, "events")
+    feed, database = _onboard(
+        spark, "cdc_silver", events, {"bronze_cdc_apply_changes": USER_CDC},
+        {"target_table": "users", "select_exp": ["user_id", "upper(event_type) AS event_type", "value"],
+         "where_clause": ["value > 10"]},
+    )
+    (cut,) = feeds.time_cuts(events, [0.5])
+    cut = F.lit(cut).cast("timestamp_ntz")
+    feed(events.where(F.col("ts") < cut))
+    feed(events.where(F.col("ts") >= cut))
+    return spark.table(f"{database}.users")
+
+
+@query
+def bronze_cdc_to_silver_scd2(spark, folder):
+    """Changes in both layers: the silver history has a version per state that a run saw."""
+    events = table(spark, folder, "events")
+    feed, database = _onboard(
+        spark, "cdc_silver2", events,
+        {"bronze_cdc_apply_changes": {**USER_CDC, "flow_name": "users_flow"},
+         "silver_cdc_apply_changes": {"keys": ["user_id"], "sequence_by": "ts", "scd_type": "2",
+                                      "except_column_list": ["event_id", "ts"]}},
+        {"target_table": "users", "select_exp": ["user_id", "event_type", "value", "event_id", "ts"],
+         "where_clause": ["user_id IS NOT NULL"]},
+    )
+    (cut,) = feeds.time_cuts(events, [0.5])
+    cut = F.lit(cut).cast("timestamp_ntz")
+    feed(events.where(F.col("ts") < cut))
+    feed(events.where(F.col("ts") >= cut))
+    return spark.table(f"{database}.users")
+
+
+@query
+def onboarded_quarantine(spark, folder):
+    """The quarantine table that the onboarding record names."""
+    work_rules = _work(spark, "quarantine_rules")
+    storage.write_text(spark, f"{work_rules}/rules.json", json.dumps(
+        {"expect_or_quarantine": {"bad": "value > 100", "late": "event_type <> 'view'"}}))
+    events = table(spark, folder, "events")
+    feed, database = _onboard(
+        spark, "quarantined", events,
+        {"bronze_data_quality_expectations_json_dev": f"{work_rules}/rules.json",
+         "bronze_quarantine_table": "events_quarantine"},
+        {"target_table": "users", "select_exp": ["user_id"], "where_clause": ["user_id IS NOT NULL"]},
+    )
+    feed(events)
+    return spark.table(f"{database}.events_quarantine")
+
+
 # ---- audit ------------------------------------------------------------------
 
 AUDITED = ("customer", "orders", "lineitem", "supplier", "part", "events", "documents", "pages")
