@@ -15,6 +15,8 @@ from . import skew
 
 START, END = "__START_AT", "__END_AT"
 SEQ, DEL, TIE, TRUNC = "__seq", "__del", "__tie", "__trunc"
+# rows per sequence of a hot key from which equal sequences are reduced first
+MEAN_REPEATS = 2
 
 
 @dataclass(frozen=True)
@@ -340,22 +342,29 @@ def _hot_history(log: DataFrame, shape: Shape, hot: DataFrame, limit: int) -> Da
     """Hot keys are cut into slices; runs are found per slice, then joined.
 
     Only the first and the last run of a slice take part in the joining. Where
-    very many rows share one sequence, an aggregation that combines before the
-    shuffle removes the losers first.
+    rows share sequences (a date, say), an aggregation that combines before the
+    shuffle removes the losers first: slices are cut between sequences, so a key
+    must not have many more rows than sequences.
     """
     keys = [F.col(f"`{k}`") for k in shape.keys]
-    most = log.groupBy(*keys, SEQ).count().agg(F.max("count")).first()[0]
+    repeats = (
+        log.groupBy(*keys, SEQ).agg(F.count(F.lit(1)).alias("__n"))
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("__d"), F.max("__n").alias("__m"), F.sum("__n").alias("__n"))
+        .agg(F.max("__m").alias("most"), F.max(F.col("__n") / F.col("__d")).alias("mean"))
+    ).first()
     rows = log
-    if most > limit:
+    reduced = repeats["most"] > limit or repeats["mean"] > MEAN_REPEATS
+    if reduced:
         payload = [*shape.values, DEL, TIE]
         rows = (
             log.groupBy(*keys, SEQ)
             .agg(F.max_by(struct_of(payload), _order()).alias("__w"))
             .select(*keys, SEQ, *[F.col(f"__w.`{c}`").alias(c) for c in payload])
         )
+        hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rows = skew.add_slices(rows, hot, shape.keys, SEQ, limit)
     in_slice = Window.partitionBy(*keys, skew.SLICE).orderBy(*_sorted_by())
-    if 1 < most <= limit:
+    if repeats["most"] > 1 and not reduced:
         rows = _winners(rows, in_slice)
     if shape.fill:
         rows = _filled(rows, shape)
@@ -386,6 +395,20 @@ def type2_history(log: DataFrame, shape: Shape, buckets: int | None = None) -> D
     )
 
 
+def open_as_changes(versions: DataFrame, shape: Shape) -> DataFrame:
+    """Open versions as the changes that began them, for a history that goes on.
+
+    An open version has the values of the last event before, nulls filled where the
+    table ignores them, so newer events see the same as after all older ones.
+    """
+    return versions.select(
+        *[f"`{c}`" for c in shape.columns],
+        F.col(START).alias(SEQ),
+        F.lit(False).alias(DEL),
+        row_hash(shape.schema, shape.values).alias(TIE),
+    )
+
+
 def type2(df: DataFrame, spec: ChangeSpec) -> DataFrame:
     return type2_history(change_rows(df, spec), shape_of(df, spec))
 

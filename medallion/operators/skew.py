@@ -5,8 +5,9 @@ than one task should get are cut into slices of their order, so that a window is
 partitioned by (key, slice); what crosses a slice border is settled on a table
 with a few rows per slice.
 
-The number of hot keys and slices follows from the shuffle partitions, not from
-the data: a hot key holds more than 1/(4 * partitions) of all rows.
+A key is hot if it has more rows than a slice, whatever the other keys have. Hot
+keys are broadcast, so there may be at most ``HOT_KEYS``: only with more rows than
+that many slices hold does the slice grow.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS_PER_SLICE = "medallion.slice.rows"
 KEY, SLICE = "__k", "__slice"
 SAMPLES_PER_SLICE = 16
+HOT_KEYS = 100_000
 
 
 def slice_rows(spark) -> int:
@@ -33,10 +35,9 @@ def hot_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame | None, int]:
     total, top = counts.agg(F.sum("__n"), F.max("__n")).first()
     if top is None or top <= limit:
         return None, limit
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(limit, math.ceil(total / (4 * partitions)))
+    limit = max(limit, math.ceil(total / HOT_KEYS))
     hot = counts.where(F.col("__n") > limit)
-    # at most 4 * partitions rows, see above
+    # fewer than HOT_KEYS rows, see above
     found = hot.collect()
     return (spark.createDataFrame(found, hot.schema) if found else None), limit
 

@@ -24,6 +24,7 @@ import json
 import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -474,16 +475,18 @@ def apply_changes(
     version = current["version"] + 1
     touched, floor = merge(df, target, spec, current, version)
     buckets = [version if i in touched else v for i, v in enumerate(current["buckets"])]
-    _commit(
-        spark,
-        target,
-        {
-            "version": version,
-            "buckets": buckets,
-            "applied": {**current["applied"], flow: batch},
-            "floor": floor,
-        },
-    )
+    following = {
+        "version": version,
+        "buckets": buckets,
+        "applied": {**current["applied"], flow: batch},
+        "floor": floor,
+    }
+    known_heads = current.get("heads") or ([-1] * len(buckets) if not current["version"] else None)
+    if spec.scd_type == "2" and known_heads is not None:
+        following["heads"] = [
+            version if i in touched or not current["version"] else v for i, v in enumerate(known_heads)
+        ]
+    _commit(spark, target, following)
     return True
 
 
@@ -558,6 +561,13 @@ def _forget(state: DataFrame, shape: cdc.Shape, floor: str) -> DataFrame:
 
 
 def _merge_type2(df, target, spec, current, version):
+    """Fold a batch into a history.
+
+    Where all events of a key are newer than any that came before, its history goes
+    on from its open version; the change log is not read. Only keys with late events
+    are rebuilt from the log, from the version that the first of them falls into. The
+    newest sequence of every key is kept in ``heads`` to tell them apart.
+    """
     spark = df.sparkSession
     path = target.location(spark)
     shape = cdc.shape_of(df, spec)
@@ -571,33 +581,99 @@ def _merge_type2(df, target, spec, current, version):
     )
     logged = spark.read.schema(stored).parquet(storage.join(path, "log"))
     batch = logged.where(F.col(VERSION) == version).drop(VERSION, BUCKET)
-    if not current["version"]:
-        history = cdc.type2_history(batch, shape, buckets)
-        return _write_buckets(history, target, shape.keys, version, buckets), None
     keys = [f"`{k}`" for k in shape.keys]
-    earliest = batch.groupBy(*keys).agg(F.min(cdc.SEQ).alias("__from")).persist()
+    spans = batch.groupBy(*keys).agg(F.min(cdc.SEQ).alias("__from"), F.max(cdc.SEQ).alias("__last")).persist()
     try:
-        touched, small = _touched(earliest, shape.keys, buckets)
+        if not current["version"]:
+            _write_heads(spans.select(*keys, "__last"), path, shape.keys, version, buckets)
+            history = cdc.type2_history(batch, shape, buckets)
+            return _write_buckets(history, target, shape.keys, version, buckets), None
+        touched, small = _touched(spans, shape.keys, buckets)
         if not touched:
             return [], None
-        old = _read_state(spark, path, current, touched)
-        events = logged.where((F.col(VERSION) <= version) & F.col(BUCKET).isin(touched))
-        events = events.drop(VERSION, BUCKET)
-        cuts = _cuts(old, earliest, shape, small).persist()
+        earliest = spans.select(*keys, "__from")
+        heads = _read_heads(spark, path, current, touched, spans.select(*keys, "__last"), logged)
+        late = skew.join_per_key(heads, earliest, shape.keys, small)
+        late = late.where(F.col("__from") <= F.col("__last")).select(*keys, "__from").persist()
         try:
-            # versions that begin before the cut of their key stay as they are
-            kept = skew.join_per_key(old, cuts, shape.keys, small, "left")
-            settled = F.col("__cut").isNull() | (F.col(cdc.START) < F.col("__cut"))
-            kept = kept.where(settled).drop("__cut")
-            again = skew.join_per_key(events, cuts, shape.keys, small)
-            again = again.where(F.col(cdc.SEQ) >= F.col("__cut")).drop("__cut")
-            rebuilt = cdc.type2_history(again, shape, buckets)
-            _write_buckets(kept.unionByName(rebuilt), target, shape.keys, version, buckets)
+            some_late = late.limit(1).count() > 0
+            old = _read_state(spark, path, current, touched)
+            fresh, cuts, again = earliest.select(*keys), None, []
+            news = batch
+            if some_late:
+                fresh = skew.without_keys(fresh, late, shape.keys, small)
+                news = skew.without_keys(batch, late, shape.keys, small)
+                cuts = _cuts(old, late, shape, small).persist()
+                again = [_logged_since(logged, cuts, shape, version, buckets, small)]
+            # versions that begin before the cut of their key stay as they are, and so
+            # do closed versions of keys whose history only goes on
+            per_key = fresh.withColumns({"__cut": F.lit(None).cast(shape.sequence), "__late": F.lit(False)})
+            if some_late:
+                per_key = per_key.unionByName(cuts.withColumn("__late", F.lit(True)))
+            kept = skew.join_per_key(old, per_key, shape.keys, small, "left").where(
+                F.col("__late").isNull()
+                | (F.col("__late") & (F.col(cdc.START) < F.col("__cut")))
+                | (~F.col("__late") & F.col(cdc.END).isNotNull())
+            )
+            begun = skew.join_per_key(old.where(F.col(cdc.END).isNull()), fresh, shape.keys, small)
+            rows = reduce(DataFrame.unionByName, [news, cdc.open_as_changes(begun, shape), *again])
+            rebuilt = cdc.type2_history(rows, shape, buckets)
+            _write_buckets(
+                kept.drop("__cut", "__late").unionByName(rebuilt), target, shape.keys, version, buckets
+            )
+            merged = _merged_heads(heads, spans.select(*keys, "__last"), shape.keys, small)
+            _write_heads(merged, path, shape.keys, version, buckets)
         finally:
-            cuts.unpersist()
+            late.unpersist()
+            if cuts is not None:
+                cuts.unpersist()
         return touched, None
     finally:
-        earliest.unpersist()
+        spans.unpersist()
+
+
+def _logged_since(logged, cuts, shape: cdc.Shape, version: int, buckets: int, small: bool) -> DataFrame:
+    """Logged events of the keys with late events, from the cut of each key on."""
+    spark = logged.sparkSession
+    late_buckets = [r["b"] for r in cuts.select(bucket_of(shape.keys, buckets).alias("b")).distinct().collect()]
+    events = logged.where((F.col(VERSION) <= version) & F.col(BUCKET).isin(late_buckets))
+    if isinstance(shape.sequence, T.AtomicType):
+        # a literal, so that files and row groups that end before it are not read
+        least = cuts.agg(F.min("__cut").cast("string")).first()[0]
+        events = events.where(F.col(cdc.SEQ) >= F.lit(least).cast(shape.sequence))
+    again = skew.join_per_key(events.drop(VERSION, BUCKET), cuts, shape.keys, small)
+    return again.where(F.col(cdc.SEQ) >= F.col("__cut")).drop("__cut")
+
+
+# the newest sequence of every key of a type 2 target, laid out as its state
+
+
+def _write_heads(heads: DataFrame, path: str, keys: list[str], version: int, buckets: int) -> None:
+    rows = heads.withColumn(BUCKET, bucket_of(keys, buckets))
+    _store(rows.hint("rebalance", BUCKET), storage.join(path, "heads", f"{VERSION}={version}"), [], [BUCKET])
+
+
+def _read_heads(spark, path, current, touched, shape_of_rows: DataFrame, logged: DataFrame) -> DataFrame:
+    """Newest sequences before this batch, of the touched buckets."""
+    if current.get("heads") is None:
+        # a table from before heads were kept: from the log
+        keys = [f"`{c}`" for c in shape_of_rows.columns if c != "__last"]
+        before = logged.where((F.col(VERSION) <= current["version"]) & F.col(BUCKET).isin(touched))
+        return before.groupBy(*keys).agg(F.max(cdc.SEQ).alias("__last"))
+    if not storage.exists(spark, storage.join(path, "heads")):
+        return no_rows(spark, shape_of_rows.schema)
+    stored = T.StructType(
+        [*shape_of_rows.schema.fields, T.StructField(VERSION, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
+    )
+    rows = spark.read.schema(stored).parquet(storage.join(path, "heads"))
+    rows = rows.where(_bucket_condition(current["heads"])).where(F.col(BUCKET).isin(touched))
+    return rows.drop(VERSION, BUCKET)
+
+
+def _merged_heads(heads: DataFrame, spans: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    mine, others = skew.with_keys(heads, spans, keys, small), skew.without_keys(heads, spans, keys, small)
+    merged = mine.unionByName(spans).groupBy(*[f"`{k}`" for k in keys]).agg(F.max("__last").alias("__last"))
+    return others.unionByName(merged)
 
 
 def _cuts(old: DataFrame, earliest: DataFrame, shape: cdc.Shape, small: bool) -> DataFrame:
@@ -751,6 +827,15 @@ def _vacuum(spark, target: Target, version: int) -> None:
         elif number not in {m["version"] for m in kept}:
             # closed snapshot versions stay; only what was open then has gone
             doomed.append(storage.join(folder, f"{OPEN}=1") if kind == "snapshot2" else folder)
+    for number in _numbers(spark, storage.join(path, "heads"), VERSION):
+        folder = storage.join(path, "heads", f"{VERSION}={number}")
+        shown = {b for m in kept for b, v in enumerate(m.get("heads") or []) if v == number}
+        if number <= version and not shown:
+            doomed.append(folder)
+        elif number <= version:
+            doomed += [
+                storage.join(folder, f"{BUCKET}={b}") for b in _numbers(spark, folder, BUCKET) if b not in shown
+            ]
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(lambda folder: storage.delete(spark, folder), doomed))
     for name in names[:-keep]:

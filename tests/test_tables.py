@@ -121,3 +121,58 @@ def test_work_folder_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         storage.work_folder(Session(), "x")
+
+
+@pytest.mark.parametrize("seed, fill", [(1, False), (2, True), (3, False)])
+def test_histories_in_many_batches(spark, tmp_path, seed, fill):
+    """On-time, late and mixed batches lead to the history of all events."""
+    import random
+
+    from medallion.operators import cdc
+
+    rng = random.Random(seed)
+    spec = cdc.ChangeSpec(
+        keys=["k"], sequence_by="s", scd_type="2", apply_as_deletes="v = 0", ignore_null_updates=fill,
+        track_history_column_list=["v"],
+    )
+    schema = "k int, s int, v int, w int"
+    target = Target(path=str(tmp_path / "t"), properties={"medallion.buckets": "3"})
+    seen = []
+    for batch in range(6):
+        low, high = (0, 60) if batch in (3, 5) else (10 * batch, 10 * batch + 10)
+        rows = [
+            (rng.randrange(8), rng.randrange(low, high), rng.choice([None, 0, 1, 1, 2]), rng.randrange(3))
+            for _ in range(12)
+        ]
+        seen += rows
+        tables.apply_changes(spark.createDataFrame(rows, schema), target, spec, "main", batch)
+        want = cdc.type2(spark.createDataFrame(seen, schema), spec)
+        got = tables.read(spark, target.path).select(*want.columns)
+        assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr), batch
+
+
+def test_on_time_batches_leave_the_log_alone(spark, tmp_path, monkeypatch):
+    from medallion.operators import cdc
+
+    spec = cdc.ChangeSpec(keys=["k"], sequence_by="s", scd_type="2")
+    target = Target(path=str(tmp_path / "t"))
+    first = spark.range(100).selectExpr("id % 10 AS k", "id AS s", "id AS v")
+    tables.apply_changes(first, target, spec, "main", 0)
+    monkeypatch.setattr(tables, "_logged_since", lambda *_: pytest.fail("the log was read"))
+    tables.apply_changes(spark.range(100, 104).selectExpr("id % 10 AS k", "id AS s", "id AS v"), target, spec, "main", 1)
+    assert tables.read(spark, target.path).count() == 104
+
+
+def test_slices_of_a_key_with_few_sequences(spark, conf):
+    from medallion.operators import cdc, skew
+
+    conf("medallion.slice.rows", "200")
+    rows = spark.range(20_000).selectExpr("'a' AS k", "id % 100 AS s", "id % 7 AS v")
+    spec = cdc.ChangeSpec(keys=["k"], sequence_by="s", scd_type="2")
+    got = cdc.type2(rows, spec)
+    conf("medallion.slice.rows", "1000000")
+    assert sorted(got.collect()) == sorted(cdc.type2(rows, spec).collect())
+    hot, limit = skew.hot_keys(rows, ["k"])
+    assert hot is None
+    conf("medallion.slice.rows", "200")
+    assert skew.hot_keys(rows, ["k"])[1] == 200

@@ -282,4 +282,10 @@ SELECT user_id, event_type, value, ts AS "__START_AT",
   lead(ts) OVER (PARTITION BY user_id ORDER BY run) AS "__END_AT" FROM d WHERE NOT same""",
     "onboarded_quarantine": """
 SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 100 AND event_type <> 'view'""",
+    "cdc_scd2_coarse": """
+SELECT l_returnflag, month, start AS "__START_AT",
+  lead(start) OVER (PARTITION BY l_returnflag ORDER BY start) AS "__END_AT" FROM (
+    SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS month, min(l_shipdate) AS start
+    FROM lineitem GROUP BY ALL)""",
+    "cdc_small_batches_scd2": history(EVENTS, ["event_type", "value"], ["event_type", "value"]),
 }

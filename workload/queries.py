@@ -178,6 +178,43 @@ def cdc_stream_scd2(spark, folder):
     return _changes_by_stream(spark, folder, "scd2", scd_type="2")
 
 
+@query
+def cdc_scd2_coarse(spark, folder):
+    """Few keys, few sequences: far more rows of a key and a day than a slice holds."""
+    before = spark.conf.get("medallion.slice.rows", None)
+    spark.conf.set("medallion.slice.rows", "500")
+    try:
+        rows = table(spark, folder, "lineitem").select(
+            "l_returnflag", "l_shipdate", F.date_format("l_shipdate", "yyyy-MM").alias("month")
+        )
+        spec = cdc.ChangeSpec(keys=["l_returnflag"], sequence_by="l_shipdate", scd_type="2",
+                              except_column_list=["l_shipdate"])
+        return cdc.apply_changes(rows, spec)
+    finally:
+        if before is None:
+            spark.conf.unset("medallion.slice.rows")
+        else:
+            spark.conf.set("medallion.slice.rows", before)
+
+
+@query
+def cdc_small_batches_scd2(spark, folder):
+    """Events in order, in many batches: histories go on from their open versions."""
+    work = _work(spark, "small2")
+    events = table(spark, folder, "events")
+    cuts = feeds.time_cuts(events, [i / 6 for i in range(1, 6)])
+    cuts = [None, *[F.lit(c).cast("timestamp_ntz") for c in cuts], None]
+    for low, high in zip(cuts, cuts[1:]):
+        part = events if low is None else events.where(F.col("ts") >= low)
+        part = part if high is None else part.where(F.col("ts") < high)
+        part.coalesce(1).write.mode("append").parquet(f"{work}/in")
+        source = _file_source(spark, "parquet", f"{work}/in", events.schema)
+        flow = Flow("main", source, Target(path=f"{work}/out"), f"{work}/checkpoint",
+                    changes=user_changes(scd_type="2"))
+        run_flow(spark, flow)
+    return _result(spark, flow.target)
+
+
 def _late(spark, folder, name, **spec) -> DataFrame:
     """Events arrive out of order, over several runs of the flow."""
     work = _work(spark, name)
