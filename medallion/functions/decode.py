@@ -39,14 +39,21 @@ def decode_json(
         lines = lines.select(*kept, F.col(value).alias("__line"), parsed.alias("__v")).select(
             *kept, "__line", F.explode(records).alias("__v")
         )
+    elif rescue and fields:
+        lines = _fitting_first(lines, fields, value, kept)
     else:
         lines = lines.select(*kept, F.col(value).alias("__line"), parsed.alias("__v"))
+    quick = "__s" in lines.columns
     typed = lines.select(
         *kept,
         "__line",
+        *(["__odd"] if quick else []),
         F.try_variant_get("__v", "$", "map<string,variant>").alias("__m"),
         *[
-            F.try_variant_get("__v", _path(f.name), f.dataType.simpleString()).alias(f.name)
+            F.coalesce(
+                *([F.col("__s").getField(f.name)] if quick else []),
+                F.try_variant_get("__v", _path(f.name), f.dataType.simpleString()),
+            ).alias(f.name)
             for f in fields
         ],
     )
@@ -67,14 +74,37 @@ def decode_json(
         odd = F.col("__m").isNotNull() & (F.size("__m") != fitting)
         extra = F.when(odd, F.map_filter("__m", unexpected))
         typed = typed.withColumn("__extra", extra)
+        unread = F.col("__m").isNull() & (F.col("__odd") if quick else F.lit(True))
         columns.append(
-            F.when(F.col("__m").isNull(), F.col("__line"))
+            F.when(unread, F.col("__line"))
             .when(F.size("__extra") > 0, F.to_json("__extra"))
             .alias(rescue)
         )
     return typed.select(*columns, *kept)
 
 
+def _fitting_first(lines: DataFrame, fields, value: str, kept) -> DataFrame:
+    """Lines read by schema, and once more as a variant where something may be left over.
+
+    Every key of an object ends in a quote and a colon, unless white space parts them.
+    A line with all fields of the schema and no more such marks than fields has
+    nothing else.
+    """
+    schema = T.StructType(fields)
+    text = F.col(value)
+    read = lines.select(*kept, text.alias("__line"), F.from_json(text, schema).alias("__s"))
+    missing = F.lit(False)
+    for f in fields:
+        missing = missing | F.col("__s").getField(f.name).isNull()
+    line = F.col("__line")
+    marks = (F.octet_length(line) - F.octet_length(F.replace(line, F.lit('":'), F.lit("")))) / 2
+    odd = missing | (marks != len(fields))
+    for space in " \t\n\r":  # a key that this count would miss
+        odd = odd | F.contains(line, F.lit(f'"{space}'))
+    read = read.select(*kept, "__line", "__s", odd.alias("__odd"))
+    return read.select("*", F.when(F.col("__odd"), F.try_parse_json("__line")).alias("__v"))
+
+
 def cast_text(
     df: DataFrame,
     schema: T.StructType,
