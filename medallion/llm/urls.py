@@ -97,11 +97,14 @@ def token_counts(addresses: DataFrame, rules: list[Rule]) -> dict[str, int]:
     if not tokens:
         return {}
     wanted = spark.createDataFrame([(t,) for t in tokens], "token string")
-    found = addresses.select(
-        F.explode(F.regexp_extract_all(F.concat("host", "path"), F.lit(f"({TOKEN})"))).alias("token")
-    ).join(wanted, "token", "left_semi")
+    found = (
+        addresses.select(F.explode(F.regexp_extract_all(F.concat("host", "path"), F.lit(f"({TOKEN})"))).alias("token"))
+        .groupBy("token")  # frequent tokens are counted where they are read
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(wanted, "token", "left_semi")
+    )
     counts = dict.fromkeys(tokens, 0)
-    counts.update((r["token"], r["n"]) for r in found.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect())
+    counts.update((r["token"], r["n"]) for r in found.collect())
     return counts
 
 
