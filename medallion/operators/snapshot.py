@@ -122,8 +122,38 @@ def next_history(open_rows: DataFrame | None, snapshot: DataFrame, version, spec
     )
 
 
-def _comparable(field: T.StructField, side: str):
-    column = F.col(f"{side}.`{field.name}`")
+def changed_keys(open_rows: DataFrame, snapshot: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """Keys that the snapshot opens, changes or closes, by the hashes of their rows.
+
+    Only keys and hashes are shuffled. Null keys are equal to each other; a key that
+    occurs twice in the snapshot is an error.
+    """
+    keys = [f"`{k}`" for k in spec.keys]
+    values = [c for c in snapshot.columns if c not in spec.keys]
+
+    def text_or_value(field: T.StructField):
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.AtomicType):
+            return [column, column.isNull()]
+        # hashes pass over nulls, also those within values
+        return [F.to_json(F.struct(_comparable(field)), {"ignoreNullFields": "false"})]
+
+    parts = [x for c in values for x in text_or_value(snapshot.schema[c])]
+    row = F.xxhash64(*parts) if parts else F.lit(0).cast("long")
+
+    def hashed(rows: DataFrame, side: str, number: int) -> DataFrame:
+        return rows.select(*keys, row.alias(side), F.lit(number).alias("__n"))
+
+    both = hashed(open_rows, "__old", 0).unionByName(hashed(snapshot, "__new", 1), allowMissingColumns=True)
+    found = both.groupBy(*keys).agg(
+        F.max("__old").alias("__old"), F.max("__new").alias("__new"), F.sum("__n").alias("__n")
+    )
+    twice = F.when(F.col("__n") > 1, F.raise_error(_duplicate(spec.keys)).cast("boolean")).otherwise(F.lit(True))
+    return found.where(twice & ~F.col("__old").eqNullSafe(F.col("__new"))).select(*keys)
+
+
+def _comparable(field: T.StructField, side: str | None = None):
+    column = F.col(f"{side}.`{field.name}`" if side else f"`{field.name}`")
     if isinstance(field.dataType, T.MapType):
         return F.array_sort(F.map_entries(column)).alias(field.name)
     return column.alias(field.name)

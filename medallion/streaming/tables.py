@@ -7,8 +7,8 @@ the current ones:
   its own folder;
 * change targets: ``state/__v=<version>/__bucket=<n>``; a batch rewrites only the
   buckets its keys fall into, and a manifest names the current version of each;
-* snapshot targets: ``state/__v=<version>/__open=<0|1>``; closed versions are
-  never rewritten.
+* snapshot targets: ``state/__v=<version>/__open=<0|1>/__bucket=<n>``; closed versions
+  are never rewritten, open ones only in buckets with a changed key.
 
 A change or snapshot batch becomes visible by writing its manifest, the last step,
 so a failed batch leaves the table as it was, and a repeated one is recognised. The
@@ -271,8 +271,8 @@ def _current(spark, path: str, described: dict) -> tuple[str, str | None]:
         return folder, f"{shown} AND NOT {cdc.DEL}" if kind == "type1" else shown
     latest = f"CAST({VERSION} AS BIGINT) = {current['version']}"
     if kind == "snapshot2":
-        older = f"CAST({OPEN} AS INT) = 0 AND CAST({VERSION} AS BIGINT) BETWEEN 0 AND {current['version']}"
-        return folder, f"({latest} OR ({older}))"
+        closed = f"CAST({OPEN} AS INT) = 0 AND CAST({VERSION} AS BIGINT) BETWEEN 0 AND {current['version']}"
+        return folder, f"(({closed}) OR (CAST({OPEN} AS INT) = 1 AND {_bucket_condition(current['buckets'])}))"
     return folder, latest
 
 
@@ -752,10 +752,12 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
         schema = T.StructType(
             [*schema.fields, T.StructField(cdc.START, kind), T.StructField(cdc.END, kind)]
         )
-    folders = [(VERSION, T.LongType())] + ([(OPEN, T.IntegerType())] if history else [])
+    folders = [(VERSION, T.LongType())]
+    if history:
+        folders += [(OPEN, T.IntegerType()), (BUCKET, T.IntegerType())]
     _declare(
         spark, target, "snapshot2" if history else "full", schema, schema, folders,
-        [OPEN] if history else [],
+        [OPEN, BUCKET] if history else [],
     )
     current = manifest(spark, path)
     latest = _number(current) if current else None
@@ -763,28 +765,54 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
         raise ValueError(f"snapshot version {number!r} is not above {latest!r}")
     version = next_version(spark, target)
     folder = storage.join(path, "state", f"{VERSION}={version}")
+    more = {}
     if not history:
         snap.check_unique(df, spec.keys, "a snapshot")
         _store(_laid_out(df, target), folder, target.partition_by)
     else:
-        open_rows = None
-        if current:
-            stored = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in folders]])
-            open_rows = (
-                _load(spark, storage.join(path, "state"), stored, target.partition_by)
-                .where((F.col(VERSION) == version - 1) & (F.col(OPEN) == 1))
-                .drop(VERSION, OPEN)
-            )
-        rows = snap.next_history(open_rows, df, number, spec)
-        rows = rows.withColumn(OPEN, F.col(cdc.END).isNull().cast("int"))
-        _store(rows, folder, target.partition_by, [OPEN])
+        more["buckets"] = _next_history(df, target, spec, number, current, version, schema, folders)
     text = number.isoformat() if isinstance(number, dt.date) else str(number)
     _commit(
         spark, target,
-        {"version": version, "snapshot": text, "number": snap.version_type(number)},
+        {"version": version, "snapshot": text, "number": snap.version_type(number), **more},
     )
 
 
+def _next_history(df, target, spec, number, current, version, schema, folders) -> list[int]:
+    """Write what the snapshot opens and closes; returns the version of each bucket's open rows.
+
+    Hashes tell which keys change. Open rows of buckets without such a key stay
+    where they are; an unchanged snapshot writes nothing.
+    """
+    spark = df.sparkSession
+    path = target.location(spark)
+    if current is None:
+        versions = [version] * target.buckets(spark)
+        rows = snap.next_history(None, df, number, spec)
+    else:
+        versions = current.get("buckets")
+        if versions is None:
+            raise ValueError(f"{path} was written without buckets; reset it and load it again")
+        stored = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in folders]])
+        open_rows = _load(spark, storage.join(path, "state"), stored, target.partition_by).where(
+            f"CAST({OPEN} AS INT) = 1 AND {_bucket_condition(versions)}"
+        )
+        bucket = bucket_of(spec.keys, len(versions))
+        changed = snap.changed_keys(open_rows.drop(VERSION, OPEN, BUCKET), df, spec)
+        touched = sorted(r["b"] for r in changed.select(bucket.alias("b")).distinct().collect())
+        if not touched:
+            return versions
+        versions = [version if i in set(touched) else v for i, v in enumerate(versions)]
+        mine = open_rows.where(F.col(BUCKET).isin(touched)).drop(VERSION, OPEN, BUCKET)
+        rows = snap.next_history(mine, df.where(bucket.isin(touched)), number, spec)
+    rows = rows.withColumns(
+        {OPEN: F.col(cdc.END).isNull().cast("int"), BUCKET: bucket_of(spec.keys, len(versions))}
+    )
+    laid_out = rows.hint("rebalance", OPEN, BUCKET, *target.partition_by)
+    _store(laid_out, storage.join(path, "state", f"{VERSION}={version}"), target.partition_by, [OPEN, BUCKET])
+    return versions
+
+
 def overwrite(df: DataFrame, target: Target) -> None:
     """Replace all rows; ``df`` may read the table itself."""
     spark = df.sparkSession
@@ -824,9 +852,15 @@ def _vacuum(spark, target: Target, version: int) -> None:
             ]
             if not shown:
                 doomed.append(folder)
+        elif kind == "snapshot2":
+            # closed versions stay; open rows go once their bucket was written again
+            shown = {b for m in kept for b, v in enumerate(m["buckets"]) if v == number}
+            opened = storage.join(folder, f"{OPEN}=1")
+            doomed += [
+                storage.join(opened, f"{BUCKET}={b}") for b in _numbers(spark, opened, BUCKET) if b not in shown
+            ]
         elif number not in {m["version"] for m in kept}:
-            # closed snapshot versions stay; only what was open then has gone
-            doomed.append(storage.join(folder, f"{OPEN}=1") if kind == "snapshot2" else folder)
+            doomed.append(folder)
     for number in _numbers(spark, storage.join(path, "heads"), VERSION):
         folder = storage.join(path, "heads", f"{VERSION}={number}")
         shown = {b for m in kept for b, v in enumerate(m.get("heads") or []) if v == number}

@@ -127,3 +127,45 @@ def test_versions_may_be_dates_times_or_texts(spark, tmp_path):
             tables.apply_snapshot(spark.createDataFrame([(1, str(v), 1)], SCHEMA), target, spec, v)
         assert tables.last_snapshot(spark, target) == two
         assert [r[3:] for r in model.rows(tables.read(spark, target.path))] == [(one, two), (two, None)]
+
+
+def _versions(tmp_path):
+    return sorted(p.name for p in (tmp_path / "t" / "state").iterdir())
+
+
+def test_only_changed_buckets_are_written(spark, tmp_path):
+    schema = "k int, a string, b string, m map<string,int>, l array<int>"
+    target = Target(path=str(tmp_path / "t"), properties={"medallion.buckets": "8"})
+    spec = SnapshotSpec(keys=["k"], scd_type="2")
+    rows = [(k, None, "x", {"p": 1, "q": 2}, [None, 1]) for k in range(64)]
+    steps = [rows, rows[::-1]]
+    changed = list(rows)
+    changed[3] = (3, "x", None, {"q": 2, "p": 1}, [None, 1])  # a null that moved
+    changed[9] = (9, None, "x", {"p": 1, "q": 2}, [1, None])
+    steps.append(changed)
+    steps.append([r for r in changed if r[0] != 5] + [(100, "new", None, {}, [])])
+    for number, snapshot in enumerate(steps, 1):
+        tables.apply_snapshot(spark.createDataFrame(snapshot, schema), target, spec, number)
+    shown = tables.read(spark, target.path).select("k", "a", "b", "l", "__START_AT", "__END_AT")
+    got = sorted((tuple(r) for r in shown.collect()), key=lambda r: (r[0], r[4]))
+    assert len(got) == 64 + 2 + 1
+    assert [g for g in got if g[0] in (3, 5, 9, 100)] == sorted([
+        (3, None, "x", [None, 1], 1, 3), (3, "x", None, [None, 1], 3, None), (5, None, "x", [None, 1], 1, 4),
+        (9, None, "x", [None, 1], 1, 3), (9, None, "x", [1, None], 3, None), (100, "new", None, [], 4, None),
+    ], key=lambda r: (r[0], r[4]))
+    names = _versions(tmp_path)
+    assert "__v=2" not in names  # unchanged: nothing was written
+    assert len(list((tmp_path / "t" / "state" / "__v=3" / "__open=1").iterdir())) <= 2
+    assert tables.last_snapshot(spark, target) == 4
+
+
+def test_partition_values_of_a_snapshot_do_not_multiply_files(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    target = Target(path=str(tmp_path / "t"), partition_by=["p"], properties={"medallion.buckets": "2"})
+    spec = SnapshotSpec(keys=["k"], scd_type="2")
+    for number in (1, 2):
+        rows = spark.range(4000).selectExpr("id AS k", "id % 20 AS p", f"id * {number} AS v")
+        tables.apply_snapshot(rows, target, spec, number)
+    files = list((tmp_path / "t" / "state" / "__v=2").rglob("*.parquet"))
+    assert len(files) <= 2 * 2 * 20 + 8
+    assert tables.read(spark, target.path).count() == 8000 - 1  # 0 stays 0
