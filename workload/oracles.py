@@ -288,4 +288,18 @@ SELECT l_returnflag, month, start AS "__START_AT",
     SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS month, min(l_shipdate) AS start
     FROM lineitem GROUP BY ALL)""",
     "cdc_small_batches_scd2": history(EVENTS, ["event_type", "value"], ["event_type", "value"]),
+    "spec_cluster_conflicts": """
+SELECT CAST(c_custkey AS VARCHAR) AS data_flow_id FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal > 5000""",
+    "spec_later_columns": """
+SELECT CAST(c_custkey AS VARCHAR) AS "dataFlowId", CASE WHEN later THEN 'v2' ELSE 'v1' END AS version,
+  c_name AS target, 'first' AS "createdBy", CASE WHEN later THEN 'second' ELSE 'first' END AS "updatedBy",
+  CASE WHEN later THEN upper(c_name) END AS extra
+FROM (SELECT *, c_name LIKE '%7' AS later FROM customer)""",
+    "projection_schema": """
+SELECT c_custkey AS id, upper(c_name) AS name, c_acctbal > 0 AS solvent, c_mktsegment AS segment,
+  c_nationkey AS nation FROM customer WHERE c_custkey > 10""",
+    "onboarded_flows": """
+SELECT 'events' AS target, event_id AS id, event_type AS name,
+  strftime(CASE WHEN event_type = 'view' THEN ts ELSE ts - INTERVAL 9 HOUR END, '%Y-%m-%d %H:%M:%S') AS at FROM events
+UNION ALL SELECT 'customers', c_custkey, c_name, NULL FROM customer""",
 }

@@ -848,6 +848,61 @@ def spec_violations(spark, folder):
     return found.select("data_flow_id", F.regexp_replace("problem", r" one of .*", " known").alias("problem"))
 
 
+@query
+def spec_cluster_conflicts(spark, folder):
+    """Records that ask for clustering and z-ordering at once, made from customers."""
+    columns = {}
+    for kind, names in onboarding.RECORD_KEYS.items():
+        for name in names:
+            if "{env}" not in name:
+                columns[name] = F.lit(None).cast(kind)
+    building, rich = F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") > 5000
+    columns.update(
+        data_flow_id=F.col("c_custkey").cast("string"), data_flow_group=F.lit("A1"),
+        source_format=F.lit("cloudFiles"), source_details=F.create_map(F.lit("path"), F.lit("p")),
+        bronze_database=F.lit("bronze"), bronze_table=F.concat(F.lit("t"), F.col("c_custkey")),
+        bronze_reader_options=F.create_map(F.lit("header"), F.lit("true")),
+        bronze_cluster_by=F.when(building, F.lit("id, name")),
+        bronze_table_properties=F.when(rich, F.create_map(F.lit(onboarding.Z_ORDER), F.lit("id"))),
+    )
+    records = table(spark, folder, "customer").select(*[c.alias(n) for n, c in columns.items()])
+    return onboarding.violations(records, "bronze", "dev", formats=["cloudFiles"]).select("data_flow_id")
+
+
+@query
+def spec_later_columns(spark, folder):
+    """Specs that came before a column have null there; later ones replace specs of their id."""
+    work = _work(spark, "later_specs")
+    customers = table(spark, folder, "customer")
+    when = F.lit("2024-01-01").cast("timestamp")
+    rows = customers.select(
+        F.lit("A1").alias("dataFlowGroup"), F.col("c_custkey").cast("string").alias("dataFlowId"),
+        F.lit("v1").alias("version"), F.col("c_name").alias("target"), when.alias("createDate"),
+        F.lit("first").alias("createdBy"), when.alias("updateDate"), F.lit("first").alias("updatedBy"),
+    )
+    specs = Target(path=f"{work}/specs")
+    store.merge_specs(rows, specs)
+    later = rows.where(F.col("target").endswith("7")).withColumns(
+        {"version": F.lit("v2"), "extra": F.upper("target"), "createdBy": F.lit("second"), "updatedBy": F.lit("second")}
+    )
+    store.merge_specs(later, specs)
+    return tables.read(spark, specs.path).select(
+        "dataFlowId", "version", "target", "createdBy", "updatedBy", "extra"
+    )
+
+
+@query
+def projection_schema(spark, folder):
+    """Rows written as JSON and read with the schema that the projection has."""
+    work = _work(spark, "projection_schema")
+    expressions = ["c_custkey AS id", "upper(c_name) AS name", "c_acctbal > 0 AS solvent",
+                   "named_struct('segment', c_mktsegment, 'nation', c_nationkey) AS place"]
+    customers = table(spark, folder, "customer")
+    transform.project_and_filter(customers, expressions, ["id > 10"]).write.json(f"{work}/rows")
+    schema = transform.output_schema(customers, expressions, ["id > 10"])
+    return spark.read.schema(schema).json(f"{work}/rows").select("id", "name", "solvent", "place.segment", "place.nation")
+
+
 @query
 def spec_export_json(spark, folder):
     """Spec records, one per market segment, as one JSON array."""
@@ -980,6 +1035,50 @@ def onboarded_quarantine(spark, folder):
     return spark.table(f"{database}.events_quarantine")
 
 
+@query
+def onboarded_flows(spark, folder):
+    """Two records with a projection file each; an append flow with a time zone of its own; mapped schemas."""
+    work = _work(spark, "flows")
+    database = f"m_{work[-12:]}"
+    tables.create_database(spark, database, f"{work}/db")
+    events = table(spark, folder, "events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_type")
+    views = F.col("event_type") == "view"
+    events.where(views).write.json(f"{work}/views")
+    events.where(~views).write.json(f"{work}/others")
+    table(spark, folder, "customer").select("c_custkey", "c_name").write.json(f"{work}/customers")
+    records = []
+    for number, (name, path) in enumerate((("events", "views"), ("customers", "customers"))):
+        storage.write_text(spark, f"{work}/{name}.json", json.dumps([{
+            "target_table": f"silver_{name}",
+            "select_exp": ["event_id AS id", "ts", "event_type AS name"] if name == "events"
+            else ["c_custkey AS id", "c_name AS name"], "where_clause": ["id >= 0"]}]))
+        records.append({
+            "data_flow_id": str(number), "data_flow_group": "A1", "source_format": "cloudFiles",
+            "source_details": {"source_path_dev": f"{work}/{path}", "source_schema_path": f"schema of {name}"},
+            "bronze_database_dev": database, "bronze_table": name, "bronze_table_path_dev": f"{work}/bronze/{name}",
+            "bronze_reader_options": {"cloudFiles.format": "json"},
+            "silver_database_dev": database, "silver_table": f"silver_{name}",
+            "silver_table_path_dev": f"{work}/silver/{name}",
+            "silver_transformation_json_dev": f"{work}/{name}.json"})
+    records[0]["bronze_append_flows"] = [{
+        "name": "others_flow", "create_streaming_table": False, "source_format": "cloudFiles",
+        "source_details": {"source_path_dev": f"{work}/others", "source_schema_path": "schema of events"},
+        "reader_options": {"cloudFiles.format": "json"},
+        "spark_conf": {"spark.sql.session.timeZone": "Asia/Tokyo"}}]
+    storage.write_text(spark, f"{work}/onboarding.json", json.dumps(records))
+    schemas = {"schema of events": "event_id bigint, ts timestamp, event_type string",
+               "schema of customers": "c_custkey bigint, c_name string"}
+    specs = {layer: Target(f"{database}.{layer}_specs") for layer in ("bronze", "silver")}
+    onboarding.onboard(spark, f"{work}/onboarding.json", "dev", "v1", "me", specs,
+                       schema_mapper=lambda path, _: _columns(schemas[path]).json())
+    run(Pipeline(spark, f"{work}/checkpoints"), "bronze_silver", specs["bronze"], specs["silver"], "A1")
+    shown = spark.table(f"{database}.silver_events").select(
+        F.lit("events").alias("target"), "id", "name", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    return shown.unionByName(spark.table(f"{database}.silver_customers").select(
+        F.lit("customers").alias("target"), "id", "name", F.lit(None).cast("string").alias("at")))
+
+
 # ---- audit ------------------------------------------------------------------
 
 AUDITED = ("customer", "orders", "lineitem", "supplier", "part", "events", "documents", "pages")
