@@ -8,6 +8,7 @@ slice come from a few array operations instead of a loop over characters.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ from medallion.storage import work_folder
 
 #: bytes of text that are handled at once; a longer document is a slice of its own
 SLICE_BYTES = 1 << 20
+#: bytes of an Arrow batch
+ARROW_BYTES = 4 << 20
 MASK = (1 << 64) - 1
 _SHIPPED: set[str] = set()
 
@@ -30,7 +33,14 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application."""
+    """Give the executors this package, once per application.
+
+    Arrow batches of the session get smaller: texts are handled in slices, and what
+    else a batch holds would wait in the memory of both the executor and its Python.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(re.sub(r"\D", "", spark.conf.get(limit, str(ARROW_BYTES)))) > ARROW_BYTES:
+        spark.conf.set(limit, str(ARROW_BYTES))
     context: SparkContext = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

@@ -164,7 +164,7 @@ def _parities(owner: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
 
 
 def _prefixes(size: int, frequencies, percent: int):
-    """Rows (gram, class, n, place) of the prefixes of the classes."""
+    """Rows (gram, class, at) of the prefixes of the classes; ``at`` is n * 2^32 + place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = frequencies.value, set()
@@ -189,9 +189,9 @@ def _prefixes(size: int, frequencies, percent: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     signed(found[order[at]]), signed(classes[document]),
-                    pa.array(number[document], pa.int32()), pa.array(at - first[document], pa.int32()),
+                    pa.array(number[document].astype(np.int64) << 32 | (at - first[document])),
                 ],
-                names=["gram", "class", "n", "place"],
+                names=["gram", "class", "at"],
             )
 
     return run
@@ -239,8 +239,9 @@ def _overlaps(size: int):
 
 
 def _possible(percent: int, x: str, y: str) -> Column:
-    """Length and positional filters of two list entries with n and place."""
-    nx, ny, px, py = (F.col(f"{v}{c}") for c in ("n", "place") for v in (x, y))
+    """Length and positional filters of two list entries."""
+    nx, ny = F.shiftright(x, 32), F.shiftright(y, 32)
+    px, py = F.col(x).bitwiseAND(F.lit(0xFFFFFFFF)), F.col(y).bitwiseAND(F.lit(0xFFFFFFFF))
     least = F.lit(percent) * (nx + ny)  # (100 + percent) * overlap must reach this
     room = F.least(px, py) + 1 + F.least(nx - px, ny - py) - 1
     return (
@@ -335,7 +336,7 @@ def one_of_each(
 
     Documents without words stay. Of rows with equal id and text one stays.
     """
-    _, named = _labelled(_rows(docs, id_column, text_column), size, percent)
+    sets, named = _labelled(_rows(docs, id_column, text_column), size, percent)
     first = named.groupBy("component").agg(F.min("at").alias("at")).select(
         F.col("at._id").alias("_first_id"), F.col("at._key").alias("_first_key")
     )
@@ -345,10 +346,17 @@ def one_of_each(
     )
     words = F.coalesce(F.col(names[text_column]), F.lit("")).rlike("[^ \\x09-\\x0D]")
     same = F.col(names[id_column]).eqNullSafe(F.col("_first_id")) & (F.col("_key") == F.col("_first_key"))
-    kept = (
-        rows.filter(words).join(first, same).dropDuplicates([names[id_column], "_key"])
-        .unionByName(rows.filter(~words), allowMissingColumns=True)
-    )
+    kept = rows.filter(words).join(first, same).drop("_first_id", "_first_key")
+    twice = sets.filter("n > 0").groupBy("_id", "_key").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    if twice.limit(1).count():
+        # only rows that stand there more than once are shuffled again
+        again = F.col(names[id_column]).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_same"))
+        twice = twice.select("_id", F.col("_key").alias("_same"))
+        once = kept.join(twice, again, "left_anti")
+        kept = once.unionByName(
+            kept.join(twice, again, "left_semi").dropDuplicates([names[id_column], "_key"])
+        )
+    kept = kept.unionByName(rows.filter(~words))
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
@@ -356,11 +364,11 @@ def _shared(rows: DataFrame, light: DataFrame, size: int, percent: int) -> DataF
     """Prefix entries of n-grams that two or more classes have, with two partners each."""
     frequencies = rows.sparkSession.sparkContext.broadcast(_frequencies(light))
     prefixes = rows.mapInArrow(
-        _prefixes(size, frequencies, percent), "gram bigint, class bigint, n int, place int"
+        _prefixes(size, frequencies, percent), "gram bigint, class bigint, at bigint"
     )
     lists = Window.partitionBy("gram").orderBy("class")
     whole = lists.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    entry = F.struct("class", "n", "place")
+    entry = F.struct("class", "at")
     return written(
         prefixes.withColumns(
             {
@@ -394,22 +402,22 @@ def _texts(rows: DataFrame, shared: DataFrame, classes: DataFrame, size: int) ->
 def _links(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links that connect what all links connect."""
     near = [
-        shared.withColumns({"_n": F.col(f"{who}.n"), "_place": F.col(f"{who}.place")})
+        shared.withColumn("_at", F.col(f"{who}.at"))
         .filter(f"{who}.class <> class")
-        .filter(_possible(percent, "", "_"))
+        .filter(_possible(percent, "at", "_at"))
         .select(*_pairs("class", f"{who}.class"))
         for who in ("first", "before")
     ]
     tried = written(near[0].union(near[1]).distinct(), "pairs")
     links = written(linked(tried, texts, size, percent), "links")
     labels = components(links)
-    marked = shared.select("gram", "class", "n", "place").join(
+    marked = shared.select("gram", "class", "at").join(
         labels.select(F.col("node").alias("class"), "component"), "class", "left"
     ).withColumn("label", F.coalesce("component", "class"))
     split = marked.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     open_lists = written(
         marked.join(split.select("gram"), "gram")
-        .select("gram", "class", "place", "label")
+        .select("gram", "class", "at", "label")
         .join(texts.select("class", "n", *_CELL_NAMES), "class"),
         "open-lists",
     )
@@ -417,7 +425,7 @@ def _links(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
     rest = (
         open_lists.join(other, "gram")
         .filter((F.col("class") < F.col("_class")) & (F.col("label") != F.col("_label")))
-        .filter(_possible(percent, "", "_") & _alike(percent, "", "_"))
+        .filter(_possible(percent, "at", "_at") & _alike(percent, "", "_"))
         .select(*_pairs("class", "_class"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")

@@ -8,10 +8,10 @@ by bisection. A document is rejected if its perplexity lies outside the band of
 language, which is placed around the median of the language by the distances of the
 median from the outer quartiles.
 
-Size of the broadcast model: bytes bound the lower orders, and n-grams of the
-highest order that were seen less often than needed to stay under ``max_grams`` are
-left to the lower orders (their probability goes to the back-off weights), as usual
-in such models. All n-grams are counted and all documents scored.
+Size of the broadcast model: each order keeps at most ``max_grams`` n-grams; those
+seen least are left to the lower orders (their probability goes to the back-off
+weights), as usual in such models. All n-grams are counted, and all documents scored.
+Counts, shares and weights are computed by Spark; the driver gets what is kept.
 
 Defined results: a null text counts as empty; an empty text has no perplexity, and
 only the count rules judge it; a null language is a language of its own; repeated rows
@@ -26,13 +26,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.window import Window
 
 from .common import Words, byte_sums, covered, mix, ship, slices, word_sums, written
 
 ORDER = 5
-#: n-grams of the highest order in the broadcast model (12 bytes each)
+#: n-grams of an order in the broadcast model (12 bytes each, and 12 per context)
 MAX_GRAMS = 8_000_000
-SLICE = 1 << 21
+SLICE = 1 << 20
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -108,14 +109,13 @@ def _count_rows(values: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
 # -- the model ---------------------------------------------------------------------
 
 
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and more, from how many n-grams were seen 1 to 4 times."""
-    n1, n2, n3, n4 = (float(np.count_nonzero(counts == i)) for i in range(1, 5))
+def _discounts(n1: float, n2: float, n3: float, n4: float) -> tuple[float, float, float]:
+    """Discounts of counts 1, 2 and more, from how many n-grams were seen 1 to 4 times."""
     if not (n1 and n2 and n3):
-        return np.array([0, 0.5, 1.0, 1.5])
+        return 0.5, 1.0, 1.5
     y = n1 / (n1 + 2 * n2)
-    found = np.array([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3])
-    return np.clip(found, 0.05, [1, 0.95, 1.95, 2.95]) * [0, 1, 1, 1]
+    found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+    return tuple(float(x) for x in np.clip(found, 0.05, [0.95, 1.95, 2.95]))
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,58 +125,43 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
 
+def _context(codes_: np.ndarray) -> np.ndarray:
+    return (codes_ & _LANGUAGE) | ((codes_ & _low(ORDER)) >> np.uint64(8))
+
+
 class Model:
     """Sorted code arrays with interpolated probabilities, and back-off weights per context."""
 
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], least: int = 1):
-        """levels: (codes, counts) of orders 1 to ORDER; of the highest those seen ``least`` times stay."""
+    def __init__(self):
         self.keys, self.probability, self.contexts, self.backoff = [], [], [], []
-        for order, (keys, counts) in enumerate(levels, 1):
-            by = np.argsort(keys)
-            keys, counts = keys[by], counts[by]
-            language = keys & _LANGUAGE
-            context = language | ((keys & _low(ORDER)) >> np.uint64(8))
-            which = np.argsort(context, kind="stable")
-            contexts, first = np.unique(context[which], return_index=True)
-            total = np.add.reduceat(counts[which], first) if len(first) else counts
-            own = np.searchsorted(contexts, context)
-            share = np.zeros(len(keys))
-            for code in np.unique(language):
-                some = language == code
-                cut = _discounts(counts[some])[np.minimum(counts[some], 3)]
-                share[some] = (counts[some] - cut) / total[own[some]]
-            keep = counts >= (least if order == ORDER else 1)
-            weight = np.clip(1 - np.bincount(own[keep], share[keep], len(contexts)), 1e-9, 1)
-            keys, share, own = keys[keep], share[keep], own[keep]
-            if order == 1:
-                lower = np.full(len(keys), 1 / 256)
-            else:
-                lower = self._lower(order, keys)
-            self.keys.append(keys)
-            self.probability.append((share + weight[own] * lower).astype(np.float32))
-            self.contexts.append(contexts)
-            self.backoff.append(weight.astype(np.float32))
-
-    def _lower(self, order: int, keys: np.ndarray) -> np.ndarray:
-        at, _ = _find(self.keys[order - 2], keys & (_LANGUAGE | _low(order - 1)))
-        return self.probability[order - 2][at].astype(np.float64)
-
-    def probabilities(self, wanted: np.ndarray) -> np.ndarray:
-        """Of full codes, given the bytes before: the longest known n-gram, times back-off weights."""
+
+    def add(self, keys: np.ndarray, share: np.ndarray, backoff: np.ndarray) -> None:
+        """The next order: discounted shares of n-grams and the back-off weights of their contexts."""
+        by = np.argsort(keys)
+        keys, share, backoff = keys[by], share[by], backoff[by]
+        lower = self.probabilities(keys, len(self.keys))
+        contexts, first = np.unique(_context(keys), return_index=True)
+        self.keys.append(keys)
+        self.probability.append((share + backoff * lower).astype(np.float32))
+        self.contexts.append(contexts)
+        self.backoff.append(backoff[first].astype(np.float32))
+
+    def probabilities(self, wanted: np.ndarray, order: int = ORDER) -> np.ndarray:
+        """Of codes, given the bytes before: the longest known n-gram, times back-off weights."""
         language = wanted & _LANGUAGE
         found = np.full(len(wanted), 1 / 256)
         left = np.arange(len(wanted))
         weight = np.ones(len(wanted))
-        for order in range(ORDER, 0, -1):
+        for size in range(order, 0, -1):
             some = wanted[left]
-            at, known = _find(self.keys[order - 1], language[left] | (some & _low(order)))
-            found[left[known]] = self.probability[order - 1][at[known]]
+            at, known = _find(self.keys[size - 1], language[left] | (some & _low(size)))
+            found[left[known]] = self.probability[size - 1][at[known]]
             left, some = left[~known], some[~known]
             if not len(left):
                 break
-            context = language[left] | ((some & _low(order)) >> np.uint64(8))
-            at, known = _find(self.contexts[order - 1], context)
-            weight[left[known]] *= self.backoff[order - 1][at[known]]
+            context = language[left] | ((some & _low(size)) >> np.uint64(8))
+            at, known = _find(self.contexts[size - 1], context)
+            weight[left[known]] *= self.backoff[size - 1][at[known]]
         return found * weight
 
 
@@ -202,22 +187,53 @@ def train(docs: DataFrame, numbers: dict, text_column: str, lang_column: str, ma
     grams = written(parts.groupBy("code").agg(F.sum("n").alias("n")), "grams")
     levels = [grams]
     for order in range(ORDER - 1, 0, -1):
-        mask = int(_LANGUAGE | _low(order))
-        mask -= (1 << 64) if mask >> 63 else 0
-        shorter = levels[0].select(F.col("code").bitwiseAND(F.lit(mask)).alias("code"))
+        shorter = levels[0].select(F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS | int(_low(order)))).alias("code"))
         levels.insert(0, written(shorter.groupBy("code").agg(F.count(F.lit(1)).alias("n")), f"grams-{order}"))
-    least, size = 1, grams.count()
-    while size > max_grams:
-        least += 1
-        size = grams.filter(F.col("n") >= least).count()
-    return Model([_arrays(level) for level in levels], least)
+    model = Model()
+    for level in levels:
+        found = _shares(level, max_grams).toArrow()
+        columns = [found.column(c).to_numpy() for c in ("code", "share", "backoff")]
+        model.add(columns[0].astype(np.int64).view(np.uint64), *columns[1:])
+    return model
+
 
+#: the bits of the language in a code, as Spark's long; numbers of languages leave the sign alone
+_LANGUAGE_BITS = 0x7FFFFF << 8 * ORDER
 
-def _arrays(level: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    found = level.toArrow()
+
+def _shares(level: DataFrame, max_grams: int) -> DataFrame:
+    """(code, share, backoff): at most ``max_grams`` n-grams, the least seen ones are left out.
+
+    share is the discounted part of its context's count, backoff what the context leaves
+    to the lower orders, that of n-grams left out included. A context has at most 256
+    n-grams, one per byte.
+    """
+    spark = level.sparkSession
+    least = 1
+    while level.filter(F.col("n") >= least).count() > max_grams:
+        least *= 2
+    level = level.withColumn("_lang", F.shiftright("code", 8 * ORDER))
+    seen: dict[int, list[float]] = {}
+    for r in level.groupBy("_lang", F.least("n", F.lit(5)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect():
+        seen.setdefault(r["_lang"], [0.0] * 5)[r["n"] - 1] = float(r["k"])
+    cuts = spark.createDataFrame(
+        [(lang, *_discounts(*ns[:4])) for lang, ns in seen.items()], "_lang bigint, d1 double, d2 double, d3 double"
+    )
+    low = F.col("code").bitwiseAND(F.lit(int(_low(ORDER))))
+    context = F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS)).bitwiseOR(F.shiftright(low, 8))
+    whole = Window.partitionBy("context")
+    share = (F.col("n") - F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))) / F.col("total")
     return (
-        found.column("code").to_numpy().view(np.uint64) if found.num_rows else np.zeros(0, np.uint64),
-        found.column("n").to_numpy(),
+        level.join(cuts, "_lang")
+        .withColumn("context", context)
+        .withColumn("total", F.sum("n").over(whole))
+        .withColumn("share", share)
+        .withColumn("kept", F.sum(F.when(F.col("n") >= least, F.col("share"))).over(whole))
+        .filter(F.col("n") >= least)
+        .select(
+            "code", F.col("share").cast("float").alias("share"),
+            F.least(F.greatest(1 - F.col("kept"), F.lit(1e-9)), F.lit(1.0)).cast("float").alias("backoff"),
+        )
     )
 
 
@@ -335,7 +351,7 @@ def measure(
     text_column: str = "text",
     lang_column: str = "lang",
     carry: tuple[str, ...] = (),
-    reach: float = 8.0,
+    reach: float = 12.0,
     max_grams: int = MAX_GRAMS,
 ) -> DataFrame:
     """Per document row: id, carried columns, counts, ``base_failed``, ``perplexity`` and ``kept``.
@@ -350,10 +366,11 @@ def measure(
     numbers = language_numbers(docs, lang_column)
     model = spark.sparkContext.broadcast(train(docs, numbers, text_column, lang_column, max_grams))
     names = list(dict.fromkeys([id_column, *carry]))
-    hidden = [f"_c{i}" for i in range(len(names))]
+    # a carried text goes to the executors once
+    hidden = ["_text" if n == text_column else f"_c{i}" for i, n in enumerate(names)]
     rows = docs.select(
-        *[F.col(f"`{n}`").alias(h) for n, h in zip(names, hidden)],
-        F.col(text_column).alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"),
+        *[F.col(f"`{n}`").alias(h) for n, h in zip(names, hidden) if h != "_text"],
+        F.col(f"`{text_column}`").alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"),
     )
     schema = T.StructType(
         [T.StructField(h, docs.schema[n].dataType) for n, h in zip(names, hidden)]
