@@ -203,12 +203,6 @@ def file_metadata_columns(df: DataFrame, request: str | dict | None) -> DataFram
     return df.withColumnRenamed(METADATA, name)
 
 
-def _second_before(time: str) -> str:
-    """Option value for files from the second before a time on."""
-    earlier = dt.datetime.fromisoformat(time) - dt.timedelta(seconds=1)
-    return earlier.isoformat(timespec="seconds")
-
-
 # ---- source -----------------------------------------------------------------
 
 
@@ -235,17 +229,18 @@ def file_source(request: SourceRequest) -> Source:
         files = reader(spark, streaming).format("binaryFile").schema(BINARY_SCHEMA).options(**more)
         return files.options(**listing, **(rates if streaming else {})).load(path).select("path")
 
-    def newest() -> str | None:
-        """When the newest of the files was modified."""
+    def newest() -> int | None:
+        """When the newest of the files was modified, in milliseconds."""
         files = spark.read.format("binaryFile").schema(BINARY_SCHEMA).options(**listing).load(path)
-        return files.agg(F.max("modificationTime").cast("string").alias("m")).first()["m"]
+        return files.agg(F.unix_millis(F.max("modificationTime")).alias("m")).first()["m"]
 
-    def infer_schema(after: str | None) -> T.StructType:
+    def infer_schema(after: int | None) -> T.StructType:
         found = _reader_options(fmt, options, infer)
         if after is not None:
             # a second earlier, for file systems that know whole seconds only
-            found["modifiedAfter"] = _second_before(after)
-            found["timeZone"] = spark.conf.get("spark.sql.session.timeZone")
+            earlier = dt.datetime.fromtimestamp(after // 1000 - 1, dt.timezone.utc)
+            found["modifiedAfter"] = earlier.strftime("%Y-%m-%dT%H:%M:%S")
+            found["timeZone"] = "UTC"
         if not by_name:
             try:
                 return spark.read.format(fmt).options(**found).load(path).schema
@@ -255,7 +250,7 @@ def file_source(request: SourceRequest) -> Source:
                 raise
         files = file_names(False)
         if after is not None:
-            files = file_names(False, modifiedAfter=found.pop("modifiedAfter"))
+            files = file_names(False, modifiedAfter=found.pop("modifiedAfter"), timeZone="UTC")
         paths = [r.path for r in files.collect()]
         groups = group_by_header(spark, paths, options)
         return _merge_schemas(
