@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medallion.storage import work_folder
 
 #: bytes of text that are handled at once; a longer document is a slice of its own
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: bytes of an Arrow batch
 ARROW_BYTES = 4 << 20
 MASK = (1 << 64) - 1

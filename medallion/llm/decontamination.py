@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import Words, lists, ranges, ship, signed, slices, window_anchors, word_sums, written
+from .common import Words, lists, ship, signed, slices, window_anchors, word_sums, written
 
 #: bytes between words, once A-Z are lower-cased: all of ASCII but letters and digits
 GAP = np.zeros(256, bool)

@@ -30,7 +30,6 @@ of it have none; an empty table gives no rows. Only id and text are read.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from .common import Words, mix, one_batch, ranges, ship, signed, slices, word_sums, written
+from .common import Words, as_text, mix, one_batch, ranges, raw, ship, signed, slices, word_sums, written
 from .components import components
 
 #: counters of the frequency table, and how they are cut into rows
@@ -217,8 +216,6 @@ def _overlaps(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "_text_a"):
-            from .common import as_text, raw
-
             one = shingle_sets(data, offsets, size)
             two = shingle_sets(*raw(as_text(rows.column("_text_b"))), size)
             n = len(offsets) - 1

@@ -28,12 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
-from .common import Words, byte_sums, covered, mix, ship, slices, word_sums, written
+from .common import SPACE, Words, byte_sums, covered, mix, ship, slices, word_sums, written
 
 ORDER = 5
 #: n-grams of an order in the broadcast model (12 bytes each, and 12 per context)
 MAX_GRAMS = 8_000_000
-SLICE = 1 << 20
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -82,14 +81,14 @@ def _counted(values: np.ndarray, weights: np.ndarray | None = None):
 def _counts(text_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
-        for rows, data, offsets in slices(batches, text_column, SLICE):
+        for rows, data, offsets in slices(batches, text_column):
             languages = rows.column("_lang").to_numpy(zero_copy_only=False)
             parts.append(_counted(codes(data, offsets, languages)))
             held += len(parts[-1][0])
-            if held > 4_000_000:
+            if held > 1_500_000:
                 parts = [_counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))]
                 held = len(parts[0][0])
-                if held > 3_000_000:
+                if held > 1_000_000:
                     yield _count_rows(*parts[0])
                     parts, held = [], 0
         if parts:
@@ -222,7 +221,8 @@ def _shares(level: DataFrame, max_grams: int) -> DataFrame:
     low = F.col("code").bitwiseAND(F.lit(int(_low(ORDER))))
     context = F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS)).bitwiseOR(F.shiftright(low, 8))
     whole = Window.partitionBy("context")
-    share = (F.col("n") - F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))) / F.col("total")
+    cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    share = (F.col("n") - cut) / F.col("total")
     return (
         level.join(cuts, "_lang")
         .withColumn("context", context)
@@ -245,8 +245,6 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     words = Words(data, offsets)
     n = len(offsets) - 1
     gap = np.ones(len(data), bool)
-    from .common import SPACE
-
     np.take(SPACE, data, out=gap)
 
     def per_document(flags: np.ndarray) -> np.ndarray:
@@ -292,7 +290,7 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 def _measured(model, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offsets in slices(batches, "_text", SLICE):
+        for rows, data, offsets in slices(batches, "_text"):
             counts = base_counts(data, offsets)
             of = codes(data, offsets, rows.column("_lang").to_numpy(zero_copy_only=False))
             order = np.argsort(of)
