@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 
@@ -56,11 +57,20 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of a DataFrame, computed once and kept as a table in the shared folder."""
+def written(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """The rows of a DataFrame, computed once and kept as a table in the shared folder.
+
+    release: for writes with large shuffles. Spark deletes their files once the driver's
+    garbage collector finds that nothing refers to them, which an idle driver may not
+    do for long; the files of all steps would add up on the executors' disks. So it is
+    asked to look, twice, because references go in turn.
+    """
     spark = df.sparkSession
     path = work_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    for _ in range(2 if release else 0):
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -14,7 +14,7 @@ def components(links: DataFrame) -> DataFrame:
     least neighbour, until every node points to the least of its component. No node's
     neighbours are gathered: both steps are a least value per node and a join.
     """
-    edges = written(links.select("a", "b").filter("a <> b").distinct(), "links")
+    edges = written(links.select("a", "b").filter("a <> b").distinct(), "links", release=True)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))

@@ -378,6 +378,7 @@ def _shared(rows: DataFrame, light: DataFrame, size: int, percent: int) -> DataF
         .filter("first.class <> last and (before is null or before.class <> class)")
         .drop("last"),
         "prefixes",
+        release=True,
     )
 
 
@@ -391,7 +392,7 @@ def _texts(rows: DataFrame, shared: DataFrame, classes: DataFrame, size: int) ->
         found, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_key") == F.col("_wkey"))
     ).select("class", "_text")
     schema = "class bigint, _text string, " + ", ".join(f"{c} bigint" for c in _CELL_NAMES)
-    return written(texts.mapInArrow(_fetched(size), schema), "texts").join(
+    return written(texts.mapInArrow(_fetched(size), schema), "texts", release=True).join(
         wanted.select("class", "n"), "class"
     )
 
@@ -406,7 +407,7 @@ def _links(shared: DataFrame, texts: DataFrame, size: int, percent: int) -> Data
         for who in ("first", "before")
     ]
     tried = written(near[0].union(near[1]).distinct(), "pairs")
-    links = written(linked(tried, texts, size, percent), "links")
+    links = written(linked(tried, texts, size, percent), "links", release=True)
     labels = components(links)
     marked = shared.select("gram", "class", "at").join(
         labels.select(F.col("node").alias("class"), "component"), "class", "left"

@@ -27,7 +27,7 @@ from .common import (
 )
 
 #: distinct passages of a gram that are compared in one place
-LARGE = 20_000
+LARGE = 8_000
 
 
 class Units:
@@ -221,6 +221,7 @@ def repeated_windows(
             (F.col("_contents") > large).alias("_large"),
         ),
         "candidates",
+        release=True,
     )
     size = candidates.agg(F.sum(F.col("_windows") + window - 1).alias("n")).collect()[0]["n"] or 0
     size = size * (1 if kind == "bytes" else 7)

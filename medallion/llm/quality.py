@@ -183,7 +183,7 @@ def train(docs: DataFrame, numbers: dict, text_column: str, lang_column: str, ma
     ship(docs.sparkSession)
     rows = docs.select(F.col(text_column).alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"))
     parts = rows.mapInArrow(_counts("_text"), "code bigint, n bigint")
-    grams = written(parts.groupBy("code").agg(F.sum("n").alias("n")), "grams")
+    grams = written(parts.groupBy("code").agg(F.sum("n").alias("n")), "grams", release=True)
     levels = [grams]
     for order in range(ORDER - 1, 0, -1):
         shorter = levels[0].select(F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS | int(_low(order)))).alias("code"))

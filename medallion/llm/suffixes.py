@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import as_text, byte_sums, one_batch, ranges, raw
 from .passages import found_rows, repeated_windows, without_ranges
 
-BUCKET_BYTES = 6_000_000
+BUCKET_BYTES = 2_000_000
 
 
 def multikey_sort(tokens: np.ndarray, starts: np.ndarray, depths: list[int]) -> tuple[np.ndarray, np.ndarray]:
