@@ -7,8 +7,11 @@ slice come from a few array operations instead of a loop over characters.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
+import sys
 import tempfile
 import time
 import zipfile
@@ -113,6 +116,15 @@ def slices(
             part = texts.slice(at, end - at)
             yield (batch.slice(at, end - at), *raw(part))
             at = end
+    trim()
+
+
+def trim() -> None:
+    """Give free memory back to the system: Spark keeps Python workers, also idle ones."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries lack it
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def one_batch(table: pa.Table) -> pa.RecordBatch:

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, as_text, one_batch, raw
+from .common import Words, as_text, one_batch, raw, trim
 from .passages import found_rows, repeated_windows, without_ranges
 
 #: candidates per shard, in bytes of passages
@@ -137,6 +137,7 @@ def _matched(window: int):
             rows.column("_gram"), rows.column("_content"), owner, place,
             np.zeros(len(owner), np.int64), np.array(found, np.int64),
         )
+        trim()
         return pa.Table.from_batches([batch])
 
     return run

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import as_text, byte_sums, one_batch, ranges, raw
+from .common import as_text, byte_sums, one_batch, ranges, raw, trim
 from .passages import found_rows, repeated_windows, without_ranges
 
 BUCKET_BYTES = 2_000_000
@@ -81,6 +81,7 @@ def _compared(window: int, block: int):
             rows.column("_gram"), rows.column("_content"), owner, starts - offsets[:-1][owner],
             np.minimum(total, 2), np.zeros(len(owner), np.int64),
         )
+        trim()
         return pa.Table.from_batches([batch])
 
     return run
