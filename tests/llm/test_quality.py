@@ -97,6 +97,38 @@ def test_bands_reject_what_is_unlike_its_language(spark):
     assert all(found[i] for i in range(80))
 
 
+def verdicts(rows, low=quality.LOW_REACH, high=quality.HIGH_REACH):
+    """(kept, entropy) of each row by the brute-force model and sorted lists."""
+    kept = {}
+    for lang in {g for _, _, g in rows}:
+        texts = [(i, t or "") for i, t, g in rows if g == lang]
+        entropy = kneser_ney([t.encode() for _, t in texts], quality.ORDER)
+        found = {i: entropy(t.encode()) if t else None for i, t in texts}
+        passing = {i for i, t in texts if not base(t)[-1]}
+        bins = sorted(math.floor(found[i] * 1000) for i in passing)
+        q1, q2, q3 = (bins[math.ceil(len(bins) * share) - 1] / 1000 for share in (0.25, 0.5, 0.75))
+        lowest, highest = q2 - low * max(q2 - q1, 0.02), q2 + high * max(q3 - q2, 0.02) + 0.001
+        kept |= {i: (i in passing and lowest <= found[i] <= highest, found[i]) for i, _ in texts}
+    return kept
+
+
+def test_verdicts_are_those_of_the_brute_force_model(spark):
+    rng = random.Random(1)
+    junk = lambda n: "".join(chr(rng.randrange(33, 126)) for _ in range(n))
+    rows = [(i, prose(rng, 120), "en") for i in range(80)]
+    rows += [(100, junk(40) + " " + prose(rng, 60).upper(), "en"), (101, " ".join(junk(9) for _ in range(60)), "en")]
+    # more and more of a row is junk; a common phrase with changing numbers is too easy to foresee
+    rows += [(200 + n, prose(rng, 120 - n) + " " + " ".join(junk(5) for _ in range(n)), "en") for n in range(4, 60, 4)]
+    rows += [(300 + n, " ".join(f"the same phrase {n}{k}" for k in range(40)), "en") for n in range(3)]
+    found = {r.doc_id: r for r in quality.measure(frame(spark, rows)).collect()}
+    wanted = verdicts(rows)
+    assert {i: r.kept for i, r in found.items()} == {i: kept for i, (kept, _) in wanted.items()}
+    assert all(math.log(r.perplexity) == pytest.approx(wanted[i][1], abs=2e-5) for i, r in found.items())
+    out = {i for i, (kept, _) in wanted.items() if not kept and not found[i].base_failed}
+    # more rows fall out than at the reach of 12 that rejected next to nothing
+    assert out > {i for i, (kept, _) in verdicts(rows, 12, 12).items() if not kept and not found[i].base_failed}
+
+
 def test_pruned_model_scores_with_lower_orders(spark):
     docs = frame(spark, documents())
     numbers = quality.language_numbers(docs, "lang")
