@@ -2,16 +2,18 @@
 
 The language model is an interpolated modified Kneser-Ney model over the bytes of
 the texts, one per language. Spark counts the n-grams of the highest order over all
-documents; each lower order counts the distinct n-grams that end in its own. The
-model is kept as sorted arrays of n-gram codes, one per order, which are searched
-by bisection. A document is rejected if its perplexity lies outside the band of its
+documents; each lower order counts the distinct n-grams that end in its own. Every
+n-gram of the documents is in the tables of all orders, so joining them order by order
+gives the probability of each n-gram of the highest one. That table is searched by
+bisection, as sorted arrays of n-gram codes. A document is rejected if its perplexity lies outside the band of its
 language, which is placed around the median of the language by the distances of the
 median from the outer quartiles: LOW_REACH of them below, HIGH_REACH above.
 
-Size of the broadcast model: each order keeps at most ``max_grams`` n-grams; those
-seen least are left to the lower orders (their probability goes to the back-off
-weights), as usual in such models. All n-grams are counted, and all documents scored.
-Counts, shares and weights are computed by Spark; the driver gets what is kept.
+Size: counts, shares and probabilities are complete tables of Spark and grow with the
+documents. The last one is broadcast in shards of about ``shard_grams`` n-grams by the
+hash of the code, one after the other; each is a pass over the documents, whose sums add
+up. The driver and the workers hold one shard at a time, and results don't depend on
+their number.
 
 Defined results: a null text counts as empty; an empty text has no perplexity, and
 only the count rules judge it; a null language is a language of its own; repeated rows
@@ -21,6 +23,7 @@ text and language are not read, whatever their names, unless they are to be carr
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +34,8 @@ from pyspark.sql.window import Window
 from .common import SPACE, Words, byte_sums, covered, mix, ship, slices, word_sums, written
 
 ORDER = 5
-#: n-grams of an order in the broadcast model (12 bytes each, and 12 per context)
-MAX_GRAMS = 8_000_000
+#: n-grams that are broadcast at once (12 bytes each)
+SHARD_GRAMS = 8_000_000
 #: reach of the bands below and above the median. The rule: of the rows that labels.parquet of sf0.1
 #: calls good and that pass the count rules (3,243), at most 0.25 % may fall out on a side; the least
 #: multiple of 0.5 that holds it. Below it is 7 rows (0.22 %), above 4 (0.12 %).
@@ -182,18 +185,28 @@ def _numbered(docs: DataFrame, lang_column: str, numbers: dict):
     return number.cast("long")
 
 
-def train(docs: DataFrame, numbers: dict, text_column: str, lang_column: str, max_grams: int = MAX_GRAMS) -> Model:
-    """Count n-grams of all documents with Spark and build the model."""
+def levels(docs: DataFrame, numbers: dict, text_column: str, lang_column: str) -> list[DataFrame]:
+    """(code, n) of orders 1 to ORDER: the n-grams of all documents, counted by Spark."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(text_column).alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"))
     parts = rows.mapInArrow(_counts("_text"), "code bigint, n bigint")
     grams = written(parts.groupBy("code").agg(F.sum("n").alias("n")), "grams", release=True)
-    levels = [grams]
+    found = [grams]
     for order in range(ORDER - 1, 0, -1):
-        shorter = levels[0].select(F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS | int(_low(order)))).alias("code"))
-        levels.insert(0, written(shorter.groupBy("code").agg(F.count(F.lit(1)).alias("n")), f"grams-{order}"))
+        shorter = found[0].select(F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS | int(_low(order)))).alias("code"))
+        found.insert(0, written(shorter.groupBy("code").agg(F.count(F.lit(1)).alias("n")), f"grams-{order}"))
+    return found
+
+
+def train(
+    docs: DataFrame, numbers: dict, text_column: str, lang_column: str, max_grams: int | None = None
+) -> Model:
+    """A model in the driver's memory, for any texts; ``measure`` doesn't need it.
+
+    With ``max_grams`` the n-grams seen least are left to the lower orders, so that no order keeps more.
+    """
     model = Model()
-    for level in levels:
+    for level in levels(docs, numbers, text_column, lang_column):
         found = _shares(level, max_grams).toArrow()
         columns = [found.column(c).to_numpy() for c in ("code", "share", "backoff")]
         model.add(columns[0].astype(np.int64).view(np.uint64), *columns[1:])
@@ -204,8 +217,8 @@ def train(docs: DataFrame, numbers: dict, text_column: str, lang_column: str, ma
 _LANGUAGE_BITS = 0x7FFFFF << 8 * ORDER
 
 
-def _shares(level: DataFrame, max_grams: int) -> DataFrame:
-    """(code, share, backoff): at most ``max_grams`` n-grams, the least seen ones are left out.
+def _shares(level: DataFrame, max_grams: int | None = None) -> DataFrame:
+    """(code, share, backoff) of all n-grams; with ``max_grams`` the least seen ones are left out.
 
     share is the discounted part of its context's count, backoff what the context leaves
     to the lower orders, that of n-grams left out included. A context has at most 256
@@ -213,7 +226,7 @@ def _shares(level: DataFrame, max_grams: int) -> DataFrame:
     """
     spark = level.sparkSession
     least = 1
-    while level.filter(F.col("n") >= least).count() > max_grams:
+    while max_grams and level.filter(F.col("n") >= least).count() > max_grams:
         least *= 2
     level = level.withColumn("_lang", F.shiftright("code", 8 * ORDER))
     seen: dict[int, list[float]] = {}
@@ -235,12 +248,57 @@ def _shares(level: DataFrame, max_grams: int) -> DataFrame:
         .withColumn("kept", F.sum(F.when(F.col("n") >= least, F.col("share"))).over(whole))
         .filter(F.col("n") >= least)
         .select(
-            "code", F.col("share").cast("float").alias("share"),
-            F.least(F.greatest(1 - F.col("kept"), F.lit(1e-9)), F.lit(1.0)).cast("float").alias("backoff"),
+            "code", "share", F.least(F.greatest(1 - F.col("kept"), F.lit(1e-9)), F.lit(1.0)).alias("backoff")
         )
     )
 
 
+def log_probabilities(counted: list[DataFrame]) -> DataFrame:
+    """(code, log): all n-grams of the highest order of ``levels``, and the logarithms of their probabilities."""
+    lower = None
+    for order, level in enumerate(counted, 1):
+        found = _shares(level)
+        if lower is None:
+            found = found.withColumn("lower", F.lit(1 / 256))
+        else:
+            shorter = F.col("code").bitwiseAND(F.lit(_LANGUAGE_BITS | int(_low(order - 1))))
+            found = found.withColumn("shorter", shorter).join(lower, "shorter")
+        p = F.col("share") + F.col("backoff") * F.col("lower")
+        lower = found.select(F.col("code").alias("shorter"), p.alias("lower"))
+    return lower.select(F.col("shorter").alias("code"), F.log("lower").cast("float").alias("log"))
+
+
+def shards(grams: DataFrame, shard_grams: int) -> Iterator[DataFrame]:
+    """The rows of ``log_probabilities``, dealt by hash into parts of about ``shard_grams``."""
+    n = -(-grams.count() // shard_grams) or 1
+    for i in range(n):
+        yield grams.filter(F.pmod(F.xxhash64("code"), F.lit(n)) == i)
+
+
+def _searched(shard: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted codes, logarithms)."""
+    found = shard.toArrow()
+    keys = found.column("code").to_numpy().astype(np.int64).view(np.uint64)
+    by = np.argsort(keys)
+    return keys[by], found.column("log").to_numpy().astype(np.float32)[by]
+
+
+def _log_sums(shard, data: np.ndarray, offsets: np.ndarray, languages: np.ndarray) -> np.ndarray:
+    """Per document of a slice the sum of the logarithms of those of its n-grams that the shard has."""
+    of = codes(data, offsets, languages)
+    order = np.argsort(of)
+    ordered = of[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(of) else np.zeros(0, bool)
+    keys, values = shard
+    at, known = _find(keys, ordered[new])
+    logs = np.zeros(len(at))
+    logs[known] = values[at[known]]
+    each = np.empty(len(of))
+    each[order] = logs[np.cumsum(new) - 1]
+    size = np.diff(offsets)
+    return np.bincount(np.repeat(np.arange(len(size)), size), each, len(size))
+
+
 # -- counts of a document ------------------------------------------------------------
 
 
@@ -292,28 +350,30 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _measured(model, carried: list[str]):
+def _measured(shard, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, "_text"):
             counts = base_counts(data, offsets)
-            of = codes(data, offsets, rows.column("_lang").to_numpy(zero_copy_only=False))
-            order = np.argsort(of)
-            ordered = of[order]
-            new = np.r_[True, ordered[1:] != ordered[:-1]] if len(of) else np.zeros(0, bool)
-            logs = np.log(model.value.probabilities(ordered[new]))
-            each = np.empty(len(of))
-            each[order] = logs[np.cumsum(new) - 1]
-            size = np.diff(offsets)
-            document = np.repeat(np.arange(len(size)), size)
-            total = np.bincount(document, each, len(size))
-            entropy = pa.array(-total / np.maximum(size, 1), mask=size == 0)
+            logs = _log_sums(shard.value, data, offsets, rows.column("_lang").to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[rows.column(c) for c in carried],
                     *[pa.array(counts[c].astype(np.int64)) for c in _COUNTS],
-                    entropy,
+                    pa.array(np.diff(offsets).astype(np.int64)),
+                    pa.array(logs),
                 ],
-                names=[*carried, *_COUNTS, "entropy"],
+                names=[*carried, *_COUNTS, "_bytes", "_log"],
+            )
+
+    return run
+
+
+def _log_summed(shard):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in slices(batches, "_text"):
+            logs = _log_sums(shard.value, data, offsets, rows.column("_lang").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("_lang"), rows.column("_key"), pa.array(logs)], names=["_lang", "_key", "_log"]
             )
 
     return run
@@ -355,7 +415,7 @@ def measure(
     carry: tuple[str, ...] = (),
     low_reach: float = LOW_REACH,
     high_reach: float = HIGH_REACH,
-    max_grams: int = MAX_GRAMS,
+    shard_grams: int = SHARD_GRAMS,
 ) -> DataFrame:
     """Per document row: id, carried columns, counts, ``base_failed``, ``perplexity`` and ``kept``.
 
@@ -365,23 +425,40 @@ def measure(
     the bands below and above the median, in its distances from the quartiles. Carried columns may include the text.
     """
     spark = docs.sparkSession
-    ship(spark)
     numbers = language_numbers(docs, lang_column)
-    model = spark.sparkContext.broadcast(train(docs, numbers, text_column, lang_column, max_grams))
+    grams = written(log_probabilities(levels(docs, numbers, text_column, lang_column)), "grams-log")
     names = list(dict.fromkeys([id_column, *carry]))
     # a carried text goes to the executors once
     hidden = ["_text" if n == text_column else f"_c{i}" for i, n in enumerate(names)]
+    text, number = F.col(f"`{text_column}`"), _numbered(docs, lang_column, numbers)
     rows = docs.select(
         *[F.col(f"`{n}`").alias(h) for n, h in zip(names, hidden) if h != "_text"],
-        F.col(f"`{text_column}`").alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"),
+        text.alias("_text"), number.alias("_lang"), F.coalesce(F.md5(text), F.lit("")).alias("_key"),
     )
     schema = T.StructType(
         [T.StructField(h, docs.schema[n].dataType) for n, h in zip(names, hidden)]
-        + [T.StructField("_lang", T.LongType())]
-        + [T.StructField(c, T.LongType()) for c in _COUNTS]
-        + [T.StructField("entropy", T.DoubleType())]
+        + [T.StructField("_lang", T.LongType()), T.StructField("_key", T.StringType())]
+        + [T.StructField(c, T.LongType()) for c in (*_COUNTS, "_bytes")]
+        + [T.StructField("_log", T.DoubleType())]
     )
-    measured = written(rows.mapInArrow(_measured(model, [*hidden, "_lang"]), schema), "measured").withColumn(
+    measured, further = None, []
+    for i, part in enumerate(shards(grams, shard_grams)):
+        shard = spark.sparkContext.broadcast(_searched(part))
+        if measured is None:
+            found = rows.mapInArrow(_measured(shard, [*hidden, "_lang", "_key"]), schema)
+            measured = written(found, "measured")
+        else:
+            found = rows.select("_text", "_lang", "_key").mapInArrow(
+                _log_summed(shard), "_lang bigint, _key string, _log double"
+            )
+            # rows with equal texts have equal sums
+            found = found.groupBy("_lang", "_key").agg(F.max("_log").alias("_log"))
+            further.append(written(found, f"measured-{i}"))
+        shard.destroy()
+    if further:
+        rest = functools.reduce(DataFrame.unionByName, further).groupBy("_lang", "_key").agg(F.sum("_log").alias("_rest"))
+        measured = measured.join(rest, ["_lang", "_key"], "left").withColumn("_log", F.col("_log") + F.col("_rest"))
+    measured = measured.withColumn("entropy", F.when(F.col("_bytes") > 0, -F.col("_log") / F.col("_bytes"))).withColumn(
         "base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     )
     limits = {r["_lang"]: r for r in bands(measured, low_reach, high_reach).collect()}

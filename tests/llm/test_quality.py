@@ -142,6 +142,24 @@ def test_pruned_model_scores_with_lower_orders(spark):
             assert model.probabilities(following).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_many_shards_give_the_perplexity_of_the_whole_model(spark):
+    """However little of the model fits at once, no n-gram is left out."""
+    rows = documents()
+    docs = frame(spark, rows)
+    n_grams = len({(g, (bytes(4) + t.encode())[p : p + 5]) for _, t, g in rows if t for p in range(len(t.encode()))})
+    found = quality.measure(docs, carry=("lang", "text"), shard_grams=n_grams // 3).collect()
+    assert len(found) == len(rows)
+    models = {g: kneser_ney([(t or "").encode() for _, t, h in rows if h == g], quality.ORDER) for g in {r[2] for r in rows}}
+    for r in found:
+        if r.text:
+            assert math.log(r.perplexity) == pytest.approx(models[r.lang](r.text.encode()), abs=2e-5)
+        else:
+            assert r.perplexity is None
+    whole = quality.measure(docs).collect()
+    key = lambda r: (repr(r.doc_id), r.n_words, r.word_chars)
+    assert [r.kept for r in sorted(found, key=key)] == [r.kept for r in sorted(whole, key=key)]
+
+
 def test_empty_table(spark):
     none = frame(spark, [(1, "x", "en")]).filter(F.lit(False))
     assert quality.measure(none).collect() == []
