@@ -22,7 +22,12 @@ Formats and what is validated and kept:
   kind; other characters and the domain stay
 
 Values that fail validation stay as they are. A value is found only if no letter
-or digit touches it.
+or digit touches it. At every place where one may start, the longest match of the
+first format that fits is tried; if it is not valid, cards, accounts and numbers with +
+are tried with shorter ends as well, at the separators inside, longest first. Values
+are taken from left to right, and the text goes on right behind each.
+Numbers with + whose country has a longest subscriber number end there if a separator
+does; the others, and those without such an end, are taken whole.
 
 Defined results: a null text stays null and has no finds; an empty one stays empty;
 repeated rows are treated alike; an empty table gives no rows. Only the text column
@@ -43,7 +48,12 @@ _SSN = r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-)"
 _CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
 _IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 FORMATS = {"email": _EMAIL, "iban": _IBAN, "ipv4": _IPV4, "date": _DATE, "ssn": _SSN, "phone": _NANP, "number": _PHONE, "card": _CARD}
-ANY = r"(?<![A-Za-z0-9])(?:" + "|".join(FORMATS.values()) + r")(?![A-Za-z0-9])"
+#: matches nothing before each place where a value may start; group 1 is what may be one, so group 1 of a date is 2
+ANY = r"(?<![A-Za-z0-9])(?=(" + "|".join(FORMATS.values()).replace("\\1", "\\2") + r")(?![A-Za-z0-9]))"
+#: formats of which a match may have taken more than the value
+LONGER = ("iban", "number", "card")
+#: most digits of subscriber numbers, with the country, where its plan has one length for the longest
+_PLANS = {"1": 11, "7": 11, "30": 12, "33": 11, "34": 11, "351": 12, "420": 12, "44": 12, "48": 11}
 
 
 def _text(value: str) -> str:
@@ -126,7 +136,8 @@ def _validity() -> dict[str, str]:
     day = f"{_DAY} - {_FIRST_DAY} BETWEEN 0 AND {_DAYS_A * _DAYS_B - 1}"
     ssn = "substr(m, 1, 3) NOT IN ('000', '666') AND substr(m, 1, 1) <> '9' AND substr(m, 5, 2) <> '00' AND substr(m, 8, 4) <> '0000'"
     card = f"length({_DIGITS}) BETWEEN 13 AND 19 AND {_luhn(_DIGITS, 0)} % 10 = 0"
-    number = f"length({_DIGITS}) BETWEEN 8 AND 15"
+    most = " ".join(f"WHEN startswith({_DIGITS}, '{country}') THEN {n}" for country, n in _PLANS.items())
+    number = f"length({_DIGITS}) BETWEEN 8 AND CASE {most} ELSE 15 END"
     turned = f"concat(substr({_COMPACT}, 5), left({_COMPACT}, 4))"
     iban = f"length({_COMPACT}) BETWEEN 15 AND 34 AND {_mod97(turned)} = 1"
     return {"email": "true", "iban": iban, "ipv4": octets, "date": day, "ssn": ssn, "phone": "true", "number": number, "card": card}
@@ -202,11 +213,23 @@ def _permuted_characters(value: str, key: str, name: str) -> str:
         s -> concat(s.l, s.r))"""
 
 
-def kinds(matches: str) -> Column:
-    """The kind of every match, null if it is not valid."""
+def _kind(formats=FORMATS) -> str:
+    """The kind of a match m, null if it is not valid."""
     valid = _validity()
-    cases = " ".join(f"WHEN {_shape(n)} THEN if({valid[n]}, '{n}', null)" for n in FORMATS)
-    return F.expr(f"transform({matches}, m -> CASE {cases} END)")
+    return "CASE " + " ".join(f"WHEN {_shape(n)} THEN if({valid[n]}, '{n}', null)" for n in formats) + " END"
+
+
+def values(matches: str) -> Column:
+    """(kind, value) of every match: all of it or, if that is not valid, its longest valid beginning."""
+    ends = "filter(sequence(length(x) - 1, 1, -1), p -> substr(x, p + 1, 1) RLIKE '[^A-Za-z0-9]')"
+    shorter = f"""filter(transform(transform({ends}, p -> left(x, p)), m -> named_struct('kind', {_kind(LONGER)}, 'value', m)),
+        v -> v.kind IS NOT NULL)"""
+    cut = "|".join(f"^(?:{FORMATS[n]})$" for n in LONGER)
+    return F.expr(f"""transform(transform({matches}, m -> named_struct('kind', {_kind()}, 'value', m)), v -> CASE
+        WHEN v.kind IS NULL AND v.value RLIKE {_text(cut)}
+        THEN coalesce(get(element_at(transform(array(v.value), x -> {shorter}), 1), 0),
+            named_struct('kind', if(left(v.value, 1) = '+', 'number', null), 'value', v.value))
+        ELSE v END)""")
 
 
 def pseudonymized(
@@ -215,22 +238,40 @@ def pseudonymized(
     """Replace personal values in the text column; ``finds_column`` gets the kinds found, in order."""
     text = F.col(f"`{text_column}`")
     some = text.rlike("[0-9@]")  # most texts have nothing to look at
-    names = {n: n for n in ("matches", "kinds")}
+    names = {n: n for n in ("pieces", "values", "given")}
     while set(names.values()) & set(docs.columns):
         names = {n: f"_{c}" for n, c in names.items()}
-    none = F.array().cast("array<string>")
-    found = docs.withColumn(
-        names["matches"], F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    pieces, found_values, new_values = names["pieces"], names["values"], names["given"]
+    # the text from each start to the next one; what precedes the first is a piece if it is not empty
+    split = F.when(some, F.split(text, ANY, -1)).otherwise(F.array(text))
+    starts = F.when(some, F.regexp_extract_all(text, F.lit(ANY), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    found = docs.withColumn(pieces, split).withColumn(found_values, starts).withColumn(found_values, values(f"`{found_values}`"))
+    # taken: characters of a piece that belong to a value from before, which rules out its own
+    found = found.withColumn(
+        found_values,
+        F.expr(f"""if(exists({found_values}, v -> v.kind IS NOT NULL),
+            zip_with({found_values}, aggregate(
+                zip_with({found_values}, slice({pieces}, size({pieces}) - size({found_values}) + 1, size({found_values})),
+                    (v, p) -> named_struct('own', if(v.kind IS NULL, 0, length(v.value)), 'size', length(p))),
+                named_struct('taken', 0, 'all', cast(array() AS array<int>)),
+                (s, x) -> named_struct(
+                    'taken', greatest(if(s.taken > 0, s.taken, x.own) - x.size, 0), 'all', concat(s.all, array(s.taken))),
+                s -> s.all),
+                (v, taken) -> named_struct('kind', if(taken > 0, null, v.kind), 'value', v.value, 'taken', taken)),
+            cast(array() AS array<struct<kind: string, value: string, taken: int>>))"""),
     )
-    found = found.withColumn(names["kinds"], F.when(F.size(names["matches"]) > 0, kinds(names["matches"])).otherwise(none))
     new = _pseudonyms(key)
     cases = " ".join(f"WHEN k = '{n}' THEN {new[n]}" for n in FORMATS)
-    values = F.expr(f"zip_with({names['matches']}, {names['kinds']}, (m, k) -> CASE {cases} ELSE m END)")
-    joined = F.array_join(
-        F.zip_with(F.split(text, ANY, -1), F.concat(values, F.array(F.lit(""))), lambda p, v: F.concat(p, v)), ""
-    )
-    replaced = F.when(F.exists(names["kinds"], lambda k: k.isNotNull()), joined).otherwise(text)
+    given = F.expr(f"transform({found_values}, v -> element_at(transform(array(v.value), m -> element_at(transform(array(v.kind), k -> CASE {cases} END), 1)), 1))")
+    found = found.withColumn(new_values, given)
+    n_before = f"(size({pieces}) - size({found_values}))"
+    joined = F.expr(f"""array_join(concat(slice({pieces}, 1, {n_before}),
+        zip_with(zip_with({found_values}, {new_values}, (v, n) -> named_struct('v', v, 'n', n)),
+            slice({pieces}, {n_before} + 1, size({found_values})),
+            (x, p) -> if(x.v.kind IS NULL, substr(p, x.v.taken + 1), concat(x.n, substr(p, length(x.v.value) + 1))))), '')""")
+    replaced = F.when(F.size(found_values) > 0, joined).otherwise(text)
     columns = [replaced.alias(c) if c == text_column else F.col(f"`{c}`") for c in docs.columns]
     if finds_column:
-        columns.append(F.filter(names["kinds"], lambda k: k.isNotNull()).alias(finds_column))
+        kinds = F.transform(F.col(f"`{found_values}`"), lambda v: v["kind"])
+        columns.append(F.filter(kinds, lambda k: k.isNotNull()).alias(finds_column))
     return found.select(*columns)

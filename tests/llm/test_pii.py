@@ -137,6 +137,30 @@ def test_texts_around_values(spark):
     assert rows[7].text.endswith("@b.org.") and rows[8].text.endswith("@b.org)")
 
 
+def test_values_with_more_behind_or_before(spark):
+    card_, other, account, call = "4111 1111 1111 1111", "5500-0000-0000-0004", "BE68 5390 0754 7034", "+44 20 7946 0958"
+    new = {v: r.text for v, r in zip((card_, other, account, call), run(spark, [card_, other, account, call]))}
+    assert all(v != n for v, n in new.items())
+    address = run(spark, ["10.0.0.1"])[0].text
+    cases = {
+        f"{card_} 12/25": (f"{new[card_]} 12/25", ["card"]), f"{card_} 123": (f"{new[card_]} 123", ["card"]),
+        f"{account} OK": (f"{new[account]} OK", ["iban"]), f"paid {account} EUR 5": (f"paid {new[account]} EUR 5", ["iban"]),
+        f"{call} 12": (f"{new[call]} 12", ["number"]), f"tel {call}-7.": (f"tel {new[call]}-7.", ["number"]),
+        f"no 12 {card_}": (f"no 12 {new[card_]}", ["card"]), f"1234 {card_}": (f"1234 {new[card_]}", ["card"]),
+        f"{card_} {other} 7": (f"{new[card_]} {new[other]} 7", ["card", "card"]),
+        f"{card_} 10.0.0.1 é": (f"{new[card_]} {address} é", ["card", "ipv4"]),
+        f"é {account} AB {card_} 12": (f"é {new[account]} AB {new[card_]} 12", ["iban", "card"]),
+    }
+    for (text, wanted), r in zip(cases.items(), run(spark, list(cases))):
+        assert (r.text, r.found) == wanted, text
+
+
+def test_unending_number_is_not_left(spark):
+    """Nothing says where it ends; all of it is replaced."""
+    for text, r in zip(texts := ["+441234567890123", "+99 12 345 678 901 23"], run(spark, texts)):
+        assert r.found == ["number"] and r.text != text and len(r.text) == len(text)
+
+
 def test_other_columns_and_tables(spark):
     rows = [(i, t, "m", 1) for i, t, _ in documents() if t is None or not re.search("[0-9@]", t)]
     df = spark.createDataFrame(rows, SCHEMA)
