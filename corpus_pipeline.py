@@ -20,7 +20,11 @@ from medallion.llm.queries import PII_KEY
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the count rules or the perplexity band of their language go."""
-    return measure(docs, carry=tuple(docs.columns)).filter("kept").select(*docs.columns)
+    # any column may have the name of a count or of the verdict
+    names = {c: f"_d{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    found = measure(renamed, names["doc_id"], names["text"], names["lang"], carry=tuple(names.values()))
+    return found.filter("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +39,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values are replaced; n_chars follows the text where it changed."""
-    found = pseudonymized(docs, PII_KEY, finds_column="_found")
-    n_chars = F.when(F.size("_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", n_chars).select(*docs.columns)
+    finds = "_found"
+    while finds in {c.lower() for c in docs.columns}:
+        finds = f"_{finds}"
+    found = pseudonymized(docs, PII_KEY, finds_column=finds)
+    n_chars = F.when(F.size(finds) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

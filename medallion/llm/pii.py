@@ -239,7 +239,7 @@ def pseudonymized(
     text = F.col(f"`{text_column}`")
     some = text.rlike("[0-9@]")  # most texts have nothing to look at
     names = {n: n for n in ("pieces", "values", "given")}
-    while set(names.values()) & set(docs.columns):
+    while set(names.values()) & {c.lower() for c in docs.columns}:
         names = {n: f"_{c}" for n, c in names.items()}
     pieces, found_values, new_values = names["pieces"], names["values"], names["given"]
     # the text from each start to the next one; what precedes the first is a piece if it is not empty

@@ -5,6 +5,7 @@ import re
 
 import pytest
 from helpers import documents, prose, words
+from pyspark.sql import functions as F
 from test_decontamination import brute as contaminated
 from test_jaccard import brute as grouped
 from test_quality import base
@@ -100,6 +101,31 @@ def test_packing(spark, stages, folder):
     ]
 
 
+CLASHING = (
+    "kept", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "perplexity", "entropy",
+    "_bytes", "_log", "_c0", "_d0", "_found", "pieces", "Values", "given", "_id", "_key", "_text", "_lang", "_hit_id",
+    "_hit_key", "_first_id", "_first_key", "_same", "times", "component", "class", "gram", "at", "n", "spans", "ids", "piece",
+    "start", "length", "sequence_id", "offset", "ids_crc32", "a.b",
+)
+
+
+def test_clashing_columns(spark, folder, stages):
+    """Every stage gives the rows it gives without them, with these columns as they were."""
+    names = list(stages)
+    for name, before, stage in zip(names[1:], names, [s for _, s in corpus_pipeline.STAGES]):
+        docs = stages[before].withColumns({c: F.lit(f"x{i}") for i, c in enumerate(CLASHING)})
+        found = stage(spark, docs, folder[0])
+        same = stages[name].columns
+        if name != "packing":
+            assert found.columns == docs.columns, name
+            extra = found.select(F.array(*[F.col(f"`{c}`") for c in CLASHING])).distinct().collect()
+            assert [r[0] for r in extra] == [[f"x{i}" for i in range(len(CLASHING))]], name
+        else:
+            same = ["doc_id", "piece", "ids_crc32"]
+        got, wanted = (sorted(map(tuple, df.select(*same).collect()), key=repr) for df in (found, stages[name]))
+        assert got == wanted, name
+
+
 def test_empty_documents(spark, folder):
     docs = spark.read.parquet(f"{folder[0]}/documents.parquet").filter("false")
     for _, stage in corpus_pipeline.STAGES:
