@@ -134,3 +134,19 @@ def op9_license_scan(spark, folder):
     from .licenses import scan
 
     return scan(document_paths(table(spark, folder, "documents")))
+
+
+@query
+def op12_sentencepiece(spark, folder):
+    import public_tokenizers
+
+    from .pieces import encode
+
+    coded = encode(
+        table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), round_trip=True
+    )
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
