@@ -109,3 +109,99 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, coale
        sha256(coalesce(ids, '')) AS items_sha256, n IS NOT NULL AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+def _merkle(levels: int, groups: int) -> str:
+    """SQL of the manifest: so many levels of 16 for the rows of a source, and for the sources."""
+
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR) END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def reduce(name: str, steps: int) -> str:
+        """name0 (s, p, h, t) upwards: name_r0 the runs of a level, name1 their nodes."""
+        parts = []
+        for k in range(steps):
+            parts.append(f"""{name}_r{k} AS MATERIALIZED (
+  SELECT s, p // 16 AS q, list(h ORDER BY p) AS l, max(t) AS t FROM {name}{k} GROUP BY s, p // 16),
+{name}{k + 1} AS MATERIALIZED (
+  SELECT s, q AS p, CASE WHEN t = 1 THEN l[1] ELSE sha256(array_to_string(l, '')) END AS h, (t + 15) // 16 AS t
+  FROM {name}_r{k})""")
+        return ",\n".join(parts)
+
+    def climb(name: str, start: str, steps: int, group: str) -> str:
+        """name0..: the siblings so far (proof) and the digest folded so far (cur) of each row."""
+        parts = [f"{name}0 AS ({start})"]
+        for k in range(steps):
+            i = f"CAST((p // {16**k}) % 16 AS INTEGER)"
+            before, after = f"array_to_string(r.l[1:{i}], '')", f"array_to_string(r.l[{i} + 2:], '')"
+            parts.append(f"""{name}{k + 1} AS (
+  SELECT c.* EXCLUDE (proof, cur),
+         proof || CASE WHEN r.t = 1 THEN '' ELSE {before} || {after} END AS proof,
+         CASE WHEN r.t = 1 THEN cur ELSE sha256({before} || cur || {after}) END AS cur
+  FROM {name}{k} c JOIN {group}_r{k} r ON r.s = c.s AND r.q = c.p // {16 ** (k + 1)})""")
+        return ",\n".join(parts)
+
+    digits = "CAST(doc_id AS VARCHAR)"
+    codes = f"list_transform(range(strlen({digits})), lambda i: CAST(ascii(substr({digits}, CAST(i + 1 AS INTEGER), 1)) AS BIGINT))"
+    step = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {step}), 4294967295)"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH d AS MATERIALIZED (
+  SELECT doc_id, coalesce('=' || source, '') AS s, {leaf("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS claimed
+  FROM documents),
+x AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+         count(*) OVER (PARTITION BY s) AS t
+  FROM d),
+a0 AS (SELECT s, p, leaf AS h, t FROM x),
+{reduce("a", levels)},
+g AS MATERIALIZED (
+  SELECT s AS name, h AS subroot, row_number() OVER (ORDER BY s) - 1 AS p, count(*) OVER () AS t FROM a{levels}),
+b0 AS (SELECT 0 AS s, p, subroot AS h, t FROM g),
+{reduce("b", groups)},
+{climb("c", "SELECT *, '' AS proof, claimed AS cur FROM x", levels, "a")},
+{climb("e", f"SELECT c.doc_id, c.leaf, g.subroot, 0 AS s, g.p, c.proof, c.cur FROM c{levels} c JOIN g ON g.name = c.s", groups, "b")}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = r.h AS verified
+FROM e{groups} e CROSS JOIN b{groups} r
+"""
+
+
+#: 16^6 rows of a source, 16^4 sources
+ORACLES["op11_merkle_manifest"] = _merkle(6, 4)
+
+ORACLES["op13_phrase_collocations"] = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents WHERE text IS NOT NULL)),
+s AS (
+  SELECT lang, k, list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' ')) AS grams
+  FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+g AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(grams) AS phrase FROM s) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM g WHERE k > 1 AND f >= 30),
+t AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.ws, x.f AS l, y.f AS r, cut,
+         CAST((2000000::HUGEINT * c.a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+  JOIN g x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN g y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:], ' ')),
+b AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS longest
+  FROM (SELECT lang, a, unnest(list_transform(range(1, k - j + 2), lambda i: array_to_string(ws[i:i + j - 1], ' '))) AS phrase
+        FROM (SELECT *, unnest(range(2, k)) AS j FROM c))
+  GROUP BY ALL),
+z AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase
+  WHERE o.longest IS NULL OR 100::HUGEINT * o.longest < 80::HUGEINT * b.a)
+SELECT z.lang, z.rank, z.phrase, z.a, z.l, z.r, n.n, z.score FROM z JOIN n ON n.lang = z.lang WHERE z.rank <= 2000
+"""

@@ -150,3 +150,20 @@ def op12_sentencepiece(spark, folder):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_merkle_manifest(spark, folder):
+    from .manifest import manifest
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(tampered, F.translate("text", upper, lower)).otherwise(F.col("text"))
+    return manifest(table(spark, folder, "documents"), claimed={"text": text}).proofs()
+
+
+@query
+def op13_phrase_collocations(spark, folder):
+    from .phrases import phrase_graph
+
+    return phrase_graph(table(spark, folder, "documents")).collocations()
