@@ -11,6 +11,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+# what stands behind a text to see that nothing else does
+END_MARK = "__end"
+
+
 def _path(name: str) -> str:
     return f"$['{name}']" if "'" not in name else f'$["{name}"]'
 
@@ -27,35 +31,32 @@ def decode_json(
     whole_files: bool = False,
     keep: Iterable[str] = (),
 ) -> DataFrame:
-    """Rows of a JSON text column; ``whole_files`` also accepts arrays of records."""
+    """Rows of a JSON text column; ``whole_files`` also accepts arrays of records.
+
+    A value is taken if its type holds all of it; any other one is null in its column
+    and kept in the rescue column. A text that is not one record is kept there whole.
+    """
     fields = [f for f in schema.fields if f.name != rescue]
     kept = [F.col(f"`{c}`") for c in keep]
     lines = df.where(F.trim(F.col(value)) != "")
-    parsed = F.try_parse_json(F.col(value))
     if whole_files:
         records = F.coalesce(
             F.try_variant_get(F.col("__v"), "$", "array<variant>"), F.array(F.col("__v"))
         )
-        lines = lines.select(*kept, F.col(value).alias("__line"), parsed.alias("__v")).select(
+        lines = lines.select(*kept, F.col(value).alias("__line"), _one_value(value).alias("__v")).select(
             *kept, "__line", F.explode(records).alias("__v")
         )
     elif rescue and fields:
         lines = _fitting_first(lines, fields, value, kept)
     else:
-        lines = lines.select(*kept, F.col(value).alias("__line"), parsed.alias("__v"))
+        lines = lines.select(*kept, F.col(value).alias("__line"), _one_value(value).alias("__v"))
     quick = "__s" in lines.columns
     typed = lines.select(
         *kept,
         "__line",
         *(["__odd"] if quick else []),
         F.try_variant_get("__v", "$", "map<string,variant>").alias("__m"),
-        *[
-            F.coalesce(
-                *([F.col("__s").getField(f.name)] if quick else []),
-                F.try_variant_get("__v", _path(f.name), f.dataType.simpleString()),
-            ).alias(f.name)
-            for f in fields
-        ],
+        *[_value(f, quick).alias(f.name) for f in fields],
     )
     columns = [F.col(f"`{f.name}`") for f in fields]
     if rescue:
@@ -83,17 +84,77 @@ def decode_json(
     return typed.select(*columns, *kept)
 
 
+def _one_value(text: str) -> Column:
+    """The JSON value that fills a text; null if there is none, another one, or anything else.
+
+    The parser stops behind the first value it has read. So the text is made the first
+    item of a list with a mark behind it: what follows the value hides the mark.
+    """
+    parsed = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{END_MARK}"]')))
+    marked = (F.try_variant_get(parsed, "$[1]", "string") == END_MARK) & F.try_variant_get(
+        parsed, "$[2]", "variant"
+    ).isNull()
+    return F.when(marked, F.try_variant_get(parsed, "$[0]", "variant"))
+
+
+def _value(field: T.StructField, quick: bool) -> Column:
+    """A field of a record, null if its type would not hold the whole value."""
+    path = _path(field.name)
+    item = F.try_variant_get("__v", path, "variant")
+    typed = F.try_variant_get("__v", path, field.dataType.simpleString())
+    if not quick:
+        return F.when(_holds(field.dataType, typed, item), typed)
+    read = F.col("__s").getField(field.name)
+    typed = F.coalesce(read, typed)
+    return F.when(~F.col("__odd"), read).when(_holds(field.dataType, typed, item), typed)
+
+
+def _holds(kind: T.DataType, typed: Column, item: Column) -> Column:
+    """Is a typed value all of the JSON value that it was read from?"""
+    text = F.try_variant_get(item, "$", "string")
+    quoted = F.schema_of_variant(item) == "STRING"
+    if isinstance(kind, T.StringType):
+        return typed.isNotNull() & item.isNotNull()
+    if isinstance(kind, T.NumericType):
+        wide = T.DecimalType(38, 18)
+        exact = text.try_cast(wide) == typed.try_cast(wide)
+        # beyond decimals there are only floating point numbers
+        number = F.coalesce(exact, text.try_cast("double") == typed.cast("double"))
+        return F.when(quoted, text == typed.cast("string")).otherwise(number)
+    if isinstance(kind, T.BooleanType):
+        return text == typed.cast("string")
+    if isinstance(kind, T.DateType):
+        return quoted & (text.try_cast("timestamp_ntz") == typed.cast("timestamp_ntz"))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return typed.isNotNull() & item.isNotNull() & ~text.rlike(FINER_THAN_MICROSECONDS)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        again = [
+            F.to_json(F.parse_json(F.to_json(typed, {"ignoreNullFields": drop}))) for drop in ("true", "false")
+        ]
+        return F.to_json(item).isin(*again)
+    return typed.isNotNull() & item.isNotNull()
+
+
+# more digits of a second than a timestamp has, if they are not all zeros
+FINER_THAN_MICROSECONDS = r"[.][0-9]{6}0*[1-9]"
+
+
 def _fitting_first(lines: DataFrame, fields, value: str, kept) -> DataFrame:
     """Lines read by schema, and once more as a variant where something may be left over.
 
     Every key of an object ends in a quote and a colon, unless white space parts them.
     A line with all fields of the schema and no more such marks than fields has
-    nothing else.
+    nothing else. Numbers and times that may be longer than their type are looked at
+    again.
     """
-    schema = T.StructType(fields)
+    schema = T.ArrayType(T.StructType([*fields, T.StructField(END_MARK, T.IntegerType())]))
     text = F.col(value)
-    read = lines.select(*kept, text.alias("__line"), F.from_json(text, schema).alias("__s"))
-    missing = F.lit(False)
+    # a list of the record and a mark, see _one_value
+    listed = F.concat(F.lit("["), text, F.lit(f',{{"{END_MARK}":1}}]'))
+    read = lines.select(*kept, text.alias("__line"), F.from_json(listed, schema).alias("__all"))
+    whole = (F.size("__all") == 2) & (F.get("__all", F.lit(1)).getField(END_MARK) == 1)
+    read = read.select(*kept, "__line", F.get("__all", F.lit(0)).alias("__s"), whole.alias("__whole"))
+    missing = ~F.coalesce(F.col("__whole"), F.lit(False))
     for f in fields:
         missing = missing | F.col("__s").getField(f.name).isNull()
     line = F.col("__line")
@@ -101,8 +162,32 @@ def _fitting_first(lines: DataFrame, fields, value: str, kept) -> DataFrame:
     odd = missing | (marks != len(fields))
     for space in " \t\n\r":  # a key that this count would miss
         odd = odd | F.contains(line, F.lit(f'"{space}'))
+    long = _long_values(fields)
+    if long:
+        odd = odd | line.rlike("|".join(long))
+    for f in fields:
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            odd = odd | (F.abs(F.col("__s").getField(f.name)) == float("inf"))
     read = read.select(*kept, "__line", "__s", odd.alias("__odd"))
-    return read.select("*", F.when(F.col("__odd"), F.try_parse_json("__line")).alias("__v"))
+    return read.select("*", F.when(F.col("__odd"), _one_value("__line")).alias("__v"))
+
+
+def _long_values(fields) -> list[str]:
+    """Patterns of values that a reader by schema would shorten to fit."""
+    kinds = [f.dataType for f in fields]
+    found = []
+    if any(isinstance(k, T.FloatType) for k in kinds):
+        found.append("[0-9][0-9.]{7}")
+    elif any(isinstance(k, T.DoubleType) for k in kinds):
+        found.append("[0-9][0-9.]{15}")
+    scales = [k.scale for k in kinds if isinstance(k, T.DecimalType)]
+    if scales:
+        found += [f"[.][0-9]{{{min(scales) + 1}}}", "[0-9][eE]"]
+    if any(isinstance(k, T.DateType) for k in kinds):
+        found.append("[0-9]-[0-9]{1,2}[T ]")
+    if any(isinstance(k, (T.TimestampType, T.TimestampNTZType)) for k in kinds):
+        found.append("[.][0-9]{7}")
+    return found
 
 
 def cast_text(

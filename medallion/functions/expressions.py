@@ -62,6 +62,61 @@ def bucket_of(keys: Iterable[str], buckets: int) -> Column:
     return F.pmod(F.hash(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets))
 
 
+# Whole numbers and the digits that the largest of each has.
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+
+
+def wider(one: T.DataType, other: T.DataType) -> T.DataType:
+    """The narrowest type that holds the values of two types; text if there is no other.
+
+    Whole numbers, then decimals, then floating point numbers, then text. Structs keep
+    the fields of both, arrays and maps have wider entries.
+    """
+    if one == other or isinstance(other, T.NullType):
+        return one
+    if isinstance(one, T.NullType):
+        return other
+    if isinstance(one, T.NumericType) and isinstance(other, T.NumericType):
+        return _wider_number(one, other)
+    times = (T.DateType, T.TimestampNTZType, T.TimestampType)
+    if isinstance(one, times) and isinstance(other, times):
+        return max(one, other, key=lambda t: times.index(type(t)))
+    if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+        types = {f.name: f.dataType for f in one.fields}
+        for f in other.fields:
+            types[f.name] = wider(types[f.name], f.dataType) if f.name in types else f.dataType
+        return T.StructType([T.StructField(n, t) for n, t in types.items()])
+    if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+        return T.ArrayType(wider(one.elementType, other.elementType))
+    if isinstance(one, T.MapType) and isinstance(other, T.MapType) and one.keyType == other.keyType:
+        return T.MapType(one.keyType, wider(one.valueType, other.valueType))
+    return T.StringType()
+
+
+def _wider_number(one: T.DataType, other: T.DataType) -> T.DataType:
+    if type(one) in _WHOLE and type(other) in _WHOLE:
+        return max(one, other, key=lambda t: _WHOLE[type(t)])
+    floating = [t for t in (one, other) if isinstance(t, (T.FloatType, T.DoubleType))]
+    if floating:
+        return T.FloatType() if all(isinstance(t, T.FloatType) for t in (one, other)) else T.DoubleType()
+    pairs = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE[type(t)], 0) for t in (one, other)]
+    scale = max(s for _, s in pairs)
+    precision = max(p - s for p, s in pairs) + scale
+    return T.DecimalType(precision, scale) if precision <= 38 else T.DoubleType()
+
+
+def as_type(column: str, held: T.DataType, wanted: T.DataType) -> str:
+    """SQL of a column in a wider type; nested values become JSON text."""
+    if held == wanted:
+        return column
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    if isinstance(wanted, T.StringType) and isinstance(held, nested):
+        return f"to_json({column})"
+    if isinstance(wanted, nested) and held.simpleString() != wanted.simpleString():
+        return f"from_json(to_json({column}), '{wanted.simpleString()}')"
+    return f"CAST({column} AS {wanted.simpleString()})"
+
+
 def text_list(column: Column) -> Column:
     """A JSON array or a comma separated text as an array without blanks."""
     parsed = F.when(

@@ -6,15 +6,16 @@ import csv
 import datetime as dt
 import io
 import json
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
 from ..functions.decode import cast_text, decode_json
-from ..functions.expressions import no_rows
+from ..functions.expressions import no_rows, wider
 from .base import Source, SourceRequest, reader, register_source
 
 PREFIX = "cloudFiles."
@@ -23,7 +24,8 @@ COLUMNAR = ("parquet", "orc")
 # Options of the file dialect that have a Spark counterpart.
 RATE_OPTIONS = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
-HEADER_READERS = 32
+# a separator that no text has, so that a line is one column
+NO_SEPARATOR = "\uffff"
 
 
 def translate_options(fmt: str, options: dict[str, str]):
@@ -61,26 +63,16 @@ def _reader_options(fmt: str, options: dict[str, str], infer: bool) -> dict[str,
 
 
 def _merge_schemas(schemas: list[T.StructType]) -> T.StructType:
-    merged: dict[str, T.DataType] = {}
-    for schema in schemas:
-        for f in schema.fields:
-            if merged.setdefault(f.name, f.dataType) != f.dataType:
-                merged[f.name] = T.StringType()
-    return T.StructType([T.StructField(n, t) for n, t in merged.items()])
-
-
-def _grown(known: T.StructType, found: T.StructType) -> T.StructType:
-    """Known columns as they are, then the new ones."""
-    names = {f.name for f in known.fields}
-    return T.StructType([*known.fields, *[f for f in found.fields if f.name not in names]])
+    """The columns of all, in the order they come, in types that hold the values of all."""
+    return reduce(wider, schemas, T.StructType())
 
 
 def _pinned_schema(request: SourceRequest, infer_schema, newest) -> T.StructType:
     """Infer once, and later only from files that are newer than those seen.
 
-    Columns that later files bring are added at the end; the types of known columns
-    stay, so that what has been written stays comparable. The schema is kept beside
-    the checkpoint, each state of it in a file of its own.
+    Columns that later files bring are added at the end; a known column whose values
+    no longer fit its type gets a wider one. The schema is kept beside the checkpoint,
+    each state of it in a file of its own.
     """
     spark = request.spark
     if not request.state:
@@ -95,7 +87,7 @@ def _pinned_schema(request: SourceRequest, infer_schema, newest) -> T.StructType
         schema = infer_schema(None)
     else:
         known = T.StructType.fromJson(kept)
-        schema = _grown(known, infer_schema(kept.get("seen")))
+        schema = _merge_schemas([known, infer_schema(kept.get("seen"))])
         path = storage.join(request.state, f"schema-{len(grown):020d}.json")
     storage.write_json(spark, path, {**json.loads(schema.json()), "seen": seen})
     return schema
@@ -104,45 +96,31 @@ def _pinned_schema(request: SourceRequest, infer_schema, newest) -> T.StructType
 # ---- CSV by name ------------------------------------------------------------
 
 
-def read_header(spark: SparkSession, path: str, options: dict[str, str]) -> tuple[str, ...]:
-    """Column names in the first record of a file; nothing else is read.
+def _header(lines: Iterator[str], options: dict[str, str]) -> str | None:
+    """The first record of a file, from its lines; None if there is none.
 
     As in Spark's reader, empty lines and comments before it are passed over; with
     ``multiLine`` a quoted name may hold line breaks, and a line of spaces is not
-    empty. An empty file has no names.
+    empty.
     """
     whole = _flag(options, "multiLine")
-
-    def blank(line: str) -> bool:
-        line = line.lstrip("\ufeff")
-        return not (line if whole else line.strip())
-
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    stream = jpath.getFileSystem(conf).open(jpath)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(jpath)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    encoding = options.get("encoding", options.get("charset", "UTF-8"))
     quote, comment = options.get("quote", '"'), options.get("comment")
-    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-    try:
-        line = lines.readLine()
-        while line is not None and (blank(line) or (comment and line.startswith(comment))):
-            line = lines.readLine()
-        if line is None:
-            return ()
+    for line in lines:
         line = line.lstrip("\ufeff")
+        if not (line if whole else line.strip()) or (comment and line.startswith(comment)):
+            continue
         while whole and quote and line.count(quote) % 2:
-            more = lines.readLine()
+            more = next(lines, None)
             if more is None:
                 break
             line += "\n" + more
-    finally:
-        lines.close()
-    separator = options.get("sep", options.get("delimiter", ","))
-    found = next(csv.reader(io.StringIO(line, newline=""), delimiter=separator, quotechar=quote or None))
+        return line
+    return None
+
+
+def _names(header: str, path: str, options: dict[str, str]) -> tuple[str, ...]:
+    separator, quote = options.get("sep", options.get("delimiter", ",")), options.get("quote", '"')
+    found = next(csv.reader(io.StringIO(header, newline=""), delimiter=separator, quotechar=quote or None))
     names = tuple(n.strip() for n in found)
     twice = sorted({n for n in names if names.count(n) > 1})
     if twice:
@@ -151,14 +129,56 @@ def read_header(spark: SparkSession, path: str, options: dict[str, str]) -> tupl
 
 
 def group_by_header(spark, paths: list[str], options) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first records; empty files are left out.
+
+    Each file is a task, which reads up to the end of its first record and stops; parts
+    of a large file that begin further on stop at once. The driver gets each header
+    once, with the names of its files.
+    """
+    if not paths:
+        return {}
+    session = spark.newSession()
+    for name in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"):
+        # opening a file counts as much as a whole task, so that no task has two
+        session.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    encoding = options.get("encoding", options.get("charset", "UTF-8"))
+    if encoding.upper() in ("UTF-8", "UTF8"):
+        lines = session.read.text(paths).withColumnRenamed("value", "line")
+    else:
+        # only the reader of CSV knows other encodings; it leaves out empty lines
+        lines = session.read.schema("line string").csv(
+            paths, sep=NO_SEPARATOR, quote="", encoding=encoding, emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    lines = lines.select("line", F.col(f"{METADATA}.file_path"), F.col(f"{METADATA}.file_block_start"))
+
+    def first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[str] = []
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                if batch.num_rows and batch.column("file_block_start")[0].as_py():
+                    return
+                names[:] = batch.column("file_path").slice(0, 1).to_pylist() or names
+                yield from (text or "" for text in batch.column("line").to_pylist())
+
+        header = _header(texts(), options)
+        if header is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array([header])], names=["path", "header"])
+
+    found = lines.mapInArrow(first_records, "path string, header string")
+    given = {name: path for path in paths for name in (path, _escaped(spark, path))}
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, names in zip(paths, pool.map(lambda p: read_header(spark, p, options), paths)):
-            if names:
-                groups.setdefault(names, []).append(path)
+    for row in found.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
+        files = [given[p] for p in row["paths"]]
+        groups.setdefault(_names(row["header"], min(files), options), []).extend(files)
     return groups
 
 
+def _escaped(spark: SparkSession, path: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def read_csv_by_name(
     spark: SparkSession,
     paths: list[str],

@@ -44,6 +44,19 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, in place of what an earlier try left there; a missing one becomes an empty folder."""
+    fs, jpath = _fs(spark, path)
+    _, target = _fs(spark, to)
+    if not fs.exists(jpath):
+        fs.mkdirs(target)
+        return
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(jpath, target):
+        raise FileExistsError(to)
+
+
 def read_json(spark: SparkSession, path: str):
     fs, jpath = _fs(spark, path)
     if not fs.exists(jpath):
@@ -55,17 +68,15 @@ def read_json(spark: SparkSession, path: str):
         stream.close()
 
 
-def write_json(spark: SparkSession, path: str, value, overwrite: bool = False) -> None:
-    write_text(spark, path, json.dumps(value), overwrite)
+def write_json(spark: SparkSession, path: str, value) -> None:
+    write_text(spark, path, json.dumps(value))
 
 
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
-    """Write a small file under a hidden name first, then rename it."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file under a hidden name first, then rename it."""
     fs, jpath = _fs(spark, path)
     if fs.exists(jpath):
-        if not overwrite:
-            raise FileExistsError(path)
-        fs.delete(jpath, False)
+        raise FileExistsError(path)
     fs.mkdirs(jpath.getParent())
     hidden = spark._jvm.org.apache.hadoop.fs.Path(
         jpath.getParent(), f"_{uuid.uuid4().hex}.tmp"
