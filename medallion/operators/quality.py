@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.expressions import no_rows
 from ..functions.rules import Rules, all_hold, holds
 
+BROKEN = "__broken"
+# bits of BROKEN
+MOST_MARKED = 62
 RESULT_SCHEMA = "effect string, rule string, passed long, failed long"
 
 
@@ -69,6 +74,30 @@ def observe_rules(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation |
     return df.observe(observation, *_counters(rules)), observation
 
 
+def mark_broken(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows with one bit per counted rule that they break, in the column BROKEN.
+
+    The bits travel with the rows, so that they can be counted behind a shuffle.
+    """
+    bits = [
+        F.when(holds(predicate), F.lit(0)).otherwise(F.lit(1 << i)).cast("long")
+        for i, (_, _, predicate) in enumerate(rules.counted())
+    ]
+    return df.withColumn(BROKEN, reduce(lambda a, b: a.bitwiseOR(b), bits, F.lit(0).cast("long")))
+
+
+def observe_broken(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
+    """Count the bits of ``mark_broken`` while rows are written; the rows to keep, without the bits."""
+    counted = rules.counted()
+    observation = Observation()
+    counters = [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.getbit(BROKEN, F.lit(i)) == 1).alias(f"r{i}") for i in range(len(counted))
+    ]
+    drops = sum(1 << i for i, (effect, _, _) in enumerate(counted) if effect == "drop")
+    kept = F.col(BROKEN).bitwiseAND(F.lit(drops).cast("long")) == 0
+    return df.observe(observation, *counters).where(kept).drop(BROKEN), observation
+
+
 def observed_rows(rules: Rules, observation: Observation | None) -> list[tuple] | None:
     """Counts of a finished write; None if Spark dropped the observation.
 

@@ -6,21 +6,28 @@ import re
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
-from ..functions.expressions import no_rows
+from ..functions.expressions import named_list, no_rows
 from ..functions.rules import Rules
-from ..operators import cdc, quality
+from ..operators import cdc, quality, skew
 from ..operators.snapshot import SnapshotSpec
+from ..operators.transform import fan_out_labelled, project
 from ..sources import Source
 from . import tables
 from .tables import Target
 
 SNAPSHOTS = "snapshots"
+# the column that says which target of a fan-out a row is for
+TARGET = "__target"
+POOL = "spark.scheduler.pool"
+# marks the rows of a batch whose keys have left a rewritten source
+GONE = "__gone"
 METRICS_SCHEMA = "effect string, rule string, passed long, failed long"
 
 
@@ -37,6 +44,8 @@ class Flow:
     changes: cdc.ChangeSpec | None = None
     quarantine: Target | None = None
     once: bool = False
+    # each row of the source has a key of its own in the target
+    keeps_keys: bool = False
 
     def __post_init__(self):
         # the name becomes part of folder names
@@ -81,32 +90,46 @@ def write_batch(flow: Flow, batch: DataFrame, number: int, stream: str) -> None:
     """Rules, then the target, the quarantine and the metrics.
 
     Every write is repeatable, so a batch of a stream that failed half-way is simply
-    run again. Rules are counted while rows are written only where that is exact:
-    in the last stage, whose tasks count once however often they run. Otherwise one
-    aggregation counts all rules before the write. A batch that must be parsed
-    is kept in executor memory and disk if it is needed more than once; a lost
-    executor recomputes its part.
+    run again. Rules are counted while rows are written, where that is exact: in the
+    last stage, whose tasks count once however often they run. Where a shuffle lays
+    out the rows, the rules they break travel with them. Fail rules, and rules on
+    changes, which are merged before they are written, are counted by one aggregation
+    before the write. A batch that must be parsed is kept in executor memory and disk
+    if it is needed more than once; a lost executor recomputes its part.
     """
     spark = batch.sparkSession
     rows = flow.transform(flow.source.expand(batch))
     rules, target = flow.rules, flow.target
-    shuffled = flow.changes is not None or bool(target.partition_by or target.cluster_by)
-    counted_first = bool(rules.fail or (rules.counted() and shuffled))
-    passes = 1 + counted_first + bool(rules.quarantine and flow.quarantine)
+    shuffled = bool(target.partition_by or target.cluster_by)
+    marked = shuffled and flow.changes is None and 0 < len(rules.counted()) <= quality.MOST_MARKED
+    counted_first = bool(rules.fail or (rules.counted() and not marked and (shuffled or flow.changes is not None)))
+    # sampling for a clustered layout is a pass too
+    passes = 1 + counted_first + bool(rules.quarantine and flow.quarantine) + bool(target.cluster_by)
     kept_in_memory = passes > 1 and not flow.source.columnar
     if kept_in_memory:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        counts, kept = None, rows
+        counts, observation = None, None
         if counted_first:
             counts = quality.checked_counts(rows, rules, target.name or target.path)
-        else:
-            kept, observation = quality.observe_rules(rows, rules)
-        kept = quality.keep_rows(kept, rules)
-        if flow.changes is None:
-            written = tables.append(kept, target, stream, number)
-        else:
+        if flow.changes is not None:
+            kept = quality.keep_rows(rows, rules)
             written = tables.apply_changes(kept, target, flow.changes, stream, number)
+        elif marked and not counted_first:
+            observed = []
+
+            def behind(laid_out: DataFrame) -> DataFrame:
+                kept, seen = quality.observe_broken(laid_out, rules)
+                observed.append(seen)
+                return kept
+
+            written = tables.append(
+                quality.mark_broken(rows, rules), target, stream, number, behind, [quality.BROKEN]
+            )
+            observation = observed[0] if observed else None
+        else:
+            kept, observation = (rows, None) if counted_first else quality.observe_rules(rows, rules)
+            written = tables.append(quality.keep_rows(kept, rules), target, stream, number)
         if rules.quarantine and flow.quarantine:
             bad = quality.quarantine_rows(rows, rules)
             tables.append(bad, flow.quarantine, stream, number)
@@ -187,11 +210,33 @@ def flow_session(spark: SparkSession, conf: dict[str, str] | None) -> SparkSessi
     return session
 
 
+@contextmanager
+def scheduler_pool(spark: SparkSession, name: str):
+    """The jobs that this thread starts go to a pool of their own.
+
+    With ``spark.scheduler.mode`` FAIR pools share the executors evenly, so a large
+    table does not hold back the small ones of the same run. Streams that are started
+    here take the pool along.
+    """
+    context = spark.sparkContext
+    before = context.getLocalProperty(POOL)
+    context.setLocalProperty(POOL, name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(POOL, before)
+
+
 def run_flow(spark: SparkSession, flow: Flow) -> None:
     """Process what is new, then stop."""
-    if flow.once:
-        _run_once(spark, flow)
-        return
+    with scheduler_pool(spark, flow.title):
+        if flow.once:
+            _run_once(spark, flow)
+        else:
+            _run_stream(spark, flow)
+
+
+def _run_stream(spark: SparkSession, flow: Flow) -> None:
     errors: list[BaseException] = []
     stream = stream_id(spark, flow)
 
@@ -228,28 +273,134 @@ def _run_once(spark: SparkSession, flow: Flow) -> None:
 def run_on_version(spark: SparkSession, flow: Flow, source: str) -> None:
     """A flow whose source table is rewritten by changes or snapshots: one batch per version.
 
-    Such a table has no stream of new rows. The batch is its current rows, and the
-    number of the batch is the version, so each version is processed once. Changes
-    are folded into the target as always; a target without changes shows what the
-    version became, so rows that left the source leave it too.
+    Such a table has no stream of new rows. A flow with changes gets what changed since
+    the version it last took over; the number of the batch is the version, so each
+    version is processed once. Keys that have left the source, or its filter, are
+    deleted at the time they left. A target without changes shows what the version
+    became, so rows that left the source leave it too.
     """
+    with scheduler_pool(spark, flow.title):
+        _run_on_version(spark, flow, source)
+
+
+def _run_on_version(spark: SparkSession, flow: Flow, source: str) -> None:
     current = tables.manifest(spark, source)
     if current is None:
         return
     version, stream = current["version"], stream_id(spark, flow)
-    marker = storage.join(flow.checkpoint, "versions", f"{version:020d}.json")
-    if storage.exists(spark, marker):
+    markers = storage.join(flow.checkpoint, "versions")
+    done = [int(n[: -len(".json")]) for n in storage.list_names(spark, markers) if n.endswith(".json")]
+    if version in done:
+        tables.note_reader(spark, source, stream, version)
         return
-    rows, rules = flow.transform(flow.source.read()), flow.rules
-    counts = quality.checked_counts(rows, rules, flow.target.name or flow.target.path)
-    kept = quality.keep_rows(rows, rules)
+    rules, target = flow.rules, flow.target
     if flow.changes is None:
-        tables.overwrite(kept, flow.target)
+        rows = flow.transform(flow.source.read())
+        counts = quality.checked_counts(rows, rules, target.name or target.path)
+        tables.overwrite(quality.keep_rows(rows, rules), target)
     else:
-        tables.apply_changes(kept, flow.target, flow.changes, stream, version)
+        feed = tables.changes_since(spark, source, max(done, default=None))
+        rows = flow.transform(feed.rows)
+        counts = quality.checked_counts(rows, rules, target.name or target.path)
+        batch, changes = _with_deletes(flow, feed, quality.keep_rows(rows, rules))
+        tables.apply_changes(batch, target, changes, stream, version)
     if rules.counted():
-        _write_metrics(spark, flow.name, flow.target, stream, version, counts)
-    storage.write_json(spark, marker, {"flow": flow.name})
+        _write_metrics(spark, flow.name, target, stream, version, counts)
+    storage.write_json(spark, storage.join(markers, f"{version:020d}.json"), {"flow": flow.name})
+    tables.note_reader(spark, source, stream, version)
+
+
+def _with_deletes(flow: Flow, feed: tables.Feed, rows: DataFrame) -> tuple[DataFrame, cdc.ChangeSpec]:
+    """Changed rows and, marked, the last rows of the target keys that none of them has."""
+    spec = flow.changes
+    if feed.before is None:
+        return rows, spec
+    keys = spec.keys
+    gone = skew.without_keys(flow.transform(feed.before), flow.transform(feed.after).select(*_names(keys)), keys, False)
+    if not flow.keeps_keys:
+        # several rows of the source may stand for one key here: one that is left is enough
+        still = flow.transform(flow.source.read()).select(*_names(keys))
+        gone = skew.without_keys(gone, still, keys, False)
+    batch = rows.withColumn(GONE, F.lit(False)).unionByName(gone.withColumn(GONE, F.lit(True)))
+    deletes = GONE if not (spec.apply_as_deletes or "").strip() else f"{GONE} OR ({spec.apply_as_deletes})"
+    dropped = None if spec.column_list else [*named_list(spec.except_column_list), GONE]
+    return batch, replace(spec, apply_as_deletes=deletes, except_column_list=dropped)
+
+
+def _names(columns: list[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+# ---- fan-out ----------------------------------------------------------------
+
+
+@dataclass
+class Branch:
+    """What one target takes of a source: expressions, and conditions on their columns."""
+
+    flow: Flow
+    expressions: list[str]
+    predicates: list[str]
+
+
+def run_fan_out(spark: SparkSession, name: str, source: Source, branches: list[Branch], checkpoint: str) -> None:
+    """Several targets of appended rows from one stream over their source.
+
+    A batch is scanned once: each row is mapped to the targets that want it, and one
+    write lays the rows out by target. The folder of a target then becomes its batch. The
+    checkpoint belongs to this set of targets; ``fan_groups`` keeps sets together.
+    """
+    stream = stream_id(spark, Flow(name, source, branches[0].flow.target, checkpoint))
+    staged = storage.join(checkpoint, "staged")
+    errors: list[BaseException] = []
+
+    def each(batch: DataFrame, number: int) -> None:
+        try:
+            targets = [b.flow.target for b in branches]
+            if all(tables.has_batch(batch.sparkSession, t, stream, number) for t in targets):
+                return
+            folder = storage.join(staged, str(number))
+            labelled = fan_out_labelled(
+                source.expand(batch), {str(i): (b.expressions, b.predicates) for i, b in enumerate(branches)},
+                TARGET, own_columns=True,
+            )
+            tables.append_staged(labelled, TARGET, targets, folder, stream, number, [
+                project(batch.limit(0), b.expressions).schema for b in branches
+            ])
+        except BaseException as error:
+            errors.append(error)
+            raise
+
+    with scheduler_pool(spark, name):
+        query = (
+            source.open(True).writeStream.queryName(name)
+            .option("checkpointLocation", storage.join(checkpoint, "stream"))
+            .trigger(availableNow=True).foreachBatch(each).start()
+        )
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            raise (errors[0] if errors else error) from error
+
+
+def fan_groups(spark: SparkSession, checkpoint: str, names: list[str]) -> list[list[str]]:
+    """Which of the targets of a source run together: those that began together.
+
+    A target that comes later has other rows to catch up with, so it begins a group of
+    its own with the others of that run. All targets of a group must be there.
+    """
+    path = storage.join(checkpoint, "groups")
+    kept = sorted(n for n in storage.list_names(spark, path) if n.endswith(".json"))
+    groups = [storage.read_json(spark, storage.join(path, n))["targets"] for n in kept]
+    for group in groups:
+        missing = sorted(set(group) - set(names))
+        if missing and set(group) & set(names):
+            raise ValueError(f"{sorted(set(group) & set(names))} are written together with {missing}: run them together")
+    new = [n for n in names if not any(n in g for g in groups)]
+    if new:
+        storage.write_json(spark, storage.join(path, f"{len(kept):020d}.json"), {"targets": new})
+        groups.append(new)
+    return [g if set(g) <= set(names) else [] for g in groups]
 
 
 # ---- many flows -------------------------------------------------------------

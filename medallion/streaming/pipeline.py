@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import storage
 from ..functions.rules import Rules
-from ..operators.transform import apply_user_function, project_and_filter
+from ..operators.transform import apply_user_function, fan_out_labelled, project_and_filter
 from ..plans import store
 from ..plans.specs import AppendFlow, BronzeSpec, SilverSpec, Spec
-from ..sources import SourceRequest, open_source
+from ..sources import Source, SourceRequest, open_source
 from ..sources.snapshots import NextSnapshot, new_snapshots, numbered_files
 from . import tables
 from .flows import (
-    Flow, FlowFailed, flow_session, run_flow, run_flows, run_on_version, write_snapshot,
+    Branch, Flow, FlowFailed, fan_groups, flow_session, run_fan_out, run_flow, run_flows, run_on_version,
+    scheduler_pool, write_snapshot,
 )
 from .tables import Target
 
@@ -37,6 +40,8 @@ class Pipeline:
     at_once: int = 8
     # extra options for every table source, such as maxFilesPerTrigger
     table_options: dict[str, str] = field(default_factory=dict)
+    # silver tables of appended rows over one bronze table share a scan of it
+    fan_out: bool = False
 
     # ---- targets ----
 
@@ -174,10 +179,63 @@ class Pipeline:
             raise ValueError(
                 f"{spec.table}: append flows need a bronze table of appended rows, or changes"
             )
+        main.keeps_keys = self._keeps_keys(spec, source)
         run_on_version(self.spark, main, source)
         for flow in more:
             run_flow(self.spark, flow)
 
+    def _keeps_keys(self, spec: SilverSpec, source: str) -> bool:
+        """Are the keys of a silver table those of its bronze table, taken over as they are?"""
+        keys = set((tables.describe(self.spark, source) or {}).get("keys") or [])
+        named = {e.strip().strip("`") for e in spec.selectExp or []}
+        return bool(
+            spec.changes and keys == set(spec.changes.keys) and self.silver_transform is None
+            and (not named or "*" in named or keys <= named)
+        )
+
+    # ---- fan-out ----
+
+    def _fans_out(self, spec: Spec) -> bool:
+        """Silver specs whose flow is nothing but a projection and a filter of a table, not begun on its own."""
+        if not isinstance(spec, SilverSpec) or self.silver_transform or spec.changes or spec.flows:
+            return False
+        if spec.partitionColumns or spec.clusterBy or Rules.parse(spec.dataQualityExpectations) != Rules():
+            return False
+        return not storage.exists(self.spark, self.checkpoint(self.target(spec), "main"))
+
+    def fan_outs(self, specs: list[Spec]) -> list[tuple[str, Source, list[Branch], str]]:
+        """What ``run_fan_out`` takes, for the silver specs that share a bronze table."""
+        sources: dict[str, list[SilverSpec]] = {}
+        for spec in specs:
+            if self._fans_out(spec):
+                details = json.dumps([spec.sourceFormat, spec.sourceDetails, spec.readerConfigOptions], sort_keys=True)
+                sources.setdefault(details, []).append(spec)
+        found = []
+        for group in sources.values():
+            flows = {spec.table: self.flows(spec)[0] for spec in group}
+            by_name = {spec.table: spec for spec in group}
+            table = (group[0].sourceDetails or {}).get("table") or group[0].sourceDetails.get("path")
+            folder = storage.join(self.checkpoints, "fan_out", str(table).replace("/", "_"))
+            known = storage.exists(self.spark, folder)
+            if not known and (len(group) == 1 or not self._agree(flows, group)):
+                continue
+            for number, names in enumerate(fan_groups(self.spark, folder, sorted(flows))):
+                branches = [
+                    Branch(flows[n], by_name[n].selectExp or [], by_name[n].whereClause or []) for n in names
+                ]
+                if branches:
+                    found.append((f"fan-out {number} of {table}", branches[0].flow.source, branches, storage.join(folder, str(number))))
+        return found
+
+    def _agree(self, flows: dict[str, Flow], group: list[SilverSpec]) -> bool:
+        """Can one projection make the rows of all of these specs?"""
+        rows = next(iter(flows.values())).source.open(False).limit(0)
+        branches = {s.table: (s.selectExp or [], s.whereClause or []) for s in group}
+        try:
+            return fan_out_labelled(rows, branches, own_columns=True).schema is not None
+        except (AnalysisException, ValueError):
+            return False
+
     # ---- running ----
 
     def run(self, specs: list[Spec]) -> None:
@@ -187,8 +245,10 @@ class Pipeline:
             s for s in specs if isinstance(s, BronzeSpec) and s.sourceFormat.lower() == "snapshot"
         ]
         flows, versions, failures = [], [], {}
+        together = self.fan_outs([s for s in specs if not self.rewritten_source(s)]) if self.fan_out else []
+        fanned = {b.flow.target.name or b.flow.target.path for _, _, branches, _ in together for b in branches}
         for spec in specs:
-            if spec in snapshots:
+            if spec in snapshots or spec.table in fanned:
                 continue
             try:
                 source = self.rewritten_source(spec)
@@ -204,12 +264,21 @@ class Pipeline:
                 if source:
                     self.run_versions(spec, source)
                 else:
-                    self.run_snapshots(spec)
+                    with scheduler_pool(self.spark, spec.table):
+                        self.run_snapshots(spec)
             except Exception as error:
                 failures[spec.table] = error
 
         with ThreadPoolExecutor(max(1, self.at_once)) as pool:
             list(pool.map(lambda given: one(*given), [*[(s, None) for s in snapshots], *versions]))
+        def fan(name: str, source: Source, branches: list[Branch], checkpoint: str) -> None:
+            try:
+                run_fan_out(self.spark, name, source, branches, checkpoint)
+            except Exception as error:
+                failures[name] = error
+
+        with ThreadPoolExecutor(max(1, self.at_once)) as pool:
+            list(pool.map(lambda given: fan(*given), together))
         try:
             run_flows(self.spark, flows, self.at_once)
         except FlowFailed as error:

@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import threading
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -29,7 +30,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
-from ..functions.expressions import bucket_of, named_list, no_rows
+from ..functions.expressions import as_type, bucket_of, comparable_struct, named_list, no_rows, wider
 from ..operators import cdc, skew, snapshot as snap
 
 FLOW, BATCH, VERSION, BUCKET, OPEN = "__flow", "__batch", "__v", "__bucket", "__open"
@@ -102,8 +103,11 @@ def is_ours(spark: SparkSession, path: str) -> bool:
     return describe(spark, path) is not None
 
 
-def manifest(spark: SparkSession, path: str) -> dict | None:
-    return _newest(spark, _meta(path, "versions"))
+def manifest(spark: SparkSession, path: str, version: int | None = None) -> dict | None:
+    """What a version of the table shows; the newest one, or None if it is not kept."""
+    if version is None:
+        return _newest(spark, _meta(path, "versions"))
+    return storage.read_json(spark, _meta(path, "versions", f"{version:020d}.json"))
 
 
 def _commit(spark, target: Target, value: dict) -> None:
@@ -113,8 +117,11 @@ def _commit(spark, target: Target, value: dict) -> None:
     _vacuum(spark, target, value["version"])
 
 
-def _describe(spark, target: Target, kind: str, schema: T.StructType, **more) -> dict:
-    """Create or update the table description; new columns are added at the end."""
+def _describe(spark, target: Target, kind: str, schema: T.StructType, types=None, **more) -> dict:
+    """Create or update the table description; new columns are added at the end.
+
+    ``types``: known columns whose type changes.
+    """
     path = target.location(spark)
     known = describe(spark, path)
     if known and known["kind"] != kind:
@@ -122,6 +129,8 @@ def _describe(spark, target: Target, kind: str, schema: T.StructType, **more) ->
     fields = {f.name: f for f in T.StructType.fromJson(known["schema"]).fields} if known else {}
     for f in schema.fields:
         fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+    for name, kind_of_values in (types or {}).items():
+        fields[name] = T.StructField(name, kind_of_values, True)
     described = {
         "kind": kind,
         "schema": T.StructType(list(fields.values())).jsonValue(),
@@ -138,10 +147,12 @@ def _describe(spark, target: Target, kind: str, schema: T.StructType, **more) ->
 
 
 def _align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    present = set(df.columns)
+    present = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            F.expr(as_type(f"`{f.name}`", present[f.name], f.dataType)).alias(f.name)
+            if f.name in present
+            else F.lit(None).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -344,7 +355,8 @@ def read(
     schema = T.StructType.fromJson(described["schema"])
     parts = described["partition_by"]
     if described["kind"] == "append":
-        return _load(spark, storage.join(path, "data"), schema, parts, streaming, options)
+        rows = _load(spark, storage.join(path, "data"), _held(described), parts, streaming, options)
+        return rows.selectExpr(*_expressions(described, schema)) if described.get("held") else rows
     if streaming:
         raise ValueError(f"{path} is rewritten by changes; read it as a batch")
     folder, condition = _current(spark, path, described)
@@ -353,25 +365,218 @@ def read(
     return rows.selectExpr(*_expressions(described, schema))
 
 
+# ---- change feeds -----------------------------------------------------------
+
+
+@dataclass
+class Feed:
+    """What a rewritten table holds otherwise in one version than in an earlier one."""
+
+    #: rows that are new or changed, as they are now
+    rows: DataFrame
+    #: rows that were open and are changed or gone: as they were, at the time of the change
+    before: DataFrame | None = None
+    #: changed and new rows that are open now
+    after: DataFrame | None = None
+    keys: list[str] = field(default_factory=list)
+
+
+def changes_since(spark: SparkSession, path: str, version: int | None) -> Feed:
+    """The changes after a version; all rows if it is None, or not kept any more.
+
+    Only buckets that were written since are read, in both versions, and meet by key.
+    A row that was open and is gone or closed has, in the table's sequence column (and
+    in the start of its version), the time of its end.
+    """
+    described, current = describe(spark, path), manifest(spark, path)
+    earlier = manifest(spark, path, version) if version is not None else None
+    keys = described.get("keys")
+    if earlier is None or not keys:
+        return Feed(read(spark, path))
+    schema = T.StructType.fromJson(described["schema"])
+    kind = described["kind"]
+    history = kind in ("type2", "snapshot2")
+    unique = [*keys, cdc.START] if history else list(keys)
+    old, new = (_versions_rows(spark, path, described, m, earlier, current) for m in (earlier, current))
+    joined = _side(old, schema, unique, "old").join(
+        _side(new, schema, unique, "new"),
+        reduce(lambda a, b: a & b, [F.col(f"__old_{i}").eqNullSafe(F.col(f"__new_{i}")) for i in range(len(unique))]),
+        "full_outer",
+    )
+    changed = joined.where(~F.col("__old_same").eqNullSafe(F.col("__new_same")))
+    rows = changed.where("__new IS NOT NULL").select("__new.*")
+    end = f"__new.`{cdc.END}`" if history else "__new_at"
+    was_open = "__old IS NOT NULL" + (f" AND __old.`{cdc.END}` IS NULL" if history else "")
+    is_open = "__new IS NOT NULL" + (f" AND __new.`{cdc.END}` IS NULL" if history else "")
+    at = F.coalesce(F.expr(end), *_floor_of(current, described))
+    stamped = {cdc.START} if history else set()
+    if described.get("sequence") in schema.names and described["sequence"] not in keys:
+        stamped.add(described["sequence"])
+    before = changed.where(was_open).select(
+        *[
+            F.coalesce(at.cast(f.dataType), F.col(f"__old.`{f.name}`")).alias(f.name)
+            if f.name in stamped
+            else F.col(f"__old.`{f.name}`")
+            for f in schema.fields
+        ]
+    )
+    return Feed(rows, before, changed.where(is_open).select("__new.*"), list(keys))
+
+
+def _floor_of(current: dict, described: dict) -> list:
+    """The time of the last truncate, for rows that it left no trace of."""
+    if not current.get("floor"):
+        return []
+    stored = T.StructType.fromJson(described["stored"])
+    return [F.lit(current["floor"]).cast(stored[cdc.SEQ].dataType)]
+
+
+def _versions_rows(spark, path, described, shown: dict, earlier: dict, current: dict) -> DataFrame:
+    """Rows of one of two versions in what differs between them: visible columns, __at, __gone.
+
+    Deleted keys of a type 1 table are rows too, with the time of their deletion.
+    """
+    schema = T.StructType.fromJson(described["schema"])
+    stored = T.StructType.fromJson(described["stored"])
+    kind = described["kind"]
+    rows = _load(spark, storage.join(path, "state"), stored, described["partition_by"])
+    visible = _expressions(described, schema)
+    if kind == "full":
+        rows = rows.where(f"CAST({VERSION} AS BIGINT) = {shown['version']}")
+        return rows.selectExpr(*visible, "NULL AS __at", "false AS __gone")
+    versions = zip(earlier["buckets"], current["buckets"])
+    written = [i for i, (a, b) in enumerate(versions) if a != b]
+    mine = f"{_bucket_condition(shown['buckets'])} AND CAST({BUCKET} AS INT) IN ({', '.join(map(str, written)) or -1})"
+    if kind == "snapshot2":
+        closed = (
+            f"CAST({OPEN} AS INT) = 0 AND CAST({VERSION} AS BIGINT) > {earlier['version']} "
+            f"AND CAST({VERSION} AS BIGINT) <= {shown['version']}"
+        )
+        mine = f"(({closed}) OR (CAST({OPEN} AS INT) = 1 AND {mine}))"
+    rows = rows.where(mine)
+    if kind == "type1":
+        return rows.selectExpr(*visible, f"{cdc.SEQ} AS __at", f"{cdc.DEL} AS __gone")
+    return rows.selectExpr(*visible, "NULL AS __at", "false AS __gone")
+
+
+def _side(rows: DataFrame, schema: T.StructType, unique: list[str], name: str) -> DataFrame:
+    """Rows as one struct beside their key; null for deleted ones."""
+    kept = ~F.col("__gone")
+    return rows.select(
+        *[F.col(f"`{k}`").alias(f"__{name}_{i}") for i, k in enumerate(unique)],
+        F.when(kept, F.struct(*[f"`{c}`" for c in schema.names])).alias(f"__{name}"),
+        F.when(kept, comparable_struct(schema, schema.names)).alias(f"__{name}_same"),
+        F.col("__at").alias(f"__{name}_at"),
+    )
+
+
+def note_reader(spark: SparkSession, path: str, reader: str, version: int) -> None:
+    """A reader has taken over a version; it is kept until the reader has a later one.
+
+    ``drop_reader`` ends this for a reader that does not come back.
+    """
+    folder = _meta(path, "readers", reader)
+    known = storage.list_names(spark, folder)
+    if f"{version:020d}.json" not in known:
+        storage.write_json(spark, storage.join(folder, f"{version:020d}.json"), {"version": version})
+    for name in known:
+        if name < f"{version:020d}.json":
+            storage.delete(spark, storage.join(folder, name))
+
+
+def drop_reader(spark: SparkSession, path: str, reader: str) -> None:
+    storage.delete(spark, _meta(path, "readers", reader))
+
+
+def _versions_of_readers(spark: SparkSession, path: str) -> set[str]:
+    """Names of the manifests that readers go on from."""
+    folder = _meta(path, "readers")
+    return {n for r in storage.list_names(spark, folder) for n in storage.list_names(spark, storage.join(folder, r))}
+
+
 # ---- append targets ---------------------------------------------------------
 
 
+def _held(described: dict) -> T.StructType:
+    """The columns of the files of an append table, in the types they were written in.
+
+    Where the type of a column became wider, later files have the column under
+    another name, and the table shows the first of its columns that has a value.
+    """
+    schema = T.StructType.fromJson(described["schema"])
+    names = described.get("held") or {}
+    return T.StructType([
+        g for f in schema.fields
+        for g in ([T.StructField.fromJson(h) for h in names[f.name]] if f.name in names else [f])
+    ])
+
+
+def _widened(known: dict | None, schema: T.StructType) -> dict[str, T.DataType]:
+    """Known columns that rows of a schema do not fit, with the types that hold both."""
+    found = {}
+    for f in T.StructType.fromJson(known["schema"]).fields if known else []:
+        if f.name in schema.names:
+            both = wider(f.dataType, schema[f.name].dataType)
+            if not _same_type(both, f.dataType):
+                found[f.name] = both
+    return found
+
+
+def _same_type(one: T.DataType, other: T.DataType) -> bool:
+    return one.simpleString() == other.simpleString()
+
+
 def declare_append(spark: SparkSession, target: Target, schema: T.StructType) -> T.StructType:
     """Create the table if needed; returns its columns, old and new."""
     path = target.location(spark)
     known = describe(spark, path)
-    described = _describe(spark, target, "append", schema)
+    types = _widened(known, schema)
+    held = dict((known or {}).get("held") or {})
+    for name, kind in types.items():
+        if name in target.partition_by:
+            raise ValueError(f"{path} is partitioned by {name}, whose type changed to {kind.simpleString()}")
+        before = T.StructType.fromJson(known["schema"])[name]
+        columns = held.get(name) or [before.jsonValue()]
+        held[name] = [*columns, T.StructField(f"__{len(columns)}_{name}", kind, True).jsonValue()]
+    shown = None
+    if held:
+        full = T.StructType.fromJson(_grown_schema(known, schema, types).jsonValue())
+        shown = [_of_held(f, held.get(f.name)) for f in full.fields]
+    described = _describe(spark, target, "append", schema, types, **({"held": held, "expressions": shown} if held else {}))
     full = T.StructType.fromJson(described["schema"])
     if known is None or known["schema"] != described["schema"]:
         # "-" sorts before every flow name, so readers take the columns from it
         folder = storage.join(path, "data", f"{FLOW}=-", f"{BATCH}=-1")
-        _write_columns(spark, full, folder, target.partition_by)
+        _write_columns(spark, _held(described), folder, target.partition_by)
     show(spark, target)
     return full
 
 
-def append(df: DataFrame, target: Target, flow: str, batch: int) -> bool:
-    """Write one batch of a flow; false if that was done before."""
+def _grown_schema(known: dict, schema: T.StructType, types: dict[str, T.DataType]) -> T.StructType:
+    fields = {f.name: f for f in T.StructType.fromJson(known["schema"]).fields}
+    for f in schema.fields:
+        fields.setdefault(f.name, f)
+    return T.StructType([T.StructField(n, types.get(n, f.dataType), True) for n, f in fields.items()])
+
+
+def _of_held(field: T.StructField, columns: list[dict] | None) -> str:
+    """SQL of a column from the columns that hold it, the newest first."""
+    if not columns:
+        return f"`{field.name}`"
+    held = [T.StructField.fromJson(c) for c in reversed(columns)]
+    values = ", ".join(as_type(f"`{h.name}`", h.dataType, field.dataType) for h in held)
+    return f"coalesce({values}) AS `{field.name}`"
+
+
+def append(
+    df: DataFrame, target: Target, flow: str, batch: int, behind: Callable[[DataFrame], DataFrame] | None = None,
+    carried: Iterable[str] = (),
+) -> bool:
+    """Write one batch of a flow; false if that was done before.
+
+    behind: applied to the rows in the stage that writes them. It takes away the
+    ``carried`` columns, which are not the table's.
+    """
     spark = df.sparkSession
     path = target.location(spark)
     folder = storage.join(path, "data", f"{FLOW}={flow}", f"{BATCH}={batch}")
@@ -381,16 +586,49 @@ def append(df: DataFrame, target: Target, flow: str, batch: int) -> bool:
     if known and known["kind"] != "append":
         raise ValueError(f"{path} holds a {known['kind']} table, not an append table")
     names = [f["name"] for f in known["schema"]["fields"]] if known else []
-    if known is None or any(c not in names for c in df.columns):
+    schema = T.StructType([f for f in df.schema.fields if f.name not in carried])
+    if known is None or any(c not in names for c in schema.names) or _widened(known, schema):
         # flows of one run append side by side, but declare one after the other
         with _DECLARING:
-            schema = declare_append(spark, target, df.schema)
-    else:
-        schema = T.StructType.fromJson(known["schema"])
-    _store(_laid_out(_align(df, schema), target), folder, target.partition_by)
+            declare_append(spark, target, schema)
+        known = describe(spark, path)
+    full = T.StructType.fromJson(known["schema"])
+    rows = _laid_out(_align(df, T.StructType([*full.fields, *[df.schema[c] for c in carried]])), target)
+    held = {name: columns[-1]["name"] for name, columns in (known.get("held") or {}).items()}
+    _store((behind(rows) if behind else rows).withColumnsRenamed(held), folder, target.partition_by)
     return True
 
 
+def has_batch(spark: SparkSession, target: Target, flow: str, batch: int) -> bool:
+    folder = storage.join(target.location(spark), "data", f"{FLOW}={flow}", f"{BATCH}={batch}")
+    return storage.exists(spark, storage.join(folder, "_SUCCESS"))
+
+
+def append_staged(
+    df: DataFrame, label: str, targets: list[Target], folder: str, flow: str, batch: int, schemas: list[T.StructType]
+) -> None:
+    """Write a batch of several append targets at once: ``label`` is the place of a row's target.
+
+    The rows are written to a folder of their own first, one folder per target, and these
+    become batches by renaming. A repeated batch goes on from what was written.
+    """
+    spark = df.sparkSession
+    if not storage.exists(spark, storage.join(folder, "_SUCCESS")):
+        df.write.mode("overwrite").partitionBy(label).parquet(folder)
+    for i, (target, schema) in enumerate(zip(targets, schemas)):
+        if has_batch(spark, target, flow, batch):
+            continue
+        known = describe(spark, target.location(spark))
+        if known and (known["kind"] != "append" or known.get("held") or _widened(known, schema)):
+            raise ValueError(f"{target.path} cannot take rows of a fan-out any more; give it a flow of its own")
+        with _DECLARING:
+            declare_append(spark, target, schema)
+        path = storage.join(target.location(spark), "data", f"{FLOW}={flow}", f"{BATCH}={batch}")
+        storage.move(spark, storage.join(folder, f"{label}={i}"), path)
+        storage.write_text(spark, storage.join(path, "_SUCCESS"), "")
+    storage.delete(spark, folder)
+
+
 # ---- change targets ---------------------------------------------------------
 
 
@@ -412,6 +650,7 @@ def declare_changes(spark, target: Target, schema: T.StructType, spec: cdc.Chang
     _declare(
         spark, target, f"type{spec.scd_type}", cdc.target_schema(empty, spec), stored,
         [(VERSION, T.LongType()), (BUCKET, T.IntegerType())], [BUCKET], expressions,
+        keys=shape.keys, sequence=spec.sequence_by,
     )
 
 
@@ -425,6 +664,10 @@ def _with_columns_of(spark, path: str, df: DataFrame, spec: cdc.ChangeSpec) -> D
         if f.name not in (cdc.START, cdc.END)
     ]
     present, dropped = set(df.columns), set(named_list(spec.except_column_list))
+    unfit = {n: t for n, t in _widened(described, df.schema).items() if n not in dropped}
+    if unfit:
+        names = ", ".join(f"{n} to {t.simpleString()}" for n, t in unfit.items())
+        raise ValueError(f"{path}: columns of a table of changes keep their types, but these changed: {names}")
     first = [
         F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
         for f in known
@@ -434,7 +677,7 @@ def _with_columns_of(spark, path: str, df: DataFrame, spec: cdc.ChangeSpec) -> D
     return df.select(*first, *[f"`{c}`" for c in df.columns if c not in names or c in dropped])
 
 
-def _declare(spark, target, kind, schema, stored, folders, inner, expressions=None) -> None:
+def _declare(spark, target, kind, schema, stored, folders, inner, expressions=None, **more) -> None:
     path = target.location(spark)
     full = T.StructType([*stored.fields, *[T.StructField(n, t) for n, t in folders]])
     known = describe(spark, path)
@@ -442,7 +685,7 @@ def _declare(spark, target, kind, schema, stored, folders, inner, expressions=No
         # "-1" sorts before every version, so readers take the columns from it
         folder = storage.join(path, "state", f"{VERSION}=-1", *[f"{n}=-1" for n in inner])
         _write_columns(spark, stored, folder, target.partition_by)
-    _describe(spark, target, kind, schema, stored=full.jsonValue(), expressions=expressions)
+    _describe(spark, target, kind, schema, stored=full.jsonValue(), expressions=expressions, **more)
     show(spark, target)
 
 
@@ -605,11 +848,17 @@ def _merge_type2(df, target, spec, current, version):
                 news = skew.without_keys(batch, late, shape.keys, small)
                 cuts = _cuts(old, late, shape, small).persist()
                 again = [_logged_since(logged, cuts, shape, version, buckets, small)]
+                rebuilt_from = cuts
+                if shape.fill:
+                    ending = _carried_on(old, cuts, shape, small)
+                    again.append(cdc.open_as_changes(ending, shape))
+                    starts = cuts.unionByName(ending.select(*keys, F.col(cdc.START).alias("__cut")))
+                    rebuilt_from = starts.groupBy(*keys).agg(F.min("__cut").alias("__cut"))
             # versions that begin before the cut of their key stay as they are, and so
             # do closed versions of keys whose history only goes on
             per_key = fresh.withColumns({"__cut": F.lit(None).cast(shape.sequence), "__late": F.lit(False)})
             if some_late:
-                per_key = per_key.unionByName(cuts.withColumn("__late", F.lit(True)))
+                per_key = per_key.unionByName(rebuilt_from.withColumn("__late", F.lit(True)))
             kept = skew.join_per_key(old, per_key, shape.keys, small, "left").where(
                 F.col("__late").isNull()
                 | (F.col("__late") & (F.col(cdc.START) < F.col("__cut")))
@@ -683,20 +932,26 @@ def _cuts(old: DataFrame, earliest: DataFrame, shape: cdc.Shape, small: bool) ->
     version that this event falls into, or borders on, is rebuilt from its start.
     """
     keys = [f"`{k}`" for k in shape.keys]
-    if shape.fill:
-        # values are carried on from any earlier event, so rebuild from the first
-        begun = old.select(*keys, F.col(cdc.START).alias("__cut"), F.lit(True).alias("__open"))
-    else:
-        begun = old.select(*keys, F.col(cdc.START).alias("__cut"), F.col(cdc.END).alias("__end"))
+    begun = old.select(*keys, F.col(cdc.START).alias("__cut"), F.col(cdc.END).alias("__end"))
     begun = skew.join_per_key(begun, earliest, shape.keys, small)
-    if not shape.fill:
-        begun = begun.where(F.col("__end").isNull() | (F.col("__end") >= F.col("__from")))
+    begun = begun.where(F.col("__end").isNull() | (F.col("__end") >= F.col("__from")))
     starts = begun.select(*keys, "__cut").unionByName(
         earliest.select(*keys, F.col("__from").alias("__cut"))
     )
     return starts.groupBy(*keys).agg(F.min("__cut").alias("__cut"))
 
 
+def _carried_on(old: DataFrame, cuts: DataFrame, shape: cdc.Shape, small: bool) -> DataFrame:
+    """The versions that end where the rebuilding of their key begins.
+
+    Where nulls are ignored, such a version has all values that the events before have
+    left; so a history goes on from it as from an open version, and no older event
+    is read. A version that a delete ended leaves nothing, and ends before.
+    """
+    ending = skew.join_per_key(old, cuts, shape.keys, small)
+    return ending.where(F.col(cdc.END) == F.col("__cut")).drop("__cut")
+
+
 def _write_buckets(df, target: Target, keys, version: int, buckets: int) -> list[int]:
     """Write rows by bucket; returns the buckets that got any."""
     spark = df.sparkSession
@@ -757,7 +1012,7 @@ def apply_snapshot(df: DataFrame, target: Target, spec: snap.SnapshotSpec, numbe
         folders += [(OPEN, T.IntegerType()), (BUCKET, T.IntegerType())]
     _declare(
         spark, target, "snapshot2" if history else "full", schema, schema, folders,
-        [OPEN, BUCKET] if history else [],
+        [OPEN, BUCKET] if history else [], keys=spec.keys,
     )
     current = manifest(spark, path)
     latest = _number(current) if current else None
@@ -836,7 +1091,9 @@ def _vacuum(spark, target: Target, version: int) -> None:
     names = [n for n in storage.list_names(spark, _meta(path, "versions")) if n.endswith(".json")]
     if len(names) <= keep:
         return
-    kept = [storage.read_json(spark, _meta(path, "versions", n)) for n in names[-keep:]]
+    read_on = _versions_of_readers(spark, path)
+    kept_names = [n for n in names[:-keep] if n in read_on] + names[-keep:]
+    kept = [storage.read_json(spark, _meta(path, "versions", n)) for n in kept_names]
     kind = describe(spark, path)["kind"]
     doomed = []
     for number in _numbers(spark, storage.join(path, "state"), VERSION):
@@ -872,5 +1129,5 @@ def _vacuum(spark, target: Target, version: int) -> None:
             ]
     with ThreadPoolExecutor(16) as pool:
         list(pool.map(lambda folder: storage.delete(spark, folder), doomed))
-    for name in names[:-keep]:
+    for name in set(names) - set(kept_names):
         storage.delete(spark, _meta(path, "versions", name))

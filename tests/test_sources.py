@@ -47,6 +47,50 @@ def test_json_unknown_and_unfit_values_are_rescued(spark):
     assert [r["_rescued_data"] for r in rows[1:]] == [None, '{"id":1', "[1]"]
 
 
+@pytest.mark.parametrize("kind, text, typed", [
+    ("int", "1.7", None), ("int", "1.0", 1), ("int", "1e2", 100), ("int", '"1"', 1), ("int", '"01"', None),
+    ("int", "3000000000", None), ("int", "true", None), ("long", "20000000000000000000", None),
+    ("double", "1.5", 1.5), ("double", "100", 100.0), ("double", "12345678901234567890", None),
+    ("double", "1e300", 1e300), ("double", '"x"', None), ("float", "0.5", 0.5), ("float", "16777217", None),
+    ("decimal(4,2)", "1.23", "1.23"), ("decimal(4,2)", "1.234", None), ("decimal(4,2)", "1234", None),
+    ("boolean", "true", True), ("boolean", "1", None), ("boolean", '"yes"', None),
+    ("date", '"2024-01-02"', "2024-01-02"), ("date", '"2024-01-02 10:00:00"', None), ("date", "5", None),
+    ("timestamp_ntz", '"2024-01-02 03:04:05.123456"', "2024-01-02 03:04:05.123456"),
+    ("timestamp_ntz", '"2024-01-02 03:04:05.1234567"', None),
+    ("struct<x:int>", '{"x":3}', {"x": 3}), ("struct<x:int>", '{"x":3.5}', None),
+    ("struct<x:int>", '{"x":3,"y":4}', None), ("struct<x:int>", '{"x":null}', {"x": None}),
+    ("array<int>", "[1,2]", [1, 2]), ("array<int>", "[1,2.5]", None), ("array<int>", "7", None),
+    ("map<string,int>", '{"k":1}', {"k": 1}), ("string", "1.5", "1.5"), ("string", '"é\\n"', "é\n"),
+])
+def test_json_values_are_taken_whole_or_rescued(spark, kind, text, typed):
+    for line in (f'{{"v":{text}}}', f'{{"w":1,"v":{text}}}'):
+        [row] = decode(spark, [line], f"v {kind}")
+        found = row["v"]
+        assert (str(found) if isinstance(typed, str) and found is not None else found) == typed, line
+        rescued = json.loads(row["_rescued_data"] or "{}", parse_float=str, parse_int=str)
+        lost = json.loads(text, parse_float=str, parse_int=str)
+        assert ("v" in rescued) == (typed is None)
+        if typed is None and kind != "double":
+            assert rescued["v"] == lost
+
+
+def test_json_lines_with_more_than_a_record(spark):
+    lines = ['{"a":1,"b":"x"}{"c":3}', '{"a":1,"b":"x"} tail', '{"a":1,"b":"x"},{"a":2,"b":"y"}', "{'a':1,'b':'x'}",
+             '{"a":1,"b":"x"}]', '{"a":1,"b":"x"}]}', '{"a":1,"b":"x"},{}] tail', '{"a":1,"a":2,"b":"x"}', '  {"a":1,"b":"x"}  ', '"a"', "null"]
+    for line, row in zip(lines, decode(spark, lines, "a int, b string")):
+        if line.startswith("  "):
+            assert (row["a"], row["b"], row["_rescued_data"]) == (1, "x", None)
+        else:
+            assert (row["a"], row["b"], row["_rescued_data"]) == (None, None, line)
+
+
+def test_json_files_with_more_than_a_value(spark):
+    texts = ['[{"a":1},{"a":2.5}]', '{"a":3}{"a":4}', '{"a":5}']
+    rows = decode(spark, texts, "a int", whole_files=True)
+    assert [(r["a"], r["_rescued_data"]) for r in rows] == [
+        (1, None), (None, '{"a":2.5}'), (None, '{"a":3}{"a":4}'), (5, None)]
+
+
 def test_json_field_names_with_special_characters(spark):
     rows = decode(spark, ['{"a b":1,"c.d":2,"e\'f":3}'], "`a b` int, `c.d` int, `e'f` int")
     assert rows == [{"a b": 1, "c.d": 2, "e'f": 3, "_rescued_data": None}]
@@ -239,6 +283,56 @@ def test_columns_of_later_files_are_kept(spark, tmp_path, fmt, first, second):
     assert sorted((r.a, r.b) for r in got.collect()) == [(1, None), (2, "new")]
 
 
+@pytest.mark.parametrize("fmt, texts, rows", [
+    ("json", ['{"a":1}', '{"a":2.5}', '{"a":"x9"}', '{"a":20000000000000000000}'],
+     ["1", "2.5", "x9", "20000000000000000000"]),
+    ("json", ['{"a":1}', '{"a":20000000000000000000}', '{"b":1}', '{"a":2}'],
+     ["1", "2", "20000000000000000000", None]),
+    ("json", ['{"a":{"x":1}}', '{"a":{"x":2.5,"y":true}}', '{"a":[1]}'], ['[1]', '{"x":1}', '{"x":2.5,"y":true}']),
+    ("csv", ["a\n1\n", "a\n2.5\n", "a\nx9\n"], ["1", "2.5", "x9"]),
+])
+def test_types_of_later_files(spark, tmp_path, fmt, texts, rows):
+    """Each run sees one more file; earlier rows are shown in the wider type, none is lost."""
+    (tmp_path / "in").mkdir()
+    options = {"header": "true"} if fmt == "csv" else None
+    for i, text in enumerate(texts):
+        path = tmp_path / "in" / f"{i}.{fmt}"
+        path.write_text(text + "\n")
+        got = _inferred(spark, tmp_path, fmt, options)
+        _wait_for_next_second(path)
+    found = [None if r.a is None else str(r.a) for r in got.collect()]
+    assert sorted(found, key=repr) == sorted(rows, key=repr)
+    # a stream over the table sees the same rows
+    copy = SourceRequest(spark, "table", {"path": str(tmp_path / "out")})
+    again = [None if r.a is None else str(r.a) for r in run(spark, tmp_path, copy, "copy").collect()]
+    assert sorted(again, key=repr) == sorted(rows, key=repr)
+
+
+def test_wider_types():
+    from medallion.functions.expressions import wider
+
+    def both(one, other):
+        return wider(ddl(f"a {one}")["a"].dataType, ddl(f"a {other}")["a"].dataType).simpleString()
+
+    assert both("int", "bigint") == "bigint" and both("bigint", "decimal(20,0)") == "decimal(20,0)"
+    assert both("decimal(10,2)", "bigint") == "decimal(22,2)" and both("decimal(38,0)", "decimal(20,10)") == "double"
+    assert both("bigint", "double") == "double" and both("double", "boolean") == "string"
+    assert both("date", "timestamp") == "timestamp" and both("array<int>", "array<string>") == "array<string>"
+    assert both("struct<x:int>", "struct<y:int,x:double>") == "struct<x:double,y:int>"
+    assert both("struct<x:int>", "array<int>") == "string" and both("map<string,int>", "map<string,bigint>") == (
+        "map<string,bigint>")
+
+
+def test_tables_of_changes_keep_their_types(spark, tmp_path):
+    from medallion import ChangeSpec
+
+    spec = ChangeSpec(keys=["id"], sequence_by="ts")
+    target = Target(path=str(tmp_path / "out"))
+    tables.apply_changes(spark.sql("SELECT 1 AS id, 1 AS ts, 5 AS v"), target, spec, "f", 0)
+    with pytest.raises(ValueError, match="v to string"):
+        tables.apply_changes(spark.sql("SELECT 1 AS id, 2 AS ts, 'x' AS v"), target, spec, "f", 1)
+
+
 def test_csv_headers_as_spark_reads_them(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("\n\nid,v\n1,x\n")

@@ -123,7 +123,7 @@ def test_work_folder_needs_a_shared_folder_on_a_cluster(spark):
         storage.work_folder(Session(), "x")
 
 
-@pytest.mark.parametrize("seed, fill", [(1, False), (2, True), (3, False)])
+@pytest.mark.parametrize("seed, fill", [(1, False), (2, True), (3, False), (4, True), (5, True), (6, True)])
 def test_histories_in_many_batches(spark, tmp_path, seed, fill):
     """On-time, late and mixed batches lead to the history of all events."""
     import random
@@ -163,6 +163,40 @@ def test_on_time_batches_leave_the_log_alone(spark, tmp_path, monkeypatch):
     assert tables.read(spark, target.path).count() == 104
 
 
+def test_late_events_read_the_log_from_their_version_on(spark, tmp_path, monkeypatch):
+    """Also where nulls are ignored: what was carried on so far is in the version before."""
+    from medallion.operators import cdc
+
+    spec = cdc.ChangeSpec(keys=["k"], sequence_by="s", scd_type="2", ignore_null_updates=True)
+    target = Target(path=str(tmp_path / "t"))
+    events = spark.range(0, 100, 2).selectExpr("1 AS k", "id AS s", "IF(id = 0, 7, NULL) AS v", "id AS w")
+    tables.apply_changes(events, target, spec, "main", 0)
+    read = []
+    since = tables._logged_since
+
+    def look(logged, cuts, *more):
+        found = since(logged, cuts, *more)
+        read.extend(r[cdc.SEQ] for r in found.collect())
+        return found
+
+    monkeypatch.setattr(tables, "_logged_since", look)
+    late = spark.sql("SELECT 1 AS k, 95L AS s, CAST(NULL AS INT) AS v, 950L AS w")
+    tables.apply_changes(late, target, spec, "main", 1)
+    assert sorted(read) == [94, 95, 96, 98]
+    want = cdc.type2(events.unionByName(late), spec)
+    got = tables.read(spark, target.path).select(*want.columns)
+    assert sorted(got.collect()) == sorted(want.collect()) and {r.v for r in got.collect()} == {7}
+
+
+def test_counts_come_from_file_footers(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 3 AS p").write.partitionBy("p").parquet(str(tmp_path / "a"))
+    spark.range(7).write.parquet(str(tmp_path / "b"))
+    counts = audit.count_rows(audit.file_tables(spark, {n: str(tmp_path / n) for n in "ab"}))
+    assert {r.table_name: r.rows for r in counts.collect()} == {"a": 1000, "b": 7}
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") >= 2
+
+
 def test_slices_of_a_key_with_few_sequences(spark, conf):
     from medallion.operators import cdc, skew
 

@@ -94,3 +94,18 @@ def json_lines(events: DataFrame) -> DataFrame:
     ]
     line = F.concat(F.concat_ws(",", *fields), F.when(F.col("event_type") == "error", F.lit("")).otherwise("}"))
     return events.select(line.alias("value"))
+
+
+def odd_json_lines(events: DataFrame) -> DataFrame:
+    """Event lines of which some hold fractions of whole numbers, padded numbers or more than one record."""
+    kind = F.col("event_type")
+    user = F.when(kind == "view", F.concat(F.col("user_id"), F.lit(".5"))).otherwise(F.col("user_id").cast("string"))
+    value = F.when(kind == "purchase", F.concat(F.lit('"0'), F.col("value"), F.lit('"'))).otherwise(
+        F.col("value").cast("string")
+    )
+    tail = F.when(kind == "click", '{"c":3}').when(kind == "error", " tail").otherwise("")
+    line = F.concat(
+        F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":'), user, F.lit(',"event_type":"'), kind,
+        F.lit('","value":'), value, F.lit("}"), tail,
+    )
+    return events.select(line.alias("value"))

@@ -200,6 +200,16 @@ SELECT event_id AS "offset", CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER)
   CAST(minute(ts) AS INTEGER) AS minute, event_id, user_id, event_type, value FROM events""",
     "file_stream_json_rescue": RESCUED_JSON,
     "json_rescue_batch": RESCUED_JSON,
+    "json_rescue_lossless": """
+SELECT CASE WHEN whole THEN NULL ELSE event_id END AS event_id,
+  CAST(CASE WHEN whole OR event_type = 'view' THEN NULL ELSE user_id END AS INTEGER) AS user_id,
+  CASE WHEN whole THEN NULL ELSE event_type END AS event_type,
+  CASE WHEN whole OR event_type = 'purchase' THEN NULL ELSE value END AS value,
+  CASE event_type WHEN 'view' THEN '{"user_id":' || user_id || '.5}'
+    WHEN 'purchase' THEN '{"value":"0' || value || '"}'
+    WHEN 'click' THEN line || '{"c":3}' WHEN 'error' THEN line || ' tail' END AS _rescued_data
+FROM (SELECT *, event_type IN ('click', 'error') AS whole, '{"event_id":' || event_id || ',"user_id":' || user_id
+  || ',"event_type":"' || event_type || '","value":' || value || '}' AS line FROM events)""",
     "file_stream_csv_by_name": """
 SELECT CAST(NULL AS VARCHAR) AS "Op", event_id, CAST(user_id AS INTEGER) AS user_id, event_type, value,
   CAST(NULL AS VARCHAR) AS _rescued_data FROM events
@@ -263,11 +273,35 @@ FROM ({COUNTS})""",
     "checkpoint_reset": "SELECT 'append' AS target, * FROM orders UNION ALL SELECT 'type1', * FROM orders",
     "file_stream_new_columns": """
 SELECT event_id, user_id, event_type, value, CASE WHEN event_type <> 'view' THEN props END AS props FROM events""",
+    "file_stream_changed_types": """
+SELECT event_id, CAST(CASE WHEN event_type IN ('view', 'click') THEN user_id
+    ELSE user_id + 10000000000000000000::HUGEINT END AS DECIMAL(20, 0)) AS user_id, event_type,
+  CASE event_type WHEN 'view' THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)
+    WHEN 'click' THEN CAST(value AS VARCHAR) ELSE 'v' || value END AS value FROM events""",
     "declared_table": """
 SELECT 'region.' || n_regionkey AS key, CAST(count(*) AS VARCHAR) AS value FROM nation GROUP BY n_regionkey
 UNION ALL SELECT 'comment', 'nations of ' || count(DISTINCT n_regionkey) || ' regions' FROM nation""",
     "bronze_cdc_to_silver": f"""
 SELECT * FROM ({latest(EVENTS, "user_id, upper(event_type) AS event_type, value")}) WHERE value > 10""",
+    "spec_audit_columns": """
+SELECT CAST(c_custkey AS VARCHAR) AS "dataFlowId", 'v3' AS version, 'me' AS "createdBy", 'me' AS "updatedBy",
+  true AS same_time, true AS just_now, CASE WHEN rich THEN 'header,sep' ELSE 'header' END AS options,
+  CASE WHEN rich THEN 'note,path' ELSE 'path' END AS details,
+  CASE WHEN rich THEN 'database,path,table' ELSE 'database,table' END AS place,
+  CASE WHEN rich THEN '{"keys":["id"],"sequence_by":"ts","scd_type":"1"}' END AS "cdcApplyChanges"
+FROM (SELECT *, c_acctbal > 5000 AS rich FROM customer)""",
+    "spec_projection_files": """
+SELECT CAST(c_custkey AS VARCHAR) AS "dataFlowId", c_mktsegment AS target,
+  concat('id,', chr(39), c_mktsegment, chr(39), ' AS segment') AS select_exp, 'id > 0' AS where_clause FROM customer""",
+    "snapshot_keys": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{k}' AS keys, count(*) = count(DISTINCT ({k})) AS \"unique\", count(*) AS rows FROM {t}"
+        for t, k in (("customer", "c_custkey"), ("customer", "c_nationkey"), ("orders", "o_orderkey"),
+                     ("orders", "o_custkey"), ("lineitem", "l_orderkey,l_linenumber"), ("events", "user_id,ts"))
+    ),
+    "bronze_cdc_once": latest(
+        "SELECT * FROM events, (SELECT min(ts) AS first, max(ts) AS last FROM events) WHERE ts < first + (last - first) / 2",
+        USER),
+    "bronze_cdc_to_silver_deletes": f"SELECT * FROM ({latest(EVENTS, USER)}) WHERE value > 10",
     "bronze_cdc_to_silver_scd2": f"""
 WITH s AS (SELECT *, first + (last - first) / 2 AS cut FROM events, (
     SELECT min(ts) AS first, max(ts) AS last FROM events)),
@@ -275,11 +309,15 @@ v AS (
   SELECT user_id, event_type, value, ts, 1 AS run FROM (
     {latest("SELECT * FROM s WHERE ts < cut", "*")})
   UNION ALL SELECT user_id, event_type, value, ts, 2 FROM ({latest("SELECT * FROM s", "*")})),
+gone AS (
+  SELECT user_id, max(ts) AS ts FROM s WHERE user_id IN (SELECT user_id FROM v)
+    AND user_id NOT IN (SELECT user_id FROM v WHERE run = 2) GROUP BY user_id),
 d AS (
   SELECT *, lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND lag(value) OVER w IS NOT DISTINCT FROM value
     AND lag(ts) OVER w IS NOT NULL AS same FROM v WINDOW w AS (PARTITION BY user_id ORDER BY run))
 SELECT user_id, event_type, value, ts AS "__START_AT",
-  lead(ts) OVER (PARTITION BY user_id ORDER BY run) AS "__END_AT" FROM d WHERE NOT same""",
+  coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY run), (SELECT g.ts FROM gone g WHERE g.user_id = d.user_id))
+    AS "__END_AT" FROM d WHERE NOT same""",
     "onboarded_quarantine": """
 SELECT event_id, ts, user_id, event_type, value FROM events WHERE value > 100 AND event_type <> 'view'""",
     "cdc_scd2_coarse": """

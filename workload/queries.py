@@ -17,7 +17,7 @@ from medallion.plans import onboard as onboarding, store
 from medallion.sources import SourceRequest, open_source
 from medallion.sources.snapshots import new_snapshots, numbered_files
 from medallion.streaming import tables
-from medallion.streaming.flows import Flow, read_metrics, run_flow, run_flows, write_snapshot
+from medallion.streaming.flows import Branch, Flow, read_metrics, run_fan_out, run_flow, run_flows, write_snapshot
 from medallion.streaming.pipeline import Pipeline, run
 from medallion.streaming.tables import Target
 
@@ -473,22 +473,17 @@ def fanout_segment(spark, folder):
 
 @query
 def fanout_flows(spark, folder):
-    """The same as flows: one bronze table feeds several silver tables."""
+    """The same as a stream: one bronze table feeds several silver tables by one scan."""
     work = _work(spark, "fanout")
     bronze = _table_flow(spark, folder, "customer", work)
     run_flow(spark, bronze)
-    flows = []
-    for name, (expressions, predicates) in SEGMENTS.items():
-        source = open_source(SourceRequest(spark, "table", {"path": bronze.target.path}))
-        # the filters name bronze columns, so they come before the projection here
-        flows.append(Flow(
-            name, source, Target(path=f"{work}/{name}"), f"{work}/checkpoints/{name}",
-            transform=lambda df, e=expressions, p=predicates: transform.project(
-                transform.filter_all(df, p), e
-            ),
-        ))
-    run_flows(spark, flows)
-    parts = [_result(spark, f.target).withColumn("target", F.lit(f.name)) for f in flows]
+    source = open_source(SourceRequest(spark, "table", {"path": bronze.target.path}))
+    branches = [
+        Branch(Flow(name, source, Target(path=f"{work}/{name}"), f"{work}/checkpoints/{name}"), expressions, predicates)
+        for name, (expressions, predicates) in SEGMENTS.items()
+    ]
+    run_fan_out(spark, "customers", source, branches, f"{work}/checkpoints/fan_out")
+    parts = [_result(spark, b.flow.target).withColumn("target", F.lit(b.flow.name)) for b in branches]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -566,6 +561,28 @@ def file_stream_new_columns(spark, folder):
     return _result(spark, flow.target)
 
 
+@query
+def file_stream_changed_types(spark, folder):
+    """Later files bring longer numbers and text where the first ones have whole numbers."""
+    work = _work(spark, "changed_types")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    kind, long = F.col("event_type"), F.lit("10000000000000000000").cast("decimal(20,0)")
+    parts = (
+        events.where(kind == "view").withColumn("value", F.floor("value")),
+        events.where(kind == "click"),
+        events.where(~kind.isin("view", "click")).withColumns(
+            {"user_id": (F.col("user_id") + long).cast("decimal(20,0)"), "value": F.concat(F.lit("v"), F.col("value"))}
+        ),
+    )
+    for part in parts:
+        part.write.mode("append").json(f"{work}/in")
+        source = _file_source(spark, "cloudFiles", f"{work}/in", state=f"{work}/state", **{
+            "cloudFiles.format": "json", "cloudFiles.inferColumnTypes": "true"})
+        flow = Flow("main", source, Target(path=f"{work}/out"), f"{work}/checkpoint")
+        run_flow(spark, flow)
+    return _result(spark, flow.target)
+
+
 @query
 def declared_table(spark, folder):
     """Properties and comment of a table, as the catalog shows them."""
@@ -628,6 +645,13 @@ def json_rescue_batch(spark, folder):
     return decode_json(lines, _columns(EVENT_FIELDS), "_rescued_data")
 
 
+@query
+def json_rescue_lossless(spark, folder):
+    """Values that their type would cut, and lines that hold more than a record."""
+    lines = feeds.odd_json_lines(table(spark, folder, "events"))
+    return decode_json(lines, _columns("event_id long, user_id int, event_type string, value double"), "_rescued_data")
+
+
 @query
 def file_stream_csv_by_name(spark, folder):
     """Two folders of files with different headers; columns are matched by name."""
@@ -891,6 +915,84 @@ def spec_later_columns(spark, folder):
     )
 
 
+def _records(rows: DataFrame, **columns) -> DataFrame:
+    """Onboarding records with the given columns; all other keys are null."""
+    given = {}
+    for kind, names in onboarding.RECORD_KEYS.items():
+        for name in names:
+            if "{env}" not in name:
+                given[name] = F.lit(None).cast(kind)
+    return rows.select(*[c.alias(n) for n, c in {**given, **columns}.items()])
+
+
+@query
+def spec_audit_columns(spark, folder):
+    """Specs made from customers: who wrote them and when; options and attributes without a value are left out."""
+    rich = F.col("c_acctbal") > 5000
+    records = _records(
+        table(spark, folder, "customer"),
+        data_flow_id=F.col("c_custkey").cast("string"), data_flow_group=F.col("c_mktsegment"),
+        source_format=F.lit("cloudFiles"),
+        source_details=F.create_map(F.lit("source_path_dev"), F.col("c_name"), F.lit("note"), F.when(rich, F.lit("x"))),
+        bronze_database=F.lit("bronze"), bronze_table=F.concat(F.lit("t"), F.col("c_custkey")),
+        bronze_table_path=F.when(rich, F.concat(F.lit("/t/"), F.col("c_custkey"))),
+        bronze_reader_options=F.create_map(F.lit("header"), F.lit("true"), F.lit("sep"), F.when(rich, F.lit(";"))),
+        bronze_cdc_apply_changes=F.when(rich, F.lit('{"keys":["id"],"sequence_by":"ts","scd_type":"1","where":null}')),
+    )
+    rows = onboarding.bronze_rows(records, "dev", "v3", "me")
+    return rows.select(
+        "dataFlowId", "version", "createdBy", "updatedBy",
+        (F.col("createDate") == F.col("updateDate")).alias("same_time"),
+        (F.abs(F.timestamp_diff("MINUTE", "createDate", F.current_timestamp())) < 60).alias("just_now"),
+        F.array_join(F.array_sort(F.map_keys("readerConfigOptions")), ",").alias("options"),
+        F.array_join(F.array_sort(F.map_keys("sourceDetails")), ",").alias("details"),
+        F.array_join(F.array_sort(F.map_keys("targetDetails")), ",").alias("place"),
+        "cdcApplyChanges",
+    )
+
+
+@query
+def spec_projection_files(spark, folder):
+    """Silver specs made from customers; many records name the same two files of projections."""
+    work = _work(spark, "projection_files")
+    customers = table(spark, folder, "customer")
+    segments = sorted(r[0] for r in customers.select("c_mktsegment").distinct().collect())
+    for name, part in (("first", segments[::2]), ("second", segments[1::2])):
+        storage.write_text(spark, f"{work}/{name}.json", json.dumps(
+            [{"target_table": s, "select_exp": ["id", f"'{s}' AS segment"], "where_clause": ["id > 0"]} for s in part]))
+    records = _records(
+        customers,
+        data_flow_id=F.col("c_custkey").cast("string"), data_flow_group=F.lit("A1"),
+        bronze_database=F.lit("bronze"), bronze_table=F.lit("customers"),
+        silver_database=F.lit("silver"), silver_table=F.col("c_mktsegment"),
+        silver_transformation_json=F.when(F.col("c_custkey") % 2 == 0, F.lit(f"{work}/first.json")).otherwise(
+            F.lit(f"{work}/second.json")),
+    )
+    rows = onboarding.silver_rows(records, "dev", "v1", "me")
+    return rows.select(
+        "dataFlowId", F.col("targetDetails.table").alias("target"), F.array_join("selectExp", ",").alias("select_exp"),
+        F.array_join("whereClause", ",").alias("where_clause"),
+    )
+
+
+@query
+def snapshot_keys(spark, folder):
+    """Which columns could be keys of a snapshot: the probe stops a snapshot whose keys occur twice."""
+    found = []
+    for name, keys in (("customer", ["c_custkey"]), ("customer", ["c_nationkey"]), ("orders", ["o_orderkey"]),
+                       ("orders", ["o_custkey"]), ("lineitem", ["l_orderkey", "l_linenumber"]),
+                       ("events", ["user_id", "ts"])):
+        rows = table(spark, folder, name)
+        try:
+            snapshot.check_unique(rows, keys, "a snapshot")
+            unique = True
+        except snapshot.DuplicateKeys:
+            unique = False
+        found.append(rows.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("keys"), F.lit(unique).alias("unique"), "rows"))
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query
 def projection_schema(spark, folder):
     """Rows written as JSON and read with the schema that the projection has."""
@@ -1018,6 +1120,41 @@ def bronze_cdc_to_silver_scd2(spark, folder):
     return spark.table(f"{database}.users")
 
 
+@query
+def bronze_cdc_to_silver_deletes(spark, folder):
+    """What leaves the bronze table, or the filter, leaves a silver table of changes, in three runs."""
+    events = table(spark, folder, "events")
+    feed, database = _onboard(
+        spark, "cdc_deletes", events,
+        {"bronze_cdc_apply_changes": USER_CDC,
+         "silver_cdc_apply_changes": {"keys": ["user_id"], "sequence_by": "ts", "scd_type": "1",
+                                      "except_column_list": ["ts"]}},
+        {"target_table": "users", "select_exp": ["user_id", "event_type", "value", "ts"],
+         "where_clause": ["value > 10"]},
+    )
+    cuts = [None, *[F.lit(c).cast("timestamp_ntz") for c in feeds.time_cuts(events, [1 / 3, 2 / 3])], None]
+    for low, high in zip(cuts, cuts[1:]):
+        part = events if low is None else events.where(F.col("ts") >= low)
+        feed(part if high is None else part.where(F.col("ts") < high))
+    return spark.table(f"{database}.users")
+
+
+@query
+def bronze_cdc_once(spark, folder):
+    """A named flow of changes that runs once: what comes later is not taken."""
+    events = table(spark, folder, "events")
+    feed, database = _onboard(
+        spark, "cdc_once", events,
+        {"bronze_cdc_apply_changes": {**USER_CDC, "flow_name": "users_backfill", "once": True}},
+        {"target_table": "users", "select_exp": ["user_id"], "where_clause": []},
+    )
+    (cut,) = feeds.time_cuts(events, [0.5])
+    cut = F.lit(cut).cast("timestamp_ntz")
+    feed(events.where(F.col("ts") < cut))
+    feed(events.where(F.col("ts") >= cut))
+    return spark.table(f"{database}.events").select("user_id", "event_type", "value")
+
+
 @query
 def onboarded_quarantine(spark, folder):
     """The quarantine table that the onboarding record names."""
@@ -1086,7 +1223,7 @@ AUDITED = ("customer", "orders", "lineitem", "supplier", "part", "events", "docu
 
 @query
 def reconcile_counts(spark, folder):
-    frames = {name: table(spark, folder, name) for name in AUDITED}
+    frames = audit.file_tables(spark, {name: f"{folder}/{name}.parquet" for name in AUDITED})
     # what each table should hold follows from the size of the customer table
     customers = table(spark, folder, "customer").agg(F.count(F.lit(1)).alias("n"))
     shares = {"customer": 1, "orders": 10, "lineitem": 40, "region": 1}
