@@ -34,14 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import lists, ship, slices, trim
+from .common import lists, ranges, ship, slices, trim
 
-#: units of text whose pieces a Python worker remembers; it forgets all when there are more
-CACHE_UNITS = 200_000
+#: units of text whose pieces a task remembers; it forgets all when there are more
+CACHE_UNITS = 500_000
 #: longer units are encoded anew each time
 UNIT_CHARACTERS = 64
 #: pairs of pieces whose check a worker remembers
-CACHE_PAIRS = 1_000_000
+CACHE_PAIRS = 500_000
 SPACE_MARK = "▁"
 NEVER = float("-inf")
 #: marks before which a text may be cut, if the model allows it
@@ -116,7 +116,7 @@ class Model:
 
 
 class Encoder(dict):
-    """The ids of units of text; the dictionary holds those that were asked for before."""
+    """The ids of units of text, packed; the dictionary holds those that were asked for before."""
 
     def __init__(self, model: Model):
         import ahocorasick
@@ -231,25 +231,30 @@ class Encoder(dict):
                 raise ValueError("no sequence of pieces fits")
         return found
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
+    def __missing__(self, unit: str) -> bytes:
         if self.known.issuperset(unit):
-            found = tuple(self.search(unit))
+            found = array("i", self.search(unit)).tobytes()
         else:
-            found = ()
+            found = b""
             for known, run in itertools.groupby(unit, self.known.__contains__):
                 part = "".join(run)
-                found += tuple(self.search(part) if known else [self.byte_ids[b] for b in part.encode("utf-8")])
+                ids = self.search(part) if known else [self.byte_ids[b] for b in part.encode("utf-8")]
+                found += array("i", ids).tobytes()
         if len(unit) <= UNIT_CHARACTERS:
             self[unit] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit numbers."""
         if len(self) > CACHE_UNITS:
             self.clear()
         if not text:
-            return []
+            return b""
         marked = (" " + text if self.model.prefix else text).replace(" ", SPACE_MARK)
-        return list(itertools.chain.from_iterable(map(self.__getitem__, self.units.findall(marked))))
+        return b"".join(map(self.__getitem__, self.units.findall(marked)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
 
 # -- decoding ----------------------------------------------------------------------
@@ -272,6 +277,42 @@ class Decoder:
                 self.texts.append(piece.replace(SPACE_MARK, " ").encode("utf-8"))
         self.controls = {i for i, kind in enumerate(model.kinds) if kind == CONTROL}
         self.bytes = {i for i, kind in enumerate(model.kinds) if kind == BYTE}
+        # the same as arrays
+        self.pool = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.lengths = np.array([len(t) for t in self.texts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.is_control = np.array([kind == CONTROL for kind in model.kinds])
+        #: a byte that is no character alone
+        self.is_part = np.array([kind == BYTE and t[0] > 127 for kind, t in zip(model.kinds, self.texts)])
+        self.has_front = np.array(
+            [model.prefix and kind == NORMAL and t[:1] == b" " for kind, t in zip(model.kinds, self.texts)]
+        )
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of many lists of ids, each with control ids at its end only."""
+        starts, lengths = self.starts[ids], self.lengths[ids]
+        some = np.flatnonzero(np.diff(offsets) > 0)
+        first = offsets[some]
+        first = first[self.has_front[ids[first]]]
+        starts[first] += 1
+        lengths[first] -= 1
+        data = self.pool[ranges(starts, lengths)]
+        ends = np.r_[0, np.cumsum(lengths)][offsets]
+        odd = np.zeros(len(offsets) - 1, bool)
+        parts = np.flatnonzero(self.is_part[ids])
+        for at in np.unique(np.searchsorted(offsets, parts, side="right") - 1).tolist():
+            try:
+                data[ends[at] : ends[at + 1]].tobytes().decode("utf-8")
+            except UnicodeDecodeError:
+                odd[at] = True
+        # control ids between others part runs of bytes
+        inner = np.flatnonzero(self.is_control[ids[:-1]] & ~self.is_control[ids[1:]]) + 1
+        odd[np.searchsorted(offsets, inner[~np.isin(inner, offsets)], side="right") - 1] = True
+        if odd.any():
+            return pa.array([self.decode(ids[a:b].tolist()) for a, b in itertools.pairwise(offsets)], pa.string())
+        return pa.StringArray.from_buffers(
+            len(odd), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))
+        )
 
     def decode(self, ids: list[int]) -> str:
         if ids and (min(ids) < 0 or max(ids) >= len(self.texts)):
@@ -343,15 +384,18 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _tools(path)
-        last = [encoder.model.end_id] if end else []
+        last = array("i", [encoder.model.end_id] if end else []).tobytes()
         for rows, _, _ in slices(batches):
-            found = [encoder.encode(text or "") + last for text in rows.column("text").to_pylist()]
-            offsets = np.cumsum([0, *map(len, found)])
-            flat = np.fromiter(itertools.chain.from_iterable(found), np.int32, int(offsets[-1]))
-            columns = [rows.column("id"), lists(pa.array(flat), offsets)]
+            found = [encoder.packed(text or "") + last for text in rows.column("text").to_pylist()]
+            ids = np.frombuffer(b"".join(found), np.int32)
+            offsets = np.cumsum([0, *map(len, found)]) // 4
+            columns = [rows.column("id"), lists(pa.array(ids), offsets)]
             if round_trip:
-                columns.append(pa.array([decoder.decode(ids) for ids in found], pa.string()))
+                columns.append(decoder.decode_all(ids, offsets))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+        # the units of a task are not kept while its worker waits for another one
+        encoder.clear()
+        trim()
 
     picked = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text"))
     return picked.mapInArrow(run, T.StructType(fields)).withColumnRenamed("id", id_column)

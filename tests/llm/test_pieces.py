@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -52,9 +53,17 @@ def test_any_ids_decode_as_in_the_library(library, model):
     decoder = Decoder(model)
     rng = random.Random(7)
     special = [0, 1, 2, 13, 259, 28705, 3, 4, 200, 228, 132, 177, 233, 150, 130]
-    for _ in range(5000):
-        ids = [rng.choice(special) if rng.random() < 0.5 else rng.randrange(32000) for _ in range(rng.randrange(8))]
-        assert decoder.decode(ids) == library.decode(ids), ids
+    lists = [
+        [rng.choice(special) if rng.random() < 0.5 else rng.randrange(32000) for _ in range(rng.randrange(8))]
+        for _ in range(5000)
+    ]
+    expected = [library.decode(ids) for ids in lists]
+    assert [decoder.decode(ids) for ids in lists] == expected
+    for at in range(0, len(lists), 3):
+        some = lists[at : at + 3]
+        flat = np.array([i for ids in some for i in ids], np.int64)
+        found = decoder.decode_all(flat, np.cumsum([0, *map(len, some)]))
+        assert found.to_pylist() == expected[at : at + 3], some
     with pytest.raises(ValueError):
         decoder.decode([32000])
 
