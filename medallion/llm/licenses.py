@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import Words, ship, slices
+from .common import Words, ranges, ship, slices, written
 
 #: bytes between words: all of ASCII but letters and digits
 GAP = np.zeros(256, bool)
@@ -83,17 +83,21 @@ def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vectors:
-    """Templates as unit vectors over their vocabulary."""
+    """Templates as sparse unit vectors: per word of their vocabulary the templates that have it, with its weight there."""
 
     def __init__(self, texts: list[str], vocabulary: np.ndarray, counts: np.ndarray, total: int):
         self.vocabulary = vocabulary
         self.idf = np.log((1 + total) / (1 + counts)) + 1
         self.unknown = np.log(1 + total) + 1
         owner, hashes = _hashed(texts)
-        self.matrix = np.zeros((len(vocabulary), len(texts)))
-        np.add.at(self.matrix, (np.searchsorted(vocabulary, hashes), owner), 1)
-        self.matrix *= self.idf[:, None]
-        self.matrix /= np.maximum(np.sqrt((self.matrix**2).sum(axis=0)), 1e-12)
+        self.templates = len(texts)
+        entries, times = np.unique(np.searchsorted(vocabulary, hashes) * len(texts) + owner, return_counts=True)
+        word, self.owner = entries // len(texts), entries % len(texts)
+        weight = times * self.idf[word]
+        norm = np.sqrt(np.bincount(self.owner, weight**2, len(texts)))
+        self.weight = weight / np.maximum(norm, 1e-12)[self.owner]
+        #: entries of word w: range(first[w], first[w + 1])
+        self.first = np.searchsorted(word, np.arange(len(vocabulary) + 1))
 
     def columns(self, hashes: np.ndarray) -> np.ndarray:
         """Places in the vocabulary, -1 for other words."""
@@ -123,12 +127,23 @@ class Vectors:
         weight = times * np.where(column >= 0, self.idf[column], self.unknown)
         begins = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
         norm = np.sqrt(np.add.reduceat(weight**2, begins))
-        parts = np.where(column >= 0, weight, 0)[:, None] * self.matrix[column]
-        similar = np.add.reduceat(parts, begins, axis=0) / norm[:, None]
-        template = similar.round(9).argmax(axis=1)
-        similar = similar[np.arange(len(begins)), template]
-        reached = similar >= least - 1e-12
-        return unit[begins][reached], template[reached], similar[reached]
+        # products of the words that a unit and a template share, summed per unit and template
+        number = np.cumsum(np.r_[False, unit[1:] != unit[:-1]])
+        known = np.flatnonzero(column >= 0)
+        shared = self.first[column[known] + 1] - self.first[column[known]]
+        entry = ranges(self.first[column[known]], shared)
+        pair = np.repeat(number[known], shared) * self.templates + self.owner[entry]
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        product = (np.repeat(weight[known], shared) * self.weight[entry])[order]
+        starts = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+        of, template = pair[starts] // self.templates, pair[starts] % self.templates
+        similar = np.add.reduceat(product, starts) / norm[of]
+        # the most similar template of each unit, the first of equals
+        order = np.lexsort((template, -similar.round(9), of))
+        best = order[np.r_[True, of[order][1:] != of[order][:-1]]]
+        best = best[similar[best] >= least - 1e-12]
+        return unit[begins][of[best]], template[best], similar[best]
 
 
 def _word_counts(vocabulary: np.ndarray):
@@ -239,6 +254,9 @@ def scan(
     found = rows.mapInArrow(_scanned(vectors, least), schema).withColumns(
         {"own_license": F.get(names, F.col("template")), "_dir": directory("_path")}
     )
+    # texts are scanned once; directories meet over these light rows
+    found = written(found, "scanned")
+    vectors.destroy()
     licence_files = found.filter(
         F.col("own_license").isNotNull() & ((F.col("share") >= file_share) | F.col("_path").rlike(LICENCE_FILE))
     )
@@ -260,6 +278,8 @@ def scan(
         .agg(F.max(F.struct(F.length("above").alias("depth"), "inherited_from", "inherited")).alias("near"))
         .select(F.col("_dir").alias("_near_dir"), "near.inherited_from", "near.inherited")
     )
+    # one row per directory; as a table of its own, so that Spark can split a directory with many files in the join
+    nearest = written(nearest, "nearest-licences")
     own = F.col("own_license").isNotNull()
     return found.join(nearest, F.col("_dir") == F.col("_near_dir"), "left").select(
         F.col("_id").alias(id_column), F.col("_path").alias("path"), "own_license", "score",
