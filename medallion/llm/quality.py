@@ -178,17 +178,21 @@ def language_numbers(docs: DataFrame, lang_column: str) -> dict:
     return {lang: i for i, lang in enumerate(sorted(found, key=lambda x: (x is not None, str(x))), 1)}
 
 
-def _numbered(docs: DataFrame, lang_column: str, numbers: dict):
-    number = F.lit(0)
-    for lang, i in numbers.items():
-        number = F.when(F.col(lang_column).eqNullSafe(F.lit(lang)), F.lit(i)).otherwise(number)
-    return number.cast("long")
+def _numbered(rows: DataFrame, numbers: dict) -> DataFrame:
+    """Rows with the number of their ``_language`` as ``_lang`` in its place; there are 65,535 at most."""
+    schema = T.StructType(
+        [T.StructField("_known", rows.schema["_language"].dataType), T.StructField("_lang", T.LongType())]
+    )
+    listed = rows.sparkSession.createDataFrame(list(numbers.items()), schema)
+    return rows.join(F.broadcast(listed), F.col("_language").eqNullSafe(F.col("_known"))).drop("_language", "_known")
 
 
 def levels(docs: DataFrame, numbers: dict, text_column: str, lang_column: str) -> list[DataFrame]:
     """(code, n) of orders 1 to ORDER: the n-grams of all documents, counted by Spark."""
     ship(docs.sparkSession)
-    rows = docs.select(F.col(text_column).alias("_text"), _numbered(docs, lang_column, numbers).alias("_lang"))
+    rows = _numbered(
+        docs.select(F.col(f"`{text_column}`").alias("_text"), F.col(f"`{lang_column}`").alias("_language")), numbers
+    )
     parts = rows.mapInArrow(_counts("_text"), "code bigint, n bigint")
     grams = written(parts.groupBy("code").agg(F.sum("n").alias("n")), "grams", release=True)
     found = [grams]
@@ -430,11 +434,12 @@ def measure(
     names = list(dict.fromkeys([id_column, *carry]))
     # a carried text goes to the executors once
     hidden = ["_text" if n == text_column else f"_c{i}" for i, n in enumerate(names)]
-    text, number = F.col(f"`{text_column}`"), _numbered(docs, lang_column, numbers)
+    text = F.col(f"`{text_column}`")
     rows = docs.select(
         *[F.col(f"`{n}`").alias(h) for n, h in zip(names, hidden) if h != "_text"],
-        text.alias("_text"), number.alias("_lang"), F.coalesce(F.md5(text), F.lit("")).alias("_key"),
+        text.alias("_text"), F.col(f"`{lang_column}`").alias("_language"), F.coalesce(F.md5(text), F.lit("")).alias("_key"),
     )
+    rows = _numbered(rows, numbers)
     schema = T.StructType(
         [T.StructField(h, docs.schema[n].dataType) for n, h in zip(names, hidden)]
         + [T.StructField("_lang", T.LongType()), T.StructField("_key", T.StringType())]
@@ -461,11 +466,10 @@ def measure(
     measured = measured.withColumn("entropy", F.when(F.col("_bytes") > 0, -F.col("_log") / F.col("_bytes"))).withColumn(
         "base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     )
-    limits = {r["_lang"]: r for r in bands(measured, low_reach, high_reach).collect()}
-    inside = F.lit(True)
-    for lang, r in limits.items():
-        inside = F.when(F.col("_lang") == lang, F.col("entropy").between(r["lowest"], r["highest"])).otherwise(inside)
-    return measured.select(
+    # one row per language
+    limits = F.broadcast(written(bands(measured, low_reach, high_reach), "bands"))
+    inside = F.col("entropy").between(F.col("lowest"), F.col("highest"))
+    return measured.join(limits, "_lang", "left").select(
         *[F.col(h).alias(n) for n, h in zip(names, hidden)], *_COUNTS, "base_failed",
         F.exp("entropy").alias("perplexity"),
         (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"),

@@ -160,6 +160,15 @@ def test_many_shards_give_the_perplexity_of_the_whole_model(spark):
     assert [r.kept for r in sorted(found, key=key)] == [r.kept for r in sorted(whole, key=key)]
 
 
+def test_any_number_of_languages(spark):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, 60), None if i == 7 else f"l{i}") for i in range(1500)]
+    found = quality.measure(frame(spark, rows)).collect()
+    # each language has one document, the middle of its band
+    assert {r.doc_id: r.kept for r in found} == {i: not base(t)[-1] for i, t, _ in rows}
+    assert len(found) == 1500
+
+
 def test_empty_table(spark):
     none = frame(spark, [(1, "x", "en")]).filter(F.lit(False))
     assert quality.measure(none).collect() == []
