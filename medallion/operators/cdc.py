@@ -375,13 +375,17 @@ def _hot_history(log: DataFrame, shape: Shape, hot: DataFrame, limit: int) -> Da
     return runs.where(~at_border & ~F.col(DEL)).unionByName(joined)
 
 
-def type2_history(log: DataFrame, shape: Shape, buckets: int | None = None) -> DataFrame:
+def type2_history(
+    log: DataFrame, shape: Shape, buckets: int | None = None, most: int | None = None
+) -> DataFrame:
     """Versions with their validity interval, from a change log.
 
     With ``buckets`` the rows come out partitioned by bucket of the key, except
-    that hot keys are spread over several partitions.
+    that hot keys are spread over several partitions. ``most``: rows of a key at most, if the
+    caller knows; keys are then only counted where one may be hot.
     """
-    hot, limit = skew.hot_keys(log, shape.keys)
+    limit = skew.slice_rows(log.sparkSession)
+    hot, limit = (None, limit) if most is not None and most <= limit else skew.hot_keys(log, shape.keys)
     if hot is None:
         history = _cold_history(log, shape, buckets)
     else:

@@ -27,7 +27,7 @@ SNAPSHOTS = "snapshots"
 TARGET = "__target"
 POOL = "spark.scheduler.pool"
 # marks the rows of a batch whose keys have left a rewritten source
-GONE = "__gone"
+GONE, LEFT_AT = "__gone", "__left_at"
 METRICS_SCHEMA = "effect string, rule string, passed long, failed long"
 
 
@@ -311,7 +311,10 @@ def _run_on_version(spark: SparkSession, flow: Flow, source: str) -> None:
 
 
 def _with_deletes(flow: Flow, feed: tables.Feed, rows: DataFrame) -> tuple[DataFrame, cdc.ChangeSpec]:
-    """Changed rows and, marked, the last rows of the target keys that none of them has."""
+    """Changed rows and, marked, the last rows of the target keys that none of them has.
+
+    Where the source does not know when they went, they go at its newest sequence.
+    """
     spec = flow.changes
     if feed.before is None:
         return rows, spec
@@ -321,10 +324,21 @@ def _with_deletes(flow: Flow, feed: tables.Feed, rows: DataFrame) -> tuple[DataF
         # several rows of the source may stand for one key here: one that is left is enough
         still = flow.transform(flow.source.read()).select(*_names(keys))
         gone = skew.without_keys(gone, still, keys, False)
-    batch = rows.withColumn(GONE, F.lit(False)).unionByName(gone.withColumn(GONE, F.lit(True)))
     deletes = GONE if not (spec.apply_as_deletes or "").strip() else f"{GONE} OR ({spec.apply_as_deletes})"
-    dropped = None if spec.column_list else [*named_list(spec.except_column_list), GONE]
-    return batch, replace(spec, apply_as_deletes=deletes, except_column_list=dropped)
+    rows, gone = rows.withColumn(GONE, F.lit(False)), gone.withColumn(GONE, F.lit(True))
+    sequence, added = spec.sequence_by, [GONE]
+    if not feed.timed:
+        newest = flow.transform(flow.source.read()).agg(F.max(F.expr(sequence)).alias("m"))
+        kind = newest.schema["m"].dataType
+        if isinstance(kind, T.AtomicType):
+            at = newest.select(F.col("m").cast("string")).first()[0]
+            rows = rows.withColumn(LEFT_AT, F.lit(None).cast(kind))
+            gone = gone.withColumn(LEFT_AT, F.lit(at).cast(kind))
+            sequence, added = f"coalesce({LEFT_AT}, {sequence})", [GONE, LEFT_AT]
+    dropped = None if spec.column_list else [*named_list(spec.except_column_list), *added]
+    return rows.unionByName(gone), replace(
+        spec, apply_as_deletes=deletes, except_column_list=dropped, sequence_by=sequence
+    )
 
 
 def _names(columns: list[str]) -> list[str]:

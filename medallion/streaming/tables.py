@@ -24,9 +24,11 @@ import json
 import threading
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import storage
@@ -378,7 +380,8 @@ class Feed:
     before: DataFrame | None = None
     #: changed and new rows that are open now
     after: DataFrame | None = None
-    keys: list[str] = field(default_factory=list)
+    #: does the table know when its rows changed or went?
+    timed: bool = True
 
 
 def changes_since(spark: SparkSession, path: str, version: int | None) -> Feed:
@@ -420,7 +423,7 @@ def changes_since(spark: SparkSession, path: str, version: int | None) -> Feed:
             for f in schema.fields
         ]
     )
-    return Feed(rows, before, changed.where(is_open).select("__new.*"), list(keys))
+    return Feed(rows, before, changed.where(is_open).select("__new.*"), bool(stamped))
 
 
 def _floor_of(current: dict, described: dict) -> list:
@@ -759,7 +762,7 @@ def _merge_type1(df, target, spec, current, version):
         return _write_buckets(fresh, target, shape.keys, version, buckets), floor
     fresh = fresh.persist()
     try:
-        touched, small = _touched(fresh, shape.keys, buckets)
+        touched, small, _ = _touched(fresh.withColumn("__n", F.lit(1)), shape.keys, buckets)
         if floor != old_floor:
             touched = list(range(buckets))
         if not touched:
@@ -785,14 +788,24 @@ def _by_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
 
 
-def _touched(per_key: DataFrame, keys: list[str], buckets: int) -> tuple[list[int], bool]:
-    """Buckets of the keys, and whether the keys are small enough to broadcast."""
+def _touched(per_key: DataFrame, keys: list[str], buckets: int) -> tuple[list[int], bool, int]:
+    """Buckets of the keys, whether the keys are small enough to broadcast, and the largest ``__n``."""
     size = F.octet_length(F.to_json(F.struct(*[f"`{k}`" for k in keys])))
     rows = (
-        per_key.groupBy(bucket_of(keys, buckets).alias("b")).agg(F.sum(size).alias("bytes")).collect()
+        per_key.groupBy(bucket_of(keys, buckets).alias("b"))
+        .agg(F.sum(size).alias("bytes"), F.max("__n").alias("most")).collect()
     )
     limit = int(per_key.sparkSession.conf.get(BROADCAST_BYTES, str(32 * 1024 * 1024)))
-    return [r["b"] for r in rows], sum(r["bytes"] for r in rows) <= limit
+    return [r["b"] for r in rows], sum(r["bytes"] for r in rows) <= limit, max((r["most"] for r in rows), default=0)
+
+
+@contextmanager
+def _beside(spark: SparkSession, job: Callable[[], None]):
+    """Run a job while another one runs; both are done at the end."""
+    with ThreadPoolExecutor(1) as pool:
+        running = pool.submit(inheritable_thread_target(spark)(job))
+        yield
+        running.result()
 
 
 def _forget(state: DataFrame, shape: cdc.Shape, floor: str) -> DataFrame:
@@ -825,13 +838,15 @@ def _merge_type2(df, target, spec, current, version):
     logged = spark.read.schema(stored).parquet(storage.join(path, "log"))
     batch = logged.where(F.col(VERSION) == version).drop(VERSION, BUCKET)
     keys = [f"`{k}`" for k in shape.keys]
-    spans = batch.groupBy(*keys).agg(F.min(cdc.SEQ).alias("__from"), F.max(cdc.SEQ).alias("__last")).persist()
+    spans = batch.groupBy(*keys).agg(
+        F.min(cdc.SEQ).alias("__from"), F.max(cdc.SEQ).alias("__last"), F.count(F.lit(1)).alias("__n")
+    ).persist()
     try:
+        touched, small, most = _touched(spans, shape.keys, buckets)
         if not current["version"]:
-            _write_heads(spans.select(*keys, "__last"), path, shape.keys, version, buckets)
-            history = cdc.type2_history(batch, shape, buckets)
-            return _write_buckets(history, target, shape.keys, version, buckets), None
-        touched, small = _touched(spans, shape.keys, buckets)
+            history = cdc.type2_history(batch, shape, buckets, most)
+            with _beside(spark, lambda: _write_heads(spans.select(*keys, "__last"), path, shape.keys, version, buckets)):
+                return _write_buckets(history, target, shape.keys, version, buckets), None
         if not touched:
             return [], None
         earliest = spans.select(*keys, "__from")
@@ -866,12 +881,13 @@ def _merge_type2(df, target, spec, current, version):
             )
             begun = skew.join_per_key(old.where(F.col(cdc.END).isNull()), fresh, shape.keys, small)
             rows = reduce(DataFrame.unionByName, [news, cdc.open_as_changes(begun, shape), *again])
-            rebuilt = cdc.type2_history(rows, shape, buckets)
-            _write_buckets(
-                kept.drop("__cut", "__late").unionByName(rebuilt), target, shape.keys, version, buckets
-            )
+            # a history that goes on has the rows of the batch and its open version
+            rebuilt = cdc.type2_history(rows, shape, buckets, None if some_late else most + 1)
             merged = _merged_heads(heads, spans.select(*keys, "__last"), shape.keys, small)
-            _write_heads(merged, path, shape.keys, version, buckets)
+            with _beside(spark, lambda: _write_heads(merged, path, shape.keys, version, buckets)):
+                _write_buckets(
+                    kept.drop("__cut", "__late").unionByName(rebuilt), target, shape.keys, version, buckets
+                )
         finally:
             late.unpersist()
             if cuts is not None:

@@ -13,7 +13,13 @@ def database():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+#: held against brute force, round trips or other libraries in tests/llm
+WITHOUT_SQL = {
+    "op3_pii_pseudonyms", "op5_quality_rules", "op10_best_fit_packing", "op12_sentencepiece", "pipeline",
+}
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_agrees_with_its_oracle(spark, database, name):
     ok, _, detail = oracle.compare(spark, database, FOLDER, name)
     assert ok, detail
@@ -21,4 +27,5 @@ def test_query_agrees_with_its_oracle(spark, database, name):
 
 def test_contract(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.queries()) - set(entry.oracle_sql()) <= WITHOUT_SQL
     assert entry.entry(spark).columns == ["user_id", "event_type", "value", "__START_AT", "__END_AT"]
