@@ -35,12 +35,11 @@ def components(links: DataFrame) -> DataFrame:
         )
         following = written(small, "links")
         # settled once no node has two targets and no target has one of its own
-        targets = following.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        open_nodes = targets.filter("n > 1").limit(1).count()
-        if not open_nodes:
-            open_nodes = following.join(targets.select(F.col("a").alias("b")), "b").limit(1).count()
+        ends = following.select("a", F.lit(1).alias("n")).union(
+            following.select("b", F.lit(0)).distinct()
+        ).groupBy("a").agg(F.sum("n").alias("n"), F.min("n").alias("target"))
         edges = following
-        if not open_nodes:
+        if ends.filter("n > 1 OR (n = 1 AND target = 0)").isEmpty():
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -207,14 +207,16 @@ def _found(docs, items, id_column, text_column, item_column, item_text_column, w
             ),
         ]
     )
+    wanted = spark.sparkContext.broadcast(bitmap)
     light = written(
         docs.select(
             F.col(id_column).alias("_id"), F.xxhash64(text_column).alias("_key"), F.col(text_column).alias("_text")
         ).mapInArrow(
-            _document_rows(window, gram, sizes, spark.sparkContext.broadcast(bitmap)), light_schema
+            _document_rows(window, gram, sizes, wanted), light_schema
         ),
         "document-fingerprints",
     )
+    wanted.destroy()
     found = light.select("_id", "_key", F.explode("_found").alias("f")).select(
         "_id", "_key", F.col("f.size").alias("_size"), F.col("f.hash").alias("_hash"),
         F.col("f.place").alias("_place"), F.col("f.context").alias("_context"),

@@ -366,7 +366,7 @@ def _shared(rows: DataFrame, light: DataFrame, size: int, percent: int) -> DataF
     lists = Window.partitionBy("gram").orderBy("class")
     whole = lists.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     entry = F.struct("class", "at")
-    return written(
+    found = written(
         prefixes.withColumns(
             {
                 "first": F.first(entry).over(lists),
@@ -380,6 +380,8 @@ def _shared(rows: DataFrame, light: DataFrame, size: int, percent: int) -> DataF
         "prefixes",
         release=True,
     )
+    frequencies.destroy()
+    return found
 
 
 def _texts(rows: DataFrame, shared: DataFrame, classes: DataFrame, size: int) -> DataFrame:
