@@ -29,6 +29,8 @@ from medallion.storage import work_folder
 SLICE_BYTES = 1 << 19
 #: bytes of an Arrow batch
 ARROW_BYTES = 4 << 20
+#: characters of a plan's description that the driver keeps
+PLAN_CHARACTERS = 20_000
 MASK = (1 << 64) - 1
 _SHIPPED: set[str] = set()
 
@@ -41,10 +43,14 @@ def ship(spark: SparkSession) -> None:
 
     Arrow batches of the session get smaller: texts are handled in slices, and what
     else a batch holds would wait in the memory of both the executor and its Python.
+    Descriptions of plans get shorter, which long jobs would fill the driver with.
     """
     limit = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(re.sub(r"\D", "", spark.conf.get(limit, str(ARROW_BYTES)))) > ARROW_BYTES:
         spark.conf.set(limit, str(ARROW_BYTES))
+    # the driver keeps a description of every plan and of each of its adaptive versions
+    if int(re.sub(r"\D", "", spark.conf.get("spark.sql.maxPlanStringLength"))) > PLAN_CHARACTERS:
+        spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARACTERS))
     context: SparkContext = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -315,6 +321,12 @@ def window_anchors(grams: np.ndarray, width: int) -> np.ndarray:
     Two windows with equal content have their anchors at the same offset. Only the
     high bits of the hashes are compared, which is a function of the content too.
     """
+    most = 1 << _PLACE_BITS
+    if len(grams) > most:
+        # places are counted anew in parts, which overlap by the windows that reach across
+        step = most - width + 1
+        starts = range(0, len(grams) - width + 1, step)
+        return np.concatenate([window_anchors(grams[a : a + most], width) + a for a in starts])
     packed = grams & ~_PLACE
     packed |= np.arange(len(grams), dtype=np.uint64)
     return (sliding_min(packed, width) & _PLACE).astype(np.int64)

@@ -81,3 +81,13 @@ def test_empty_tables(spark, side):
     else:
         found = contamination(docs, items.filter("false")).collect()
         assert [(r.n_words, r.spans, r["items"]) for r in found] == [(3, [], [])]
+
+
+def test_a_passage_in_a_very_long_text(spark):
+    filler = [f"u{i}" for i in range(300_000)]
+    passage = [f"P{i}" for i in range(40)]
+    text = " ".join(filler[:200_000] + passage + filler[200_000:])
+    items = spark.createDataFrame([(7, " ".join(passage).lower())], "item_id long, text string")
+    [row] = contamination(frame(spark, [(1, text, "en")]), items).collect()
+    assert (row.n_words, row["items"]) == (300_040, [7])
+    assert [(s["from"], s["to"]) for s in row.spans] == [(200_000, 200_040)]

@@ -130,3 +130,32 @@ def test_multikey_sort():
     ordered = [strings[i] for i in suffix]
     assert ordered == sorted(ordered)
     assert all((a == b) == (g == h) for a, b, g, h in zip(ordered, ordered[1:], group, group[1:]))
+
+
+def test_a_passage_in_a_very_long_text(spark):
+    filler = [f"u{i}" for i in range(300_000)]
+    passage = [f"p{i}" for i in range(120)]
+    text = " ".join(filler[:150_000] + passage + filler[150_000:])
+    short = " ".join(["first", *passage, "end"])
+    docs = frame(spark, [(1, short, "en"), (2, text, "en")])
+    found = {r.doc_id: r for r in substrings.without_earlier(docs).collect()}
+    assert found[1].kept == short and found[2].kept == " ".join(filler)
+    assert [(s["from"], s["to"]) for s in found[2].spans] == [(150_000, 150_120)]
+    # bytes: the spaces on both sides are the same as well
+    common = " " + " ".join(passage) + " "
+    found = {r.doc_id: bytes(r.kept).decode() for r in suffixes.without_repeats(docs).collect()}
+    assert found == {1: short.replace(common, ""), 2: text.replace(common, "")}
+
+
+def test_anchors_of_very_long_texts(monkeypatch):
+    """Parts of a text give the anchors of the whole."""
+    import numpy as np
+
+    from medallion.llm import common
+
+    grams = common.mix(np.arange(5000, dtype=np.uint64) % np.uint64(700))
+    whole = common.window_anchors(grams, 40)
+    monkeypatch.setattr(common, "_PLACE_BITS", 9)
+    assert (common.window_anchors(grams, 40) == whole).all()
+    monkeypatch.setattr(common, "_PLACE_BITS", 28)
+    assert len(common.window_anchors(grams[:39], 40)) == 0
