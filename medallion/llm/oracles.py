@@ -110,6 +110,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit, coale
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# the windows of 400 bytes of all documents, by MD5; bytes as hexadecimal digits
+ORACLES["op6_suffix_array_dedup"] = r"""
+WITH n AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes
+  FROM documents),
+c AS (  -- pieces of 799 bytes that hold the 400 strings that start in each 400 bytes
+  SELECT r, k, substr(h, 800 * k + 1, 1598) AS h FROM (SELECT r, h, unnest(range(0, n_bytes // 400 + 1)) AS k FROM n)),
+w AS MATERIALIZED (
+  SELECT r, 400 * k + i AS p, md5(substr(h, CAST(2 * i + 1 AS BIGINT), 800)) AS m
+  FROM (SELECT r, k, h, unnest(range(0, least(400, length(h) // 2 - 399))) AS i FROM c WHERE length(h) >= 800)),
+hit AS (SELECT r, p FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING count(*) > 1)),
+g AS (
+  SELECT r, p, sum(CASE WHEN p > before + 400 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run
+  FROM (SELECT *, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM hit)),
+s AS (SELECT r, min(p) AS a, max(p) + 400 AS b FROM g GROUP BY r, run),
+kept AS (
+  SELECT r, string_agg(substr(h, CAST(2 * f + 1 AS BIGINT), CAST(2 * (t - f) AS BIGINT)), '' ORDER BY f) AS h FROM (
+    SELECT n.r, h, coalesce(lag(b) OVER (PARTITION BY n.r ORDER BY a), 0) AS f, a AS t FROM n JOIN s ON s.r = n.r
+    UNION ALL SELECT n.r, h, coalesce(b, 0), n_bytes FROM n LEFT JOIN (SELECT r, max(b) AS b FROM s GROUP BY r) e ON e.r = n.r)
+  GROUP BY r)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(coalesce(x.n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(x.n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM n JOIN kept ON kept.r = n.r
+LEFT JOIN (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans FROM s GROUP BY r) x ON x.r = n.r
+"""
+
 
 def _merkle(levels: int, groups: int) -> str:
     """SQL of the manifest: so many levels of 16 for the rows of a source, and for the sources."""
@@ -205,3 +231,64 @@ z AS (
   WHERE o.longest IS NULL OR 100::HUGEINT * o.longest < 80::HUGEINT * b.a)
 SELECT z.lang, z.rank, z.phrase, z.a, z.l, z.r, n.n, z.score FROM z JOIN n ON n.lang = z.lang WHERE z.rank <= 2000
 """
+
+
+def _licences() -> str:
+    """SQL of the licence scan: every line and paragraph against every template."""
+    from .licenses import TEMPLATES
+
+    quoted = [(k, name, text.replace("'", "''")) for k, (name, text) in enumerate(TEMPLATES)]
+    listed = ", ".join(f"({k}, '{name}', '{text}')" for k, name, text in quoted)
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH t(k, name, text) AS (VALUES {listed}),
+tw AS MATERIALIZED (
+  SELECT k, w, count(*) AS n FROM (SELECT k, unnest(regexp_extract_all({lower.format("text")}, {word})) AS w FROM t) GROUP BY ALL),
+f AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, concat_ws('/', source,
+      CASE WHEN n_chars < 400 THEN NULL ELSE lang END,
+      CASE WHEN n_chars < 1500 THEN NULL ELSE CAST(doc_id // 1000 AS VARCHAR) END) || '/' || doc_id || '.txt' AS path
+  FROM documents),
+l AS (SELECT r, unnest(range(len(x))) AS i, unnest(x) AS line FROM (SELECT r, string_split(text, chr(10)) AS x FROM f)),
+p AS (
+  SELECT r, i, line, sum(CASE WHEN regexp_matches(line, '^[ \t\v\f\r]*$') THEN 1 ELSE 0 END)
+    OVER (PARTITION BY r ORDER BY i) AS part FROM l),
+tok AS MATERIALIZED (
+  SELECT r, i, part, w, count(*) AS n FROM (
+    SELECT r, i, part, unnest(regexp_extract_all({lower.format("line")}, {word})) AS w FROM p) GROUP BY ALL),
+idf AS MATERIALIZED (
+  SELECT w, ln((1 + (SELECT count(*) FROM f)) / (1 + count(DISTINCT r))) + 1 AS idf
+  FROM (SELECT DISTINCT w FROM tw) LEFT JOIN tok USING (w) GROUP BY w),
+unit AS MATERIALIZED (
+  SELECT r, kind, u, w, n, n * coalesce(idf, (SELECT ln(1 + count(*)) + 1 FROM f)) AS x FROM (
+    SELECT r, 0 AS kind, i AS u, w, n FROM tok
+    UNION ALL SELECT r, 1, part, w, sum(n) FROM tok GROUP BY r, part, w) LEFT JOIN idf USING (w)),
+norm AS (SELECT r, kind, u, sqrt(sum(x * x)) AS norm, sum(n) AS size FROM unit GROUP BY ALL),
+tx AS (SELECT k, w, n * idf / sqrt(sum((n * idf) ** 2) OVER (PARTITION BY k)) AS x FROM tw JOIN idf USING (w)),
+alike AS (
+  SELECT r, kind, u, k, size, s / norm AS s
+  FROM (SELECT r, kind, u, k, sum(unit.x * tx.x) AS s FROM unit JOIN tx USING (w) GROUP BY ALL) JOIN norm USING (r, kind, u)
+  WHERE s / norm >= 0.8 - 1e-12),
+best AS (
+  SELECT * FROM alike
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY round(s, 9) DESC, kind, k, u DESC) = 1),
+own AS MATERIALIZED (
+  SELECT f.r, doc_id, path, name, round(s, 6) AS score, regexp_replace(path, '(^|/)[^/]*$', '') AS dir,
+    size / (SELECT sum(n) FROM tok WHERE tok.r = f.r) AS share
+  FROM f LEFT JOIN best ON best.r = f.r LEFT JOIN t ON t.k = best.k),
+files AS (
+  SELECT dir AS above, doc_id AS from_id, name FROM own
+  WHERE name IS NOT NULL AND (share >= 0.5 OR regexp_matches(path, '(?i)(^|/)(licen[cs]e|copying|unlicen[cs]e|notice)([.-][^/]*)?$'))
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY -score, path, doc_id, name) = 1),
+near AS (
+  SELECT dir, from_id, name AS inherited
+  FROM (SELECT DISTINCT dir FROM own) JOIN files ON above = '' OR above = dir OR starts_with(dir, above || '/')
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(above) DESC, from_id DESC, name DESC) = 1)
+SELECT doc_id, path, name AS own_license, score, coalesce(name, inherited) AS license,
+  CASE WHEN name IS NULL THEN from_id END AS inherited_from
+FROM own LEFT JOIN near ON near.dir = own.dir
+"""
+
+
+ORACLES["op9_license_scan"] = _licences()

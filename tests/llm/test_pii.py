@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 import random
 import re
 
@@ -6,7 +7,7 @@ import pytest
 from helpers import documents
 from pyspark.sql import functions as F
 
-from medallion.llm.pii import pseudonymized
+from medallion.llm.pii import FORMATS, pseudonymized
 
 SCHEMA = "doc_id long, text string, matches string, kinds int"
 
@@ -174,3 +175,150 @@ def test_no_python_on_the_executors(spark):
     df = spark.createDataFrame([(1, "a@b.org 1.2.3.4", "m", 1)], SCHEMA)
     plan = pseudonymized(df, "k", finds_column="f")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|MapIn", plan)
+
+
+# -- the texts recomputed by plain Python --------------------------------------------
+
+
+def digest(*parts):
+    return hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()
+
+
+def permuted(value, a, b, *name):
+    left, right = divmod(value, b)
+    for i in range(1, 9):
+        if i % 2:
+            left = (left + int(digest(*name, i, right)[:15], 16)) % a
+        else:
+            right = (right + int(digest(*name, i, left)[:15], 16)) % b
+    return left * b + right
+
+
+def permuted_digits(digits, *name):
+    n = len(digits)
+    return f"{permuted(int(digits), 10 ** (n // 2), 10 ** (n - n // 2), *name, n):0{n}d}"
+
+
+def permuted_characters(value, *name):
+    halves = [value[: len(value) // 2], value[len(value) // 2 :]]
+    for i in range(1, 9):
+        half, other = halves[(i + 1) % 2], halves[i % 2]
+        new = ""
+        for j, c in enumerate(half):
+            by = int(digest(*name, i, j // 32, other)[2 * (j % 32) : 2 * (j % 32) + 2], 16)
+            for base, size in (("a", 26), ("A", 26), ("0", 10)):
+                if 0 <= ord(c) - ord(base) < size:
+                    c = chr(ord(base) + (ord(c) - ord(base) + by) % size)
+                    break
+            new += c
+        halves[(i + 1) % 2] = new
+    return "".join(halves)
+
+
+def refilled(match, new, kept="0-9"):
+    new = iter(new)
+    return re.sub(f"[{kept}]", lambda _: next(new), match)
+
+
+DATES = ("%Y-%m-%d", "%Y/%m/%d", "%d.%m.%Y", "%m/%d/%Y")
+
+
+def pseudonym(kind, m, key):
+    digits = re.sub("[^0-9]", "", m)
+    if kind == "email":
+        local, _, domain = m.rpartition("@")
+        return permuted_characters(local, key, "email") + "@" + domain
+    if kind == "iban":
+        compact = m.replace(" ", "")
+        x = permuted_characters(compact[4:], key, "iban")
+        check = 98 - int("".join(str(int(c, 36)) for c in x + m[:2] + "00")) % 97
+        return refilled(m, f"{m[:2]}{check:02d}{x}", "A-Z0-9")
+    if kind == "ipv4":
+        value = permuted(int.from_bytes(bytes(map(int, m.split("."))), "big"), 65536, 65536, key, "ipv4")
+        return ".".join(map(str, value.to_bytes(4, "big")))
+    if kind == "date":
+        pattern = DATES[0 if m[4] == "-" else 1 if m[4] == "/" else 2 if m[2] == "." else 3]
+        first = datetime.date(1800, 1, 1)
+        day = (datetime.datetime.strptime(m, pattern).date() - first).days
+        new = first + datetime.timedelta(permuted(day, 189, 773, key, "date"))
+        return new.strftime(pattern)
+    if kind == "ssn":
+        area = int(m[:3])
+        value = permuted(((area - 1 - (area > 666)) * 99 + int(m[4:6]) - 1) * 9999 + int(m[7:]) - 1, 88902, 9999, key, "ssn")
+        area = value // 989901 + 1
+        return f"{area + (area >= 666):03d}-{value // 9999 % 99 + 1:02d}-{value % 9999 + 1:04d}"
+    if kind == "phone":
+        a, b, c = int(digits[-10:-7]), int(digits[-7:-4]), int(digits[-4:])
+        value = permuted((a - 200) * 8000000 + (b - 200) * 10000 + c, 80000, 80000, key, "phone")
+        return refilled(m, f"{digits[:-10]}{value // 8000000 + 200}{value // 10000 % 800 + 200}{value % 10000:04d}")
+    if kind == "number":
+        return refilled(m, digits[:2] + permuted_digits(digits[2:], key, "number"))
+    body = digits[0] + permuted_digits(digits[1:-1], key, "card")
+    return refilled(m, body + next(c for c in "0123456789" if luhn(body + c)))
+
+
+PLANS = {"1": 11, "7": 11, "30": 12, "33": 11, "34": 11, "351": 12, "420": 12, "44": 12, "48": 11}
+
+
+def kind_of(m, formats=tuple(FORMATS)):
+    """The first format that fits, if the value is valid in it."""
+    digits = re.sub("[^0-9]", "", m)
+    for kind in formats:
+        if re.fullmatch(FORMATS[kind], m):
+            fits = valid(kind, m)
+            if kind == "card":
+                fits = 13 <= len(digits) <= 19 and luhn(digits)
+            elif kind == "iban":
+                fits = 15 <= len(m.replace(" ", "")) <= 34 and iban_ok(m)
+            elif kind == "ipv4":
+                fits = all(int(x) < 256 for x in m.split("."))
+            elif kind == "phone":
+                fits = True
+            elif kind == "number":
+                fits = 8 <= len(digits) <= next((n for c, n in PLANS.items() if digits.startswith(c)), 15)
+            return kind if fits else None
+    return None
+
+
+def value_at(text, at):
+    """(kind, value) of what starts at a place, None if nothing does."""
+    # the date's group is the first one here as well
+    found = re.compile("(?:" + "|".join(FORMATS.values()) + ")(?![A-Za-z0-9])").match(text, at)
+    if not found or (at and re.match("[A-Za-z0-9]", text[at - 1])):
+        return None
+    m = found[0]
+    kind = kind_of(m)
+    longer = ("iban", "number", "card")
+    if kind is None and any(re.fullmatch(FORMATS[n], m) for n in longer):
+        for end in range(len(m) - 1, 0, -1):
+            if not re.match("[A-Za-z0-9]", m[end]) and kind_of(m[:end], longer):
+                return kind_of(m[:end], longer), m[:end]
+        kind = "number" if m[0] == "+" else None
+    return kind and (kind, m)
+
+
+def brute(text, key):
+    """(text with pseudonyms, kinds), from left to right."""
+    new, kinds, at = [], [], 0
+    while at < len(text):
+        found = value_at(text, at)
+        if found:
+            kinds.append(found[0])
+            new.append(pseudonym(*found, key))
+            at += len(found[1])
+        else:
+            new.append(text[at])
+            at += 1
+    return "".join(new), kinds
+
+
+def test_texts_are_those_of_plain_python(spark):
+    rng = random.Random(12)
+    made = {k: values(k, 60) for k in FORMATS}
+    made["junk"] = ["12", "x4111111111111111", "1985-02-29", "300.1.1.1", "OK", "é", "4785380592391142", "+44", "a@b", "EUR 5"]
+    texts = [v for some in made.values() for v in some]
+    for _ in range(400):
+        parts = [rng.choice(made[rng.choice(list(made))]) for _ in range(rng.randrange(1, 7))]
+        texts.append("".join(p + rng.choice([" ", " ", " ", ", ", "\n", "-", "/", " 7 ", ".", "(", "x "]) for p in parts))
+    for text, r in zip(texts, run(spark, texts, key="a key")):
+        assert (r.text, r.found) == brute(text, "a key"), text
