@@ -2,6 +2,15 @@
 
 Each stage works on all documents that its predecessor kept. All but the last return
 the columns of ``documents``.
+
+Defined results: null and empty texts have fewer than 50 words, so quality drops them;
+given to a later stage they have no near duplicates, no benchmark passage and no
+personal values, and are packed as their separator. Null ids stay and are documents like
+others; a null language is a language of its own. Of rows with equal id and text one
+stays in near duplicates; of a group whose rows have ids the one with the least. Texts
+are read whole, whatever their length. An empty table stays empty. Columns that
+``documents`` has besides its own, under any names, go through all stages but the last
+as they are.
 """
 
 from __future__ import annotations
