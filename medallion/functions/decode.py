@@ -43,13 +43,15 @@ def decode_json(
         records = F.coalesce(
             F.try_variant_get(F.col("__v"), "$", "array<variant>"), F.array(F.col("__v"))
         )
-        lines = lines.select(*kept, F.col(value).alias("__line"), _one_value(value).alias("__v")).select(
+        lines = lines.select(*kept, F.col(value).alias("__line"), _parsed(value).alias("__p"))
+        lines = lines.select(*kept, "__line", _one_value("__p").alias("__v")).select(
             *kept, "__line", F.explode(records).alias("__v")
         )
     elif rescue and fields:
         lines = _fitting_first(lines, fields, value, kept)
     else:
-        lines = lines.select(*kept, F.col(value).alias("__line"), _one_value(value).alias("__v"))
+        lines = lines.select(*kept, F.col(value).alias("__line"), _parsed(value).alias("__p"))
+        lines = lines.select(*kept, "__line", _one_value("__p").alias("__v"))
     quick = "__s" in lines.columns
     typed = lines.select(
         *kept,
@@ -84,17 +86,21 @@ def decode_json(
     return typed.select(*columns, *kept)
 
 
-def _one_value(text: str) -> Column:
+def _parsed(text: str) -> Column:
+    """A list of the JSON value that fills a text and of END_MARK; see ``_one_value``."""
+    return F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{END_MARK}"]')))
+
+
+def _one_value(parsed: str) -> Column:
     """The JSON value that fills a text; null if there is none, another one, or anything else.
 
-    The parser stops behind the first value it has read. So the text is made the first
+    The parser stops behind the first value it has read. So the text was made the first
     item of a list with a mark behind it: what follows the value hides the mark.
     """
-    parsed = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(f',"{END_MARK}"]')))
-    marked = (F.try_variant_get(parsed, "$[1]", "string") == END_MARK) & F.try_variant_get(
-        parsed, "$[2]", "variant"
+    marked = (F.try_variant_get(F.col(parsed), "$[1]", "string") == END_MARK) & F.try_variant_get(
+        F.col(parsed), "$[2]", "variant"
     ).isNull()
-    return F.when(marked, F.try_variant_get(parsed, "$[0]", "variant"))
+    return F.when(marked, F.try_variant_get(F.col(parsed), "$[0]", "variant"))
 
 
 def _value(field: T.StructField, quick: bool) -> Column:
@@ -104,9 +110,15 @@ def _value(field: T.StructField, quick: bool) -> Column:
     typed = F.try_variant_get("__v", path, field.dataType.simpleString())
     if not quick:
         return F.when(_holds(field.dataType, typed, item), typed)
+    # whole numbers, truth values and texts are read by schema as they are or not at all
     read = F.col("__s").getField(field.name)
-    typed = F.coalesce(read, typed)
-    return F.when(~F.col("__odd"), read).when(_holds(field.dataType, typed, item), typed)
+    if isinstance(field.dataType, (T.IntegralType, T.BooleanType, T.StringType)):
+        exact = ~F.col("__odd") | F.col("__v").isNotNull()
+    elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        exact = ~F.col("__odd")
+    else:
+        exact = ~F.col("__odd") | (F.col("__v").isNotNull() & ~F.col("__long"))
+    return F.when(read.isNotNull() & exact, read).when(_holds(field.dataType, typed, item), typed)
 
 
 def _holds(kind: T.DataType, typed: Column, item: Column) -> Column:
@@ -162,14 +174,17 @@ def _fitting_first(lines: DataFrame, fields, value: str, kept) -> DataFrame:
     odd = missing | (marks != len(fields))
     for space in " \t\n\r":  # a key that this count would miss
         odd = odd | F.contains(line, F.lit(f'"{space}'))
-    long = _long_values(fields)
-    if long:
-        odd = odd | line.rlike("|".join(long))
+    patterns, long = _long_values(fields), F.lit(False)
+    if patterns:
+        long = line.rlike("|".join(patterns))
     for f in fields:
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            odd = odd | (F.abs(F.col("__s").getField(f.name)) == float("inf"))
-    read = read.select(*kept, "__line", "__s", odd.alias("__odd"))
-    return read.select("*", F.when(F.col("__odd"), _one_value("__line")).alias("__v"))
+            long = long | F.coalesce(F.abs(F.col("__s").getField(f.name)) == float("inf"), F.lit(False))
+    read = read.select(*kept, "__line", "__s", long.alias("__long"), odd.alias("__odd"))
+    read = read.withColumn("__odd", F.col("__odd") | F.col("__long"))
+    # a column of its own, so that no line is parsed for each use of it
+    read = read.select("*", F.when(F.col("__odd"), _parsed("__line")).alias("__p"))
+    return read.select(*kept, "__line", "__s", "__long", "__odd", _one_value("__p").alias("__v"))
 
 
 def _long_values(fields) -> list[str]:
