@@ -17,7 +17,7 @@ IDENTITY = ("dataFlowGroup", "dataFlowId")
 
 
 def write_specs(rows: DataFrame, table: SpecTable) -> None:
-    tables.overwrite(rows.coalesce(1), table)
+    tables.overwrite(rows, table)
 
 
 def merge_specs(rows: DataFrame, table: SpecTable, keep_history: bool = False) -> None:

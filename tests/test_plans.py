@@ -7,7 +7,7 @@ import pytest
 from medallion.operators import cdc, snapshot, transform
 from medallion.operators.cdc import ChangeSpec
 from medallion.operators.snapshot import SnapshotSpec
-from medallion.plans import store
+from medallion.plans import specs, store
 from medallion.streaming import tables
 from medallion.streaming.tables import Target
 from workload import feeds
@@ -70,6 +70,20 @@ def test_latest_versions_shuffle_once(spark):
     assert exchanges(latest) == 1 and "partial_max_by" in plan(latest)
 
 
+def test_specs_are_written_by_many_tasks(spark, conf, tmp_path):
+    # so that small partitions are not joined, as large ones would not be
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    table = Target(path=str(tmp_path / "specs"))
+    fixed = ["'A1' AS dataFlowGroup", "cast(id AS string) AS dataFlowId", "id AS v"]
+    audit = [f"'x' AS {c}" for c in specs.AUDIT_COLUMNS]
+    for number, end in enumerate((200, 300)):
+        store.merge_specs(spark.range(end - 200, end, 1, 4).selectExpr(*fixed, *audit), table)
+        rows = tables.read(spark, table.path)
+        assert sorted(r.v for r in rows.collect()) == list(range(end))
+        files = {r[0] for r in rows.selectExpr("input_file_name()").distinct().collect()}
+        assert len(files) == 4, number
+
+
 def test_snapshot_comparison_shuffles_once(spark):
     old = spark.createDataFrame([(1, "x", 1, None)], "id int, a string, __START_AT long, __END_AT long")
     new = spark.createDataFrame([(1, "y")], "id int, a string")
